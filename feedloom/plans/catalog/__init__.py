@@ -2,6 +2,8 @@
 
 from feedloom.plans.catalog import (  # noqa: F401
     rows,
+    snapshots,
+    tails,
 )
 from feedloom.plans.catalog.base import ORACLES, QUERIES
 

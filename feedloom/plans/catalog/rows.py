@@ -182,7 +182,7 @@ def add_fields_park(spark, sf_dir):
     "stamp_metadata",
     f"""WITH {EVENTS_FEED}
     SELECT event_id, 'Stamped' AS tenancy,
-      rtrim(payload, '}}') || CASE WHEN ends_with(payload, '}}"}}') THEN '}}"' ELSE '' END
+      left(payload, length(payload) - 1)
       || ',"_timestamp_fetcher":1706745600000,"_timestamp_received":1706745600500,"_source":"events","_source_fetcher":"shop.events","_org_id":"org-' || (user_id % 3) || '"}}' AS payload
     FROM feed""",
 )
