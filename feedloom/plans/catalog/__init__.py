@@ -3,6 +3,7 @@
 from feedloom.plans.catalog import (  # noqa: F401
     rows,
     snapshots,
+    spans,
     tails,
 )
 from feedloom.plans.catalog.base import ORACLES, QUERIES

@@ -83,11 +83,11 @@ def change_advance(spark, sf_dir):
 @query(
     "dump_records",
     """SELECT o_orderkey,
-        CAST(json_object('o_orderkey', o_orderkey, 'o_totalprice', CAST(o_totalprice AS DECIMAL(14,2)),
-          'o_orderdate', strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || 'Z',
-          'day', strftime(o_orderdate, '%Y-%m-%d'),
-          'raw', to_base64(encode(o_orderpriority)),
-          'note', CASE WHEN o_orderstatus = 'F' THEN 'done' END) AS VARCHAR) AS payload
+        '{"o_orderkey":' || o_orderkey || ',"o_totalprice":' || CAST(o_totalprice AS DECIMAL(14,2))
+          || ',"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || 'Z"'
+          || ',"day":"' || strftime(o_orderdate, '%Y-%m-%d') || '"'
+          || ',"raw":"' || to_base64(encode(o_orderpriority)) || '"'
+          || ',"note":' || CASE WHEN o_orderstatus = 'F' THEN '"done"' ELSE 'null' END || '}' AS payload
        FROM orders""",
 )
 def dump_records(spark, sf_dir):
