@@ -1 +1,8 @@
 """Feed landing and reshaping as Spark DataFrame and Structured Streaming operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom.functions.json import (
     Field,
@@ -168,12 +171,39 @@ def stamp(
     ).drop("_stampable")
 
 
-def split_body(df: DataFrame, body: str = "payload") -> DataFrame:
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _following_objects(bodies: pd.Series) -> pd.Series:
+    """Texts of the JSON objects a body consists of; NULL when there is anything else."""
+    decoder = json.JSONDecoder()
+
+    def cut(text: str | None) -> list[str] | None:
+        if text is None:
+            return None
+        parts, at = [], 0
+        while at < len(text):
+            if text[at].isspace():
+                at += 1
+                continue
+            try:
+                value, end = decoder.raw_decode(text, at)
+            except ValueError:
+                return None
+            if not isinstance(value, dict):
+                return None
+            parts.append(text[at:end])
+            at = end
+        return parts
+
+    return bodies.map(cut)
+
+
+def split_body(df: DataFrame, body: str = "payload", pretty: bool = True) -> DataFrame:
     """One row per record of a body, with `part`, `is_last` and `ingested_bytes`.
 
-    Splits an array of only objects (`[]` gives no row) and newline-delimited objects. If
-    any part is not an object the whole body stays one row. The mark belongs to the row
-    with `is_last`.
+    Splits an array of only objects (`[]` gives no row) and objects that follow one another
+    with a line break between. If any part is not an object the whole body stays one row.
+    The mark belongs to the row with `is_last`. Objects over several lines need a scanner in
+    Python, which gets those bodies only; `pretty=False` leaves it out of the plan.
     """
     text = F.col(body)
     out = df.withColumn(
@@ -199,7 +229,13 @@ def split_body(df: DataFrame, body: str = "payload") -> DataFrame:
             (F.size("_lines") > 1) & F.forall("_lines", is_object), F.col("_lines")
         )
         .otherwise(F.array(text)),
-    ).drop("_items", "_is_array", "_lines")
+    ).drop("_items", "_is_array")
+    if pretty:
+        rest = F.col("_lines").isNotNull() & (F.size("_parts") == 1) & ~is_object(text)
+        out = out.withColumn("_scan", _following_objects(F.when(rest, text))).withColumn(
+            "_parts", F.when(F.size("_scan") > 1, F.col("_scan")).otherwise(F.col("_parts"))
+        ).drop("_scan")
+    out = out.drop("_lines")
     return (
         out.select("*", F.posexplode("_parts").alias("part", "_part"))
         .withColumn("is_last", F.col("part") == F.size("_parts") - 1)

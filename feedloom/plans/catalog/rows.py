@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.json import Field, document, with_document
 from feedloom.operators import accounting, rules
+from feedloom.operators.unwrap import unwrap_nested as unwrap_nested_rows
 from feedloom.plans.catalog.base import EVENTS_FEED, events_feed, query, table
 from feedloom.plans.feed import FeedSpec, land
 
@@ -274,61 +275,109 @@ def binary_passthrough(spark, sf_dir):
     return out.unionByName(raw)
 
 
+_LINES = """lines AS (SELECT conv_id, turn, string_split(text, chr(10)) AS parts FROM conversations),
+       flat AS (SELECT conv_id, turn, len(parts) AS n, unnest(parts) AS line,
+                       generate_subscripts(parts, 1) - 1 AS part FROM lines)"""
+
+
+def _line_records(spark, sf_dir):
+    """The lines of each turn as JSON records, in one array per turn."""
+    turns = table(spark, sf_dir, "conversations")
+    return turns.select(
+        "conv_id",
+        "turn",
+        F.transform(
+            F.split("text", "\n"),
+            lambda s, i: F.struct(i.alias("no"), F.md5(s).alias("digest"), s.alias("line")),
+        ).alias("records"),
+    )
+
+
 @query(
     "split_array_body",
-    """WITH bodies AS (
-         SELECT conv_id, list({'turn': turn, 'role': role, 'text': text} ORDER BY turn) AS items
-         FROM conversations GROUP BY conv_id),
-       parts AS (SELECT conv_id, unnest(items) AS item, len(items) AS n,
-                        generate_subscripts(items, 1) - 1 AS part FROM bodies)
-       SELECT conv_id, CAST(part AS INT) AS part, item.turn AS turn, item.role AS role,
-              md5(item.text) AS text_md5, part = n - 1 AS is_last FROM parts""",
+    f"""WITH {_LINES} SELECT conv_id, turn, CAST(part AS INT) AS part, CAST(part AS BIGINT) AS no,
+              md5(line) AS digest, part = n - 1 AS is_last FROM flat""",
 )
 def split_array_body(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations")
-    item = F.struct("turn", "role", "text")
-    bodies = turns.groupBy("conv_id").agg(
-        F.to_json(F.array_sort(F.collect_list(item))).alias("payload")
-    )
+    bodies = _line_records(spark, sf_dir).withColumn("payload", F.to_json("records"))
     parsed = with_document(rules.split_body(bodies), "payload")
     doc = F.col("_doc")
     return parsed.select(
         "conv_id",
+        "turn",
         "part",
-        Field(doc, "turn").number().cast("bigint").alias("turn"),
-        Field(doc, "role").text().alias("role"),
-        F.md5(Field(doc, "text").text()).alias("text_md5"),
+        Field(doc, "no").number().cast("bigint").alias("no"),
+        F.md5(Field(doc, "line").text()).alias("digest"),
         "is_last",
     )
 
 
 @query(
     "split_ndjson_body",
-    """WITH numbered AS (
-         SELECT conv_id, turn, role, strlen(text) AS text_bytes,
-                row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS part,
-                count(*) OVER (PARTITION BY conv_id) AS n FROM conversations)
-       SELECT conv_id, CAST(part AS INT) AS part, turn, role, part = n - 1 AS is_last,
-              CAST(strlen(json_object('turn', turn, 'role', role, 'size', text_bytes)) AS BIGINT) AS ingested_bytes
-       FROM numbered""",
+    f"""WITH {_LINES} SELECT conv_id, turn, CAST(part AS INT) AS part, CAST(part AS BIGINT) AS no, part = n - 1 AS is_last,
+              CAST(strlen(json_object('no', part, 'digest', md5(line))) AS BIGINT) AS ingested_bytes FROM flat""",
 )
 def split_ndjson_body(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations")
-    line = F.to_json(
-        F.struct("turn", "role", F.octet_length("text").cast("bigint").alias("size"))
-    )
-    bodies = turns.groupBy("conv_id").agg(
-        F.concat_ws(
-            "\n", F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("l")))), lambda e: e["l"])
-        ).alias("payload")
-    )
+    short = F.transform("records", lambda r: F.to_json(r.dropFields("line")))
+    bodies = _line_records(spark, sf_dir).withColumn("payload", F.concat_ws("\n", short))
     parsed = with_document(rules.split_body(bodies), "payload")
     doc = F.col("_doc")
     return parsed.select(
         "conv_id",
+        "turn",
         "part",
-        Field(doc, "turn").number().cast("bigint").alias("turn"),
-        Field(doc, "role").text().alias("role"),
+        Field(doc, "no").number().cast("bigint").alias("no"),
         "is_last",
         "ingested_bytes",
     )
+
+
+@query(
+    "split_pretty_body",
+    f"""WITH {EVENTS_FEED}, copies AS (SELECT unnest([0, 1]) AS part)
+    SELECT event_id, CAST(part AS INT) AS part, event_type AS type, part = 1 AS is_last FROM feed, copies""",
+)
+def split_pretty_body(spark, sf_dir):
+    # Objects over several lines, one after the other.
+    pretty = F.regexp_replace("payload", r',"', ',\n  "')
+    bodies = events_feed(spark, sf_dir).withColumn(
+        "payload", F.concat(pretty, F.lit("\n"), pretty)
+    )
+    parsed = with_document(rules.split_body(bodies), "payload")
+    return parsed.select(
+        "event_id", "part", Field(F.col("_doc"), "type").text().alias("type"), "is_last"
+    )
+
+
+@query(
+    "unwrap_nested",
+    """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_type AS inner_type, '{not json' AS note,
+              user_id % 2 = 0 AS changed FROM events""",
+)
+def unwrap_nested(spark, sf_dir):
+    # Even users carry their props as text, with one more level of text inside.
+    events = table(spark, sf_dir, "events")
+    inner = F.to_json(F.struct(F.to_json(F.struct("event_type")).alias("deep")))
+    plain = F.from_json("props", "k bigint")
+    record = F.when(
+        F.col("user_id") % 2 == 0,
+        F.to_json(F.struct(F.col("props"), inner.alias("body"), F.lit("{not json").alias("note"))),
+    ).otherwise(
+        F.to_json(
+            F.struct(
+                plain.alias("props"),
+                F.struct(F.struct("event_type").alias("deep")).alias("body"),
+                F.lit("{not json").alias("note"),
+            )
+        )
+    )
+    bodies = events.select("event_id", record.alias("before"))
+    out = with_document(unwrap_nested_rows(bodies.withColumn("payload", F.col("before"))), "payload")
+    doc = F.col("_doc")
+    return out.select(
+        "event_id",
+        Field(doc, "props.k").number().cast("bigint").alias("k"),
+        Field(doc, "body.deep.event_type").text().alias("inner_type"),
+        Field(doc, "note").text().alias("note"),
+        (F.col("payload") != F.col("before")).alias("changed"),
+    )
