@@ -1,6 +1,7 @@
 """All registered queries; importing a module registers what it holds."""
 
 from feedloom.plans.catalog import (  # noqa: F401
+    building,
     decoding,
     rows,
     snapshots,

@@ -179,9 +179,8 @@ def csv_rows(spark, sf_dir):
 
 @query(
     "gzip_rows",
-    f"""WITH {_DOC_LINES} SELECT doc_id, CAST(count(*) FILTER (WHERE line <> '') AS BIGINT) AS lines,
-        md5(string_agg(line, '' ORDER BY line) FILTER (WHERE line <> '')) AS digest
-        FROM trimmed GROUP BY doc_id HAVING count(*) FILTER (WHERE line <> '') > 0""",
+    f"""WITH {_DOC_LINES}
+       SELECT doc_id, md5(line) AS digest, CAST(count(*) AS BIGINT) AS copies FROM trimmed WHERE line <> '' GROUP BY ALL""",
 )
 def gzip_rows(spark, sf_dir):
     # Two gzip members per document, or none at all: the magic decides, not the name.
@@ -208,10 +207,8 @@ def gzip_rows(spark, sf_dir):
         "doc_id", F.decode("content", "UTF-8").alias("body")
     )
     rows = decode.decode_ndjson(texts, "body")
-    # One document is one bounded body, so its lines may be gathered again for the digest.
-    return rows.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.md5(F.array_join(F.array_sort(F.collect_list("payload")), "")).alias("digest"),
+    return rows.groupBy("doc_id", F.md5("payload").alias("digest")).agg(
+        F.count(F.lit(1)).alias("copies")
     )
 
 
