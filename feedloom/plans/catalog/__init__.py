@@ -3,6 +3,8 @@
 from feedloom.plans.catalog import (  # noqa: F401
     building,
     decoding,
+    listings,
+    pages,
     rows,
     snapshots,
     spans,
