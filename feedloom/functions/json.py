@@ -29,7 +29,7 @@ def _guarded(payload: Column) -> Column:
 def is_json(payload: Column) -> Column:
     """True when the text is exactly one JSON value."""
     parts = F.from_json(_guarded(payload), "array<string>", _STRICT)
-    return F.coalesce((F.size(parts) == 2) & (parts[1] == "{}"), F.lit(False))
+    return F.coalesce((F.size(parts) == 2) & (F.get(parts, F.lit(1)) == "{}"), F.lit(False))
 
 
 def is_object(payload: Column) -> Column:
@@ -48,7 +48,9 @@ def document(payload: Column) -> Column:
     Of duplicate top-level keys the last one counts.
     """
     parts = F.from_json(_guarded(payload), "array<map<string,variant>>", _STRICT)
-    return F.when((F.size(parts) == 2) & (F.size(parts[1]) == 0), parts[0])
+    return F.when(
+        (F.size(parts) == 2) & (F.size(F.get(parts, F.lit(1))) == 0), F.get(parts, F.lit(0))
+    )
 
 
 def last_wins(doc: Column) -> Column:

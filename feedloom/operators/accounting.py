@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.operators.paging import header
+
 
 def tick_report(df: DataFrame, by: Sequence[str], kept: str, size: str) -> DataFrame:
     """Per key: rows and bytes that passed, and rows a filter removed."""
@@ -103,10 +105,7 @@ def limit_counters(
 
 def header_number(headers: Column, name: str) -> Column:
     """A response header as a number, whatever the case of its name; NULL if unreadable."""
-    value = F.filter(
-        F.map_entries(headers), lambda e: F.lower(e["key"]) == F.lit(name.lower())
-    )[0]["value"]
-    return value.try_cast("double")
+    return header(headers, name).try_cast("double")
 
 
 def quota_latest(

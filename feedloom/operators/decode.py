@@ -28,7 +28,7 @@ GZIP_MAGIC = b"\x1f\x8b"
 def json_value(text: Column) -> Column:
     """The text as a variant; NULL unless it is exactly one JSON value."""
     parts = F.from_json(_guarded(text), "array<variant>", _STRICT)
-    return F.when(F.size(parts) == 2, parts[0])
+    return F.when(F.size(parts) == 2, F.get(parts, F.lit(0)))
 
 
 def _trimmed(text: Column) -> Column:

@@ -22,9 +22,8 @@ PAGE_SPAN = 10_000
 
 def header(headers: Column, name: str) -> Column:
     """Value of a response header, whatever the case of its name."""
-    return F.filter(
-        F.map_entries(headers), lambda e: F.lower(e["key"]) == F.lit(name.lower())
-    )[0]["value"]
+    named = F.filter(F.map_entries(headers), lambda e: F.lower(e["key"]) == F.lit(name.lower()))
+    return F.get(named, F.lit(0))["value"]
 
 
 def link_next(headers: Column) -> Column:

@@ -91,7 +91,7 @@ def route(
         ).otherwise(targets)
     out = out.withColumn("destinations", targets).withColumn(
         "source",
-        F.when(F.size("destinations") == 1, F.col("destinations")[0]).otherwise(F.lit(source)),
+        F.when(F.size("destinations") == 1, F.get("destinations", F.lit(0))).otherwise(F.lit(source)),
     )
     return out if doc else out.drop(working)
 

@@ -3,6 +3,7 @@
 from feedloom.plans.catalog import (  # noqa: F401
     building,
     decoding,
+    deliveries,
     listings,
     pages,
     rows,

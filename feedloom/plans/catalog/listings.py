@@ -161,14 +161,14 @@ def _objects(spark, sf_dir):
 
 _OBJECTS = """objects AS (SELECT 'in/a b*~/' || lpad(CAST(page_id AS VARCHAR), 9, '0') || '+.json' AS key,
    'in/a%20b%2A~/' || lpad(CAST(page_id AS VARCHAR), 9, '0') || '%2B.json' AS path,
-   1704067200 + page_id // 4 AS at, CAST(strlen(html) AS BIGINT) AS size FROM pages)"""
+   1704067200 + page_id // 4 AS secs, CAST(strlen(html) AS BIGINT) AS size FROM pages)"""
 
 
 @query(
     "list_objects",
-    f"""WITH {_OBJECTS} SELECT key, path, CAST(at AS BIGINT) AS at, size FROM objects
-       WHERE (at > 1704067205 OR (at = 1704067205 AND key > 'in/a b*~/000000021+.json'))
-         AND (at < 1704067250 OR (at = 1704067250 AND key < 'in/a b*~/000000202+.json'))""",
+    f"""WITH {_OBJECTS} SELECT key, path, CAST(secs AS BIGINT) AS changed, size FROM objects
+       WHERE (secs > 1704067205 OR (secs = 1704067205 AND key > 'in/a b*~/000000021+.json'))
+         AND (secs < 1704067250 OR (secs = 1704067250 AND key < 'in/a b*~/000000202+.json'))""",
 )
 def list_objects(spark, sf_dir):
     found = listing.list_objects(
@@ -176,17 +176,17 @@ def list_objects(spark, sf_dir):
         cutoff=(F.timestamp_seconds(F.lit(1704067205)), "in/a b*~/000000021+.json"),
         horizon=(F.timestamp_seconds(F.lit(1704067250)), "in/a b*~/000000202+.json"),
     )
-    return found.select("key", "path", F.unix_seconds("last_modified").alias("at"), "size")
+    return found.select("key", "path", F.unix_seconds("last_modified").alias("changed"), "size")
 
 
 @query(
     "cut_with_ties",
-    f"""WITH {_OBJECTS}, r AS (SELECT key, CAST(at AS BIGINT) AS at, rank() OVER (ORDER BY at) AS r FROM objects)
-       SELECT key, at FROM r WHERE r <= 50""",
+    f"""WITH {_OBJECTS}, r AS (SELECT key, CAST(secs AS BIGINT) AS changed, rank() OVER (ORDER BY secs) AS r FROM objects)
+       SELECT key, changed FROM r WHERE r <= 50""",
 )
 def cut_with_ties(spark, sf_dir):
     cut = listing.cut_with_ties(_objects(spark, sf_dir), 50, "last_modified", "key")
-    return cut.select("key", F.unix_seconds("last_modified").alias("at"))
+    return cut.select("key", F.unix_seconds("last_modified").alias("changed"))
 
 
 @query(
