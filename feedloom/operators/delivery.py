@@ -72,6 +72,7 @@ def assign_batches(
     max_bytes: int = MAX_BYTES,
     window_ms: int = WINDOW_MS,
     span: int = BATCH_SPAN,
+    compose_pieces: int = COMPOSE,
 ) -> DataFrame:
     """Add `batch_no` per unit: exactly the batches one greedy pass in order would make.
 
@@ -109,6 +110,8 @@ def assign_batches(
     def to_map(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, following, halo = _piece(pdf, bounds)
         n, number = len(pdf), pdf["_n"].to_numpy()
+        if n == halo:  # behind the last piece there are no rows to number
+            return pd.DataFrame(columns=map_schema.names, dtype=object)
         exits, starts = np.arange(n), np.zeros(n, dtype=np.int64)
         for i in range(n - 1, -1, -1):
             j = following[i]
@@ -132,7 +135,7 @@ def assign_batches(
         )
 
     maps = shared.groupBy(*by, "_piece").applyInPandas(to_map, map_schema)
-    maps = maps.withColumn("_block", F.floor(F.col("_piece") / COMPOSE).cast("bigint"))
+    maps = maps.withColumn("_block", F.floor(F.col("_piece") / compose_pieces).cast("bigint"))
 
     block_schema = T.StructType(
         [*keys, *[T.StructField(c, long) for c in ("_block", "_entry", "_exit", "_starts")]]
@@ -189,7 +192,7 @@ def assign_batches(
         pdf, following, halo = _piece(pdf, bounds)
         n = len(pdf)
         if n == halo or entry.empty:
-            return pd.DataFrame({f.name: [] for f in number_schema.fields})
+            return pd.DataFrame(columns=number_schema.names, dtype=object)
         at = int(entry["_entry"].iloc[0] - pdf["_n"].iloc[0])
         begins = np.zeros(n, dtype=np.int64)
         if key[-1] == 0:

@@ -102,80 +102,91 @@ def _next_text(pager: Pager) -> Column:
     return token_text(at_pointer(F.try_parse_json("body"), pager.at or ""))
 
 
-def _repeats(df: DataFrame, seq: Sequence[str], token: str) -> DataFrame:
+def _repeats(signals: DataFrame, seq: Sequence[str]) -> DataFrame:
     """Flag pages whose token an earlier page of the sequence already had."""
     seen = (
-        df.filter(F.col(token).isNotNull())
-        .groupBy(*seq, token)
+        signals.filter(F.col("_next").isNotNull())
+        .groupBy(*seq, "_next")
         .agg(F.min("page_id").alias("_seen_at"), F.count(F.lit(1)).alias("_times"))
     )
     repeated = seen.filter(F.col("_times") > 1).drop("_times")
     return (
-        df.join(repeated, [*seq, token], "left")
+        signals.join(repeated, [*seq, "_next"], "left")
         .withColumn("_loop", F.coalesce(F.col("_seen_at") < F.col("page_id"), F.lit(False)))
         .drop("_seen_at")
     )
 
 
-def _judge(pages: DataFrame, seq: Sequence[str], pager: Pager) -> DataFrame:
-    """Add `page_no`, `_ends` and `_loop`."""
-    out = number_rows(
-        pages, ["page_id"], seq, span_bucket("page_id", PAGE_SPAN), out="page_no"
-    )
-    never = F.lit(False)
-    if pager.kind == "none":
-        out = out.withColumn("_ends", F.lit(True)).withColumn("_loop", never)
-    elif pager.kind == "link_header":
-        out = out.withColumn("_ends", link_next(F.col("headers")).isNull()).withColumn(
-            "_loop", never
-        )
+def _signals(pages: DataFrame, seq: Sequence[str], pager: Pager) -> DataFrame:
+    """What the pager needs to know of each page, without its body.
+
+    `_next` is a token or URL, `_rows` and `_total` are counts, `_stop` ends the sequence.
+    """
+    body = F.col("body")
+    token = F.lit(None).cast("string")
+    rows = total = F.lit(None).cast("bigint")
+    if pager.kind == "link_header":
+        token = link_next(F.col("headers"))
     elif pager.kind in ("cursor", "request_path"):
-        following = _next_text(pager)
+        token = _next_text(pager)
         if pager.kind == "request_path":
-            base = F.lit(pager.base_url) if pager.base_url else F.col("url")
-            following = join_url(base, following)
-        out = _repeats(out.withColumn("_next", following), seq, "_next")
-        out = out.withColumn("_ends", F.col("_next").isNull()).drop("_next")
+            token = join_url(F.lit(pager.base_url) if pager.base_url else F.col("url"), token)
+    elif pager.kind in ("page_number", "offset"):
+        if pager.rows_at is not None:
+            rows = _row_count(body, pager.rows_at).cast("bigint")
+        if pager.total_at is not None:
+            total = _total(body, pager.total_at)
+    elif pager.kind != "none":
+        raise ValueError(f"unknown pager {pager.kind!r}")
+    stop = F.lit(False)
+    if pager.stop_when is not None:
+        stop = F.coalesce(pager.stop_when, F.lit(False))
+    return pages.select(
+        *seq,
+        "page_id",
+        token.alias("_next"),
+        rows.alias("_rows"),
+        total.alias("_total"),
+        stop.alias("_stop"),
+    )
+
+
+def _judge(signals: DataFrame, seq: Sequence[str], pager: Pager) -> DataFrame:
+    """Add `page_no`, `_ends` and `_loop` to the signals of each page."""
+    in_seq = span_bucket("page_id", PAGE_SPAN)
+    out = signals
+    if pager.kind in ("cursor", "request_path"):
+        out = _repeats(out, seq)
+    else:
+        out = out.withColumn("_loop", F.lit(False))
+    out = number_rows(out, ["page_id"], seq, in_seq, out="page_no")
+    if pager.kind == "none":
+        done = F.lit(True)
+    elif pager.kind in ("link_header", "cursor", "request_path"):
+        done = F.col("_next").isNull()
     elif pager.kind == "page_number":
         if pager.total_at is not None:
-            number = F.col("page_no") + F.lit(pager.start + 1)
-            done = F.coalesce(
-                number >= F.lit(pager.start) + _total(F.col("body"), pager.total_at), F.lit(True)
-            )
+            following = F.col("page_no") + F.lit(pager.start + 1)
+            done = F.coalesce(following >= F.lit(pager.start) + F.col("_total"), F.lit(True))
         else:
-            done = _row_count(F.col("body"), pager.rows_at) == 0
-        out = out.withColumn("_ends", done).withColumn("_loop", never)
-    elif pager.kind == "offset":
-        out = out.withColumn("_rows", _row_count(F.col("body"), pager.rows_at).cast("bigint"))
-        size = F.lit(pager.page_size)
-        step = F.col("_rows") if pager.rows_at is not None else size.cast("bigint")
+            done = F.coalesce(F.col("_rows"), F.lit(0)) == 0
+    else:
+        step = F.col("_rows") if pager.rows_at is not None else F.lit(pager.page_size)
         out = running_sum(
-            out.withColumn("_step", step),
-            "_step",
-            ["page_id"],
-            seq,
-            span_bucket("page_id", PAGE_SPAN),
-            "_before",
+            out.withColumn("_step", step.cast("bigint")), "_step", ["page_id"], seq, in_seq, "_before"
         )
         tests = []
         if pager.rows_at is not None:
             tests.append(F.col("_rows") == 0)
             if pager.page_size is not None:
-                tests.append(F.col("_rows") < size)
+                tests.append(F.col("_rows") < pager.page_size)
         if pager.total_at is not None:
             after = F.col("_before") + F.col("_step") + F.lit(pager.start)
-            total = _total(F.col("body"), pager.total_at)
-            tests.append(F.coalesce(after >= F.lit(pager.start) + total, F.lit(True)))
-        done = reduce(lambda a, b: a | b, tests, never)
-        out = out.withColumn("_ends", done).withColumn("_loop", never)
-        out = out.drop("_rows", "_step", "_before")
-    else:
-        raise ValueError(f"unknown pager {pager.kind!r}")
-    if pager.stop_when is not None:
-        out = out.withColumn(
-            "_ends", F.col("_ends") | F.coalesce(pager.stop_when, F.lit(False))
-        )
-    return out
+            tests.append(
+                F.coalesce(after >= F.lit(pager.start) + F.col("_total"), F.lit(True))
+            )
+        done = reduce(lambda a, b: a | b, tests, F.lit(False))
+    return out.withColumn("_ends", done | F.col("_stop"))
 
 
 def assemble_pages(
@@ -190,8 +201,11 @@ def assemble_pages(
     complete: the pager ended it. loop: a token or URL came back (an error). ceiling: a
     windowed or dump unit went past `max_pages` and fails (`strict`). cut: a stateless unit
     is cut there. open: the capture stops before the sequence does.
+
+    Everything is decided on the signals; the bodies are moved once, by the join at the
+    end, whose key is unique per page.
     """
-    judged = _judge(pages, seq, pager)
+    judged = _judge(_signals(pages, seq, pager), seq, pager)
     stop = F.col("_ends") | F.col("_loop")
     ends = judged.groupBy(*seq).agg(
         F.min(F.when(stop, F.struct("page_no", "_loop"))).alias("_first"),
@@ -211,11 +225,12 @@ def assemble_pages(
             F.coalesce(F.col("_first.page_no"), F.col("_last")), F.lit(max_pages - 1)
         ).alias("_until"),
     )
-    return (
+    kept = (
         judged.join(bounds, list(seq))
         .filter(F.col("page_no") <= F.col("_until"))
-        .drop("_until", "_ends", "_loop")
+        .select(*seq, "page_id", "page_no", "status")
     )
+    return pages.join(kept, [*seq, "page_id"])
 
 
 def sequence_status(assembled: DataFrame, seq: Sequence[str]) -> DataFrame:

@@ -35,7 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`events` as a feed: event_id, ts, event_type, user_id and one JSON record per row."""
+    """`events` as a feed: event_id, ts, event_type, user_id, value and one JSON record per row."""
     events = table(spark, sf_dir, "events")
     record = F.struct(
         F.col("event_id").alias("id"),
@@ -45,7 +45,7 @@ def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("props"),
     )
     return events.select(
-        "event_id", "ts", "event_type", "user_id", F.to_json(record).alias("payload")
+        "event_id", "ts", "event_type", "user_id", "value", F.to_json(record).alias("payload")
     )
 
 
