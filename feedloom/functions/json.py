@@ -6,7 +6,7 @@ operators put that in a working column, so each record is parsed once per stage.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from itertools import product
 from typing import Any
 
@@ -20,6 +20,23 @@ def as_column(value: Any) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` computed once, however often `use` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def bind(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add or replace columns that are computed exactly once per row.
+
+    A plain projection is copied into every filter and expression above it, which parses a
+    record once per reference. A generator of one row is not: its output is a value, while
+    filters on other columns still pass below it.
+    """
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*rest, F.inline(F.array(row)))
+
+
 def _guarded(payload: Column) -> Column:
     # Spark's parsers ignore whatever follows the first value. Closing the text inside an
     # array with a known last element turns trailing text into a parse failure.
@@ -28,8 +45,12 @@ def _guarded(payload: Column) -> Column:
 
 def is_json(payload: Column) -> Column:
     """True when the text is exactly one JSON value."""
-    parts = F.from_json(_guarded(payload), "array<string>", _STRICT)
-    return F.coalesce((F.size(parts) == 2) & (F.get(parts, F.lit(1)) == "{}"), F.lit(False))
+    return let(
+        F.from_json(_guarded(payload), "array<string>", _STRICT),
+        lambda parts: F.coalesce(
+            (F.size(parts) == 2) & (F.get(parts, F.lit(1)) == "{}"), F.lit(False)
+        ),
+    )
 
 
 def is_object(payload: Column) -> Column:
@@ -42,32 +63,46 @@ def is_array(payload: Column) -> Column:
     return F.coalesce(F.ltrim(payload).startswith("["), F.lit(False)) & is_json(payload)
 
 
-def document(payload: Column) -> Column:
-    """Top-level keys of a JSON object as `map<string,variant>`; NULL for anything else.
-
-    Of duplicate top-level keys the last one counts.
-    """
-    parts = F.from_json(_guarded(payload), "array<map<string,variant>>", _STRICT)
-    return F.when(
-        (F.size(parts) == 2) & (F.size(F.get(parts, F.lit(1))) == 0), F.get(parts, F.lit(0))
+def json_value(text: Column) -> Column:
+    """The text as a variant; NULL unless it is exactly one JSON value."""
+    return let(
+        F.from_json(_guarded(text), "array<variant>", _STRICT),
+        lambda parts: F.when(F.size(parts) == 2, F.get(parts, F.lit(0))),
     )
 
 
-def last_wins(doc: Column) -> Column:
+def _last_wins(doc: Column) -> Column:
     """Drop the earlier ones of duplicate keys."""
-    keys = F.map_keys(doc)
-    rebuilt = F.map_from_entries(
-        F.filter(
+
+    def rebuild(keys: Column) -> Column:
+        kept = F.filter(
             F.map_entries(doc),
             lambda e, i: F.array_position(F.reverse(keys), e["key"]) == F.size(keys) - i,
         )
+        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), doc).otherwise(
+            F.map_from_entries(kept)
+        )
+
+    return let(F.map_keys(doc), rebuild)
+
+
+def document(payload: Column) -> Column:
+    """Top-level keys of a JSON object as `map<string,variant>`; NULL for anything else.
+
+    Of duplicate top-level keys the last one counts.
+    """
+    return let(
+        F.from_json(_guarded(payload), "array<map<string,variant>>", _STRICT),
+        lambda parts: F.when(
+            (F.size(parts) == 2) & (F.size(F.get(parts, F.lit(1))) == 0),
+            _last_wins(F.get(parts, F.lit(0))),
+        ),
     )
-    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), doc).otherwise(rebuilt)
 
 
 def with_document(df: DataFrame, payload: str, out: str = "_doc") -> DataFrame:
     """Parse `payload` once into the working column `out`."""
-    return df.withColumn(out, document(F.col(payload))).withColumn(out, last_wins(F.col(out)))
+    return bind(df, **{out: document(F.col(payload))})
 
 
 # --- paths and pointers -----------------------------------------------------------------
@@ -117,9 +152,12 @@ NUMERIC = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
 
 def scalar_text(value: Column) -> Column:
     """String as is, number or boolean as its JSON text, NULL for the rest."""
-    kind = variant_type(value)
-    return F.when(
-        kind.isin("STRING", "BOOLEAN", *NUMERIC), F.try_variant_get(value, "$", "string")
+    return let(
+        value,
+        lambda v: F.when(
+            variant_type(v).isin("STRING", "BOOLEAN", *NUMERIC),
+            F.try_variant_get(v, "$", "string"),
+        ),
     )
 
 
@@ -142,8 +180,9 @@ class Field:
             self.value = F.try_variant_get(self.value, dotted_path(rest), "variant")
 
     def _typed(self, kinds: tuple[str, ...], cast: str) -> Column:
-        return F.when(
-            variant_type(self.value).isin(*kinds), F.try_variant_get(self.value, "$", cast)
+        return let(
+            self.value,
+            lambda v: F.when(variant_type(v).isin(*kinds), F.try_variant_get(v, "$", cast)),
         )
 
     def text(self) -> Column:
@@ -185,8 +224,7 @@ class Field:
 
 def object_members(fields: Mapping[str, Any]) -> Column:
     """`"k":v,...` text of the given fields, explicit nulls, without the braces."""
-    text = object_text(fields)
-    return text.substr(F.lit(2), F.length(text) - 2)
+    return let(object_text(fields), lambda text: text.substr(F.lit(2), F.length(text) - 2))
 
 
 def object_text(fields: Mapping[str, Any]) -> Column:
@@ -197,9 +235,9 @@ def object_text(fields: Mapping[str, Any]) -> Column:
 
 def splice(payload: Column, members: Column, empty: Column) -> Column:
     """Append members to an object's text and leave every other byte alone."""
-    body = F.rtrim(payload)
-    head = body.substr(F.lit(1), F.length(body) - 1)
-    return F.concat(head, F.when(empty, F.lit("")).otherwise(F.lit(",")), members, F.lit("}"))
+    comma = F.when(empty, F.lit("")).otherwise(F.lit(","))
+    head = let(F.rtrim(payload), lambda body: body.substr(F.lit(1), F.length(body) - 1))
+    return F.concat(head, comma, members, F.lit("}"))
 
 
 def free_name(keys: Column, key: Column) -> Column:
@@ -224,27 +262,28 @@ def put_fields(
     names = list(fields)
     wanted = F.array(*[F.lit(n) for n in names])
     is_obj = F.col(object_flag) if object_flag else is_object(F.col(payload))
-    out = df.withColumn("_keys", F.when(is_obj, F.json_object_keys(payload)))
-    out = out.withColumn("_members", object_members(fields))
-    out = out.withColumn(
-        "_clash", F.arrays_overlap("_keys", wanted) if names else F.lit(False)
+    out = bind(
+        df,
+        _keys=F.when(is_obj, F.json_object_keys(payload)),
+        _members=object_members(fields),
     )
-    out = out.withColumn(
-        "_doc", F.when(F.col("_clash"), document(F.col(payload)))
-    ).withColumn("_doc", F.when(F.col("_doc").isNotNull(), last_wins(F.col("_doc"))))
-    taken = F.array_union(F.map_keys("_doc"), wanted)
-    parked = F.map_from_entries(
-        F.transform(
-            F.filter(F.map_entries("_doc"), lambda e: F.array_contains(wanted, e["key"])),
+
+    def parked(doc: Column) -> Column:
+        taken = F.array_union(F.map_keys(doc), wanted)
+        moved = F.transform(
+            F.filter(F.map_entries(doc), lambda e: F.array_contains(wanted, e["key"])),
             lambda e: F.struct(free_name(taken, e["key"]).alias("key"), e["value"].alias("value")),
         )
-    )
-    kept = F.map_filter("_doc", lambda k, v: ~F.array_contains(wanted, k))
-    moved = F.to_json(F.map_concat(kept, parked), {"ignoreNullFields": "false"})
-    out = out.withColumn("_moved", F.when(F.col("_clash"), moved))
+        kept = F.map_filter(doc, lambda k, v: ~F.array_contains(wanted, k))
+        return F.to_json(
+            F.map_concat(kept, F.map_from_entries(moved)), {"ignoreNullFields": "false"}
+        )
+
+    clash = F.arrays_overlap("_keys", wanted)
+    rebuilt = let(document(F.col(payload)), parked)
     result = (
         F.when(F.col("_keys").isNull(), F.col(payload))
-        .when(F.col("_clash"), splice(F.col("_moved"), F.col("_members"), F.lit(False)))
+        .when(clash, splice(rebuilt, F.col("_members"), F.lit(False)))
         .otherwise(splice(F.col(payload), F.col("_members"), F.size("_keys") == 0))
     )
-    return out.withColumn(payload, result).drop("_keys", "_members", "_clash", "_doc", "_moved")
+    return bind(out, **{payload: result}).drop("_keys", "_members")

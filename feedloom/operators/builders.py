@@ -9,10 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.json import (
+    Field,
     as_column,
+    bind,
     document,
     is_json,
     is_object,
+    json_value,
     object_members,
     object_text,
     put_fields,
@@ -20,7 +23,6 @@ from feedloom.functions.json import (
     variant_type,
 )
 from feedloom.functions.numbering import number_rows
-from feedloom.operators.decode import json_value
 
 # Field names written by the builders.
 PARSE_ERROR = "_parse_error"
@@ -70,18 +72,13 @@ def columnar_table(df: DataFrame, body: str) -> DataFrame:
     A short row keeps what it has, a column without a name is skipped, and of two columns
     with one name the later wins.
     """
-    value = json_value(F.col(body))
-    out = df.withColumn("_value", value)
+    out = bind(df, _value=json_value(F.col(body)))
     columns = F.try_variant_get("_value", "$.columns", "array<variant>")
-    out = out.withColumn(
-        "_names",
-        F.transform(columns, lambda c: F.try_variant_get(c, "$.name", "string")),
-    )
+    names = F.transform(columns, lambda c: F.try_variant_get(c, "$.name", "string"))
     rows = F.try_variant_get("_value", "$.rows", "array<variant>")
-    out = out.select("*", F.posexplode(rows).alias("pos", "_row")).withColumn(
-        "_cells", F.try_variant_get("_row", "$", "array<variant>")
-    )
-    out = out.withColumn("_here", F.slice("_names", 1, F.size("_cells")))
+    out = bind(out, _names=names).select("*", F.posexplode(rows).alias("pos", "_row"))
+    out = bind(out, _cells=F.try_variant_get("_row", "$", "array<variant>"))
+    out = bind(out, _here=F.slice("_names", 1, F.size("_cells")))
     pairs = F.arrays_zip(F.col("_here").alias("key"), F.col("_cells").alias("value"))
     wanted = F.filter(
         pairs,
@@ -98,26 +95,26 @@ def audit_event(df: DataFrame, payload: str = "payload", key: str = AUDIT_KEY) -
 
     When it is missing or unreadable the row stays, with the reason in a field of its own.
     """
-    out = df.withColumn("_doc", document(F.col(payload)))
-    out = out.withColumn("_inner", F.col("_doc")[key])
+    out = bind(df, _doc=document(F.col(payload)))
+    out = bind(out, _inner=F.col("_doc")[key])
     kind = variant_type(F.col("_inner"))
     text = F.when(kind == "STRING", F.try_variant_get("_inner", "$", "string")).when(
         kind == "OBJECT", F.to_json("_inner")
     )
-    out = out.withColumn("_text", text)
+    out = bind(out, _text=text)
     reason = (
         F.when(F.col("_inner").isNull(), F.lit("missing"))
         .when(F.col("_text").isNull(), F.lit("not an object"))
         .when(~is_json(F.col("_text")), F.lit("bad JSON"))
         .when(~is_object(F.col("_text")), F.lit("not an object"))
     )
-    out = out.withColumn("_reason", reason)
-    out = out.withColumn(
-        payload,
+    out = bind(out, _reason=reason)
+    row = (
         F.when(F.col("_doc").isNull(), F.raise_error(F.lit("row is not an object")))
         .when(F.col("_reason").isNull(), F.col("_text"))
-        .otherwise(F.col(payload)),
-    ).withColumn("_failed", F.col("_reason").isNotNull())
+        .otherwise(F.col(payload))
+    )
+    out = bind(out, **{payload: row}, _failed=F.col("_reason").isNotNull())
     out = put_fields(
         out.drop("_doc"), payload, {PARSE_ERROR: F.col("_reason")}, object_flag="_failed"
     )
@@ -126,9 +123,7 @@ def audit_event(df: DataFrame, payload: str = "payload", key: str = AUDIT_KEY) -
 
 def stamp_absent(df: DataFrame, fields: Mapping[str, Any], payload: str = "payload") -> DataFrame:
     """Add the fields an object does not have yet; a NULL value is not set at all."""
-    out = df.withColumn(
-        "_keys", F.when(is_object(F.col(payload)), F.json_object_keys(payload))
-    )
+    out = bind(df, _keys=F.when(is_object(F.col(payload)), F.json_object_keys(payload)))
     missing = F.concat_ws(
         ",",
         *[
@@ -139,13 +134,11 @@ def stamp_absent(df: DataFrame, fields: Mapping[str, Any], payload: str = "paylo
             for name, value in fields.items()
         ],
     )
-    out = out.withColumn("_missing", missing)
-    return out.withColumn(
-        payload,
-        F.when(F.col("_keys").isNull() | (F.col("_missing") == ""), F.col(payload)).otherwise(
-            splice(F.col(payload), F.col("_missing"), F.size("_keys") == 0)
-        ),
-    ).drop("_keys", "_missing")
+    out = bind(out, _missing=missing)
+    row = F.when(
+        F.col("_keys").isNull() | (F.col("_missing") == ""), F.col(payload)
+    ).otherwise(splice(F.col(payload), F.col("_missing"), F.size("_keys") == 0))
+    return bind(out, **{payload: row}).drop("_keys", "_missing")
 
 
 def wrap_non_object(text: Column) -> Column:
@@ -166,24 +159,24 @@ def decode_message(
     Base64 data that is a JSON object becomes the record, other JSON goes under `payload`,
     text under `data`. Message facts go under one key. Bad base64 is an error.
     """
-    out = df.withColumn("_m", json_value(F.col(c)))
+    out = bind(df, _m=json_value(F.col(c)))
 
     def fact(path: str, kind: str = "string") -> Column:
         return F.try_variant_get("_m", path, kind)
 
     encoded = F.coalesce(fact("$.message.data"), F.lit(""))
-    out = out.withColumn("_bytes", F.try_to_binary(encoded, F.lit("base64"))).withColumn(
-        "_data", F.try_validate_utf8(F.decode("_bytes", "UTF-8"))
-    )
+    out = bind(out, _bytes=F.try_to_binary(encoded, F.lit("base64")))
+    out = bind(out, _data=F.make_valid_utf8(F.col("_bytes").cast("string")))
     record = (
         F.when(is_object(F.col("_data")), F.col("_data"))
         .when(is_json(F.col("_data")), F.concat(F.lit('{"payload":'), F.col("_data"), F.lit("}")))
         .otherwise(object_text({"data": F.col("_data")}))
     )
-    out = (
-        out.withColumn("payload", F.when(F.col("_bytes").isNotNull(), record))
-        .withColumn("ack_id", fact("$.ackId"))
-        .withColumn("error", F.when(F.col("_bytes").isNull(), F.lit("bad base64")))
+    out = bind(
+        out,
+        payload=F.when(F.col("_bytes").isNotNull(), record),
+        ack_id=fact("$.ackId"),
+        error=F.when(F.col("_bytes").isNull(), F.lit("bad base64")),
     )
     envelope = F.struct(
         as_column(subscription).alias("subscription"),
@@ -200,20 +193,12 @@ def decode_message(
 
 def event_time(df: DataFrame, field: str, payload: str = "payload") -> DataFrame:
     """Copy a non-empty text field to `timestamp` unless that key is there (even as null)."""
-    out = df.withColumn("_doc", document(F.col(payload)))
-    value = F.col("_doc")[field]
-    text = F.when(variant_type(value) == "STRING", F.try_variant_get(value, "$", "string"))
-    out = out.withColumn("_time", F.when(text != "", text)).withColumn(
-        "_copy",
-        F.col("_time").isNotNull() & ~F.map_contains_key("_doc", F.lit("timestamp")),
-    )
+    out = bind(df, _doc=document(F.col(payload)))
+    out = bind(out, _time=Field(F.col("_doc"), field).text())
+    copy = (F.col("_time") != "") & ~F.map_contains_key("_doc", F.lit("timestamp"))
     members = object_members({"timestamp": F.col("_time")})
-    return out.withColumn(
-        payload,
-        F.when(F.col("_copy"), splice(F.col(payload), members, F.lit(False))).otherwise(
-            F.col(payload)
-        ),
-    ).drop("_doc", "_time", "_copy")
+    row = F.when(copy, splice(F.col(payload), members, F.lit(False))).otherwise(F.col(payload))
+    return bind(out, **{payload: row}).drop("_doc", "_time")
 
 
 # --- metrics ------------------------------------------------------------------------------

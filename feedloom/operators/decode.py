@@ -15,9 +15,11 @@ from pyspark.sql import types as T
 
 from feedloom.functions.json import (
     _STRICT,
-    _guarded,
     at_pointer,
+    bind,
     is_json,
+    json_value,
+    let,
     object_text,
     variant_type,
 )
@@ -25,26 +27,23 @@ from feedloom.functions.json import (
 GZIP_MAGIC = b"\x1f\x8b"
 
 
-def json_value(text: Column) -> Column:
-    """The text as a variant; NULL unless it is exactly one JSON value."""
-    parts = F.from_json(_guarded(text), "array<variant>", _STRICT)
-    return F.when(F.size(parts) == 2, F.get(parts, F.lit(0)))
-
-
 def _trimmed(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
+def _texts(array: Column) -> Column:
+    return F.transform(array.cast("array<variant>"), lambda x: F.to_json(x))
+
+
 def element_texts(body: Column) -> Column:
     """JSON text of each element of a top-level array; NULL when the array is incomplete.
 
     Elements are rendered from variants. An array holding an object with repeated keys
     cannot be a variant, so its elements keep their own text instead.
     """
-    value = json_value(body)
-    typed = F.when(
-        variant_type(value) == "ARRAY",
-        F.transform(value.cast("array<variant>"), lambda x: F.to_json(x)),
+    typed = let(
+        json_value(body),
+        lambda value: F.when(variant_type(value) == "ARRAY", _texts(value)),
     )
     raw = F.when(
         F.ltrim(body).startswith("[") & is_json(body), F.from_json(body, "array<string>", _STRICT)
@@ -54,9 +53,8 @@ def element_texts(body: Column) -> Column:
 
 def decode_ndjson(df: DataFrame, body: str, max_row_bytes: int | None = None) -> DataFrame:
     """One row per non-blank line, trimmed; a line over the bound fails the read."""
-    out = df.select("*", F.posexplode(F.split(body, "\n")).alias("_line", "payload")).withColumn(
-        "payload", _trimmed(F.col("payload"))
-    )
+    out = df.select("*", F.explode(F.split(body, "\n")).alias("_line"))
+    out = bind(out, payload=_trimmed(F.col("_line"))).drop("_line")
     return fail_long_rows(out.filter(F.col("payload") != ""), "payload", max_row_bytes)
 
 
@@ -77,7 +75,7 @@ def explode_array(df: DataFrame, body: str, strict: bool = True) -> DataFrame:
 
     With `strict=False` a bad body gives one row with `error` set and no payload.
     """
-    out = df.withColumn("_items", element_texts(F.col(body)))
+    out = bind(df, _items=element_texts(F.col(body)))
     problem = F.when(F.col("_items").isNull(), F.lit("not a complete JSON array"))
     return _explode_items(out, problem, strict)
 
@@ -92,8 +90,8 @@ def rows_at(
     """
     if when_absent not in ("fail", "empty"):
         raise ValueError("when_absent is 'fail' or 'empty'")
-    out = df.withColumn("_value", json_value(F.col(body)))
-    out = out.withColumn("_at", at_pointer(F.col("_value"), pointer))
+    out = bind(df, _value=json_value(F.col(body)))
+    out = bind(out, _at=at_pointer(F.col("_value"), pointer))
     kind = variant_type(F.col("_at"))
     absent = F.col("_at").isNull()
     problem = F.when(F.col("_value").isNull(), F.lit("body is not JSON")).when(
@@ -101,11 +99,10 @@ def rows_at(
     )
     if when_absent == "fail":
         problem = problem.when(absent, F.lit("pointer leads nowhere"))
-    items = F.when(
-        kind == "ARRAY",
-        F.transform(F.col("_at").cast("array<variant>"), lambda x: F.to_json(x)),
-    ).otherwise(F.array().cast("array<string>"))
-    out = out.withColumn("_items", items).withColumn("_problem", problem).drop("_value", "_at")
+    items = F.when(kind == "ARRAY", _texts(F.col("_at"))).otherwise(
+        F.array().cast("array<string>")
+    )
+    out = bind(out, _items=items, _problem=problem).drop("_value", "_at")
     return _explode_items(out, F.col("_problem"), strict).drop("_problem")
 
 
@@ -132,10 +129,10 @@ def decode_document(df: DataFrame, body: str) -> DataFrame:
 def decode_json(df: DataFrame, body: str) -> DataFrame:
     """An array gives its elements, any other body one row, a blank body none."""
     text = _trimmed(F.col(body))
-    out = df.withColumn("_text", text).filter(F.col("_text") != "")
+    out = bind(df, _text=text).filter(F.col("_text") != "")
     array = F.col("_text").startswith("[")
     items = F.when(array, element_texts(F.col("_text"))).otherwise(F.array("_text"))
-    out = out.withColumn("_items", items).drop("_text")
+    out = bind(out, _items=items).drop("_text")
     problem = F.when(F.col("_items").isNull(), F.lit("not a complete JSON array"))
     return _explode_items(out, problem, strict=True)
 
@@ -152,10 +149,12 @@ def decode_lines(df: DataFrame, body: str) -> DataFrame:
 
 def unquote(text: Column) -> Column:
     """The row held in a JSON string; anything but a string is an error."""
-    value = json_value(text)
-    return F.when(
-        variant_type(value) == "STRING", F.try_variant_get(value, "$", "string")
-    ).otherwise(F.raise_error(F.lit("quoted row is not a JSON string")))
+    return let(
+        json_value(text),
+        lambda value: F.when(
+            variant_type(value) == "STRING", F.try_variant_get(value, "$", "string")
+        ).otherwise(F.raise_error(F.lit("quoted row is not a JSON string"))),
+    )
 
 
 def decoder_of(path: Column) -> Column:

@@ -14,7 +14,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.functions.json import at_pointer, pointer_text, scalar_text, variant_type
+from feedloom.functions.json import (
+    at_pointer,
+    bind,
+    let,
+    pointer_text,
+    scalar_text,
+    variant_type,
+)
 from feedloom.functions.numbering import number_rows, running_sum, span_bucket
 
 PAGE_SPAN = 10_000
@@ -42,13 +49,16 @@ def token_text(value: Column) -> Column:
     NULL (the sequence ends) when absent, empty, null, an object, or a list that holds
     anything but scalars.
     """
-    kind = variant_type(value)
-    items = F.when(kind == "ARRAY", F.transform(value.cast("array<variant>"), scalar_text))
-    joined = F.when(
-        (F.size(items) > 0) & F.forall(items, lambda x: x.isNotNull()), F.array_join(items, ",")
-    )
-    text = F.when(kind == "ARRAY", joined).otherwise(scalar_text(value))
-    return F.when(text != "", text)
+
+    def joined(items: Column) -> Column:
+        whole = (F.size(items) > 0) & F.forall(items, lambda x: x.isNotNull())
+        return F.when(whole, F.array_join(items, ","))
+
+    def text(v: Column) -> Column:
+        listed = let(F.transform(v.cast("array<variant>"), scalar_text), joined)
+        return F.when(variant_type(v) == "ARRAY", listed).otherwise(scalar_text(v))
+
+    return F.nullif(let(value, text), F.lit(""))
 
 
 def join_url(base: Column, target: Column) -> Column:
@@ -85,10 +95,12 @@ class Pager:
 
 
 def _row_count(body: Column, pointer: str | None) -> Column:
-    value = at_pointer(F.try_parse_json(body), pointer or "")
-    return F.when(
-        variant_type(value) == "ARRAY", F.size(value.cast("array<variant>"))
-    ).otherwise(F.lit(0))
+    return let(
+        at_pointer(F.try_parse_json(body), pointer or ""),
+        lambda v: F.when(variant_type(v) == "ARRAY", F.size(v.cast("array<variant>"))).otherwise(
+            F.lit(0)
+        ),
+    )
 
 
 def _total(body: Column, pointer: str) -> Column:
@@ -97,8 +109,7 @@ def _total(body: Column, pointer: str) -> Column:
 
 def _next_text(pager: Pager) -> Column:
     if pager.header is not None:
-        value = header(F.col("headers"), pager.header)
-        return F.when(value != "", value)
+        return F.nullif(header(F.col("headers"), pager.header), F.lit(""))
     return token_text(at_pointer(F.try_parse_json("body"), pager.at or ""))
 
 
@@ -141,13 +152,8 @@ def _signals(pages: DataFrame, seq: Sequence[str], pager: Pager) -> DataFrame:
     stop = F.lit(False)
     if pager.stop_when is not None:
         stop = F.coalesce(pager.stop_when, F.lit(False))
-    return pages.select(
-        *seq,
-        "page_id",
-        token.alias("_next"),
-        rows.alias("_rows"),
-        total.alias("_total"),
-        stop.alias("_stop"),
+    return bind(pages, _next=token, _rows=rows, _total=total, _stop=stop).select(
+        *seq, "page_id", "_next", "_rows", "_total", "_stop"
     )
 
 
@@ -250,7 +256,7 @@ def fail_pages(
     text = F.lit(None).cast("string")
     if error_at is not None:
         text = pointer_text(F.col("body"), error_at)
-    judged = pages.withColumn("_fails", condition)
+    judged = bind(pages, _fails=condition)
     failed = judged.filter(F.col("_fails").isNull() | F.col("_fails")).withColumn(
         "error",
         F.when(F.col("_fails").isNull(), F.lit("page condition is not a boolean")).otherwise(

@@ -15,10 +15,10 @@ from pyspark.sql import types as T
 from feedloom.functions.json import (
     Field,
     as_column,
-    document,
+    bind,
     is_array,
+    is_json,
     is_object,
-    last_wins,
     put_fields,
     with_document,
 )
@@ -83,7 +83,7 @@ def route(
     for i in range(len(rules) - 1, -1, -1):
         hit = Field(F.col(working), rules[i].field).as_text() == F.lit(rules[i].equals)
         index = F.when(hit, F.lit(i)).otherwise(index)
-    out = out.withColumn("route_index", index)
+    out = bind(out, route_index=index)
     targets = F.lit(None).cast("array<string>")
     for i, rule in enumerate(rules):
         targets = F.when(
@@ -140,7 +140,7 @@ def tenancy(payload: Column) -> Column:
     """Stamped: an object. Refused: opens like an object but is not one. Else Unstamped."""
     body = F.ltrim(without_bom(payload))
     return (
-        F.when(is_object(body), F.lit("Stamped"))
+        F.when(body.startswith("{") & is_json(body), F.lit("Stamped"))
         .when(body.startswith("{"), F.lit("Refused"))
         .otherwise(F.lit("Unstamped"))
     )
@@ -161,7 +161,7 @@ def stamp(
     task writes the same bytes. Unstamped and refused bodies keep their bytes.
     """
     values = (fetched_ms, received_ms, source, source_fetcher, org)
-    out = df.withColumn("tenancy", tenancy(F.col(payload)))
+    out = bind(df, tenancy=tenancy(F.col(payload)))
     out = out.withColumn("_stampable", F.col("tenancy") == "Stamped").withColumn(
         payload,
         F.when(F.col("_stampable"), without_bom(F.col(payload))).otherwise(F.col(payload)),
@@ -206,30 +206,19 @@ def split_body(df: DataFrame, body: str = "payload", pretty: bool = True) -> Dat
     Python, which gets those bodies only; `pretty=False` leaves it out of the plan.
     """
     text = F.col(body)
-    out = df.withColumn(
-        "_items",
-        F.when(
-            F.ltrim(text).startswith("["),
-            F.from_json(text, "array<string>", {"allowSingleQuotes": "false"}),
-        ),
-    ).withColumn("_is_array", is_array(text))
-    out = out.withColumn(
-        "_lines",
-        F.when(
-            F.ltrim(text).startswith("{") & F.rtrim(text).contains("\n"),
-            F.filter(F.transform(F.split(text, "\n"), F.trim), lambda s: F.length(s) > 0),
-        ),
+    items = F.from_json(text, "array<string>", {"allowSingleQuotes": "false"})
+    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda s: F.length(s) > 0)
+    out = bind(
+        df,
+        _items=F.when(is_array(text), items),
+        _lines=F.when(F.ltrim(text).startswith("{") & F.rtrim(text).contains("\n"), lines),
+    )
+    parts = (
+        F.when(F.forall("_items", is_object), F.col("_items"))
+        .when((F.size("_lines") > 1) & F.forall("_lines", is_object), F.col("_lines"))
+        .otherwise(F.array(text))
     )
-    out = out.withColumn(
-        "_parts",
-        F.when(
-            F.col("_is_array") & F.forall("_items", is_object), F.col("_items")
-        )
-        .when(
-            (F.size("_lines") > 1) & F.forall("_lines", is_object), F.col("_lines")
-        )
-        .otherwise(F.array(text)),
-    ).drop("_items", "_is_array")
+    out = bind(out, _parts=parts).drop("_items")
     if pretty:
         rest = F.col("_lines").isNotNull() & (F.size("_parts") == 1) & ~is_object(text)
         out = out.withColumn("_scan", _following_objects(F.when(rest, text))).withColumn(
@@ -266,11 +255,9 @@ __all__ = [
     "RouteRule",
     "add_fields",
     "apart_binary",
-    "document",
     "fan_out_rows",
     "keep",
     "keep_flag",
-    "last_wins",
     "refuse_binary_dumps",
     "route",
     "split_body",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedloom.functions.json import Field, document, with_document
+from feedloom.functions.json import Field, with_document
 from feedloom.operators import accounting, rules
 from feedloom.operators.unwrap import unwrap_nested as unwrap_nested_rows
 from feedloom.plans.catalog.base import EVENTS_FEED, events_feed, query, table
@@ -164,7 +164,7 @@ def add_fields_park(spark, sf_dir):
     added = rules.add_fields(
         feed, {"type": "fixed", "owner": F.concat(F.lit("u"), F.col("user_id"))}
     )
-    parsed = added.withColumn("_doc", document(F.col("payload")))
+    parsed = with_document(added, "payload")
     doc = F.col("_doc")
     first = Field(doc, "type_original").text()
     second = Field(doc, "type_original_2").text()

@@ -116,7 +116,7 @@ def read_dump(
         (F.col("size") <= whole_file_bytes) | (F.col("_decoder") != "ndjson")
     )
     bodies = decode.inflate(whole, "content").withColumnRenamed("error", "_broken")
-    bodies = bodies.withColumn("_body", F.decode("content", "UTF-8")).drop("content")
+    bodies = bodies.withColumn("_body", F.make_valid_utf8(F.col("content").cast("string"))).drop("content")
     keep = ["path", "position", "pos", "payload", "error"]
 
     broken = bodies.filter(F.col("_broken").isNotNull()).select(
