@@ -100,6 +100,17 @@ def document(payload: Column) -> Column:
     )
 
 
+def object_keys(payload: Column) -> Column:
+    """Top-level keys when the text is exactly one JSON object, else NULL."""
+    return let(
+        F.from_json(_guarded(payload), "array<map<string,string>>", _STRICT),
+        lambda parts: F.when(
+            (F.size(parts) == 2) & (F.size(F.get(parts, F.lit(1))) == 0),
+            F.map_keys(F.get(parts, F.lit(0))),
+        ),
+    )
+
+
 def with_document(df: DataFrame, payload: str, out: str = "_doc") -> DataFrame:
     """Parse `payload` once into the working column `out`."""
     return bind(df, **{out: document(F.col(payload))})
@@ -147,6 +158,11 @@ def variant_type(value: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
 
 
+def array_items(value: Column) -> Column:
+    """Elements of a variant array; NULL when it is not an array."""
+    return F.try_variant_get(value, "$", "array<variant>")
+
+
 NUMERIC = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
 
 
@@ -196,14 +212,11 @@ class Field:
 
     def size(self) -> Column:
         """Length of an array, string or object."""
-        kind = variant_type(self.value)
-        return (
-            F.when(kind == "ARRAY", F.size(self.value.cast("array<variant>")))
-            .when(kind == "STRING", F.length(F.try_variant_get(self.value, "$", "string")))
-            .when(
-                kind == "OBJECT",
-                F.size(F.try_variant_get(self.value, "$", "map<string,variant>")),
-            )
+        members = F.try_variant_get(self.value, "$", "map<string,variant>")
+        return F.coalesce(
+            F.array_size(array_items(self.value)),
+            F.when(members.isNotNull(), F.size(members)),
+            F.length(self.text()),
         )
 
     def contains(self, needle: str) -> Column:
@@ -253,20 +266,19 @@ def free_name(keys: Column, key: Column) -> Column:
 
 
 def put_fields(
-    df: DataFrame, payload: str, fields: Mapping[str, Any], object_flag: str | None = None
+    df: DataFrame, payload: str, fields: Mapping[str, Any], keys: Column | None = None
 ) -> DataFrame:
     """Set top-level fields on object rows; what a row already had moves to a free name.
 
     Rows without a collision are spliced as text; only colliding rows are re-rendered.
+    `keys` are the row's keys where the caller has parsed it already; NULL leaves a row as
+    it is.
     """
     names = list(fields)
     wanted = F.array(*[F.lit(n) for n in names])
-    is_obj = F.col(object_flag) if object_flag else is_object(F.col(payload))
-    out = bind(
-        df,
-        _keys=F.when(is_obj, F.json_object_keys(payload)),
-        _members=object_members(fields),
-    )
+    if keys is None:
+        keys = object_keys(F.col(payload))
+    out = bind(df, _keys=keys, _members=object_members(fields))
 
     def parked(doc: Column) -> Column:
         taken = F.array_union(F.map_keys(doc), wanted)

@@ -16,6 +16,7 @@ from feedloom.functions.json import (
     is_json,
     is_object,
     json_value,
+    object_keys,
     object_members,
     object_text,
     put_fields,
@@ -114,16 +115,16 @@ def audit_event(df: DataFrame, payload: str = "payload", key: str = AUDIT_KEY) -
         .when(F.col("_reason").isNull(), F.col("_text"))
         .otherwise(F.col(payload))
     )
-    out = bind(out, **{payload: row}, _failed=F.col("_reason").isNotNull())
-    out = put_fields(
-        out.drop("_doc"), payload, {PARSE_ERROR: F.col("_reason")}, object_flag="_failed"
-    )
-    return out.drop("_inner", "_text", "_reason", "_failed")
+    # Only a row that stays gets the field; its keys are known from the first parse.
+    stays = F.when(F.col("_reason").isNotNull(), F.map_keys("_doc"))
+    out = bind(out, **{payload: row}, _stays=stays)
+    out = put_fields(out, payload, {PARSE_ERROR: F.col("_reason")}, keys=F.col("_stays"))
+    return out.drop("_doc", "_inner", "_text", "_reason", "_stays")
 
 
 def stamp_absent(df: DataFrame, fields: Mapping[str, Any], payload: str = "payload") -> DataFrame:
     """Add the fields an object does not have yet; a NULL value is not set at all."""
-    out = bind(df, _keys=F.when(is_object(F.col(payload)), F.json_object_keys(payload)))
+    out = bind(df, _keys=object_keys(F.col(payload)))
     missing = F.concat_ws(
         ",",
         *[
@@ -185,10 +186,7 @@ def decode_message(
         fact("$.message.attributes", "map<string,string>").alias("attributes"),
         fact("$.message.orderingKey").alias("ordering_key"),
     )
-    out = out.withColumn("_good", F.col("payload").isNotNull())
-    return put_fields(out, "payload", {envelope_key: envelope}, object_flag="_good").drop(
-        "_m", "_bytes", "_data", "_good"
-    )
+    return put_fields(out, "payload", {envelope_key: envelope}).drop("_m", "_bytes", "_data")
 
 
 def event_time(df: DataFrame, field: str, payload: str = "payload") -> DataFrame:

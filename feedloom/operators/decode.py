@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from feedloom.functions.json import (
     _STRICT,
+    array_items,
     at_pointer,
     bind,
     is_json,
@@ -31,8 +32,9 @@ def _trimmed(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
-def _texts(array: Column) -> Column:
-    return F.transform(array.cast("array<variant>"), lambda x: F.to_json(x))
+def _texts(value: Column) -> Column:
+    """JSON text of each element of a variant array; NULL for any other variant."""
+    return F.transform(array_items(value), lambda x: F.to_json(x))
 
 
 def element_texts(body: Column) -> Column:
@@ -41,10 +43,7 @@ def element_texts(body: Column) -> Column:
     Elements are rendered from variants. An array holding an object with repeated keys
     cannot be a variant, so its elements keep their own text instead.
     """
-    typed = let(
-        json_value(body),
-        lambda value: F.when(variant_type(value) == "ARRAY", _texts(value)),
-    )
+    typed = _texts(json_value(body))
     raw = F.when(
         F.ltrim(body).startswith("[") & is_json(body), F.from_json(body, "array<string>", _STRICT)
     )
@@ -92,17 +91,19 @@ def rows_at(
         raise ValueError("when_absent is 'fail' or 'empty'")
     out = bind(df, _value=json_value(F.col(body)))
     out = bind(out, _at=at_pointer(F.col("_value"), pointer))
-    kind = variant_type(F.col("_at"))
+    out = bind(out, _items=_texts(F.col("_at")))
     absent = F.col("_at").isNull()
     problem = F.when(F.col("_value").isNull(), F.lit("body is not JSON")).when(
-        ~absent & ~kind.isin("ARRAY", "VOID"), F.lit("pointer does not lead to an array")
+        F.col("_items").isNull() & ~absent & ~F.is_variant_null("_at"),
+        F.lit("pointer does not lead to an array"),
     )
     if when_absent == "fail":
         problem = problem.when(absent, F.lit("pointer leads nowhere"))
-    items = F.when(kind == "ARRAY", _texts(F.col("_at"))).otherwise(
-        F.array().cast("array<string>")
+    out = (
+        out.withColumn("_problem", problem)
+        .withColumn("_items", F.coalesce("_items", F.array().cast("array<string>")))
+        .drop("_value", "_at")
     )
-    out = bind(out, _items=items, _problem=problem).drop("_value", "_at")
     return _explode_items(out, F.col("_problem"), strict).drop("_problem")
 
 

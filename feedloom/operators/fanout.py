@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.functions.json import as_column, at_pointer, put_fields, scalar_text, variant_type
+from feedloom.functions.json import array_items, as_column, at_pointer, put_fields, scalar_text
 from feedloom.functions.numbering import number_rows
 from feedloom.operators.windows import window_steps
 
@@ -16,9 +16,7 @@ from feedloom.operators.windows import window_steps
 def keys_at(df: DataFrame, body: str, pointer: str, out: str = "key") -> DataFrame:
     """Keys listed in an array at a pointer of a first response."""
     value = at_pointer(F.try_parse_json(body), pointer)
-    listed = F.when(
-        variant_type(value) == "ARRAY", F.transform(value.cast("array<variant>"), scalar_text)
-    )
+    listed = F.transform(array_items(value), scalar_text)
     return df.select("*", F.explode(listed).alias(out))
 
 

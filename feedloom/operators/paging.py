@@ -15,12 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.json import (
+    array_items,
     at_pointer,
     bind,
     let,
     pointer_text,
     scalar_text,
-    variant_type,
 )
 from feedloom.functions.numbering import number_rows, running_sum, span_bucket
 
@@ -50,13 +50,10 @@ def token_text(value: Column) -> Column:
     anything but scalars.
     """
 
-    def joined(items: Column) -> Column:
-        whole = (F.size(items) > 0) & F.forall(items, lambda x: x.isNotNull())
-        return F.when(whole, F.array_join(items, ","))
-
     def text(v: Column) -> Column:
-        listed = let(F.transform(v.cast("array<variant>"), scalar_text), joined)
-        return F.when(variant_type(v) == "ARRAY", listed).otherwise(scalar_text(v))
+        items = F.transform(array_items(v), scalar_text)
+        whole = (F.size(items) > 0) & F.forall(items, lambda x: x.isNotNull())
+        return F.when(items.isNull(), scalar_text(v)).when(whole, F.array_join(items, ","))
 
     return F.nullif(let(value, text), F.lit(""))
 
@@ -97,9 +94,7 @@ class Pager:
 def _row_count(body: Column, pointer: str | None) -> Column:
     return let(
         at_pointer(F.try_parse_json(body), pointer or ""),
-        lambda v: F.when(variant_type(v) == "ARRAY", F.size(v.cast("array<variant>"))).otherwise(
-            F.lit(0)
-        ),
+        lambda v: F.coalesce(F.array_size(array_items(v)), F.lit(0)),
     )
 
 

@@ -19,6 +19,7 @@ from feedloom.functions.json import (
     is_array,
     is_json,
     is_object,
+    object_keys,
     put_fields,
     with_document,
 )
@@ -154,21 +155,27 @@ def stamp(
     fetched_ms: Any,
     received_ms: Any,
     payload: str = "payload",
+    keys: Column | None = None,
 ) -> DataFrame:
     """Add the five metadata fields to object rows and a `tenancy` column to all.
 
     Times are epoch milliseconds given by the caller once per run, so a re-run of a lost
-    task writes the same bytes. Unstamped and refused bodies keep their bytes.
+    task writes the same bytes. Unstamped and refused bodies keep their bytes. `keys` are
+    the top-level keys where the caller has parsed the row already (NULL: not an object).
     """
     values = (fetched_ms, received_ms, source, source_fetcher, org)
-    out = bind(df, tenancy=tenancy(F.col(payload)))
-    out = out.withColumn("_stampable", F.col("tenancy") == "Stamped").withColumn(
-        payload,
-        F.when(F.col("_stampable"), without_bom(F.col(payload))).otherwise(F.col(payload)),
+    body = without_bom(F.col(payload))
+    out = bind(df, _found=object_keys(body) if keys is None else keys)
+    is_object_row = F.col("_found").isNotNull()
+    out = bind(
+        out,
+        tenancy=F.when(is_object_row, F.lit("Stamped"))
+        .when(F.ltrim(body).startswith("{"), F.lit("Refused"))
+        .otherwise(F.lit("Unstamped")),
+        **{payload: F.when(is_object_row, body).otherwise(F.col(payload))},
     )
-    return put_fields(
-        out, payload, dict(zip(STAMP_FIELDS, values)), object_flag="_stampable"
-    ).drop("_stampable")
+    named = dict(zip(STAMP_FIELDS, values))
+    return put_fields(out, payload, named, keys=F.col("_found")).drop("_found")
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

@@ -220,8 +220,9 @@ def halve_until(
     # ends at the window end, whatever its fraction.
     width = F.floor((F.col("_we") - F.col("_ws")) / F.lit(SECOND)).cast("bigint")
     top = F.struct(F.lit(0).cast("bigint").alias("a"), F.greatest(width, F.lit(1)).alias("b"))
+    levels = F.ceil(F.log2(F.greatest(width, F.lit(1)))) + 1
     path = F.aggregate(
-        F.sequence(F.lit(1), F.lit(40)),
+        F.sequence(F.lit(1).cast("bigint"), levels.cast("bigint")),
         F.array(top),
         lambda acc, _: F.when(
             F.element_at(acc, -1)["b"] - F.element_at(acc, -1)["a"] < 2, acc

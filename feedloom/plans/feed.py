@@ -41,8 +41,8 @@ class FeedSpec:
 def land(df: DataFrame, spec: FeedSpec, ts: str, org: str, now_ms: int) -> DataFrame:
     """Rows of an incremental feed as outbound rows, one per destination.
 
-    A filtered row stays with `kept = false` and no stamp, so one pass gives both the rows
-    to send and the counts of what was removed.
+    A filtered row stays with `kept = false`, so one pass gives both the rows to send and
+    the counts of what was removed. Each record is parsed once, for filter, routes and stamp.
     """
     out = df
     if spec.window is not None:
@@ -50,15 +50,18 @@ def land(df: DataFrame, spec: FeedSpec, ts: str, org: str, now_ms: int) -> DataF
     out = out.withColumn("ingested_bytes", F.octet_length("payload").cast("bigint"))
     if spec.add_fields:
         out = rules.add_fields(out, spec.add_fields)
+    out = out.withColumn("payload", rules.without_bom(F.col("payload")))
     out = with_document(out, "payload")
     verdict = (
         rules.keep_flag(out, spec.keep(F.col("_doc"))) if spec.keep is not None else F.lit(True)
     )
     out = out.withColumn("kept", verdict)
-    out = rules.route(out, spec.routes, source=spec.unit, doc="_doc").drop("_doc")
+    out = rules.route(out, spec.routes, source=spec.unit, doc="_doc")
     topic = rules.unit_topic(
         spec.base_topic, spec.unit, spec.shape == "dump", spec.topic_per_dump_unit, suffix=""
     )
     out = out.withColumn("topic", topic)
-    stamped = rules.stamp(out, F.col("source"), spec.store, F.col(org), now_ms, now_ms)
-    return rules.fan_out_rows(stamped, spec.defaults, spec.destination_topics)
+    stamped = rules.stamp(
+        out, F.col("source"), spec.store, F.col(org), now_ms, now_ms, keys=F.map_keys("_doc")
+    )
+    return rules.fan_out_rows(stamped.drop("_doc"), spec.defaults, spec.destination_topics)
