@@ -278,7 +278,7 @@ def put_fields(
     wanted = F.array(*[F.lit(n) for n in names])
     if keys is None:
         keys = object_keys(F.col(payload))
-    out = bind(df, _keys=keys, _members=object_members(fields))
+    out = bind(df, _keys=keys).withColumn("_members", object_members(fields))
 
     def parked(doc: Column) -> Column:
         taken = F.array_union(F.map_keys(doc), wanted)
@@ -298,4 +298,5 @@ def put_fields(
         .when(clash, splice(rebuilt, F.col("_members"), F.lit(False)))
         .otherwise(splice(F.col(payload), F.col("_members"), F.size("_keys") == 0))
     )
-    return bind(out, **{payload: result}).drop("_keys", "_members")
+    # A projection, not a binding: a report that needs no payload does not build it.
+    return out.withColumn(payload, result).drop("_keys", "_members")

@@ -23,15 +23,19 @@ def after_tuple(keys: Sequence[str], after: Sequence[Any]) -> Column:
     return (F.col(keys[0]) >= F.lit(after[0])) & reduce(lambda a, b: a | b, cases)
 
 
-def check_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Raise on a missing key column or a NULL key value: such a row could not be resumed."""
+def check_columns(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise on a key column that is missing or holds containers."""
     absent = [k for k in keys if k not in df.columns]
     if absent:
         raise ValueError(f"key columns not in the result: {absent}")
     for key in keys:
-        kind = df.schema[key].dataType.typeName()
-        if kind in ("array", "map", "struct", "variant"):
+        if df.schema[key].dataType.typeName() in ("array", "map", "struct", "variant"):
             raise ValueError(f"key column {key!r} is a container")
+
+
+def refuse_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Raise on a NULL key value: a tail could not resume behind such a row."""
+    for key in keys:
         if df.schema[key].nullable:
             df = df.withColumn(
                 key,
@@ -53,8 +57,9 @@ def keyset_tail(
 
     Keys must be unique; the resume point is strictly past the last tuple.
     """
+    check_columns(df, keys)
     picked = df if after is None else df.filter(after_tuple(keys, after) | _any_null(keys))
-    return check_keys(picked.orderBy(*keys).limit(limit * max_pages), keys)
+    return refuse_null_keys(picked.orderBy(*keys).limit(limit * max_pages), keys)
 
 
 def _any_null(keys: Sequence[str]) -> Column:

@@ -167,12 +167,13 @@ def stamp(
     body = without_bom(F.col(payload))
     out = bind(df, _found=object_keys(body) if keys is None else keys)
     is_object_row = F.col("_found").isNotNull()
-    out = bind(
-        out,
-        tenancy=F.when(is_object_row, F.lit("Stamped"))
+    status = (
+        F.when(is_object_row, F.lit("Stamped"))
         .when(F.ltrim(body).startswith("{"), F.lit("Refused"))
-        .otherwise(F.lit("Unstamped")),
-        **{payload: F.when(is_object_row, body).otherwise(F.col(payload))},
+        .otherwise(F.lit("Unstamped"))
+    )
+    out = out.withColumns(
+        {"tenancy": status, payload: F.when(is_object_row, body).otherwise(F.col(payload))}
     )
     named = dict(zip(STAMP_FIELDS, values))
     return put_fields(out, payload, named, keys=F.col("_found")).drop("_found")
