@@ -260,9 +260,8 @@ def free_name(keys: Column, key: Column) -> Column:
         F.sequence(F.lit(2), F.size(keys) + 2),
         lambda n: F.concat(first, F.lit("_"), n.cast("string")),
     )
-    return F.filter(
-        F.concat(F.array(first), numbered), lambda name: ~F.array_contains(keys, name)
-    )[0]
+    later = F.filter(numbered, lambda name: ~F.array_contains(keys, name))
+    return F.when(F.array_contains(keys, first), F.get(later, F.lit(0))).otherwise(first)
 
 
 def put_fields(
@@ -281,10 +280,15 @@ def put_fields(
     out = bind(df, _keys=keys).withColumn("_members", object_members(fields))
 
     def parked(doc: Column) -> Column:
-        taken = F.array_union(F.map_keys(doc), wanted)
-        moved = F.transform(
-            F.filter(F.map_entries(doc), lambda e: F.array_contains(wanted, e["key"])),
-            lambda e: F.struct(free_name(taken, e["key"]).alias("key"), e["value"].alias("value")),
+        colliding = F.filter(F.map_entries(doc), lambda e: F.array_contains(wanted, e["key"]))
+        moved = let(
+            F.array_union(F.map_keys(doc), wanted),
+            lambda taken: F.transform(
+                colliding,
+                lambda e: F.struct(
+                    free_name(taken, e["key"]).alias("key"), e["value"].alias("value")
+                ),
+            ),
         )
         kept = F.map_filter(doc, lambda k, v: ~F.array_contains(wanted, k))
         return F.to_json(
