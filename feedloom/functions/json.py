@@ -273,6 +273,8 @@ def put_fields(
     `keys` are the row's keys where the caller has parsed it already; NULL leaves a row as
     it is.
     """
+    if not fields:
+        return df
     names = list(fields)
     wanted = F.array(*[F.lit(n) for n in names])
     if keys is None:

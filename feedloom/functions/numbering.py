@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from feedloom.session import cut_lineage
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def hash_bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets))
 
@@ -50,8 +54,7 @@ def number_rows(
     Group columns must not be NULL.
     """
     if bucket is None:
-        n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        bucket = hash_bucket(order, n)
+        bucket = hash_bucket(order, buckets or shuffle_partitions(df))
     marked = df.withColumn("_bucket", bucket)
     offsets = _before(marked, group, F.count(F.lit(1)), "_offset")
     inside = Window.partitionBy(*group, "_bucket").orderBy(*order)
@@ -121,7 +124,7 @@ def index_in_order(
     One range shuffle. The sorted rows are written to the checkpoint folder first: range
     borders come from sampling and could differ if a lost task were computed again.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or shuffle_partitions(df)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     fixed = cut_lineage(ranged.withColumn("_at", F.monotonically_increasing_id()))
     shift = F.lit(1 << 33)

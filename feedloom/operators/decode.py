@@ -25,6 +25,9 @@ from feedloom.functions.json import (
     variant_type,
 )
 
+# A text value that begins like an object.
+OBJECT_IN_TEXT = r'"(?:\s|\\[nrtbf]|\\u00[012][0-9a-fA-F])*(?:\{|\\u007[bB])'
+
 GZIP_MAGIC = b"\x1f\x8b"
 
 
@@ -40,14 +43,26 @@ def _texts(value: Column) -> Column:
 def element_texts(body: Column) -> Column:
     """JSON text of each element of a top-level array; NULL when the array is incomplete.
 
-    Elements are rendered from variants. An array holding an object with repeated keys
-    cannot be a variant, so its elements keep their own text instead.
+    An array of objects is cut as text. In any other array a text could be taken for the
+    object it looks like, so elements are rendered from variants; an array holding an object
+    with repeated keys cannot be a variant, and its elements keep their own text.
     """
+    plain = ~body.rlike(OBJECT_IN_TEXT)
+    objects = let(
+        F.from_json(F.concat(F.lit("["), body, F.lit(",[]]")), "array<array<string>>", _STRICT),
+        lambda parts: F.when(
+            plain
+            & (F.size(parts) == 2)
+            & (F.size(F.get(parts, F.lit(1))) == 0)
+            & F.forall(F.get(parts, F.lit(0)), lambda e: e.startswith("{")),
+            F.get(parts, F.lit(0)),
+        ),
+    )
     typed = _texts(json_value(body))
     raw = F.when(
         F.ltrim(body).startswith("[") & is_json(body), F.from_json(body, "array<string>", _STRICT)
     )
-    return F.coalesce(typed, raw)
+    return F.coalesce(objects, typed, raw)
 
 
 def decode_ndjson(df: DataFrame, body: str, max_row_bytes: int | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.functions.json import as_column, document, pointer_text
+from feedloom.functions.json import as_column, bind, document, pointer_text
 from feedloom.functions.numbering import number_rows, previous, span_bucket
 
 # Fixed value: rows above this many bytes become stubs (900 KiB).
@@ -90,12 +90,11 @@ def frame_snapshot(
             ).otherwise(F.col(item)),
         )
     if keep is not None:
-        enveloped = F.create_map(F.lit("record"), F.try_parse_json(payload))
-        rows = rows.withColumn("_env", F.when(~F.col("_over"), enveloped))
-        passes = F.col("_over") | document(F.col(payload)).isNull() | F.coalesce(
-            keep(F.col("_env")), F.lit(False)
-        )
-        rows = rows.filter(passes).drop("_env")
+        rows = bind(rows, _doc=F.when(~F.col("_over"), document(F.col(payload))))
+        enveloped = F.create_map(F.lit("record"), F.to_variant_object("_doc"))
+        rows = bind(rows, _env=F.when(F.col("_doc").isNotNull(), enveloped))
+        verdict = F.coalesce(keep(F.col("_env")), F.lit(False))
+        rows = rows.filter(F.col("_env").isNull() | verdict).drop("_doc", "_env")
     numbered = number_rows(rows, order, group, bucket, out="seq")
 
     name = F.concat(F.lit(f"{run}|"), as_column(store))

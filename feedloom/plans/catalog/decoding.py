@@ -34,15 +34,15 @@ def ndjson_rows(spark, sf_dir):
 
 @query(
     "json_array_rows",
-    """WITH parts AS (SELECT doc_id, string_split(text, ' ') AS words FROM documents)
-       SELECT doc_id, CAST(generate_subscripts(words, 1) - 1 AS INT) AS pos,
-              md5(unnest(words)) AS word_md5 FROM parts""",
+    """WITH parts AS (SELECT doc_id, string_split(text, ' ') AS words FROM documents),
+         flat AS (SELECT doc_id, CAST(generate_subscripts(words, 1) - 1 AS INT) AS pos, unnest(words) AS w FROM parts)
+       SELECT doc_id, pos, md5(CAST(json_object('w', w) AS VARCHAR)) AS digest FROM flat""",
 )
 def json_array_rows(spark, sf_dir):
     words = F.transform(F.split("text", " "), lambda w: F.struct(w.alias("w")))
     bodies = table(spark, sf_dir, "documents").select("doc_id", F.to_json(words).alias("body"))
-    rows = with_document(decode.explode_array(bodies, "body"), "payload")
-    return rows.select("doc_id", "pos", F.md5(Field(F.col("_doc"), "w").text()).alias("word_md5"))
+    rows = decode.explode_array(bodies, "body")
+    return rows.select("doc_id", "pos", F.md5("payload").alias("digest"))
 
 
 @query(
