@@ -52,13 +52,25 @@ def _piece(pdf: pd.DataFrame, bounds: tuple[int, int, int]) -> tuple[pd.DataFram
     return pdf, following, int(pdf["_halo"].sum())
 
 
-def _chain(maps: pd.DataFrame, entry: int) -> tuple[int, int, list[tuple[int, int, int]]]:
+Tables = list[tuple[int, dict[int, tuple[int, int]]]]
+
+
+def _tables(maps: pd.DataFrame) -> Tables:
+    """Per piece in order: entry -> (exit, batch starts)."""
+    tables: Tables = []
+    for piece, group in maps.groupby("_piece", sort=True):
+        pairs = zip(group["_exit"].tolist(), group["_starts"].tolist())
+        tables.append((int(piece), dict(zip(group["_entry"].tolist(), pairs))))
+    return tables
+
+
+def _chain(tables: Tables, entry: int) -> tuple[int, int, list[tuple[int, int, int]]]:
     """Follow one entry through consecutive pieces: (exit, batch starts, entry per piece)."""
     starts, visited = 0, []
-    for piece, group in maps.groupby("_piece", sort=True):
-        visited.append((int(piece), entry, starts))
-        row = group[group["_entry"] == entry]
-        entry, starts = int(row["_exit"].iloc[0]), starts + int(row["_starts"].iloc[0])
+    for piece, table in tables:
+        visited.append((piece, entry, starts))
+        entry, more = table[entry]
+        starts += more
     return entry, starts, visited
 
 
@@ -142,8 +154,8 @@ def assign_batches(
     )
 
     def compose(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf[pdf["_piece"] == pdf["_piece"].min()]
-        rows = [(e, *_chain(pdf, int(e))[:2]) for e in first["_entry"]]
+        tables = _tables(pdf)
+        rows = [(entry, *_chain(tables, entry)[:2]) for entry in tables[0][1]]
         out = pd.DataFrame(rows, columns=["_entry", "_exit", "_starts"])
         for i, name in enumerate([*by, "_block"]):
             out[name] = key[i]
@@ -156,7 +168,7 @@ def assign_batches(
     )
 
     def walk(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        _, _, visited = _chain(pdf.rename(columns={"_block": "_piece"}), 0)
+        _, _, visited = _chain(_tables(pdf.rename(columns={"_block": "_piece"})), 0)
         out = pd.DataFrame(visited, columns=["_block", "_block_entry", "_block_starts"])
         for i, name in enumerate(by):
             out[name] = key[i]
@@ -171,7 +183,7 @@ def assign_batches(
 
     def descend(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         entry, before = int(pdf["_block_entry"].iloc[0]), int(pdf["_block_starts"].iloc[0])
-        _, _, visited = _chain(pdf, entry)
+        _, _, visited = _chain(_tables(pdf), entry)
         out = pd.DataFrame(visited, columns=["_piece", "_entry", "_before"])
         out["_before"] += before
         for i, name in enumerate(by):
