@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.json import as_column
+from feedloom.functions.numbering import shuffle_partitions
 
 SECOND = 1_000_000  # microseconds
 
@@ -216,6 +217,8 @@ def halve_until(
         )
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    # Few bytes but much work per row, so adaptive execution must not merge these partitions.
+    seconds = seconds.repartition(shuffle_partitions(events), *by, "_sec")
     # Spans are kept as whole-second offsets [a, b) from the window start; the last span
     # ends at the window end, whatever its fraction.
     width = F.floor((F.col("_we") - F.col("_ws")) / F.lit(SECOND)).cast("bigint")
