@@ -3,7 +3,8 @@
 import pytest
 from oracle import compare, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from feedloom.plans.catalog import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,14 +14,14 @@ def connection():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, connection, name):
-    _, _, problem = compare(spark, connection, name, queries()[name], oracle_sql().get(name), SF)
+    _, _, problem = compare(spark, connection, name, QUERIES[name], ORACLES.get(name), SF)
     assert problem is None, problem
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_gives_rows(spark):
