@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.llm.common import table
 from feedloom.llm.language import fit_network, fold, keep_identified
+from feedloom.llm.simhash import keep_one_of_each_group
 from feedloom.session import prepare
 
 
@@ -20,8 +21,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_identified(docs, net)
 
 
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group: the one with the smallest id."""
+    return keep_one_of_each_group(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", language_id),
+    ("simhash_dedup", simhash_dedup),
 ]
 
 ORACLE_SQL: str | None = None
@@ -29,6 +36,11 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents")
-    for _, stage in STAGES:
+    for _, stage in def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group: the one with the smallest id."""
+    return keep_one_of_each_group(docs)
+
+
+STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.llm.language import language_of_documents
+from feedloom.llm.simhash import simhash_of_documents
 from feedloom.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,7 @@ def _prepared(fn: Query) -> Query:
 QUERIES: dict[str, Query] = {
     name: _prepared(fn)
     for name, fn in {
+        "op4_simhash": simhash_of_documents,
         "op8_language_id": language_of_documents,
     }.items()
 }
