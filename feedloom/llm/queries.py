@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from feedloom.llm.decontaminate import benchmark_in_documents
 from feedloom.llm.language import language_of_documents
 from feedloom.llm.simhash import simhash_of_documents
 from feedloom.session import prepare
@@ -22,6 +23,7 @@ QUERIES: dict[str, Query] = {
     for name, fn in {
         "op4_simhash": simhash_of_documents,
         "op8_language_id": language_of_documents,
+        "op9_decontamination": benchmark_in_documents,
     }.items()
 }
 
