@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from feedloom.llm.common import table
 from feedloom.llm.decontaminate import without_benchmark
 from feedloom.llm.language import fit_network, fold, keep_identified
+from feedloom.llm.mixing import mixed
+from feedloom.llm.secrets import without_secrets
 from feedloom.llm.simhash import keep_one_of_each_group
 from feedloom.session import ensure_checkpoint_dir, prepare
 
@@ -33,10 +35,22 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return without_benchmark(docs, table(spark, sf_dir, "benchmark"))
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; a secret in a text is replaced by its kind."""
+    return without_secrets(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the mix takes, with what it takes of them, in training order."""
+    return mixed(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", language_id),
     ("simhash_dedup", simhash_dedup),
     ("decontaminate", decontaminate),
+    ("secret_scan", secret_scan),
+    ("mixing", mixing),
 ]
 
 ORACLE_SQL: str | None = None

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.llm.decontaminate import benchmark_in_documents
+from feedloom.llm import licenses, mixing
 from feedloom.llm.language import language_of_documents
+from feedloom.llm.secrets import secrets_of_documents
 from feedloom.llm.simhash import simhash_of_documents
 from feedloom.session import prepare
 
@@ -21,10 +23,16 @@ def _prepared(fn: Query) -> Query:
 QUERIES: dict[str, Query] = {
     name: _prepared(fn)
     for name, fn in {
+        "op1_license_scan": licenses.licenses_of_documents,
+        "op2_mixing": mixing.mixed_documents,
+        "op3_secret_scan": secrets_of_documents,
         "op4_simhash": simhash_of_documents,
         "op8_language_id": language_of_documents,
         "op9_decontamination": benchmark_in_documents,
     }.items()
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_license_scan": licenses.oracle(),
+    "op2_mixing": mixing.oracle(),
+}
