@@ -285,10 +285,13 @@ def simhash_groups(
     linked = groups.join(values, groups["node"] == values["bits"]).select("node", "root", "smallest")
     least = linked.groupBy("root").agg(F.min("smallest").alias("reached"))
     reached = linked.join(least, "root").select(F.col("node").alias("bits"), "root", "reached")
-    ids = values.join(reached, "bits", "left").select(
-        "bits",
-        F.coalesce("root", "bits").alias("component_bits"),
-        F.coalesce("reached", "smallest").alias("component_id"),
+    # written out, so that the join below has a plain shuffle on both sides and splits hot fingerprints
+    ids = cut_lineage(
+        values.join(reached, "bits", "left").select(
+            "bits",
+            F.coalesce("root", "bits").alias("component_bits"),
+            F.coalesce("reached", "smallest").alias("component_id"),
+        )
     )
     return marked.join(ids, "bits")
 
