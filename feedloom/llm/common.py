@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 # A task hands its texts to Python in pieces of about this many bytes, whatever the batch holds.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 # Rows of an Arrow batch; with the longest texts the batch itself has to fit the Python worker.
 BATCH_ROWS = 512
 

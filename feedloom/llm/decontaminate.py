@@ -33,12 +33,13 @@ from pyspark.sql.pandas.types import to_arrow_type
 from feedloom.llm.common import map_texts, pieces, table
 
 GRAM = 10
-WINDOW = 64
+WINDOW = 72
 EDITS = 5
 # Bound of what a task gets of the benchmark at once, in characters of the normal form.
 BLOCK_CHARS = 2_000_000
 PIECE_CHARS = 4096
 _BAND = EDITS + 1
+_NOTHING = np.uint32(0x110000)
 # An odd multiplier and its powers, modulo 2**64.
 _P1, _P2, _P4 = (np.uint64(pow(0x9E3779B97F4A7C15, n, 1 << 64)) for n in (1, 2, 4))
 
@@ -137,25 +138,31 @@ def make_block(items: list[tuple[Any, str | None]]) -> Block:
     )
 
 
-def window_edits(window: np.ndarray, text: np.ndarray, shift: int, low: int, high: int) -> np.ndarray:
-    """Fewest edits of each window (rows) in `text`, on diagonals low..high; window i starts at shift + i.
+def window_edits(window: np.ndarray, text: np.ndarray, starts: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Fewest edits of each window (rows) in `text`, on diagonals low..high of its start in the item.
 
-    Row r and diagonal d stand for the window's first r characters and the text's up to shift + i +
-    r + d. Any diagonal may begin and end the passage.
+    After r steps, place d holds the cost of the window's first r characters against the text up to
+    start + r + d. Any diagonal may begin and end the passage.
     """
     count, size = window.shape
     wide = high - low + 1
     step = np.arange(wide, dtype=np.int16)
     cost = np.zeros((count, wide), np.int16)
-    places = shift + low + np.arange(count)[:, None] + step
+    # beyond the text's ends stand codes that no character has
+    first = int(starts.min()) + low
+    body = text[max(first, 0) : max(int(starts.max()) + high + size, 0)]
+    ahead = np.full(max(-first, 0), _NOTHING, np.uint32)
+    after = np.full(count + wide + size + int(np.ptp(starts)), _NOTHING, np.uint32)
+    codes = np.concatenate([ahead, body, after])
+    seen = np.lib.stride_tricks.sliding_window_view(codes, wide)
     for r in range(size):
-        at = places + r
-        inside = (at >= 0) & (at < len(text))
-        same = inside & (text[np.clip(at, 0, len(text) - 1)] == window[:, r : r + 1])
-        new = cost + ~same
-        new[~inside] = 10_000
+        new = cost + (seen[starts - int(starts.min()) + r] != window[:, r : r + 1])
         np.minimum(new[:, :-1], cost[:, 1:] + 1, out=new[:, :-1])
-        cost = np.minimum.accumulate(new - step, axis=1) + step
+        new -= step
+        cost = np.minimum.accumulate(new, axis=1, out=new)
+        cost += step
+        if int(cost.min()) > EDITS:
+            break
     return cost.min(axis=1)
 
 
@@ -258,13 +265,14 @@ def _verify(block: Block, own: int, text: np.ndarray, j: np.ndarray, diag: np.nd
     run = _exact_run(item, text, low, high, size)
     if run is not None:
         return run[1], run[1] + run[2], run[0], run[0] + run[2], 0, shared
-    first = max(0, int(j.min()) + GRAM - size)
-    final = min(len(item) - size, int(j.max()))
-    if final < first:
+    rows = np.arange(max(0, int(j.min()) + GRAM - size), min(len(item) - size, int(j.max())) + 1)
+    grams = np.unique(j)
+    shares = np.searchsorted(grams, rows + size - GRAM, side="right") - np.searchsorted(grams, rows)
+    rows = rows[shares >= block.least[own]]
+    if not len(rows):
         return None
-    rows = np.arange(first, final + 1)
     windows = item[rows[:, None] + np.arange(size)]
-    edits = window_edits(windows, text, first, low - most, high + most)
+    edits = window_edits(windows, text, rows, low - most, high + most)
     fine = rows[edits <= most]
     if not len(fine):
         return None
