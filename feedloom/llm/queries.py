@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from feedloom.llm.decontaminate import benchmark_in_documents
 from feedloom.llm import licenses, mixing
 from feedloom.llm.language import language_of_documents
+from feedloom.llm.quality import quality_of_documents
 from feedloom.llm.secrets import secrets_of_documents
 from feedloom.llm.simhash import simhash_of_documents
+from feedloom.llm.toxicity import toxicity_of_documents
 from feedloom.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,8 +29,10 @@ QUERIES: dict[str, Query] = {
         "op2_mixing": mixing.mixed_documents,
         "op3_secret_scan": secrets_of_documents,
         "op4_simhash": simhash_of_documents,
+        "op7_quality": quality_of_documents,
         "op8_language_id": language_of_documents,
         "op9_decontamination": benchmark_in_documents,
+        "op10_toxicity": toxicity_of_documents,
     }.items()
 }
 

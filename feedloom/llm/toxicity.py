@@ -1,15 +1,17 @@
 """Toxicity of texts by a convolutional classifier over hashed word embeddings.
 
 A text's words (runs of ASCII letters and digits and of other characters, A-Z in lower case) get
-embeddings by HASHES independent hashes each, so two words rarely share all their rows. Filters of several
+embeddings as sums of HASHES hashed rows: two of the whole word and one of each of its first four to
+seven bytes, so inflected forms share a part and two words rarely share all. Filters of several
 widths run over the embedded words, the largest response of each filter over the whole text is taken,
 and a logistic unit weighs them. It is written in numpy and trained on the driver on a bounded sample
 of labelled rows; the tasks score whole texts with it.
 
 Thresholds differ by language. The language is the model's own guess from the words (naive Bayes over
-the same hashes); no column but the text is an input. All labelled rows of the training folds give
+the same hashes); no column but the text is an input. Labelled rows give
 counts of raw scores by language and label, from which each language's threshold is taken; the raw
-score is then stretched so that every language's threshold comes to CUT.
+score is then stretched so that every language's threshold comes to CUT. The fit takes its sample from
+four fifths of the labelled ids; the thresholds come from every labelled row of the others.
 
 Nulls: a null or empty text has no words and is scored like any other, from the bias alone. Null labels
 and labels of unknown ids do not count; an id labelled both ways is toxic. Without labels of both kinds
@@ -30,14 +32,20 @@ from feedloom.llm.common import bounded_sample, fold, map_texts, sampled_rows, t
 from feedloom.session import cut_lineage
 
 ROWS = 1 << 15
-HASHES = 3
+# Bytes of a word that each of its rows is hashed from; 0: all.
+PREFIXES = (0, 0, 4, 5, 6, 7)
+HASHES = len(PREFIXES)
+# Part of the words of a training batch that show their beginnings only, as an unknown form would.
+UNKNOWN = 0.5
+# A row that fewer documents of the sample have stays zero: it says nothing yet.
+LEAST_SEEN = 3
 WIDTH = 8
 FILTERS = 8
 SPANS = (1, 2, 3)
 # Bound of the fit: documents of each label, and words of each (evenly spread pieces of long texts).
 SAMPLE_DOCS = 3000
 SAMPLE_WORDS = 600
-STEPS = 500
+STEPS = 300
 BATCH = 64
 CUT = 0.7
 GRID = 1000
@@ -48,7 +56,7 @@ _INSIDE = np.zeros(256, bool)
 _INSIDE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 # An odd multiplier, its inverse and mixers, modulo 2**64.
 _STEP = 0x5851F42D4C957F2D
-_MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+_MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
 def _powers(base: int, count: int) -> np.ndarray:
@@ -57,38 +65,32 @@ def _powers(base: int, count: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of every word of all texts, and the places where each text's words begin (and end).
+def word_rows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(words, HASHES) table rows of every word of all texts, and where each text's words begin (and end).
 
     The polynomial hash of a word is a difference of prefix sums, moved to the word's start by the
-    inverse power, so all words are hashed at once.
+    inverse power, so all words are hashed at once. Each hash has ROWS rows of the table for itself.
     """
     joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    inside = _INSIDE[joined]
-    edge = np.diff(inside.astype(np.int8), prepend=0)
+    edge = np.diff(_INSIDE[joined].astype(np.int8), prepend=0)
     begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     sums = np.zeros(len(joined) + 1, np.uint64)
     terms = (_LOWER[joined].astype(np.uint64) + np.uint64(1)) * _powers(_STEP, len(joined))
     np.cumsum(terms, out=sums[1:])
-    inverse = _powers(pow(_STEP, -1, 1 << 64), len(joined))
-    hashed = (sums[end] - sums[begin]) * inverse[begin]
-    hashed ^= hashed >> np.uint64(32)
+    inverse = _powers(pow(_STEP, -1, 1 << 64), len(joined))[begin]
+    rows = np.empty((len(begin), HASHES), np.int32)
+    for i, most in enumerate(PREFIXES):
+        until = np.minimum(end, begin + most) if most else end
+        hashed = (sums[until] - sums[begin]) * inverse
+        hashed ^= hashed >> np.uint64(32)
+        rows[:, i] = ((hashed * _MIX[i]) >> np.uint64(64 - 15)).astype(np.int32) + i * ROWS
     lengths = np.array([len(t) + 1 for t in texts])
-    return hashed, np.searchsorted(begin, np.append(0, np.cumsum(lengths)))
-
-
-def table_rows(hashed: np.ndarray) -> np.ndarray:
-    """(words, HASHES) rows of the embedding table: a part of ROWS rows for each hash."""
-    out = np.empty((len(hashed), HASHES), np.int32)
-    for i in range(HASHES):
-        mixed = hashed * _MIX[i % len(_MIX)]
-        out[:, i] = (mixed >> np.uint64(64 - 15)).astype(np.int32) + i * ROWS
-    return out
+    return rows, np.searchsorted(begin, np.append(0, np.cumsum(lengths)))
 
 
 @dataclass
 class Classifier:
-    table: np.ndarray  # (HASHES * ROWS, WIDTH)
+    table: np.ndarray  # (HASHES * ROWS + 1, WIDTH)
     filters: list[np.ndarray]  # for each span (span, WIDTH, FILTERS)
     shift: list[np.ndarray]  # (FILTERS,)
     weight: np.ndarray  # (len(SPANS) * FILTERS,)
@@ -130,9 +132,8 @@ def largest(found: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return out
 
 
-def raw_scores(net: Classifier, hashed: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def raw_scores(net: Classifier, rows: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Probability of each text, and the number of the language its words are likeliest in."""
-    rows = table_rows(hashed)
     found = responses(net, embedded(net, rows), edges)
     pooled = np.concatenate([largest(f, edges) for f in found], axis=1)
     logit = np.clip(pooled.astype(float) @ net.weight.astype(float) + float(net.bias[0]), -30, 30)
@@ -149,7 +150,7 @@ def _words_of(rows: list[np.ndarray], pick: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def train_classifier(
-    hashes: list[np.ndarray], toxic: list[int], speech: list[str | None], steps: int = STEPS, seed: int = 5
+    rows: list[np.ndarray], toxic: list[int], speech: list[str | None], steps: int = STEPS, seed: int = 5
 ) -> Classifier:
     """Adam on the cross entropy of batches with as many toxic texts as others.
 
@@ -158,18 +159,17 @@ def train_classifier(
     """
     rng = np.random.default_rng(seed)
     normal = lambda *s: rng.normal(size=s).astype(np.float32)
-    rows = [table_rows(h) for h in hashes]
     truth = np.array(toxic)
     languages = sorted({s for s in speech if s is not None}) or ["any"]
     spoken = np.full((ROWS, len(languages)), 0.1)
-    counts = np.zeros((2, HASHES * ROWS))
+    counts = np.zeros((2, HASHES * ROWS + 1))
     for r, y, s in zip(rows, truth, speech, strict=True):
         counts[int(y), np.unique(r)] += 1
         if s is not None:
             np.add.at(spoken[:, languages.index(s)], r[:, 0], 1)
     odds = [np.log((counts[y] + 0.5) / ((truth == y).sum() + 1)) for y in (0, 1)]
     net = Classifier(
-        normal(HASHES * ROWS, WIDTH) * 0.05,
+        normal(HASHES * ROWS + 1, WIDTH) * 0.05,  # the last row, of an unknown form, stays zero
         [normal(span, WIDTH, FILTERS) * 0.3 for span in SPANS],
         [np.zeros(FILTERS, np.float32) for _ in SPANS],
         np.abs(normal(len(SPANS) * FILTERS)) * 0.2,
@@ -178,6 +178,8 @@ def train_classifier(
         np.log(spoken / spoken.sum(axis=0)).astype(np.float32),
     )
     net.table[:, 0] += np.clip(odds[1] - odds[0], -2, 4) / HASHES
+    unseen = counts.sum(axis=0) < LEAST_SEEN
+    net.table[unseen] = 0
     for kernel in net.filters:
         kernel[0, 0, : FILTERS // 2] = np.abs(kernel[0, 0, : FILTERS // 2]) + 0.2
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in net.weights()]
@@ -185,7 +187,9 @@ def train_classifier(
     for step in range(1, steps + 1):
         pick = np.concatenate([rng.choice(g, BATCH // 2) for g in groups])
         words, edges = _words_of(rows, pick)
+        words[np.ix_(rng.random(len(words)) < UNKNOWN, [i for i, n in enumerate(PREFIXES) if not n])] = HASHES * ROWS
         grads = _gradients(net, words, edges, truth[pick])
+        grads[0][unseen] = 0
         pace = 0.01 * min(1.0, 2 * (1 - step / (steps + 1)))
         for w, g, (m, v) in zip(net.weights(), grads, moments, strict=True):
             m += 0.1 * (g - m)
@@ -241,13 +245,13 @@ def fit_classifier(
 ) -> Classifier | None:
     """Learn from at most `sample_docs` documents of each label; None if a label has none.
 
-    `known` has labelled and toxic. Tasks hash the words, so the driver gets numbers of a bounded count.
+    `known` has labelled and toxic. Tasks hash the words, so the driver gets a bounded count of numbers.
     """
 
     def words(texts: list[str | None]) -> dict[str, Any]:
-        hashed, edges = word_hashes([(t or "").encode() for t in texts])
-        parts = [hashed[a:b] for a, b in zip(edges, edges[1:], strict=False)]
-        return {"words": [p[_spread(len(p), SAMPLE_WORDS)].view(np.int64) for p in parts]}
+        rows, edges = word_rows([(t or "").encode("utf-8", "surrogatepass") for t in texts])
+        parts = [rows[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+        return {"words": [p[_spread(len(p), SAMPLE_WORDS)].reshape(-1) for p in parts]}
 
     sides = [bounded_sample(known.where(F.col("toxic") == y), ["labelled"], sample_docs, 10) for y in (0, 1)]
     ids = sides[0].union(sides[1])
@@ -255,20 +259,21 @@ def fit_classifier(
     chosen = docs.join(F.broadcast(ids), docs[key] == ids["labelled"]).select(
         "labelled", "toxic", speech.alias("speech"), F.col(text).alias("text")
     )
-    frame = map_texts(chosen, words, "words array<bigint>", ["labelled", "toxic", "speech"])
+    frame = map_texts(chosen, words, "words array<int>", ["labelled", "toxic", "speech"])
     rows = sampled_rows(frame, ids, ["toxic", "speech", "words"], "labelled")
     toxic = [r["toxic"] for r in rows]
     if len(set(toxic)) < 2:
         return None
-    return train_classifier([np.array(r["words"], np.int64).view(np.uint64) for r in rows], toxic, [r["speech"] for r in rows])
+    words_of = [np.array(r["words"], np.int32).reshape(-1, HASHES) for r in rows]
+    return train_classifier(words_of, toxic, [r["speech"] for r in rows])
 
 
 def with_raw_scores(docs: DataFrame, net: Classifier, keep: list[str], text: str = "text") -> DataFrame:
     """`raw` (on the grid's scale, 0 to 1) and `speech`, the language that the words speak for."""
 
     def compute(texts: list[str | None]) -> dict[str, Any]:
-        hashed, edges = word_hashes([(t or "").encode("utf-8", "surrogatepass") for t in texts])
-        raw, speech = raw_scores(net, hashed, edges)
+        rows, edges = word_rows([(t or "").encode("utf-8", "surrogatepass") for t in texts])
+        raw, speech = raw_scores(net, rows, edges)
         return {"raw": np.round(raw, 6), "speech": [net.languages[s] for s in speech]}
 
     return map_texts(docs, compute, "raw double, speech string", keep, text)
@@ -292,7 +297,7 @@ def best_threshold(rows: list[tuple[int, int, int]]) -> float | None:
 
 
 def language_thresholds(scored: DataFrame, known: DataFrame, key: str = "doc_id") -> tuple[dict[str, float], float]:
-    """A threshold for each language with labels of both kinds, and one over all, from all labelled rows."""
+    """A threshold for each language with labels of both kinds, and one over all, from all rows of `known`."""
     judged = scored.join(known, scored[key] == known["labelled"])
     counts = judged.groupBy("speech", F.round(F.col("raw") * GRID).cast("int").alias("bin")).agg(
         F.sum("toxic").alias("hit"), F.sum(1 - F.col("toxic")).alias("other")
@@ -320,11 +325,13 @@ def score_toxicity(
     """Score and prediction of every row of `docs`; only labelled rows where `learn_from` holds teach."""
     kept = [key, *(keep or [])]
     known = cut_lineage(label_rows(labels, key=key).where(F.lit(True) if learn_from is None else learn_from))
-    net = fit_classifier(docs, known, key=key, text=text)
+    fifth = F.pmod(F.xxhash64(F.lit(10), F.col("labelled")), F.lit(5)) == 0
+    net = fit_classifier(docs, known.where(~fifth), key=key, text=text)
     if net is None:
-        return docs.select(*kept, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        blank = {"score": F.lit(0.0), "predicted": F.lit(0), "raw": F.lit(0.0), "speech": F.lit(None).cast("string")}
+        return docs.select(*kept, *[v.alias(n) for n, v in blank.items()])
     scored = cut_lineage(with_raw_scores(docs, net, kept, text))
-    cuts, other = language_thresholds(scored, known, key)
+    cuts, other = language_thresholds(scored, known.where(fifth), key)
     cut = F.lit(other)
     for speech, value in cuts.items():
         cut = F.when(F.col("speech") == speech, F.lit(value)).otherwise(cut)
