@@ -82,9 +82,15 @@ def map_texts(
 def bounded_sample(df: DataFrame, keys: Sequence[str], most: int, seed: int) -> DataFrame:
     """At most `most` rows, the same on every run: those with the smallest hash of the keys.
 
-    Only for fitting models. Reads the key columns of all rows; the limit is a top-k by task.
+    Only for fitting models. All rows are counted and hashed; a hash bound leaves some more than `most`
+    of them before the top-k, so that tasks do not send `most` rows each.
     """
-    return df.orderBy(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), *keys).limit(most)
+    hashed = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
+    rows = df.count()
+    if rows > 2 * most + 1000:
+        part = (1.2 * most + 1000) / rows
+        df = df.where(hashed <= F.lit(-(1 << 63) + int(part * (1 << 64))))
+    return df.orderBy(hashed, *keys).limit(most)
 
 
 def sampled_rows(

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.llm.decontaminate import benchmark_in_documents
-from feedloom.llm import licenses, mixing
+from feedloom.llm import licenses, mixing, urls
 from feedloom.llm.language import language_of_documents
 from feedloom.llm.quality import quality_of_documents
 from feedloom.llm.secrets import secrets_of_documents
 from feedloom.llm.simhash import simhash_of_documents
+from feedloom.llm.tokens import token_totals_of_documents
 from feedloom.llm.toxicity import toxicity_of_documents
 from feedloom.session import prepare
 
@@ -29,6 +30,8 @@ QUERIES: dict[str, Query] = {
         "op2_mixing": mixing.mixed_documents,
         "op3_secret_scan": secrets_of_documents,
         "op4_simhash": simhash_of_documents,
+        "op5_url_filter": urls.urls_of_pages,
+        "op6_token_counts": token_totals_of_documents,
         "op7_quality": quality_of_documents,
         "op8_language_id": language_of_documents,
         "op9_decontamination": benchmark_in_documents,
@@ -39,4 +42,5 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.oracle(),
     "op2_mixing": mixing.oracle(),
+    "op5_url_filter": urls.ORACLE,
 }
