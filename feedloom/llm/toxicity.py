@@ -43,8 +43,8 @@ WIDTH = 8
 FILTERS = 8
 SPANS = (1, 2, 3)
 # Bound of the fit: documents of each label, and words of each (evenly spread pieces of long texts).
-SAMPLE_DOCS = 3000
-SAMPLE_WORDS = 600
+SAMPLE_DOCS = 2500
+SAMPLE_WORDS = 400
 STEPS = 300
 BATCH = 64
 CUT = 0.7
@@ -65,6 +65,12 @@ def _powers(base: int, count: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of every word of bytes that end with none."""
+    edge = np.diff(_INSIDE[raw].astype(np.int8), prepend=0)
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
 def word_rows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(words, HASHES) table rows of every word of all texts, and where each text's words begin (and end).
 
@@ -72,8 +78,7 @@ def word_rows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     inverse power, so all words are hashed at once. Each hash has ROWS rows of the table for itself.
     """
     joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    edge = np.diff(_INSIDE[joined].astype(np.int8), prepend=0)
-    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    begin, end = word_bounds(joined)
     sums = np.zeros(len(joined) + 1, np.uint64)
     terms = (_LOWER[joined].astype(np.uint64) + np.uint64(1)) * _powers(_STEP, len(joined))
     np.cumsum(terms, out=sums[1:])
@@ -226,12 +231,15 @@ def _gradients(net: Classifier, rows: np.ndarray, edges: np.ndarray, truth: np.n
     return [d_table, *d_filters, *d_shift, d_weight.astype(np.float32), np.array([error.sum()], np.float32)]
 
 
-def _spread(count: int, most: int) -> np.ndarray:
-    """At most `most` of `count` places: four stretches evenly spread, or all."""
-    if count <= most:
-        return np.arange(count)
+def spread_words(text: str | None, most: int = SAMPLE_WORDS) -> bytes:
+    """All words of a short text; of a longer one four evenly spread stretches, `most` words in all."""
+    raw = (text or "").encode("utf-8", "surrogatepass") + b"\n"
+    begin, end = word_bounds(np.frombuffer(raw, np.uint8))
+    if len(begin) <= most:
+        return raw
     part = most // 4
-    return np.concatenate([np.arange(s, s + part) for s in np.linspace(0, count - part, 4).astype(int)])
+    at = np.linspace(0, len(begin) - part, 4).astype(int)
+    return b"\n".join(raw[begin[a] : end[a + part - 1]] for a in at)
 
 
 def label_rows(labels: DataFrame, label: str = "toxic", key: str = "doc_id") -> DataFrame:
@@ -245,13 +253,11 @@ def fit_classifier(
 ) -> Classifier | None:
     """Learn from at most `sample_docs` documents of each label; None if a label has none.
 
-    `known` has labelled and toxic. Tasks hash the words, so the driver gets a bounded count of numbers.
+    `known` has labelled and toxic. Tasks cut long texts down, so the driver gets a bounded size.
     """
 
     def words(texts: list[str | None]) -> dict[str, Any]:
-        rows, edges = word_rows([(t or "").encode("utf-8", "surrogatepass") for t in texts])
-        parts = [rows[a:b] for a, b in zip(edges, edges[1:], strict=False)]
-        return {"words": [p[_spread(len(p), SAMPLE_WORDS)].reshape(-1) for p in parts]}
+        return {"words": [spread_words(t) for t in texts]}
 
     sides = [bounded_sample(known.where(F.col("toxic") == y), ["labelled"], sample_docs, 10) for y in (0, 1)]
     ids = sides[0].union(sides[1])
@@ -259,12 +265,13 @@ def fit_classifier(
     chosen = docs.join(F.broadcast(ids), docs[key] == ids["labelled"]).select(
         "labelled", "toxic", speech.alias("speech"), F.col(text).alias("text")
     )
-    frame = map_texts(chosen, words, "words array<int>", ["labelled", "toxic", "speech"])
+    frame = map_texts(chosen, words, "words binary", ["labelled", "toxic", "speech"])
     rows = sampled_rows(frame, ids, ["toxic", "speech", "words"], "labelled")
     toxic = [r["toxic"] for r in rows]
     if len(set(toxic)) < 2:
         return None
-    words_of = [np.array(r["words"], np.int32).reshape(-1, HASHES) for r in rows]
+    every, edges = word_rows([bytes(r["words"]) for r in rows])
+    words_of = [every[a:b] for a, b in zip(edges, edges[1:], strict=False)]
     return train_classifier(words_of, toxic, [r["speech"] for r in rows])
 
 
