@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import table
@@ -107,13 +107,28 @@ def templates(
     return [Template(i, label, tuple(t.split()), k, p) for i, (t, label, k, p) in enumerate(made, 1)]
 
 
+def _constant_rows(spark: SparkSession, rows: list[Column]) -> DataFrame:
+    """The given structs as a table."""
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 def _gram_rows(spark: SparkSession, known: list[Template]) -> DataFrame:
     """(template, place, gram_words, gram): the grams of all templates, and one header gram.
 
     Every document has the header gram once, so that one without a match keeps a row after the join.
     """
-    rows = [(t.number, i, list(t.words[i : i + t.gram])) for t in known for i in range(t.grams)]
-    frame = spark.createDataFrame([(0, 0, []), *rows], "template int, place int, gram_words array<string>")
+    rows = [(t.number, i, t.words[i : i + t.gram]) for t in known for i in range(t.grams)]
+    frame = _constant_rows(
+        spark,
+        [
+            F.struct(
+                F.lit(n).alias("template"),
+                F.lit(i).alias("place"),
+                F.array(*[F.lit(w) for w in words]).cast("array<string>").alias("gram_words"),
+            )
+            for n, i, words in [(0, 0, ()), *rows]
+        ],
+    )
     words = F.col("gram_words")
     hashed = F.when(F.size(words) == 0, F.lit(0).cast("long"))
     for k in {t.gram for t in known}:
@@ -187,9 +202,18 @@ def scan_licenses(
     """
     known = templates(phrases, texts)
     votes = license_votes(docs, known, key, text)
-    facts = docs.sparkSession.createDataFrame(
-        [(t.number, t.label, len(t.words), t.gram, t.grams, t.phrase) for t in known],
-        "template int, label string, length int, gram_size int, all_grams int, phrase boolean",
+    facts = _constant_rows(
+        docs.sparkSession,
+        [
+            F.struct(
+                F.lit(t.number).alias("template"),
+                F.lit(t.label).alias("label"),
+                F.lit(t.gram).alias("gram_size"),
+                F.lit(t.grams).alias("all_grams"),
+                F.lit(t.phrase).alias("phrase"),
+            )
+            for t in known
+        ],
     )
     near = Window.partitionBy("row", "template").orderBy("diagonal")
     told = votes.join(F.broadcast(facts), "template", "left")
@@ -197,7 +221,7 @@ def scan_licenses(
     # phrases stand on one diagonal; only diagonals of texts are merged
     step = F.when(apart | F.coalesce("phrase", F.lit(True)), 1).otherwise(0)
     grouped = told.withColumn("span", F.sum(step).over(near))
-    spans = grouped.groupBy("row", "key", "n_words", "template", "span", "label", "phrase", "length", "gram_size", "all_grams").agg(
+    spans = grouped.groupBy("row", "key", "n_words", "template", "span", "label", "phrase", "gram_size", "all_grams").agg(
         F.sum("votes").alias("votes"),
         F.min(F.col("diagonal") + F.col("first")).alias("start"),
         F.max(F.col("diagonal") + F.col("last") + F.col("gram_size")).alias("end"),
