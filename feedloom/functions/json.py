@@ -167,14 +167,19 @@ NUMERIC = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
 
 
 def scalar_text(value: Column) -> Column:
-    """String as is, number or boolean as its JSON text, NULL for the rest."""
-    return let(
-        value,
-        lambda v: F.when(
-            variant_type(v).isin("STRING", "BOOLEAN", *NUMERIC),
-            F.try_variant_get(v, "$", "string"),
-        ),
-    )
+    """String as is, number or boolean as its JSON text, NULL for the rest.
+
+    A number with a fraction of zeros keeps one of them: a variant has it as a decimal without
+    places, where a whole number within 18 digits is a BIGINT.
+    """
+
+    def text(v: Column) -> Column:
+        plain = F.try_variant_get(v, "$", "string")
+        return F.when(
+            F.schema_of_variant(v).rlike(r"^DECIMAL\((?:\d|1[0-8]),0\)$"), F.concat(plain, F.lit(".0"))
+        ).when(variant_type(v).isin("STRING", "BOOLEAN", *NUMERIC), plain)
+
+    return let(value, text)
 
 
 def pointer_text(payload: Column, pointer: str) -> Column:

@@ -29,15 +29,26 @@ def span_bucket(position: str | Column, span: int) -> Column:
     return F.floor(column / F.lit(span)).cast("bigint")
 
 
+def _marked(df: DataFrame, group: Sequence[str], bucket: Column) -> DataFrame:
+    """Add `_part`, group and bucket as one value.
+
+    Joins drop NULL keys, but a struct that holds NULLs is none: its rows meet like any other,
+    and the windows that follow reuse the join's shuffle.
+    """
+    return df.withColumn("_part", F.struct(*[F.col(g) for g in group], bucket.alias("_bucket")))
+
+
+def _parted(group: Sequence[str]) -> list[Column]:
+    return [F.col(f"_part.`{g}`") for g in group]
+
+
 def _before(df: DataFrame, group: Sequence[str], amount: Column, out: str) -> DataFrame:
     """Total of `amount` in the earlier buckets of each group; one row per (group, bucket)."""
-    totals = df.groupBy(*group, "_bucket").agg(amount.alias("_amount"))
-    earlier = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(
+    totals = df.groupBy("_part").agg(amount.alias("_amount"))
+    earlier = Window.partitionBy(*_parted(group)).orderBy("_part._bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    return totals.select(
-        *group, "_bucket", F.coalesce(F.sum("_amount").over(earlier), F.lit(0)).alias(out)
-    )
+    return totals.select("_part", F.coalesce(F.sum("_amount").over(earlier), F.lit(0)).alias(out))
 
 
 def number_rows(
@@ -51,17 +62,17 @@ def number_rows(
     """Add `out` = 0..n-1 per group. `order` must be unique inside a group.
 
     Without `bucket` the rows are spread by hash (an arbitrary but repeatable order).
-    Group columns must not be NULL.
+    NULL group values make a group, and rows with a NULL bucket one bucket, the first.
     """
     if bucket is None:
         bucket = hash_bucket(order, buckets or shuffle_partitions(df))
-    marked = df.withColumn("_bucket", bucket)
+    marked = _marked(df, group, bucket)
     offsets = _before(marked, group, F.count(F.lit(1)), "_offset")
-    inside = Window.partitionBy(*group, "_bucket").orderBy(*order)
+    inside = Window.partitionBy("_part").orderBy(*order)
     return (
-        marked.join(offsets, [*group, "_bucket"])
+        marked.join(offsets, "_part")
         .withColumn(out, F.row_number().over(inside) - 1 + F.col("_offset"))
-        .drop("_bucket", "_offset")
+        .drop("_part", "_offset")
     )
 
 
@@ -77,17 +88,13 @@ def running_sum(
 
     `bucket` must grow with `order`.
     """
-    marked = df.withColumn("_bucket", bucket)
+    marked = _marked(df, group, bucket)
     offsets = _before(marked, group, F.sum(amount), "_offset")
-    earlier = (
-        Window.partitionBy(*group, "_bucket")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    earlier = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        marked.join(offsets, [*group, "_bucket"])
+        marked.join(offsets, "_part")
         .withColumn(out, F.coalesce(F.sum(amount).over(earlier), F.lit(0)) + F.col("_offset"))
-        .drop("_bucket", "_offset")
+        .drop("_part", "_offset")
     )
 
 
@@ -100,19 +107,19 @@ def previous(
     out: str,
 ) -> DataFrame:
     """Value of the row before, across bucket borders."""
-    marked = df.withColumn("_bucket", bucket)
-    tails = marked.groupBy(*group, "_bucket").agg(F.max_by(value, order).alias("_last"))
-    by_bucket = Window.partitionBy(*group).orderBy("_bucket")
-    carried = tails.select(*group, "_bucket", F.lag("_last").over(by_bucket).alias("_carry"))
-    inside = Window.partitionBy(*group, "_bucket").orderBy(order)
+    marked = _marked(df, group, bucket)
+    tails = marked.groupBy("_part").agg(F.max_by(value, order).alias("_last"))
+    by_bucket = Window.partitionBy(*_parted(group)).orderBy("_part._bucket")
+    carried = tails.select("_part", F.lag("_last").over(by_bucket).alias("_carry"))
+    inside = Window.partitionBy("_part").orderBy(order)
     return (
-        marked.join(carried, [*group, "_bucket"])
+        marked.join(carried, "_part")
         .withColumn("_first", F.row_number().over(inside) == 1)
         .withColumn(
             out,
             F.when(F.col("_first"), F.col("_carry")).otherwise(F.lag(value).over(inside)),
         )
-        .drop("_bucket", "_carry", "_first")
+        .drop("_part", "_carry", "_first")
     )
 
 

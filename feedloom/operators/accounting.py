@@ -43,22 +43,46 @@ def usage_by_org(
     )
 
 
-def error_class(status: Column, kind: Column) -> Column:
-    """Class of a failed call: by kind first, then by HTTP status; NULL when it succeeded."""
+def error_class(
+    status: Column, kind: Column, text: Column | None = None, throttled: Column | None = None
+) -> Column:
+    """Class of a failed call; NULL when it succeeded.
+
+    Failures that never were an answer have a kind; one that is no class by itself is a timeout
+    if its kind or text says so, else a network failure. An answer counts by its status, a
+    declared throttle first; a 503 that says SlowDown throttles as well, and a status that is
+    neither 4xx nor 5xx nor a success is a network failure.
+    """
+    said = F.coalesce(text if text is not None else F.lit(None).cast("string"), F.lit(""))
+    declared = F.coalesce(throttled if throttled is not None else F.lit(False), F.lit(False))
+    slow = F.lower(F.concat_ws(" ", kind, said)).rlike("timed out|timeout")
     return (
-        F.when(kind.isin("network", "origin_refused", "oversize_page", "page_ceiling"), kind)
-        .when(kind == "timeout", F.lit("timeout"))
-        .when(status == 429, F.lit("throttle"))
-        .when(status.isin(408, 504), F.lit("timeout"))
+        F.when(kind.isin("origin_refused", "oversize_page", "page_ceiling"), kind)
+        .when(status.between(200, 299), F.lit(None))
+        .when(status.isNotNull() & declared, F.lit("throttle"))
+        .when((status == 429) | ((status == 503) & said.contains("SlowDown")), F.lit("throttle"))
+        .when(status == 408, F.lit("timeout"))
         .when(status.between(400, 499), F.lit("4xx"))
         .when(status.between(500, 599), F.lit("5xx"))
+        .when(status.isNotNull(), F.lit("network"))
+        .when((kind.isNotNull() | (said != "")) & slow, F.lit("timeout"))
+        .when(kind.isNotNull() | (said != ""), F.lit("network"))
     )
 
 
-def error_rollup(df: DataFrame, by: Sequence[str], status: str, kind: str) -> DataFrame:
+def error_rollup(
+    df: DataFrame,
+    by: Sequence[str],
+    status: str,
+    kind: str,
+    text: str | None = None,
+    throttled: str | None = None,
+) -> DataFrame:
     """Failed calls counted by class."""
+    said = F.col(text) if text else None
+    declared = F.col(throttled) if throttled else None
     return (
-        df.withColumn("error_class", error_class(F.col(status), F.col(kind)))
+        df.withColumn("error_class", error_class(F.col(status), F.col(kind), said, declared))
         .filter(F.col("error_class").isNotNull())
         .groupBy(*by, "error_class")
         .agg(F.count(F.lit(1)).alias("calls"))

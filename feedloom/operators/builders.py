@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions.json import (
@@ -35,6 +35,9 @@ METRIC_PERIOD = 300
 METRIC_STAT = "Average"
 METRIC_UNIT = "None"
 
+# A fold of more bytes than this is no single record.
+VERSION_BYTES = 256 << 20
+
 # Metric units and their UCUM codes.
 UCUM = {
     "None": "1",
@@ -104,7 +107,7 @@ def audit_event(df: DataFrame, payload: str = "payload", key: str = AUDIT_KEY) -
     )
     out = bind(out, _text=text)
     reason = (
-        F.when(F.col("_inner").isNull(), F.lit("missing"))
+        F.when(F.col("_inner").isNull() | F.is_variant_null("_inner"), F.lit("missing"))
         .when(F.col("_text").isNull(), F.lit("not an object"))
         .when(~is_json(F.col("_text")), F.lit("bad JSON"))
         .when(~is_object(F.col("_text")), F.lit("not an object"))
@@ -123,13 +126,13 @@ def audit_event(df: DataFrame, payload: str = "payload", key: str = AUDIT_KEY) -
 
 
 def stamp_absent(df: DataFrame, fields: Mapping[str, Any], payload: str = "payload") -> DataFrame:
-    """Add the fields an object does not have yet; a NULL value is not set at all."""
+    """Add the fields an object does not have yet; NULL or an empty text is not set at all."""
     out = bind(df, _keys=object_keys(F.col(payload)))
     missing = F.concat_ws(
         ",",
         *[
             F.when(
-                ~F.array_contains("_keys", name) & as_column(value).isNotNull(),
+                ~F.array_contains("_keys", name) & (as_column(value).cast("string") != ""),
                 object_members({name: value}),
             )
             for name, value in fields.items()
@@ -206,6 +209,25 @@ def _or_default(df: DataFrame, name: str, value: Any) -> Column:
     return F.coalesce(F.col(name), F.lit(value)) if name in df.columns else F.lit(value)
 
 
+def query_object(
+    query_id: Column, namespace: Column, metric: Column, dimensions: Column, period: Column, stat: Column
+) -> Column:
+    """The query a descriptor becomes, as JSON text; missing dimensions are an empty list."""
+    listed = F.coalesce(
+        F.transform(dimensions, lambda d: F.struct(d["name"].alias("Name"), d["value"].alias("Value"))),
+        F.array().cast("array<struct<Name:string,Value:string>>"),
+    )
+    asked = F.struct(
+        namespace.alias("Namespace"), metric.alias("MetricName"), listed.alias("Dimensions")
+    )
+    return F.to_json(
+        F.struct(
+            query_id.alias("Id"),
+            F.struct(asked.alias("Metric"), period.alias("Period"), stat.alias("Stat")).alias("MetricStat"),
+        )
+    )
+
+
 def metric_queries(
     descriptors: DataFrame,
     order: Sequence[str],
@@ -256,9 +278,9 @@ def metric_points(results: DataFrame, queries: DataFrame) -> tuple[DataFrame, Da
 
 
 def ucum(unit: Column) -> Column:
-    """UCUM code of a metric unit; an unknown unit stays as it is."""
+    """UCUM code of a metric unit; an unknown unit has the code 1."""
     table = F.create_map(*[F.lit(x) for pair in UCUM.items() for x in pair])
-    return F.coalesce(table[unit], unit)
+    return F.coalesce(table[unit], F.lit("1"))
 
 
 def gauge_group(
@@ -268,10 +290,11 @@ def gauge_group(
     namespace: str,
     dimensions: str,
 ) -> DataFrame:
-    """One gauge per answered descriptor: name, UCUM unit, attributes and its points.
+    """One gauge per answered descriptor: name, UCUM unit, `stat`, attributes and its points.
 
-    The points of a descriptor arrive in one result, so no rows are gathered. Dimensions
-    without a name are left out, and a result without points gives no row.
+    All results of a descriptor make one gauge, its points by time; a descriptor's points are
+    bounded by the window and period asked for. Dimensions without a name are left out, and a
+    descriptor without points gives no row. Times are nanoseconds, cut and not rounded.
     """
     joined = _matched(results, queries).filter("_known")
     unit = _or_default(joined, "unit", METRIC_UNIT)
@@ -279,80 +302,102 @@ def gauge_group(
         F.col(dimensions), lambda d: d["name"].isNotNull() & (d["name"] != "")
     )
     attributes = F.concat(
-        F.array(F.struct(F.lit("namespace").alias("name"), F.col(namespace).alias("value"))), named
+        F.array(F.struct(F.lit("Namespace").alias("name"), F.col(namespace).alias("value"))), named
     )
     points = F.transform(
         F.arrays_zip(F.col("timestamps").alias("t"), F.col("values").alias("v")),
         lambda p: F.struct(
-            (F.round(p["t"] * 1000).cast("bigint") * 1_000_000).alias("time_unix_nano"),
+            (p["t"] * 1_000_000_000.0).cast("bigint").alias("time_unix_nano"),
             p["v"].alias("value"),
         ),
     )
-    return joined.filter(F.size("timestamps") > 0).select(
-        "batch_no",
-        "id",
-        F.col(name).alias("name"),
-        ucum(unit).alias("unit"),
-        attributes.alias("attributes"),
-        points.alias("points"),
+    return (
+        joined.filter(F.size("timestamps") > 0)
+        .groupBy("batch_no", "id")
+        .agg(
+            F.first(name).alias("name"),
+            F.first(ucum(unit)).alias("unit"),
+            F.first(_or_default(joined, "stat", METRIC_STAT)).alias("stat"),
+            F.first(attributes).alias("attributes"),
+            F.array_sort(F.flatten(F.collect_list(points))).alias("points"),
+        )
     )
 
 
 # --- folds --------------------------------------------------------------------------------
 
 
-def version_fold(
+def version_rows(
     df: DataFrame,
     key: str,
     pos: str,
     doc: str,
     bucket: Column,
-    per_record: int = 1_000,
     version_at: str = "$.Version",
 ) -> DataFrame:
-    """All documents of a key as `{versions, version_info}` in `pos` order.
+    """(key, number, version, document, is_latest) of every document, numbered in `pos` order.
 
-    A key with more than `per_record` documents is written as several records (`part`), so
-    no task has to hold one huge key; every other key is one record. `bucket` grows with
-    `pos`. A document without a version is an error.
+    Of several documents of one version the last is `is_latest`. A document without a version is
+    an error. `bucket` grows with `pos`, so no task holds one huge key.
     """
     version = F.try_variant_get(F.try_parse_json(doc), version_at, "string")
     known = F.when(
         version.isNull(), F.raise_error(F.lit("document without a version"))
     ).otherwise(version)
-    numbered = number_rows(df.withColumn("_version", known), [pos], [key], bucket, out="_n")
-    folded = (
-        numbered.withColumn("part", F.floor(F.col("_n") / per_record).cast("bigint"))
-        .groupBy(key, "part")
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct(F.col("_n"), F.col("_version").alias("v"), F.col(doc).alias("d")))
-            ).alias("_all")
-        )
+    numbered = number_rows(df.withColumn("version", known), [pos], [key], bucket, out="number")
+    latest = Window.partitionBy(key, "version").orderBy(F.col("number").desc())
+    return numbered.select(
+        key,
+        "number",
+        "version",
+        F.col(doc).alias("document"),
+        (F.row_number().over(latest) == 1).alias("is_latest"),
     )
-    # Of two documents of one version the later counts.
-    names = F.transform("_all", lambda e: e["v"])
-    latest = F.when(F.size(F.array_distinct(names)) == F.size("_all"), F.col("_all")).otherwise(
-        F.filter(
-            "_all",
-            lambda e, i: F.array_position(F.reverse(names), e["v"]) == F.size("_all") - i,
-        )
+
+
+def version_fold(
+    df: DataFrame,
+    key: str,
+    pos: str,
+    doc: str,
+    bucket: Column,
+    max_bytes: int = VERSION_BYTES,
+    version_at: str = "$.Version",
+) -> DataFrame:
+    """One `{versions, version_info}` record per key, from `version_rows`.
+
+    `versions` lists every document, `version_info` the last document of each version. A key whose
+    documents exceed `max_bytes` is an error before anything is gathered; its long form is there
+    whatever the size.
+    """
+    rows = version_rows(df, key, pos, doc, bucket, version_at)
+    sizes = rows.groupBy(F.col(key).alias("_of")).agg(
+        F.sum(F.octet_length("document") + F.octet_length("version") + 8).alias("_bytes")
+    )
+    checked = rows.join(sizes, F.col(key).eqNullSafe(F.col("_of"))).withColumn(
+        "document",
+        F.when(
+            F.col("_bytes") > max_bytes, F.raise_error(F.lit(f"documents of one key exceed {max_bytes} bytes"))
+        ).otherwise(F.col("document")),
     )
+    entry = F.struct("number", F.col("version").alias("v"), F.when(F.col("is_latest"), F.col("document")).alias("d"))
+    folded = checked.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_all"))
     info = F.array_join(
         F.transform(
-            latest,
+            F.filter("_all", lambda e: e["d"].isNotNull()),
             lambda e: F.concat(
-                F.regexp_replace(F.to_json(F.array(e["v"])), r"^\[|\]$", ""),
-                F.lit(":"),
-                e["d"],
+                F.regexp_replace(F.to_json(F.array(e["v"])), r"^\[|\]$", ""), F.lit(":"), e["d"]
             ),
         ),
         ",",
     )
     return folded.select(
         key,
-        "part",
         F.concat(
-            F.lit('{"versions":'), F.to_json(names), F.lit(',"version_info":{'), info, F.lit("}}")
+            F.lit('{"versions":'),
+            F.to_json(F.transform("_all", lambda e: e["v"])),
+            F.lit(',"version_info":{'),
+            info,
+            F.lit("}}"),
         ).alias("payload"),
     )

@@ -60,14 +60,16 @@ def line_fold(
 def fold_marks(df: DataFrame, by: Sequence[str] = ("unit",), arrival: str = "arrival") -> DataFrame:
     """One checkpoint per unit from rows with a `mark` struct; NULL marks do not count.
 
-    All input rows count, delivered, filtered or oversize. A unit with marks of two kinds
-    is `inconsistent` and must not commit. Line marks fold per file (`line_fold`).
+    All input rows count, delivered, filtered or oversize. A unit with two of the kinds keyset,
+    item and line is `inconsistent` and must not commit; acknowledgements go beside any kind.
+    Lines fold per file (`fold_lines`), ids of acknowledgements are batched (`ack_batches`).
     """
     mark = F.col("mark")
     kind = mark["kind"]
+    valued = F.when(kind.isin("keyset", "item", "line"), kind)
     out = df.groupBy(*by).agg(
-        F.count_distinct(kind).alias("_kinds"),
-        F.min(kind).alias("kind"),
+        F.count_distinct(valued).alias("_kinds"),
+        F.coalesce(F.min(valued), F.min(kind)).alias("kind"),
         F.max_by(mark["keyset"], F.when(kind == "keyset", F.col(arrival))).alias("keyset"),
         F.max(
             F.when(kind == "item", F.struct(mark["item_position"].alias("position"), mark["item_key"].alias("key")))
@@ -85,6 +87,21 @@ def fold_marks(df: DataFrame, by: Sequence[str] = ("unit",), arrival: str = "arr
     )
 
 
+def fold_lines(
+    df: DataFrame, by: Sequence[str] = ("unit",), arrival: str = "arrival"
+) -> DataFrame:
+    """Line marks of each unit as `lines`, (file_id, end_offset) in the order the files were met."""
+    mark = F.col("mark")
+    marked = df.filter(mark["kind"] == "line").select(
+        *by, arrival, mark["file_id"].alias("file_id"), mark["end_offset"].alias("end_offset")
+    )
+    files = line_fold(marked, by, "file_id", "end_offset", arrival)
+    listed = F.array_sort(F.collect_list(F.struct("first_seen", "file_id", "end_offset")))
+    return files.groupBy(*by).agg(
+        F.transform(listed, lambda f: F.struct(f["file_id"].alias("file_id"), f["end_offset"].alias("end_offset"))).alias("lines")
+    )
+
+
 def ack_batches(
     df: DataFrame,
     by: Sequence[str],

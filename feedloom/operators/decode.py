@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import json
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -174,8 +175,8 @@ def unquote(text: Column) -> Column:
 
 
 def decoder_of(path: Column) -> Column:
-    """`ndjson`, `json` or `csv` by extension below an optional `.gz`; error otherwise."""
-    bare = F.regexp_replace(F.lower(path), r"\.gz$", "")
+    """`ndjson`, `json` or `csv` by extension, of any case, below an optional lower-case `.gz`."""
+    bare = F.lower(F.regexp_replace(path, r"\.gz$", ""))
     return (
         F.when(bare.rlike(r"\.(jsonl|ndjson)$"), F.lit("ndjson"))
         .when(bare.endswith(".json"), F.lit("json"))
@@ -193,12 +194,13 @@ def bound_lines(df: DataFrame, c: str, max_bytes: int) -> tuple[DataFrame, DataF
 # --- CSV and gzip: the two framings Spark has no expression for --------------------------
 
 
-def csv_records(text: str, header: bool = True) -> list[str]:
+def csv_records(text: str, header: bool = True) -> Iterator[str]:
     """JSON records of a CSV text; every value a string.
 
-    Extra fields become `col_<i>` (counted from 1) and a short row keeps what it has.
+    A field beyond the header, or without one, is `col_<i>`, counted from 0; a short row keeps
+    what it has. A field may be as long as its text.
     """
-    out: list[str] = []
+    csv.field_size_limit(sys.maxsize)
     names: list[str] | None = None
     for fields in csv.reader(io.StringIO(text, newline=""), strict=True):
         if not fields:
@@ -208,32 +210,43 @@ def csv_records(text: str, header: bool = True) -> list[str]:
             continue
         known = names or []
         record = {
-            known[i] if i < len(known) else f"col_{i + 1}": value
-            for i, value in enumerate(fields)
+            known[i] if i < len(known) else f"col_{i}": value for i, value in enumerate(fields)
         }
-        out.append(json.dumps(record, ensure_ascii=False, separators=(",", ":")))
-    return out
+        yield json.dumps(record, ensure_ascii=False, separators=(",", ":"))
 
 
 def decode_csv(df: DataFrame, body: str, header: bool = True) -> DataFrame:
-    """Rows of CSV bodies, ragged ones included: `pos`, `payload`, `error`."""
+    """Rows of CSV bodies, ragged ones included: `pos`, `payload`, `error`.
+
+    A body that stops being CSV gives the rows before that place, then one row with `error`.
+    """
 
     @F.pandas_udf("struct<rows:array<string>,error:string>")
     def parse(bodies: pd.Series) -> pd.DataFrame:
-        rows: list[list[str] | None] = []
+        rows: list[list[str]] = []
         errors: list[str | None] = []
         for text in bodies:
+            good: list[str] = []
+            problem = None
             try:
-                rows.append([] if text is None else csv_records(text, header))
-                errors.append(None)
-            except csv.Error as problem:
-                rows.append(None)
-                errors.append(str(problem))
+                good.extend(csv_records(text or "", header))
+            except csv.Error as error:
+                problem = str(error)
+            rows.append(good)
+            errors.append(problem)
         return pd.DataFrame({"rows": rows, "error": errors})
 
-    out = df.withColumn("_csv", parse(F.col(body)))
-    out = out.withColumn("_items", F.col("_csv.rows")).withColumn("_problem", F.col("_csv.error"))
-    return _explode_items(out.drop("_csv"), F.col("_problem"), strict=False).drop("_problem")
+    nothing = F.lit(None).cast("string")
+    good = F.transform(
+        F.col("_csv.rows"),
+        lambda r, i: F.struct(i.alias("pos"), r.alias("payload"), nothing.alias("error")),
+    )
+    bad = F.struct(
+        F.lit(None).cast("int").alias("pos"), nothing.alias("payload"), F.col("_csv.error").alias("error")
+    )
+    every = F.when(F.col("_csv.error").isNull(), good).otherwise(F.concat(good, F.array(bad)))
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in ("pos", "payload", "error")]
+    return df.withColumn("_csv", parse(F.col(body))).select(*rest, F.inline(every))
 
 
 def gunzip(data: bytes) -> bytes:

@@ -22,7 +22,7 @@ from feedloom.functions.json import (
     pointer_text,
     scalar_text,
 )
-from feedloom.functions.numbering import number_rows, running_sum, span_bucket
+from feedloom.functions.numbering import number_rows, previous, running_sum, span_bucket
 
 PAGE_SPAN = 10_000
 
@@ -73,6 +73,13 @@ def join_url(base: Column, target: Column) -> Column:
     )
 
 
+def join_base(base: Column, target: Column) -> Column:
+    """A link under a configured base: one slash between them, whole URLs as they are."""
+    whole = target.rlike("^https?://")
+    under = F.concat(F.rtrim(base, F.lit("/")), F.lit("/"), F.ltrim(target, F.lit("/")))
+    return F.when(whole, target).otherwise(under)
+
+
 @dataclass(frozen=True)
 class Pager:
     """How a sequence goes on.
@@ -108,21 +115,6 @@ def _next_text(pager: Pager) -> Column:
     return token_text(at_pointer(F.try_parse_json("body"), pager.at or ""))
 
 
-def _repeats(signals: DataFrame, seq: Sequence[str]) -> DataFrame:
-    """Flag pages whose token an earlier page of the sequence already had."""
-    seen = (
-        signals.filter(F.col("_next").isNotNull())
-        .groupBy(*seq, "_next")
-        .agg(F.min("page_id").alias("_seen_at"), F.count(F.lit(1)).alias("_times"))
-    )
-    repeated = seen.filter(F.col("_times") > 1).drop("_times")
-    return (
-        signals.join(repeated, [*seq, "_next"], "left")
-        .withColumn("_loop", F.coalesce(F.col("_seen_at") < F.col("page_id"), F.lit(False)))
-        .drop("_seen_at")
-    )
-
-
 def _signals(pages: DataFrame, seq: Sequence[str], pager: Pager) -> DataFrame:
     """What the pager needs to know of each page, without its body.
 
@@ -136,7 +128,10 @@ def _signals(pages: DataFrame, seq: Sequence[str], pager: Pager) -> DataFrame:
     elif pager.kind in ("cursor", "request_path"):
         token = _next_text(pager)
         if pager.kind == "request_path":
-            token = join_url(F.lit(pager.base_url) if pager.base_url else F.col("url"), token)
+            if pager.base_url is not None:
+                token = join_base(F.lit(pager.base_url), token)
+            else:
+                token = join_url(F.col("url"), token)
     elif pager.kind in ("page_number", "offset"):
         if pager.rows_at is not None:
             rows = _row_count(body, pager.rows_at).cast("bigint")
@@ -157,7 +152,10 @@ def _judge(signals: DataFrame, seq: Sequence[str], pager: Pager) -> DataFrame:
     in_seq = span_bucket("page_id", PAGE_SPAN)
     out = signals
     if pager.kind in ("cursor", "request_path"):
-        out = _repeats(out, seq)
+        # a page asked with a token that points to itself again; older tokens may come back
+        out = previous(out, "_next", "page_id", seq, in_seq, "_asked")
+        out = out.withColumn("_loop", F.coalesce(F.col("_next") == F.col("_asked"), F.lit(False)))
+        out = out.drop("_asked")
     else:
         out = out.withColumn("_loop", F.lit(False))
     out = number_rows(out, ["page_id"], seq, in_seq, out="page_no")
@@ -187,7 +185,9 @@ def _judge(signals: DataFrame, seq: Sequence[str], pager: Pager) -> DataFrame:
                 F.coalesce(after >= F.lit(pager.start) + F.col("_total"), F.lit(True))
             )
         done = reduce(lambda a, b: a | b, tests, F.lit(False))
-    return out.withColumn("_ends", done | F.col("_stop"))
+    out = out.withColumn("_ends", done | F.col("_stop"))
+    # a page that ends the sequence is no loop, whatever token it carries
+    return out.withColumn("_loop", F.col("_loop") & ~F.col("_ends"))
 
 
 def assemble_pages(
@@ -199,7 +199,8 @@ def assemble_pages(
 ) -> DataFrame:
     """Pages that belong to each sequence, with `page_no` and the sequence's `status`.
 
-    complete: the pager ended it. loop: a token or URL came back (an error). ceiling: a
+    complete: the pager ended it. loop: a page repeats the token it was asked with (an error).
+    ceiling: a
     windowed or dump unit went past `max_pages` and fails (`strict`). cut: a stateless unit
     is cut there. open: the capture stops before the sequence does.
 

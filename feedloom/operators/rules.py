@@ -23,6 +23,7 @@ from feedloom.functions.json import (
     put_fields,
     with_document,
 )
+from feedloom.operators.unwrap import check_depth, finite_number, no_constant
 
 # Names of the stamped metadata fields.
 STAMP_FIELDS = (
@@ -182,7 +183,7 @@ def stamp(
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _following_objects(bodies: pd.Series) -> pd.Series:
     """Texts of the JSON objects a body consists of; NULL when there is anything else."""
-    decoder = json.JSONDecoder()
+    decoder = json.JSONDecoder(parse_float=finite_number, parse_constant=no_constant)
 
     def cut(text: str | None) -> list[str] | None:
         if text is None:
@@ -194,7 +195,8 @@ def _following_objects(bodies: pd.Series) -> pd.Series:
                 continue
             try:
                 value, end = decoder.raw_decode(text, at)
-            except ValueError:
+                check_depth(value, text[at:end])
+            except (ValueError, RecursionError):
                 return None
             if not isinstance(value, dict):
                 return None

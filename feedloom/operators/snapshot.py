@@ -141,7 +141,7 @@ def frame_snapshot(
         "snapshot_at",
         "timestamp",
         "store",
-        F.when(~last, F.lit(0).cast("bigint")).alias("seq"),
+        F.when(last, F.col("_n")).otherwise(F.lit(0)).cast("bigint").alias("seq"),
         F.lit(None).cast("bigint").alias("total"),
         F.lit(None).cast("string").alias("record"),
         F.lit(None).cast("bigint").alias("bytes"),
@@ -167,6 +167,8 @@ def frame_payload(frames: DataFrame, out: str = "payload") -> DataFrame:
 def snapshot_status(frames: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """Status per snapshot id: unknown, open, complete or truncated; order and repeats are free.
 
+    Complete means exactly the numbers 0 to `row_count` - 1: fewer rows, or more, are truncated.
+
     The distinct count runs on (id, seq) first, so one huge snapshot is spread over tasks.
     """
     numbered = F.col("kind").isin("row", "oversize")
@@ -177,10 +179,8 @@ def snapshot_status(frames: DataFrame, ids: DataFrame | None = None) -> DataFram
         F.max(seqs).alias("_high"),
         F.max(F.when(F.col("kind") == "end", F.col("row_count"))).alias("expected"),
     )
-    whole = (F.col("expected") == 0) | (
-        (F.col("seen") == F.col("_high") + 1)
-        & (F.col("_low") == 0)
-        & (F.col("seen") >= F.col("expected"))
+    whole = (F.col("seen") == F.col("expected")) & (
+        (F.col("seen") == 0) | ((F.col("_low") == 0) & (F.col("_high") == F.col("expected") - 1))
     )
     out = out.withColumn(
         "status",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from typing import Any
 
 import pandas as pd
@@ -11,11 +12,54 @@ from pyspark.sql import functions as F
 
 # Fixed value: containers at depth 0, 1 and 2 have their text values opened.
 DEPTH = 3
+# Fixed value: containers within containers that a record may have.
+MAX_DEPTH = 127
 
 # A text value that could hold an object or array, as it looks inside the record's text.
 CANDIDATE = r'"\s*(?:\\[nrt])*\s*[\{\[]'
 
 
+def finite_number(text: str) -> float:
+    value = float(text)
+    if not math.isfinite(value):
+        raise ValueError(f"not a finite number: {text}")
+    return value
+
+
+def no_constant(name: str) -> Any:
+    raise ValueError(f"not JSON: {name}")
+
+
+def check_depth(value: Any, text: str) -> None:
+    """ValueError if the value parsed from `text` is nested deeper than MAX_DEPTH."""
+    if text.count("{") + text.count("[") <= MAX_DEPTH:
+        return
+    level = [value]
+    for _ in range(MAX_DEPTH + 1):
+        inner = [x.values() if isinstance(x, dict) else x for x in level if isinstance(x, (dict, list))]
+        if not inner:
+            return
+        level = [x for part in inner for x in part]
+    raise ValueError("nested too deeply")
+
+
+def parse(text: str) -> Any:
+    """The JSON value of a text; ValueError for anything else, however deep or long.
+
+    Python takes NaN, Infinity and numbers out of range, and half characters; JSON does not.
+    """
+    try:
+        value = json.loads(text, parse_float=finite_number, parse_constant=no_constant)
+        check_depth(value, text)
+        if "\\u" in text:
+            json.dumps(value, ensure_ascii=False).encode()
+    except RecursionError as deep:
+        raise ValueError("nested too deeply") from deep
+    except UnicodeEncodeError as half:
+        raise ValueError("half a character") from half
+    return value
+
+
 def _open(value: Any, level: int, depth: int) -> tuple[Any, bool]:
     """The value with its text containers opened, and whether anything changed."""
     changed = False
@@ -23,7 +67,7 @@ def _open(value: Any, level: int, depth: int) -> tuple[Any, bool]:
         text = value.strip()
         if text[:1] in ("{", "[") and text[-1:] in ("}", "]"):
             try:
-                value = json.loads(text)
+                value = parse(text)
                 changed = True
             except ValueError:
                 return value, False
@@ -43,15 +87,13 @@ def _open(value: Any, level: int, depth: int) -> tuple[Any, bool]:
 def unwrap_text(text: str, depth: int = DEPTH) -> str:
     """One record; returned as it is when nothing in it can be opened."""
     try:
-        record = json.loads(text)
-    except ValueError:
-        return text
-    if not isinstance(record, (dict, list)):
-        return text
-    record, changed = _open(record, 0, depth)
-    if not changed:
+        record = parse(text)
+        if not isinstance(record, (dict, list)):
+            return text
+        record, changed = _open(record, 0, depth)
+        return json.dumps(record, ensure_ascii=False, separators=(",", ":")) if changed else text
+    except (ValueError, RecursionError):
         return text
-    return json.dumps(record, ensure_ascii=False, separators=(",", ":"))
 
 
 def unwrap_nested(df: DataFrame, payload: str = "payload", depth: int = DEPTH) -> DataFrame:

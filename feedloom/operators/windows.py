@@ -61,7 +61,8 @@ def plan_windows(
     span = F.greatest(F.col("default_hours") * 3600, F.col("interval_secs")).cast(
         "bigint"
     ) * F.lit(SECOND)
-    width = F.coalesce(_micros(F.col("failed_end")) - _micros(F.col("failed_start")), span)
+    failed = _micros(F.col("failed_end")) - _micros(F.col("failed_start"))
+    width = F.least(F.coalesce(failed, span), span)  # a retry is never wider than the span
     start = F.coalesce(
         _micros(F.col("last_fetch_end")), _micros(F.col("failed_start")), at - span
     )
@@ -175,18 +176,38 @@ def strftime_pattern(fmt: str) -> str:
     return "".join(out).replace("''UTC''", "UTC'")
 
 
-def format_bound(at: Column, fmt: str) -> Column:
-    """Bound as rfc3339, rfc3339_millis, epoch, epoch_millis or a strftime pattern."""
+def _fraction(moment: Column) -> Column:
+    """`%.f`: the fraction of a second with its dot, in threes of digits; nothing for whole seconds."""
+    micros = F.pmod(F.unix_micros(moment), F.lit(SECOND))
+    return (
+        F.when(micros == 0, F.lit(""))
+        .when(micros % 1000 == 0, F.concat(F.lit("."), F.lpad((micros / 1000).cast("bigint").cast("string"), 3, "0")))
+        .otherwise(F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0")))
+    )
+
+
+def format_bound(at: Column, fmt: str = "rfc3339_secs") -> Column:
+    """Bound as rfc3339_secs, rfc3339_millis, epoch_secs, epoch_millis or `strftime:<pattern>`.
+
+    Any other name is an error; a pattern may be given without its prefix.
+    """
     moment = at.cast("timestamp")
-    if fmt == "rfc3339":
+    if fmt == "rfc3339_secs":
         return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     if fmt == "rfc3339_millis":
         return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    if fmt == "epoch":
+    if fmt == "epoch_secs":
         return F.unix_seconds(moment).cast("string")
     if fmt == "epoch_millis":
         return F.unix_millis(moment).cast("string")
-    return F.date_format(moment, strftime_pattern(fmt))
+    pattern = fmt.removeprefix("strftime:")
+    if "%" not in pattern:
+        raise ValueError(f"unknown format {fmt!r}")
+    around = [F.date_format(moment, strftime_pattern(p)) if p else F.lit("") for p in pattern.split("%.f")]
+    parts = [around[0]]
+    for text in around[1:]:
+        parts += [_fraction(moment), text]
+    return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
 def halve_until(

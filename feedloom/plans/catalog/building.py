@@ -300,8 +300,8 @@ def metric_strays(spark, sf_dir):
     """WITH n AS (SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS i FROM part)
        SELECT CAST(i // 500 AS BIGINT) AS batch_no, 'q' || (i % 500) AS id, p_brand AS name,
          CASE p_partkey % 3 WHEN 0 THEN 'By/s' WHEN 1 THEN 's' ELSE '1' END AS unit,
-         'namespace=Shop;type=' || p_type AS attributes, 2 AS points,
-         CAST(p_partkey * 1000 + 123 AS BIGINT) * 1000000 AS first_nano
+         'Namespace=Shop;type=' || p_type AS attributes, 2 AS points,
+         CAST(trunc((p_partkey + 0.1234::DOUBLE) * 1000000000.0::DOUBLE) AS BIGINT) AS first_nano
        FROM n WHERE p_partkey % 10 <> 3 AND p_partkey % 50 <> 7""",
 )
 def gauge_group(spark, sf_dir):
@@ -323,21 +323,59 @@ def gauge_group(spark, sf_dir):
 
 @query(
     "version_fold",
-    """WITH n AS (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS i,
-           CAST(json_object('Version', 'v' || p_partkey, 'size', p_size) AS VARCHAR) AS doc FROM part)
-       SELECT p_brand, CAST(i // 50 AS BIGINT) AS part,
-         '{"versions":[' || string_agg('"v' || p_partkey || '"', ',' ORDER BY p_partkey) || '],"version_info":{'
-         || string_agg('"v' || p_partkey || '":' || doc, ',' ORDER BY p_partkey) || '}}' AS payload
-       FROM n GROUP BY p_brand, i // 50""",
+    """WITH n AS (SELECT p_brand, p_partkey, 'v' || (p_partkey % 61) AS v,
+           CAST(json_object('Version', 'v' || (p_partkey % 61), 'size', p_size) AS VARCHAR) AS doc FROM part),
+       l AS (SELECT *, row_number() OVER (PARTITION BY p_brand, v ORDER BY p_partkey DESC) = 1 AS latest FROM n)
+       SELECT p_brand, '{"versions":[' || string_agg('"' || v || '"', ',' ORDER BY p_partkey) || '],"version_info":{'
+         || string_agg('"' || v || '":' || doc, ',' ORDER BY p_partkey) FILTER (WHERE latest) || '}}' AS payload
+       FROM l GROUP BY p_brand""",
 )
 def version_fold(spark, sf_dir):
-    docs = table(spark, sf_dir, "part").select(
-        "p_brand",
+    return builders.version_fold(
+        _versions(spark, sf_dir), "p_brand", "p_partkey", "doc", span_bucket("p_partkey", 500)
+    )
+
+
+def _versions(spark, sf_dir):
+    """A document for each part of a brand; versions come back."""
+    version = F.concat(F.lit("v"), F.col("p_partkey") % 61)
+    return table(spark, sf_dir, "part").select(
+        "p_brand", "p_partkey", object_text({"Version": version, "size": F.col("p_size")}).alias("doc")
+    )
+
+
+@query(
+    "version_fold_large",
+    """SELECT p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS number, 'v' || (p_partkey % 61) AS version,
+         p_size AS size, row_number() OVER (PARTITION BY p_brand, p_partkey % 61 ORDER BY p_partkey DESC) = 1 AS is_latest FROM part""",
+)
+def version_fold_large(spark, sf_dir):
+    """The long form, which has no bound: a row for each document, numbered over small buckets."""
+    rows = builders.version_rows(
+        _versions(spark, sf_dir), "p_brand", "p_partkey", "doc", span_bucket("p_partkey", 20)
+    )
+    size = F.try_variant_get(F.try_parse_json("document"), "$.size", "int")
+    return rows.select("p_brand", F.col("number").cast("bigint").alias("number"), "version", size.alias("size"), "is_latest")
+
+
+@query(
+    "metric_query_objects",
+    """WITH n AS (SELECT p_partkey, p_brand, p_type, row_number() OVER (ORDER BY p_partkey) - 1 AS i FROM part)
+       SELECT p_partkey, CAST(json_object('Id', 'q' || (i % 500), 'MetricStat', json_object('Metric', json_object('Namespace', 'Shop',
+         'MetricName', p_brand, 'Dimensions', CASE WHEN p_partkey % 4 = 0 THEN json_array()
+           ELSE json_array(json_object('Name', 'type', 'Value', p_type)) END), 'Period', 300, 'Stat', 'Average')) AS VARCHAR) AS query FROM n""",
+)
+def metric_query_objects(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select(
         "p_partkey",
-        object_text(
-            {"Version": F.concat(F.lit("v"), F.col("p_partkey")), "size": F.col("p_size")}
-        ).alias("doc"),
+        "p_brand",
+        F.when(
+            F.col("p_partkey") % 4 != 0,
+            F.array(F.struct(F.lit("type").alias("name"), F.col("p_type").alias("value"))),
+        ).alias("dimensions"),
     )
-    return builders.version_fold(
-        docs, "p_brand", "p_partkey", "doc", span_bucket("p_partkey", 500), per_record=50
+    asked = builders.metric_queries(part, ["p_partkey"], bucket=span_bucket("p_partkey", 1000))
+    text = builders.query_object(
+        F.col("query_id"), F.lit("Shop"), F.col("p_brand"), F.col("dimensions"), F.col("period"), F.col("stat")
     )
+    return asked.select("p_partkey", text.alias("query"))

@@ -172,11 +172,33 @@ def csv_rows(spark, sf_dir):
         "pos",
         Field(doc, "key").text().alias("key"),
         Field(doc, "name").text().alias("name"),
-        Field(doc, "col_3").text().alias("extra"),
+        Field(doc, "col_2").text().alias("extra"),
         (~Field(doc, "name").exists()).alias("is_short"),
     )
 
 
+@query(
+    "csv_large_field",
+    """SELECT doc_id, CAST(p AS INT) AS pos, CASE p WHEN 0 THEN md5(repeat(text, 40)) WHEN 1 THEN md5('x') END AS digest,
+         p = 2 AS failed FROM documents, (SELECT unnest([0, 1, 2]) AS p) WHERE p < 2 OR doc_id % 2 = 0""",
+)
+def csv_large_field(spark, sf_dir):
+    """A field of forty texts, then a good row, then on half the bodies a quote that never ends."""
+    quoted = F.concat(F.lit('"'), F.replace(F.repeat("text", 40), F.lit('"'), F.lit('""')), F.lit('"'))
+    tail = F.when(F.col("doc_id") % 2 == 0, F.lit('2,"open\n')).otherwise(F.lit(""))
+    bodies = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.lit("key,value\n0,"), quoted, F.lit("\n1,x\n"), tail).alias("body")
+    )
+    rows = with_document(decode.decode_csv(bodies, "body"), "payload")
+    failed = F.col("error").isNotNull()
+    return rows.select(
+        "doc_id",
+        F.when(failed, F.lit(2)).otherwise(F.col("pos")).cast("int").alias("pos"),
+        F.md5(Field(F.col("_doc"), "value").text()).alias("digest"),
+        failed.alias("failed"),
+    )
+
+
 @query(
     "gzip_rows",
     f"""WITH {_DOC_LINES}
@@ -229,7 +251,7 @@ def quoted_rows(spark, sf_dir):
     """SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'ndjson' WHEN 1 THEN 'ndjson' WHEN 2 THEN 'json' ELSE 'csv' END AS decoder FROM pages""",
 )
 def decoder_of(spark, sf_dir):
-    endings = F.array(*[F.lit(x) for x in (".jsonl", ".ndjson.gz", ".json.GZ", ".csv", ".CSV.gz")])
+    endings = F.array(*[F.lit(x) for x in (".jsonl", ".ndjson.gz", ".JSON.gz", ".csv", ".CSV.gz")])
     name = F.concat(F.lit("/in/"), F.md5("url"), F.get(endings, (F.col("page_id") % 5).cast("int")))
     return table(spark, sf_dir, "pages").select("page_id", decode.decoder_of(name).alias("decoder"))
 

@@ -318,22 +318,25 @@ def pull_messages(spark, sf_dir):
 
 @query(
     "error_classes",
-    """WITH c AS (SELECT event_type, CASE user_id % 9 WHEN 0 THEN 200 WHEN 1 THEN 404 WHEN 2 THEN 429 WHEN 3 THEN 500 WHEN 4 THEN 504
-             WHEN 5 THEN 408 WHEN 6 THEN 401 ELSE NULL END AS status,
-             CASE user_id % 9 WHEN 7 THEN 'network' WHEN 8 THEN 'page_ceiling' END AS kind FROM events),
-       k AS (SELECT event_type, CASE WHEN kind IS NOT NULL THEN kind WHEN status = 429 THEN 'throttle' WHEN status IN (408, 504) THEN 'timeout'
-             WHEN status BETWEEN 400 AND 499 THEN '4xx' WHEN status BETWEEN 500 AND 599 THEN '5xx' END AS error_class FROM c)
-       SELECT event_type, error_class, CAST(count(*) AS BIGINT) AS calls FROM k WHERE error_class IS NOT NULL GROUP BY ALL""",
+    """WITH c AS (SELECT event_type, CASE user_id % 14 WHEN 1 THEN '4xx' WHEN 2 THEN 'throttle' WHEN 3 THEN '5xx' WHEN 4 THEN '5xx'
+             WHEN 5 THEN 'timeout' WHEN 6 THEN '4xx' WHEN 7 THEN 'network' WHEN 8 THEN 'page_ceiling' WHEN 9 THEN 'throttle'
+             WHEN 10 THEN 'network' WHEN 11 THEN 'throttle' WHEN 12 THEN 'timeout' WHEN 13 THEN '5xx' END AS error_class FROM events)
+       SELECT event_type, error_class, CAST(count(*) AS BIGINT) AS calls FROM c WHERE error_class IS NOT NULL GROUP BY ALL""",
 )
 def error_classes(spark, sf_dir):
-    which = F.col("user_id") % 9
-    statuses = F.array(*[F.lit(s) for s in (200, 404, 429, 500, 504, 408, 401)])
+    which = (F.col("user_id") % 14).cast("int")
+    statuses = (200, 404, 429, 500, 504, 408, 401, None, None, 503, 302, 403, None, 503)
     calls = table(spark, sf_dir, "events").select(
         "event_type",
-        F.when(which < 7, F.get(statuses, which.cast("int"))).alias("status"),
-        F.when(which == 7, F.lit("network")).when(which == 8, F.lit("page_ceiling")).alias("kind"),
+        F.get(F.array(*[F.lit(s).cast("int") for s in statuses]), which).alias("status"),
+        F.when(which == 7, F.lit("connect")).when(which == 8, F.lit("page_ceiling")).alias("kind"),
+        F.when(which == 9, F.lit("<Code>SlowDown</Code>"))
+        .when(which == 12, F.lit("operation Timed Out after 30 s"))
+        .when(which == 13, F.lit("timeout upstream"))
+        .alias("text"),
+        (which == 11).alias("throttled"),
     )
-    return accounting.error_rollup(calls, ["event_type"], "status", "kind")
+    return accounting.error_rollup(calls, ["event_type"], "status", "kind", "text", "throttled")
 
 
 @query(

@@ -19,7 +19,7 @@ def _pages(spark, sf_dir):
     rows = F.slice(rows, 1, F.when(key % 9 == 0, (key % 3).cast("int")).otherwise(3))
     token = (
         F.when(ends, F.lit(""))
-        .when(key % 11 == 0, F.lit("again"))
+        .when(key % 5 == 0, F.lit("again"))
         .otherwise(F.concat(F.lit("t"), text))
     )
     body = F.to_json(
@@ -58,11 +58,11 @@ def _oracle(ends: str, loop: str = "false", limit: int = 1000, over: str = "ceil
     return f"""WITH p AS (SELECT o_custkey AS seq_key, o_orderkey AS page_id, *,
          row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS page_no,
          CASE WHEN o_orderkey % 9 = 0 THEN o_orderkey % 3 ELSE 3 END AS n_rows,
-         CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 11 = 0 THEN 'again' ELSE 't' || o_orderkey END AS token
+         CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN 'again' ELSE 't' || o_orderkey END AS token
          FROM orders),
        q AS (SELECT *, sum(n_rows) OVER (PARTITION BY seq_key ORDER BY page_id) AS upto,
-               row_number() OVER (PARTITION BY seq_key, token ORDER BY page_id) AS times FROM p),
-       j AS (SELECT *, coalesce({ends}, false) AS ends, coalesce({loop}, false) AS loops FROM q),
+               lag(token) OVER (PARTITION BY seq_key ORDER BY page_id) AS asked FROM p),
+       j AS (SELECT *, coalesce({ends}, false) AS ends, coalesce({loop}, false) AND NOT coalesce({ends}, false) AS loops FROM q),
        f AS (SELECT seq_key, min(page_no) FILTER (WHERE ends OR loops) AS first_end,
                min(page_no) FILTER (WHERE loops) AS first_loop, max(page_no) AS last_no FROM j GROUP BY seq_key)
        SELECT j.seq_key, page_id, CAST(page_no AS BIGINT) AS page_no,
@@ -81,12 +81,12 @@ def link_next(spark, sf_dir):
     return _assembled(spark, sf_dir, paging.Pager("link_header"))
 
 
-@query("token_pages", _oracle("token IS NULL", "token IS NOT NULL AND times > 1"))
+@query("token_pages", _oracle("token IS NULL", "token = asked"))
 def token_pages(spark, sf_dir):
     return _assembled(spark, sf_dir, paging.Pager("cursor", at="/next"))
 
 
-@query("token_pages_stop", _oracle("token IS NULL OR page_id % 13 = 0", "token IS NOT NULL AND times > 1"))
+@query("token_pages_stop", _oracle("token IS NULL OR page_id % 13 = 0", "token = asked"))
 def token_pages_stop(spark, sf_dir):
     failed = pointer_text(F.col("body"), "/failed") == "true"
     return _assembled(spark, sf_dir, paging.Pager("cursor", at="/next", stop_when=failed))
@@ -114,6 +114,52 @@ def url_pages(spark, sf_dir):
     return _assembled(spark, sf_dir, paging.Pager("request_path", header="x-next"))
 
 
+@query(
+    "url_pages_base",
+    """SELECT o_orderkey AS page_id, CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 2 = 0
+         THEN 'https://h/api/v2/items?p=' || o_orderkey ELSE 'http://other/x?p=' || o_orderkey END AS following FROM orders""",
+)
+def url_pages_base(spark, sf_dir):
+    """Next URLs under a configured base: joined with one slash, or whole."""
+    key = F.col("o_orderkey")
+    slash = F.when(key % 4 == 0, F.lit("/items?p=")).otherwise(F.lit("items?p="))
+    link = F.when(key % 2 == 0, F.concat(slash, key)).otherwise(F.concat(F.lit("http://other/x?p="), key))
+    return table(spark, sf_dir, "orders").select(
+        key.alias("page_id"),
+        paging.join_base(F.lit("https://h/api/v2/"), F.when(key % 7 != 0, link)).alias("following"),
+    )
+
+
+@query(
+    "pages_repeated_keys",
+    """WITH p AS (SELECT o_custkey AS seq_key, o_orderkey AS page_id,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS page_no FROM orders),
+       e AS (SELECT seq_key, min(page_no) FILTER (WHERE page_id % 7 = 0) AS stop FROM p GROUP BY seq_key)
+       SELECT seq_key, page_id, page_id AS id, 'last' AS kind FROM p JOIN e USING (seq_key) WHERE page_no <= coalesce(stop, 1000000)""",
+)
+def pages_repeated_keys(spark, sf_dir):
+    """Bodies whose rows and tokens repeat keys, nested ones too: the last one counts."""
+    from feedloom.functions.json import Field, with_document
+    from feedloom.operators.decode import rows_at
+
+    key = F.col("o_orderkey").cast("string")
+    token = F.when(F.col("o_orderkey") % 7 == 0, F.lit("null")).otherwise(F.concat(F.lit('"t'), key, F.lit('"')))
+    row = F.concat(F.lit('{"a":{"k":"first","k":"last"},"id":0,"id":'), key, F.lit("}"))
+    pages = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("seq_key"),
+        F.col("o_orderkey").alias("page_id"),
+        F.concat(F.lit('{"rows":['), row, F.lit('],"next":"x","next":'), token, F.lit("}")).alias("body"),
+    )
+    kept = paging.assemble_pages(pages, SEQ, paging.Pager("cursor", at="/next"), 1000)
+    rows = with_document(rows_at(kept, "body", "/rows", strict=True), "payload")
+    return rows.select(
+        "seq_key",
+        "page_id",
+        Field(F.col("_doc"), "id").number().cast("bigint").alias("id"),
+        Field(F.col("_doc"), "a.k").text().alias("kind"),
+    )
+
+
 @query("page_ceiling", _oracle("page_id % 7 = 0", limit=4))
 def page_ceiling(spark, sf_dir):
     return _assembled(spark, sf_dir, paging.Pager("link_header"), max_pages=4)

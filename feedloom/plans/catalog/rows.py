@@ -349,6 +349,52 @@ def split_pretty_body(spark, sf_dir):
     )
 
 
+# Texts that Python's parser takes, or ends on, and that are not JSON or no deeper record.
+_HOSTILE = (
+    '{"a":"[NaN]"}',
+    '{"a":"{\\"b\\":1e400}"}',
+    '{"a":"[\\"\\\\ud800\\"]"}',
+    '{"a":"[-Infinity]"}',
+    '{"a":"%s"}' % ("[" * 20_000 + "]" * 20_000),
+    '{"a":NaN,"b":"[1]"}',
+)
+
+
+@query(
+    "unwrap_hostile",
+    """SELECT doc_id, doc_id % 7 = 6 AS changed, CASE WHEN doc_id % 7 = 6 THEN md5(text) END AS digest FROM documents""",
+)
+def unwrap_hostile(spark, sf_dir):
+    """Six rows of seven hold what must stay as it is; the seventh holds its text in text."""
+    which = (F.col("doc_id") % 7).cast("int")
+    inner = F.to_json(F.struct(F.col("text").alias("t")))
+    record = F.when(which == 6, F.to_json(F.struct(inner.alias("a")))).otherwise(
+        F.get(F.array(*[F.lit(t) for t in _HOSTILE]), which)
+    )
+    bodies = table(spark, sf_dir, "documents").select("doc_id", record.alias("before"))
+    out = with_document(unwrap_nested_rows(bodies.withColumn("payload", F.col("before"))), "payload")
+    text = Field(F.col("_doc"), "a.t").text()
+    return out.select("doc_id", (F.col("payload") != F.col("before")).alias("changed"), F.md5(text).alias("digest"))
+
+
+@query(
+    "split_hostile",
+    """SELECT doc_id, CAST(p AS INT) AS part, doc_id % 4 = 3 AS whole FROM documents, (SELECT unnest([0, 1]) AS p)
+       WHERE p = 0 OR doc_id % 4 = 3""",
+)
+def split_hostile(spark, sf_dir):
+    """Two objects over several lines, of which one is no JSON or too deep on three bodies of four."""
+    which = (F.col("doc_id") % 4).cast("int")
+    bad = F.array(F.lit("NaN"), F.lit("1e400"), F.lit('{"b":' * 5_000 + "1" + "}" * 5_000), F.lit("2"))
+    text = F.to_json(F.struct(F.col("text").alias("t")))
+    body = F.concat(F.lit('{"n":\n1}\n{"v":\n'), F.get(bad, which), F.lit("}"))
+    bodies = table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(which == 3, F.concat(F.regexp_replace(text, "^.", "{\n"), F.lit("\n"), text)).otherwise(body).alias("payload")
+    )
+    parts = rules.split_body(bodies)
+    return parts.select("doc_id", "part", (which == 3).alias("whole"))
+
+
 @query(
     "unwrap_nested",
     """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_type AS inner_type, '{not json' AS note,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedloom.functions.json import Field, object_text
-from feedloom.functions.numbering import span_bucket
+from feedloom.functions.numbering import number_rows, running_sum, span_bucket
 from feedloom.operators import snapshot
 from feedloom.plans.catalog.base import query, table
 
@@ -21,7 +21,7 @@ DONE = "2024-02-01 00:05:00"
      frames AS (
        SELECT 'row' AS kind, row_number() OVER (ORDER BY n_nationkey) - 1 AS seq, payload AS record, NULL AS row_count, NULL AS completed_at FROM kept
        UNION ALL SELECT 'begin', 0, NULL, NULL, NULL
-       UNION ALL SELECT 'end', NULL, NULL, (SELECT count(*) FROM kept), '2024-02-01T00:05:00.000Z')
+       UNION ALL SELECT 'end', (SELECT count(*) FROM kept), NULL, (SELECT count(*) FROM kept), '2024-02-01T00:05:00.000Z')
     SELECT kind, CAST(seq AS BIGINT) AS seq, record, CAST(row_count AS BIGINT) AS row_count, completed_at,
       '2024-02-01T00:00:00.000Z' AS snapshot_at, 'geo.nation' AS store,
       left(t, 8) || '-' || t[9:12] || '-7' || d[1:3] || '-' ||
@@ -77,6 +77,50 @@ def _customer_frames(spark, sf_dir, span=100_000):
     )
 
 
+@query(
+    "snapshot_overfull",
+    """SELECT CAST(c_nationkey AS VARCHAR) AS snapshot_id,
+         CASE WHEN c_nationkey % 4 = 0 THEN 'complete' ELSE 'truncated' END AS status,
+         CAST(count(*) + CASE c_nationkey % 4 WHEN 1 THEN -1 WHEN 2 THEN 1 WHEN 3 THEN -count(*) ELSE 0 END AS BIGINT) AS expected,
+         CAST(count(*) AS BIGINT) AS seen FROM customer GROUP BY c_nationkey""",
+)
+def snapshot_overfull(spark, sf_dir):
+    """Snapshots with the rows announced, one more, one less, and none announced."""
+    customer = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation"), "c_custkey")
+    numbered = number_rows(customer, ["c_custkey"], ["nation"], span_bucket("c_custkey", 97), out="seq")
+    rows = numbered.select("nation", F.lit("row").alias("kind"), "seq", F.lit(None).cast("bigint").alias("row_count"))
+    wrong = F.col("nation") % 4
+    said = (
+        F.when(wrong == 1, F.col("n") - 1).when(wrong == 2, F.col("n") + 1).when(wrong == 3, F.lit(0)).otherwise(F.col("n"))
+    )
+    ends = customer.groupBy("nation").agg(F.count("*").alias("n")).select(
+        "nation", F.lit("end").alias("kind"), said.alias("seq"), said.alias("row_count")
+    )
+    frames = rows.union(ends).withColumn("snapshot_id", F.col("nation").cast("string"))
+    return snapshot.snapshot_status(frames)
+
+
+@query(
+    "number_null_keys",
+    """SELECT c_custkey, CASE WHEN c_nationkey % 3 > 0 THEN c_nationkey END AS nation,
+         row_number() OVER (PARTITION BY CASE WHEN c_nationkey % 3 > 0 THEN c_nationkey END ORDER BY c_custkey) - 1 AS seq,
+         coalesce(sum(c_nationkey) OVER (PARTITION BY CASE WHEN c_nationkey % 3 > 0 THEN c_nationkey END ORDER BY c_custkey
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM customer""",
+)
+def number_null_keys(spark, sf_dir):
+    """A third of the rows has no group: they are numbered and summed as one group."""
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(F.col("c_nationkey") % 3 > 0, F.col("c_nationkey")).alias("nation"),
+        F.col("c_nationkey").cast("bigint").alias("amount"),
+    )
+    span = span_bucket("c_custkey", 50)
+    numbered = number_rows(rows, ["c_custkey"], ["nation"], span, out="seq")
+    return running_sum(numbered, "amount", ["c_custkey"], ["nation"], span, "before").select(
+        "c_custkey", "nation", F.col("seq").cast("bigint").alias("seq"), F.col("before").cast("bigint").alias("before")
+    )
+
+
 @query(
     "snapshot_per_item",
     """WITH numbered AS (SELECT c_nationkey AS item_key, c_custkey,
@@ -84,7 +128,7 @@ def _customer_frames(spark, sf_dir, span=100_000):
              CAST(json_object('key', c_custkey, 'name', c_name) AS VARCHAR) AS record FROM customer)
        SELECT item_key, 'row' AS kind, CAST(seq AS BIGINT) AS seq, record, CAST(NULL AS BIGINT) AS row_count FROM numbered
        UNION ALL SELECT item_key, 'begin', 0, NULL, NULL FROM numbered GROUP BY item_key
-       UNION ALL SELECT item_key, 'end', NULL, NULL, count(*) FROM numbered GROUP BY item_key""",
+       UNION ALL SELECT item_key, 'end', count(*), NULL, count(*) FROM numbered GROUP BY item_key""",
 )
 def snapshot_per_item(spark, sf_dir):
     # A short span, so that the numbering across buckets is exercised on small tables too.

@@ -118,17 +118,19 @@ def window_steps(spark, sf_dir):
     """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS rfc3339,
         strftime(ts, '%Y-%m-%dT%H:%M:%S.') || lpad(CAST((epoch_us(ts) // 1000) % 1000 AS VARCHAR), 3, '0') || 'Z' AS rfc3339_millis,
         CAST(epoch_us(ts) // 1000000 AS VARCHAR) AS epoch, CAST(epoch_us(ts) // 1000 AS VARCHAR) AS epoch_millis,
-        strftime(ts, '%Y%m%d at %H:%M') AS pattern FROM events""",
+        strftime(ts, '%Y%m%d at %H:%M') AS pattern,
+        strftime(ts, '%H:%M:%S') || CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN '.120' ELSE '.240' END || 'Z' AS fraction FROM events""",
 )
 def bound_formats(spark, sf_dir):
     at = F.col("ts")
     return table(spark, sf_dir, "events").select(
         "event_id",
-        windows.format_bound(at, "rfc3339").alias("rfc3339"),
+        windows.format_bound(at).alias("rfc3339"),
         windows.format_bound(at, "rfc3339_millis").alias("rfc3339_millis"),
-        windows.format_bound(at, "epoch").alias("epoch"),
+        windows.format_bound(at, "epoch_secs").alias("epoch"),
         windows.format_bound(at, "epoch_millis").alias("epoch_millis"),
         windows.format_bound(at, "%Y%m%d at %H:%M").alias("pattern"),
+        windows.format_bound(F.date_trunc("second", at) + F.expr("make_interval(0, 0, 0, 0, 0, 0, (event_id % 3) * 0.12)"), "strftime:%H:%M:%S%.fZ").alias("fraction"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 RESULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # of a key that an object repeats, at any depth, the last one counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -22,11 +25,16 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's `spark.checkpoint.dir`; fall back to a private folder only where unset."""
+    """Use the cluster's `spark.checkpoint.dir`; a private folder only for a driver without executors.
+
+    Executors on other machines cannot see a folder of the driver's, so none is made up for them.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="feedloom-checkpoint-"))
 
 

@@ -62,7 +62,7 @@ def read_csv_rows(
         names, header=header, inferSchema=False, multiLine=True, quote='"', escape='"'
     )
     if not header:
-        table = table.toDF(*[f"col_{i + 1}" for i in range(len(table.columns))])
+        table = table.toDF(*[f"col_{i}" for i in range(len(table.columns))])
     return table.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in table.columns])).alias("payload"))
 
 

@@ -67,8 +67,8 @@ def fold_progress(progress: DataFrame) -> DataFrame:
         F.sum("seen").alias("seen"), F.max("high").alias("_high"), F.max("expected").alias("expected")
     )
     # `seen` counts distinct numbers, so seeing as many as the highest allows leaves no hole.
-    whole = (F.col("expected") == 0) | (
-        (F.col("seen") == F.col("_high") + 1) & (F.col("seen") >= F.col("expected"))
+    whole = (F.col("seen") == F.col("expected")) & (
+        (F.col("seen") == 0) | (F.col("_high") == F.col("expected") - 1)
     )
     return out.select(
         "snapshot_id",

@@ -242,7 +242,7 @@ def test_dump_reads_every_format_by_magic(spark, folder):
     assert got == {
         "a.jsonl": [{"id": 1}, {"id": 2}],
         "b.json.gz": [{"id": 3}],
-        "c.csv.gz": [{"id": "4", "n": "x"}, {"id": "5", "n": "y", "col_3": "z"}],
+        "c.csv.gz": [{"id": "4", "n": "x"}, {"id": "5", "n": "y", "col_2": "z"}],
         "d.jsonl": [{"id": 6}],
     }
 
