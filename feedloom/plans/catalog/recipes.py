@@ -7,13 +7,23 @@ from pyspark.sql import functions as F
 from feedloom.functions.json import Field, object_text, with_document
 from feedloom.functions.numbering import span_bucket
 from feedloom.plans.catalog.base import query, table
-from feedloom.plans.recipes import RECIPES, run_lookup, run_manifest, run_pages
+from feedloom.plans.recipes import (
+    RECIPES,
+    run_dump,
+    run_fold,
+    run_lookup,
+    run_manifest,
+    run_objects,
+    run_pages,
+    run_pull,
+    unit_steps,
+)
 
 
-def _page(spark, sf_dir, body, headers=None):
-    """Every order as one response page of its customer's sequence."""
+def _page(spark, sf_dir, body, headers=None, seq="o_custkey"):
+    """Every order as one response page of its customer's sequence, or of its own."""
     return table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("seq_key"),
+        F.col(seq).alias("seq_key"),
         F.lit("unit").alias("unit"),
         F.col("o_orderkey").alias("page_id"),
         F.concat(F.lit("https://h/api?p="), F.col("o_orderkey")).alias("url"),
@@ -134,7 +144,10 @@ def recipe_lookup(spark, sf_dir):
 def recipe_csv_manifest(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
     items = customer.filter(F.col("c_custkey") % 3 != 0).select(
-        "c_custkey", F.col("c_custkey").alias("position"), "c_mktsegment"
+        "c_custkey",
+        F.col("c_custkey").alias("position"),
+        "c_mktsegment",
+        F.floor(F.col("c_custkey") / 300).alias("listing"),
     )
     contents = customer.select(
         "c_custkey",
@@ -146,6 +159,7 @@ def recipe_csv_manifest(spark, sf_dir):
         RECIPES["salesforce"]["event_log_file"],
         "c_custkey",
         "position",
+        by=["listing"],
         add={"file": F.col("c_mktsegment")},
     )
     parsed = with_document(rows, "payload")
@@ -160,8 +174,7 @@ def recipe_csv_manifest(spark, sf_dir):
 
 @query(
     "recipe_columnar",
-    """SELECT o_orderkey AS page_id, o_orderstatus AS status, o_totalprice AS price FROM orders o
-       JOIN (SELECT o_custkey, min(o_orderkey) AS k FROM orders GROUP BY o_custkey) f ON f.k = o.o_orderkey""",
+    """SELECT o_orderkey AS page_id, o_orderstatus AS status, o_totalprice AS price FROM orders""",
 )
 def recipe_columnar(spark, sf_dir):
     body = F.concat(
@@ -171,7 +184,8 @@ def recipe_columnar(spark, sf_dir):
         F.col("o_totalprice").cast("decimal(14,2)").cast("string"),
         F.lit("]]}]}"),
     )
-    rows, _ = run_pages(_page(spark, sf_dir, body), RECIPES["azure"]["log_analytics"])
+    pages = _page(spark, sf_dir, body, seq="o_orderkey")
+    rows, _ = run_pages(pages, RECIPES["azure"]["log_analytics"])
     parsed = with_document(rows, "payload")
     doc = F.col("_doc")
     return parsed.select(
@@ -183,8 +197,8 @@ def recipe_columnar(spark, sf_dir):
 
 @query(
     "recipe_messages",
-    """SELECT o_orderkey AS page_id, 'ack' || o_orderkey AS ack_id, o_orderstatus AS status FROM orders o
-       JOIN (SELECT o_custkey, min(o_orderkey) AS k FROM orders GROUP BY o_custkey) f ON f.k = o.o_orderkey""",
+    """SELECT o_orderkey AS page_id, 'ack' || o_orderkey AS ack_id, o_orderstatus AS status FROM orders
+       WHERE o_orderkey % 6 <> 0""",
 )
 def recipe_messages(spark, sf_dir):
     data = F.base64(object_text({"status": F.col("o_orderstatus")}).cast("binary"))
@@ -192,9 +206,175 @@ def recipe_messages(spark, sf_dir):
         F.concat(F.lit("ack"), F.col("o_orderkey")).alias("ackId"),
         F.struct(data.alias("data")).alias("message"),
     )
-    body = F.to_json(F.struct(F.array(message).alias("receivedMessages")))
-    rows, _ = run_pages(_page(spark, sf_dir, body), RECIPES["gcp_pubsub"]["pull"])
+    # every sixth pull is empty, and the queue goes on all the same
+    some = F.to_json(F.struct(F.array(message).alias("receivedMessages")))
+    body = F.when(F.col("o_orderkey") % 6 == 0, F.lit("{}")).otherwise(some)
+    rows = run_pull(_page(spark, sf_dir, body), RECIPES["gcp_pubsub"]["pull"])
     parsed = with_document(rows, "payload")
     return parsed.select(
         "page_id", "ack_id", Field(F.col("_doc"), "status").text().alias("status")
     )
+
+
+@query(
+    "recipe_ceiling_report",
+    """WITH p AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS n FROM orders),
+       e AS (SELECT o_custkey, min(n) FILTER (WHERE o_orderkey % 23 = 0) AS stop, max(n) AS last FROM p GROUP BY o_custkey),
+       s AS (SELECT o_custkey, CASE WHEN coalesce(stop, last) >= 10 THEN 'over' ELSE 'read' END AS kind, least(coalesce(stop, last), 9) AS upto FROM e)
+       SELECT unit, o_custkey AS seq_key, CASE WHEN kind = 'read' THEN 'read' WHEN unit = 'scc' THEN 'cut' ELSE 'ceiling' END AS status,
+         CAST(CASE WHEN kind = 'over' AND unit = 'cloud_logging' THEN 0 ELSE upto + 1 END AS BIGINT) AS rows
+       FROM s, (VALUES ('cloud_logging'), ('scc')) u(unit)""",
+)
+def recipe_ceiling_report(spark, sf_dir):
+    """Sequences over the ceiling of ten pages: a windowed unit fails, a current state is cut; both are named."""
+    key = F.col("o_orderkey")
+    out = None
+    for unit, at in (("cloud_logging", "entries"), ("scc", "listFindingsResults")):
+        token = F.when(key % 23 != 0, F.concat(F.lit("t"), key))
+        body = F.to_json(F.struct(F.array(F.struct(key.alias("id"))).alias(at), token.alias("nextPageToken")))
+        rows, problems = run_pages(_page(spark, sf_dir, body), RECIPES["gcp"][unit])
+        read = rows.groupBy("seq_key").agg(F.count("*").alias("rows"))
+        named = read.join(problems.select("seq_key", "status"), "seq_key", "full").select(
+            F.lit(unit).alias("unit"),
+            "seq_key",
+            F.coalesce("status", F.lit("read")).alias("status"),
+            F.coalesce("rows", F.lit(0)).alias("rows"),
+        )
+        out = named if out is None else out.unionByName(named)
+    return out
+
+
+@query(
+    "recipe_stops",
+    """WITH p AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS n FROM orders),
+       e AS (SELECT o_custkey, min(n) FILTER (WHERE o_orderkey % 5 = 0) AS stop FROM p GROUP BY o_custkey)
+       SELECT o_custkey AS seq_key, o_orderkey AS page_id FROM p JOIN e USING (o_custkey) WHERE n <= coalesce(stop, 1000000)""",
+)
+def recipe_stops(spark, sf_dir):
+    """Pages whose cursor never ends: `has_more` does."""
+    key = F.col("o_orderkey")
+    body = F.to_json(
+        F.struct(
+            F.array(F.struct(key.alias("id"))).alias("items"),
+            F.concat(F.lit("c"), key).alias("cursor"),
+            (key % 5 != 0).alias("has_more"),
+        )
+    )
+    rows, _ = run_pages(_page(spark, sf_dir, body), RECIPES["onepassword"]["item_usages"])
+    return rows.select("seq_key", "page_id")
+
+
+@query(
+    "recipe_objects",
+    """WITH o AS (SELECT o_orderkey, 'in/' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS path, CAST(o_orderdate AS TIMESTAMP) AS position FROM orders),
+       past AS (SELECT *, row_number() OVER (ORDER BY position, path) AS n FROM o
+         WHERE (position > TIMESTAMP '1996-01-01' OR (position = TIMESTAMP '1996-01-01' AND path > 'in/000000700'))
+           AND position < TIMESTAMP '1998-01-01 00:05:00' - INTERVAL 300 SECOND)
+       SELECT path, CAST(p AS INT) AS part, strftime(position, '%Y-%m-%dT%H:%M:%S.000Z') AS modified,
+         CASE p WHEN 0 THEN CAST(o_orderkey AS VARCHAR) END AS id, CASE p WHEN 1 THEN 'not json' END AS raw
+       FROM past, (SELECT unnest([0, 1]) AS p) WHERE n <= 1000""",
+)
+def recipe_objects(spark, sf_dir):
+    """Objects past a marker and settled, the oldest thousand; odd ones are gzip, the names say nothing."""
+    import gzip
+
+    @F.udf("binary")
+    def squeezed(text, odd):
+        data = text.encode()
+        return gzip.compress(data, mtime=0) if odd else data
+
+    key = F.col("o_orderkey")
+    path = F.concat(F.lit("in/"), F.lpad(key.cast("string"), 9, "0"))
+    orders = table(spark, sf_dir, "orders")
+    objects = orders.select(path.alias("path"), F.col("o_orderdate").cast("timestamp").alias("position"), key.alias("size"))
+    text = F.concat(F.lit('{"id":"'), key, F.lit('"}\n\nnot json\n'))
+    contents = orders.select(path.alias("path"), squeezed(text, key % 2 == 1).alias("body"))
+    rows, _ = run_objects(
+        objects,
+        contents,
+        RECIPES["object_store"]["json_gz"],
+        ("1996-01-01", "in/000000700"),
+        "1998-01-01 00:05:00",
+        "s3",
+        "bucket",
+    )
+    parsed = with_document(rows, "payload")
+    doc = F.col("_doc")
+    raw = Field(doc, "_raw_line").text()
+    return parsed.select(
+        Field(doc, "_object.key").text().alias("path"),
+        F.when(raw.isNull(), 0).otherwise(1).cast("int").alias("part"),
+        Field(doc, "_object.last_modified").text().alias("modified"),
+        Field(doc, "id").text().alias("id"),
+        raw.alias("raw"),
+    )
+
+
+@query(
+    "recipe_dump",
+    """WITH n AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS seq FROM customer)
+       SELECT 'row' AS kind, seq, c_custkey AS service_id FROM n
+       UNION ALL SELECT 'begin', 0, NULL UNION ALL SELECT 'end', count(*), NULL FROM n""",
+)
+def recipe_dump(spark, sf_dir):
+    """A store's rows, twenty-five lines a body, as one snapshot."""
+    line = F.concat(F.lit('{"service_id":'), "c_custkey", F.lit("}"))
+    bodies = (
+        table(spark, sf_dir, "customer")
+        .select(F.floor(F.col("c_custkey") / 25).alias("part"), F.col("c_custkey"), line.alias("line"))
+        .groupBy("part")
+        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "line"))), lambda x: x["line"]), "\n").alias("body"))
+    )
+    lines = bodies.select("part", F.posexplode(F.split("body", "\n")).alias("pos", "body"))
+    frames = run_dump(
+        lines.withColumn("at", F.col("part") * 25 + F.col("pos")),
+        RECIPES["runzero"]["services"],
+        "c.services",
+        "2024-02-01",
+        "2024-02-01 00:05:00",
+        "run-1",
+        ["at"],
+        span_bucket("at", 300),
+    )
+    parsed = with_document(frames, "record")
+    return parsed.select(
+        "kind", "seq", Field(F.col("_doc"), "service_id").number().cast("bigint").alias("service_id")
+    )
+
+
+@query(
+    "recipe_fold",
+    """WITH n AS (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS i FROM part)
+       SELECT p_brand, '{"versions":[' || string_agg('"v' || p_partkey || '"', ',' ORDER BY p_partkey) || '],"version_info":{'
+         || string_agg('"v' || p_partkey || '":{"Version":"v' || p_partkey || '"}', ',' ORDER BY p_partkey) || '}}' AS payload
+       FROM n WHERE i <= 100 GROUP BY p_brand""",
+)
+def recipe_fold(spark, sf_dir):
+    """The first hundred listed versions of each key, each its own document, folded into one record."""
+    listed = table(spark, sf_dir, "part").select(
+        "p_brand", F.col("p_partkey").alias("place"), F.concat(F.lit("v"), F.col("p_partkey")).alias("line")
+    )
+    documents = listed.select("p_brand", "line", object_text({"Version": F.col("line")}).alias("body"))
+    folded, _ = run_fold(listed, documents, RECIPES["go_modules"]["metadata"], "p_brand", "line", "place")
+    return folded
+
+
+@query(
+    "recipe_steps",
+    """WITH c AS (SELECT c_custkey, TIMESTAMP '2024-01-01' + to_hours(CAST(c_custkey % 50 AS INTEGER)) AS a, TIMESTAMP '2024-01-05 12:00:00' AS now FROM customer),
+       w AS (SELECT c_custkey, a, least(now, a + INTERVAL 30 HOUR) AS b FROM c),
+       s AS (SELECT c_custkey, unnest(generate_series(a, b - INTERVAL 1 MICROSECOND, INTERVAL 24 HOUR)) AS f, b FROM w)
+       SELECT c_custkey, strftime(f, '%Y-%m-%dT%H:%M:%S') AS start_text, strftime(least(f + INTERVAL 24 HOUR, b), '%Y-%m-%dT%H:%M:%S') AS end_text FROM s""",
+)
+def recipe_steps(spark, sf_dir):
+    """Windows of thirty hours in steps of a day, as a content feed asks for them."""
+    customer = table(spark, sf_dir, "customer")
+    units = customer.select(
+        F.col("c_custkey").alias("cursor_key"), F.lit(30).alias("default_hours"), F.lit(60).alias("interval_secs")
+    )
+    hours = F.expr("make_interval(0, 0, 0, 0, cast(c_custkey % 50 as int), 0, 0)")
+    cursors = customer.select(
+        F.col("c_custkey").alias("cursor_key"), (F.lit("2024-01-01").cast("timestamp") + hours).alias("last_fetch_end")
+    )
+    steps = unit_steps(units, cursors, RECIPES["m365"]["dlp"], "2024-01-05 12:00:00")
+    return steps.select(F.col("cursor_key").alias("c_custkey"), "start_text", "end_text")

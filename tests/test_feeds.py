@@ -291,3 +291,15 @@ def test_tail_query_text():
         "(\"ts\" = TIMESTAMP '2024-01-01 00:00:00.000000' AND \"id\" > 'a''b') "
         "ORDER BY \"ts\", \"id\" FETCH FIRST 10 ROWS ONLY"
     )
+
+
+def test_every_declared_field_of_a_recipe_is_read():
+    import dataclasses
+    import inspect
+
+    from feedloom.plans import recipes
+
+    source = inspect.getsource(recipes)
+    for name in (f.name for f in dataclasses.fields(recipes.Recipe)):
+        assert f"recipe.{name}" in source or f"self.{name}" in source, name
+    assert sum(len(units) for units in recipes.RECIPES.values()) > 100
