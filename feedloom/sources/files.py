@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions.json import as_column
 from feedloom.operators import decode
 from feedloom.operators.listing import past
 
-# JSON-lines files above this size are read as splittable text instead of whole.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
+# JSON-lines files above this size are split over tasks; the rows are the same either way.
+WHOLE_FILE_BYTES = 256 << 20
+# Any other body is one value of a row, which has this bound; a larger one is reported, not read.
+MAX_BODY_BYTES = (1 << 31) - (1 << 20)
 
 
 def read_ndjson(
@@ -96,70 +99,88 @@ def _files(spark: SparkSession, globs: str | Sequence[str], marker: tuple[Any, s
     return out
 
 
-def read_dump(
-    spark: SparkSession,
-    globs: str | Sequence[str],
-    marker: tuple[Any, str] | None = None,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
-) -> DataFrame:
-    """Rows of every listed file: `path`, `position`, `pos`, `payload`, `error`.
-
-    Gzip is found by its magic, whatever the name. A file that cannot be read gives a row
-    with `error`; pass the result to `sound_prefix` to stop before the first of them.
-    JSON-lines files above `whole_file_bytes` are read as text, split over tasks, with gzip
-    by name.
-    """
-    files = _files(spark, globs, marker)
-    # `decoder_of` raises for a name it does not know; files too large to hold are text.
-    listed = files.withColumn("_decoder", decode.decoder_of(F.col("path")))
-    whole = listed.filter(
-        (F.col("size") <= whole_file_bytes) | (F.col("_decoder") != "ndjson")
-    )
-    bodies = decode.inflate(whole, "content").withColumnRenamed("error", "_broken")
-    bodies = bodies.withColumn("_body", F.make_valid_utf8(F.col("content").cast("string"))).drop("content")
-    keep = ["path", "position", "pos", "payload", "error"]
-
-    broken = bodies.filter(F.col("_broken").isNotNull()).select(
+def _failed(df: DataFrame, why: Column) -> DataFrame:
+    return df.select(
         "path",
         "position",
         F.lit(None).cast("int").alias("pos"),
         F.lit(None).cast("string").alias("payload"),
-        F.col("_broken").alias("error"),
+        why.alias("error"),
     )
-    good = bodies.filter(F.col("_broken").isNull())
-    lines = (
-        good.filter(F.col("_decoder") == "ndjson")
-        .select("path", "position", F.posexplode(F.split("_body", "\n")).alias("pos", "payload"))
-        .withColumn("payload", F.regexp_replace("payload", r"^\s+|\s+$", ""))
-        .filter(F.col("payload") != "")
-        .withColumn("error", F.lit(None).cast("string"))
-    )
-    arrays = decode.explode_array(good.filter(F.col("_decoder") == "json"), "_body", strict=False)
-    tables = decode.decode_csv(good.filter(F.col("_decoder") == "csv"), "_body")
-    out = broken.unionByName(lines.select(*keep))
-    out = out.unionByName(arrays.select(*keep)).unionByName(tables.select(*keep))
 
-    names = globs if isinstance(globs, str) else list(globs)
-    text = spark.read.text(names).select(
+
+def _line_rows(df: DataFrame) -> DataFrame:
+    """Trimmed lines that are not blank; `pos` has counted all."""
+    trimmed = df.withColumn("payload", F.regexp_replace("payload", r"^\s+|\s+$", ""))
+    rows = trimmed.filter(F.col("payload") != "")
+    return rows.select("path", "position", "pos", "payload", F.lit(None).cast("string").alias("error"))
+
+
+def _split_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines of large files, split over tasks, numbered in each file as if read whole.
+
+    Lines follow each other within a split, so a line's number is that of its split's first line,
+    from a count by split, plus its place there. Bytes of a gzip file under another name are an error.
+    """
+    lines = spark.read.text(paths, lineSep="\n").select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_modification_time").alias("position"),
-        F.col("_metadata.file_size").alias("_size"),
         F.col("_metadata.file_block_start").alias("_start"),
-        F.regexp_replace("value", r"^\s+|\s+$", "").alias("payload"),
+        F.col("value").alias("payload"),
+        F.monotonically_increasing_id().alias("_id"),
     )
-    text = text.filter(
-        (F.col("_size") > whole_file_bytes)
-        & F.lower("path").rlike(r"\.(jsonl|ndjson)(\.gz)?$")
-        & (F.col("payload") != "")
+    splits = lines.groupBy("path", "_start").agg(
+        F.count(F.lit(1)).alias("_lines"),
+        F.min("_id").alias("_first"),
+        F.min_by("payload", "_id").startswith("\x1f").alias("_packed"),
     )
-    if marker is not None:
-        after = as_column(marker[0]).cast("timestamp")
-        text = text.filter(past(F.col("position"), F.col("path"), after, F.lit(marker[1])))
-    large = text.select(
-        "path",
-        "position",
-        F.lit(None).cast("int").alias("pos"),
-        "payload",
-        F.lit(None).cast("string").alias("error"),
+    along = Window.partitionBy("path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    before = splits.withColumn("_before", F.coalesce(F.sum("_lines").over(along), F.lit(0))).withColumn(
+        "_packed", F.max(F.col("_packed") & (F.col("_start") == 0)).over(Window.partitionBy("path"))
+    )
+    placed = lines.join(before, ["path", "_start"]).withColumn(
+        "pos", (F.col("_before") + F.col("_id") - F.col("_first")).cast("int")
     )
-    return out.unionByName(large)
+    packed = placed.filter(F.col("_packed") & (F.col("pos") == 0))
+    wrong = _failed(packed, F.lit("gzip content under a name that does not end in .gz"))
+    return _line_rows(placed.filter(~F.col("_packed"))).unionByName(wrong)
+
+
+def read_dump(
+    spark: SparkSession,
+    globs: str | Sequence[str],
+    marker: tuple[Any, str] | None = None,
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
+) -> DataFrame:
+    """Rows of every listed file: `path`, `position`, `pos`, `payload`, `error`.
+
+    Gzip is found by its magic, whatever the name. A file that cannot be read gives a row with
+    `error`; pass the result to `sound_prefix` to stop before the first of them. JSON-lines files
+    above `whole_file_bytes` are split over tasks and give the same rows, except that gzip needs its
+    name there (else an `error`); of other files those over MAX_BODY_BYTES give an `error`. Sizes
+    come from the listing, and no content is loaded to be thrown away.
+    """
+    # `decoder_of` raises for a name it does not know
+    files = _files(spark, globs, marker).withColumn("_decoder", decode.decoder_of(F.col("path")))
+    lined = F.col("_decoder") == "ndjson"
+    large = [
+        r["path"]
+        for r in files.filter((F.col("size") > whole_file_bytes) & lined).select("path").distinct().collect()
+    ]
+    bound = max(whole_file_bytes, MAX_BODY_BYTES)
+    whole = files.filter(F.col("size") <= bound).filter(~lined | (F.col("size") <= whole_file_bytes))
+    bodies = decode.inflate(whole, "content").withColumnRenamed("error", "_broken")
+    bodies = bodies.withColumn("_body", F.make_valid_utf8(F.col("content").cast("string"))).drop("content")
+    good = bodies.filter(F.col("_broken").isNull())
+    lines = good.filter(lined).select("path", "position", F.posexplode(F.split("_body", "\n")).alias("pos", "payload"))
+    keep = ["path", "position", "pos", "payload", "error"]
+    parts = [
+        _failed(bodies.filter(F.col("_broken").isNotNull()), F.col("_broken")),
+        _failed(files.filter((F.col("size") > bound) & ~lined), F.lit(f"file of more than {bound} bytes")),
+        _line_rows(lines),
+        decode.explode_array(good.filter(F.col("_decoder") == "json"), "_body", strict=False).select(*keep),
+        decode.decode_csv(good.filter(F.col("_decoder") == "csv"), "_body").select(*keep),
+    ]
+    if large:
+        parts.append(_split_lines(spark, large))
+    return reduce(DataFrame.unionByName, parts)

@@ -252,6 +252,24 @@ def test_large_json_lines_are_read_as_text(spark, folder):
     assert sorted(json.loads(r["payload"])["id"] for r in rows.collect()) == [1, 2]
 
 
+def test_a_size_changes_no_row(spark, folder):
+    text = "\n".join("" if i % 7 == 3 else f' {{"id":{i}}}' for i in range(5000))
+    (folder / "e.jsonl").write_text(text)
+    (folder / "f.ndjson.gz").write_bytes(gzip.compress(text.encode()))
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        names = [f"{folder}/{n}" for n in ("a.jsonl", "e.jsonl", "f.ndjson.gz", "b.json.gz")]
+        key = lambda r: (os.path.basename(r["path"]), r["position"], r["pos"], r["payload"], r["error"])
+        whole = sorted(map(key, files.read_dump(spark, names).collect()), key=str)
+        split = sorted(map(key, files.read_dump(spark, names, whole_file_bytes=1).collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    assert whole == split and len(whole) > 8000
+    hidden = files.read_dump(spark, f"{folder}/d.jsonl", whole_file_bytes=1).collect()
+    assert [(r["payload"], r["error"][:4]) for r in hidden] == [(None, "gzip")]
+
+
 def test_bad_file_fails_only_from_itself_on(spark, folder):
     data = (folder / "b.json.gz").read_bytes()
     (folder / "b.json.gz").write_bytes(data[:-12])
