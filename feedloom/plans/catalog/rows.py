@@ -427,3 +427,107 @@ def unwrap_nested(spark, sf_dir):
         Field(doc, "note").text().alias("note"),
         (F.col("payload") != F.col("before")).alias("changed"),
     )
+
+
+# --- whole feeds ------------------------------------------------------------------------
+
+
+@query(
+    "feed_incremental",
+    """WITH b AS (SELECT doc_id, text, lang, CASE doc_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 1 END AS parts,
+           strlen(CAST(json_object('id', doc_id, 'lang', lang, 'text', text) AS VARCHAR)) AS size FROM documents),
+       o AS (SELECT *, size * parts + parts - 1 > 4096 AS over FROM b),
+       p AS (SELECT doc_id, lang, over, unnest(range(parts)) AS part FROM o)
+       SELECT CASE WHEN over THEN 'dead' WHEN lang = 'fr' AND parts = 1 THEN 'filtered' ELSE 'sent' END AS outcome,
+         CASE WHEN over THEN NULL WHEN parts = 2 THEN 'lake' WHEN lang = 'de' THEN 'german' ELSE 'lake' END AS destination,
+         CAST(count(*) AS BIGINT) AS rows, CAST(sum(doc_id) AS BIGINT) AS ids
+       FROM (SELECT doc_id, lang, over, parts, unnest(range(CASE WHEN over THEN 1 ELSE parts END)) FROM o) GROUP BY ALL""",
+)
+def feed_incremental(spark, sf_dir):
+    """Documents as bodies of one object, two lines, or an object with a nested one in text; large ones are dead letters."""
+    from feedloom.plans.feed import land_feed
+
+    docs = table(spark, sf_dir, "documents")
+    record = F.to_json(F.struct(F.col("doc_id").alias("id"), "lang", "text"))
+    body = F.when(F.col("doc_id") % 3 == 1, F.concat(record, F.lit("\n"), record)).otherwise(record)
+    rows = docs.select("doc_id", body.alias("payload"), F.lit("org-1").alias("org_id"))
+    spec = FeedSpec(
+        "docs",
+        "texts",
+        "texts",
+        keep=lambda doc: Field(doc, "lang").text() != "fr",
+        routes=(rules.RouteRule("lang", "de", ("german",)),),
+        defaults=("lake",),
+    )
+    landed = land_feed(rows, spec, "ts", "org_id", 1_700_000_000_000, max_bytes=4096)
+    sent = landed.rows.select(
+        F.when(F.col("kept"), F.lit("sent")).otherwise(F.lit("filtered")).alias("outcome"), "destination", "doc_id"
+    )
+    dead = landed.dead.select(F.lit("dead").alias("outcome"), F.lit(None).cast("string").alias("destination"), "doc_id")
+    both = sent.unionByName(dead).groupBy("outcome", "destination")
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.sum("doc_id").alias("ids"))
+
+
+@query(
+    "feed_dump",
+    """WITH b AS (SELECT doc_id, lang, strlen(CAST(json_object('id', doc_id, 'lang', lang, 'text', text) AS VARCHAR)) AS size FROM documents),
+       k AS (SELECT *, size > 4096 AS over FROM b WHERE size > 4096 OR lang <> 'fr'),
+       n AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS seq FROM k)
+       SELECT CASE WHEN over THEN 'oversize' ELSE 'row' END AS kind, seq, CASE WHEN over THEN CAST(doc_id AS VARCHAR) END AS row_key,
+         CASE WHEN over THEN size END AS bytes, CASE WHEN over THEN least(size, 65536) END AS copied FROM n
+       UNION ALL SELECT 'begin', 0, NULL, NULL, NULL UNION ALL SELECT 'end', count(*), NULL, NULL, NULL FROM n""",
+)
+def feed_dump(spark, sf_dir):
+    """Documents as a dump: French ones are filtered, large ones stubs with their copy among the dead letters."""
+    from feedloom.functions.numbering import span_bucket
+    from feedloom.plans.feed import land_feed
+
+    docs = table(spark, sf_dir, "documents")
+    record = F.to_json(F.struct(F.col("doc_id").alias("id"), "lang", "text"))
+    rows = docs.select("doc_id", record.alias("payload"), F.lit("org-1").alias("org_id"))
+    spec = FeedSpec(
+        "docs",
+        "texts",
+        "texts",
+        shape="dump",
+        row_key="/id",
+        keep=lambda doc: Field(doc, "record.lang").text() != "fr",
+        defaults=("lake",),
+    )
+    landed = land_feed(
+        rows,
+        spec,
+        "ts",
+        "org_id",
+        1_700_000_000_000,
+        max_bytes=4096,
+        order=["doc_id"],
+        bucket=span_bucket("doc_id", 200),
+        at="2024-02-01",
+        completed_at="2024-02-01 00:05:00",
+        run="run-1",
+    )
+    copies = landed.dead.select(
+        F.col("doc_id").cast("string").alias("row_key"), F.octet_length("copy").cast("bigint").alias("copied")
+    )
+    frames = landed.rows.select("kind", "seq", "row_key", "bytes", "out_topic")
+    return frames.join(copies, "row_key", "left").select("kind", "seq", "row_key", "bytes", "copied")
+
+
+@query(
+    "feed_report",
+    """WITH b AS (SELECT lang, strlen(CAST(json_object('id', doc_id, 'lang', lang, 'text', text) AS VARCHAR)) > 4096 AS over FROM documents)
+       SELECT CAST(count(*) FILTER (WHERE NOT over AND lang <> 'fr') AS BIGINT) AS rows,
+         CAST(count(*) FILTER (WHERE NOT over AND lang = 'fr') AS BIGINT) AS filtered,
+         CAST(count(*) FILTER (WHERE over) AS BIGINT) AS oversize FROM b""",
+)
+def feed_report(spark, sf_dir):
+    """What one tick over all documents reports."""
+    from feedloom.plans.feed import land_feed
+
+    docs = table(spark, sf_dir, "documents")
+    record = F.to_json(F.struct(F.col("doc_id").alias("id"), "lang", "text"))
+    rows = docs.select("doc_id", record.alias("payload"), F.lit("org-1").alias("org_id"))
+    spec = FeedSpec("docs", "texts", "texts", keep=lambda doc: Field(doc, "lang").text() != "fr", defaults=("lake", "copy"))
+    landed = land_feed(rows, spec, "ts", "org_id", 1_700_000_000_000, max_bytes=4096)
+    return landed.report.select("rows", "filtered", "oversize")
