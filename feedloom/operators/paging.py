@@ -23,6 +23,7 @@ from feedloom.functions.json import (
     scalar_text,
 )
 from feedloom.functions.numbering import number_rows, previous, running_sum, span_bucket
+from feedloom.session import cut_lineage
 
 PAGE_SPAN = 10_000
 
@@ -207,7 +208,9 @@ def assemble_pages(
     Everything is decided on the signals; the bodies are moved once, by the join at the
     end, whose key is unique per page.
     """
-    judged = _judge(_signals(pages, seq, pager), seq, pager)
+    # The signals are a few bytes a page and are read by every branch below; the bodies are parsed
+    # for them once.
+    judged = _judge(cut_lineage(_signals(pages, seq, pager)), seq, pager)
     stop = F.col("_ends") | F.col("_loop")
     ends = judged.groupBy(*seq).agg(
         F.min(F.when(stop, F.struct("page_no", "_loop"))).alias("_first"),
