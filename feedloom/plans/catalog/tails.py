@@ -153,6 +153,41 @@ def fold_marks(spark, sf_dir):
     )
 
 
+@query(
+    "fold_all_marks",
+    """WITH m AS (SELECT 'u' || (o_custkey % 3) AS unit, o_orderkey, 'f' || (o_custkey % 7) AS file_id, o_orderkey * 10 AS off FROM orders WHERE o_custkey % 3 < 2),
+       l AS (SELECT unit, file_id, max(off) AS off, min(o_orderkey) AS seen FROM m WHERE unit = 'u0' AND o_orderkey % 4 <> 0 GROUP BY ALL),
+       v AS (SELECT unit, string_agg(file_id || ':' || off, ',' ORDER BY seen) AS lines FROM l GROUP BY unit),
+       a AS (SELECT unit, count(*) AS acks FROM m WHERE unit = 'u1' OR o_orderkey % 4 = 0 GROUP BY unit)
+       SELECT a.unit, CASE a.unit WHEN 'u0' THEN 'line' ELSE 'ack' END AS kind, false AS inconsistent, lines,
+         CAST(acks AS BIGINT) AS acks, CAST(ceil(acks / 500) AS BIGINT) AS batches FROM a LEFT JOIN v USING (unit)""",
+)
+def fold_all_marks(spark, sf_dir):
+    """A unit of lines with acknowledgements beside them, and one of acknowledgements alone."""
+    orders = table(spark, sf_dir, "orders").filter(F.col("o_custkey") % 3 < 2)
+    acks = (F.col("o_custkey") % 3 == 1) | (F.col("o_orderkey") % 4 == 0)
+    mark = F.struct(
+        F.when(acks, F.lit("ack")).otherwise(F.lit("line")).alias("kind"),
+        F.lit(None).cast("array<string>").alias("keyset"),
+        F.lit(None).cast("date").alias("item_position"),
+        F.lit(None).cast("string").alias("item_key"),
+        F.concat(F.lit("f"), F.col("o_custkey") % 7).alias("file_id"),
+        (F.col("o_orderkey") * 10).alias("end_offset"),
+        F.when(acks, F.concat(F.lit("a"), F.col("o_orderkey"))).alias("ack_id"),
+    )
+    marked = orders.select(
+        F.concat(F.lit("u"), F.col("o_custkey") % 3).alias("unit"), F.col("o_orderkey").alias("arrival"), mark.alias("mark")
+    )
+    ids = checkpoint.ack_batches(marked.select("unit", F.col("mark.ack_id").alias("ack_id")), ["unit"])
+    per = ids.groupBy("unit").agg(
+        F.count("ack_id").alias("acks"), (F.max("batch_no") + 1).alias("batches")
+    )
+    pair = F.transform("lines", lambda f: F.concat(f["file_id"], F.lit(":"), f["end_offset"]))
+    lines = checkpoint.fold_lines(marked).select("unit", F.array_join(pair, ",").alias("lines"))
+    folded = checkpoint.fold_marks(marked).select("unit", "kind", "inconsistent")
+    return folded.join(lines, "unit", "left").join(per, "unit", "left")
+
+
 @query(
     "mixed_marks",
     """SELECT 'u' || (o_custkey % 3) AS unit,

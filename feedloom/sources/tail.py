@@ -78,18 +78,23 @@ class LineTailReader(DataSourceStreamReader):
             raise ValueError("identity is 'checksum' or 'inode'")
 
     def _ends(self) -> dict:
-        ends = {}
+        found = []
         for path in sorted({p for g in self.include for p in glob.glob(g)}):
             if any(fnmatch.fnmatch(path, g) for g in self.exclude) or not os.path.isfile(path):
                 continue
             state = os.stat(path)
-            if self.identity == "inode":
-                key = f"{state.st_dev:x}-{state.st_ino:x}"
-            else:
-                key = fingerprint(path, self.header)
-            if key is None or key in ends:
-                continue
-            ends[key] = {"path": path, "end": last_break(path, state.st_size)}
+            node = f"{state.st_dev:x}-{state.st_ino:x}"
+            key = node if self.identity == "inode" else fingerprint(path, self.header)
+            if key is not None:
+                found.append((path, key, node, state.st_size))
+        nodes: dict[str, set[str]] = {}
+        for _, key, node, _ in found:
+            nodes.setdefault(key, set()).add(node)
+        ends = {}
+        for path, key, node, size in found:
+            # files that begin alike are told apart by inode: one may be read twice, none is lost
+            key = key if len(nodes[key]) == 1 else f"{key}-{node}"
+            ends.setdefault(key, {"path": path, "end": last_break(path, size)})
         return ends
 
     def initialOffset(self) -> dict:

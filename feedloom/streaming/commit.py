@@ -14,10 +14,23 @@ class InconsistentMarks(RuntimeError):
     """A unit carries marks of two kinds; nothing of it may be committed."""
 
 
+def _mark_fields(marked: DataFrame) -> set[str]:
+    return set(marked.schema["mark"].dataType.names)
+
+
 def checkpoint_rows(marked: DataFrame, instance: str, connection: str, now: str) -> DataFrame:
-    """Checkpoint rows of one batch: one per unit, over all marks that were read."""
+    """Checkpoint rows of one batch: one per unit, over all marks that were read.
+
+    The value has the key tuple, the item or the offset of every file that the batch read lines of.
+    Units with acknowledgements alone have no value to resume from, but a row that counts them.
+    """
     folded = checkpoint.fold_marks(marked)
-    value = F.to_json(F.struct("kind", "keyset", "item"))
+    parts = ["kind", "keyset", "item"]
+    if {"file_id", "end_offset"} <= _mark_fields(marked):
+        lines = checkpoint.fold_lines(marked).withColumnRenamed("unit", "_of")
+        folded = folded.join(lines, F.col("unit").eqNullSafe(F.col("_of")), "left").drop("_of")
+        parts.append("lines")
+    value = F.to_json(F.struct(*parts))
     return folded.filter(F.col("kind").isNotNull() | F.col("inconsistent")).select(
         checkpoint.cursor_key(F.lit(instance), F.lit(connection), F.col("unit")).alias(
             "cursor_key"
@@ -40,9 +53,13 @@ def run_batch(
     clock: Callable[[], str],
     topic: str = "topic",
     sink_columns: Sequence[str] | None = None,
+    acknowledge: Callable[[DataFrame], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` function: land, write the sink, then append the checkpoint.
 
+    Then `acknowledge` gets the ids that the batch's marks carry (unit, ack_id, batch_no): a queue
+    may forget its messages only once they are written.
+
     A batch has a folder of its own that is overwritten when the batch runs again, so a
     replay after a failure does not leave a row twice in the folder. Readers that follow
     the topic meanwhile may see rows again: delivery is at least once.
@@ -63,6 +80,9 @@ def run_batch(
                 f"{sink_path}/batch={batch_id}"
             )
             checkpoint.commit(marks, checkpoint_path)
+            if acknowledge is not None:
+                ids = df.select("unit", F.col("mark.ack_id").alias("ack_id"))
+                acknowledge(checkpoint.ack_batches(ids, ["unit"]))
         finally:
             df.unpersist()
 

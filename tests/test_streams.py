@@ -224,3 +224,46 @@ def test_streamed_reassembly_agrees_with_the_batch_status(spark, tmp_path):
     want = {tuple(r) for r in snapshot.snapshot_status(stored).collect()}
     assert got == want
     assert {r[1] for r in got} == {"complete", "truncated", "open"}
+
+
+def test_files_that_begin_alike_are_both_read(spark, tmp_path):
+    folder = tmp_path / "twins"
+    folder.mkdir()
+    (folder / "a.log").write_text("same head\nonly a\n")
+    (folder / "b.log").write_text("same head\nonly b\n")
+    reader = tail.LineTailReader({"path": f"{folder}/*.log", "decode": "line"})
+    first = reader.latestOffset()
+    rows = [r for p in reader.partitions({"files": {}}, first) for r in reader.read(p)]
+    assert sorted(json.loads(r[4])["line"] for r in rows) == ["only a", "only b", "same head", "same head"]
+    with open(folder / "b.log", "a") as file:
+        file.write("more b\n")
+    second = reader.latestOffset()
+    rows = [r for p in reader.partitions(first, second) for r in reader.read(p)]
+    assert [json.loads(r[4])["line"] for r in rows] == ["more b"]
+
+
+def test_line_offsets_and_acknowledgements_are_committed(spark, tmp_path):
+    sink, marks = str(tmp_path / "sink"), str(tmp_path / "marks")
+    schema = (
+        "unit string, arrival long, payload string, topic string, mark struct<kind:string,keyset:array<string>,"
+        "item_position:timestamp,item_key:string,file_id:string,end_offset:long,ack_id:string>"
+    )
+    line = lambda f, end: ("line", None, None, None, f, end, None)
+    ack = lambda name: ("ack", None, None, None, None, None, name)
+    rows = spark.createDataFrame(
+        [
+            ("u", 1, "{}", "t", line("b", 10)), ("u", 2, "{}", "t", line("a", 7)), ("u", 3, "{}", "t", line("b", 30)),
+            ("u", 4, "{}", "t", ack("m1")), ("q", 1, "{}", "t", ack("m2")), ("q", 2, "{}", "t", None),
+        ],
+        schema,
+    )
+    told = []
+    run = commit.run_batch(
+        lambda d: d.drop("mark"), sink, marks, "i", "c", lambda: "2024-01-01",
+        acknowledge=lambda ids: told.extend((r["unit"], r["ack_id"], r["batch_no"]) for r in ids.collect()),
+    )
+    run(rows, 0)
+    saved = {r["cursor_key"]: json.loads(r["api_cursor"]) for r in checkpoint.read_checkpoints(spark, marks).collect()}
+    assert [(x["file_id"], x["end_offset"]) for x in saved["i.c.u"]["lines"]] == [("b", 30), ("a", 7)]
+    assert saved["i.c.u"]["kind"] == "line" and saved["i.c.q"]["kind"] == "ack"
+    assert sorted(told) == [("q", "m2", 0), ("u", "m1", 0)]
