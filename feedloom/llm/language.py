@@ -305,7 +305,7 @@ def language_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Documents below this pooled probability are rejected, as are those without a letter.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 
 
 def keep_identified(docs: DataFrame, net: Network | None, least: float = LEAST_SCORE) -> DataFrame:
