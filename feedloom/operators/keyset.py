@@ -86,13 +86,19 @@ def doc_tail(
 
 
 def change_tail(
-    df: DataFrame, token: str, after: Any | None, limit: int
+    df: DataFrame, token: str, after: Any | None, limit: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(events past the resume token, one row with the token to commit).
 
-    An idle tick still advances: events that passed by without a payload move the token.
+    An idle tick still advances: events that passed by without a payload move the token. With a
+    `limit` the events are a top-k; without one they stay spread, and the token is one aggregate.
     """
     feed = df if after is None else df.filter(F.col(token) > F.lit(after))
+    resumed = F.lit(after).cast(df.schema[token].dataType)
+    if limit is None:
+        whole = feed.agg(F.max(token).alias("_high"), F.count("payload").alias("events"))
+        advance = whole.select(F.coalesce("_high", resumed).alias("token"), "events")
+        return feed.filter(F.col("payload").isNotNull()), advance
     events = feed.filter(F.col("payload").isNotNull()).orderBy(token).limit(limit)
     picked = events.select(F.col(token).alias("_picked"), F.lit(None).alias("_seen"))
     passed = feed.select(F.lit(None).alias("_picked"), F.col(token).alias("_seen"))
@@ -105,7 +111,7 @@ def change_tail(
         )
         .select(
             F.when(F.col("events") >= limit, F.col("_last"))
-            .otherwise(F.coalesce("_high", F.lit(after).cast(df.schema[token].dataType)))
+            .otherwise(F.coalesce("_high", resumed))
             .alias("token"),
             "events",
         )

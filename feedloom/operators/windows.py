@@ -51,12 +51,16 @@ def plan_windows(
 
     `units` has the key, `default_hours`, `interval_secs`, and optionally `failed_start` and
     `failed_end` of a window to retry. `cursors` has the key and `last_fetch_end`.
-    Without a cursor a unit looks back one span or is refused (`on_missing`).
+    Without a cursor a unit looks back one span or is refused (`on_missing`). A cursor that could
+    not be read (`read_error` of `cursors` is set) is no missing one: its unit is `unreadable` and
+    gets no window whatever the policy, as looking back would skip or repeat what it stands for.
     """
     for name in ("failed_start", "failed_end"):
         if name not in units.columns:
             units = units.withColumn(name, F.lit(None).cast("timestamp"))
-    out = units.join(cursors.select(key, "last_fetch_end"), key, "left")
+    error = F.col("read_error") if "read_error" in cursors.columns else F.lit(None).cast("string")
+    known = cursors.select(key, "last_fetch_end", error.alias("_error"))
+    out = units.join(known, key, "left")
     at = _micros(as_column(now).cast("timestamp"))
     span = F.greatest(F.col("default_hours") * 3600, F.col("interval_secs")).cast(
         "bigint"
@@ -71,18 +75,20 @@ def plan_windows(
         "_end", F.greatest(F.col("_start"), F.least(at, F.col("_start") + reach))
     )
     cold = F.col("last_fetch_end").isNull()
-    refused = cold & F.lit(on_missing == "refuse")
+    unreadable = F.col("_error").isNotNull()
+    refused = unreadable | (cold & F.lit(on_missing == "refuse"))
     return (
         out.withColumn("window_start", F.when(~refused, _at(F.col("_start"))))
         .withColumn("window_end", F.when(~refused, _at(F.col("_end"))))
         .withColumn(
             "status",
-            F.when(refused, F.lit("refused"))
+            F.when(unreadable, F.lit("unreadable"))
+            .when(refused, F.lit("refused"))
             .when(cold, F.lit("cold"))
             .when(F.col("failed_end").isNotNull(), F.lit("retry"))
             .otherwise(F.lit("next")),
         )
-        .drop("_start", "_end")
+        .drop("_start", "_end", "_error")
     )
 
 

@@ -79,6 +79,28 @@ def missing_cursor(spark, sf_dir):
     return planned.select("user_id", "status", F.unix_micros("window_end").alias("window_end"))
 
 
+@query(
+    "cursor_failures",
+    """SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'unreadable' WHEN 1 THEN 'next' ELSE 'cold' END AS status,
+         CASE c_custkey % 3 WHEN 1 THEN epoch_us(TIMESTAMP '2024-01-10') WHEN 2 THEN epoch_us(TIMESTAMP '2024-02-01') - 7200000000 END AS window_start
+       FROM customer""",
+)
+def cursor_failures(spark, sf_dir):
+    """A third of the cursors cannot be read and a third is missing: only the latter look back."""
+    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cursor_key"))
+    units = customer.select("cursor_key", F.lit(2).alias("default_hours"), F.lit(60).alias("interval_secs"))
+    which = F.col("cursor_key") % 3
+    cursors = customer.filter(which < 2).select(
+        "cursor_key",
+        F.when(which == 1, F.lit("2024-01-10").cast("timestamp")).alias("last_fetch_end"),
+        F.when(which == 0, F.lit("damaged")).alias("read_error"),
+    )
+    planned = windows.plan_windows(units, cursors, F.lit("2024-02-01"))
+    return planned.select(
+        F.col("cursor_key").alias("c_custkey"), "status", F.unix_micros("window_start").alias("window_start")
+    )
+
+
 @query(
     "settle_overlap",
     f"""WITH {_PLANNED}, settled AS (SELECT *, greatest(w_start, least(w_end, TIMESTAMP '2024-02-01' - to_seconds(CAST(user_id % 4 AS INT) * 3600))) AS s_end FROM planned)

@@ -76,7 +76,7 @@ def change_tail(spark, sf_dir):
        FROM events""",
 )
 def change_advance(spark, sf_dir):
-    _, advance = keyset.change_tail(_changes(spark, sf_dir), "event_id", 250, 10_000_000)
+    _, advance = keyset.change_tail(_changes(spark, sf_dir), "event_id", 250)
     return advance
 
 

@@ -18,6 +18,10 @@ UTC_PRELUDE = {
 }
 
 
+# Engines that bound a result by LIMIT; the others take the standard's clause.
+LIMIT_ENGINES = ("mysql", "mariadb", "sqlite")
+
+
 def literal(value: Any) -> str:
     """A typed SQL literal; Spark's JDBC reader cannot bind parameters."""
     if isinstance(value, bool):
@@ -40,9 +44,15 @@ def tail_query(
     keys: Sequence[str],
     after: Sequence[Any] | None,
     limit: int,
-    quote: str = '"',
+    quote: str | None = None,
+    engine: str = "postgresql",
 ) -> str:
-    """Query text of one keyset page: rows past `after`, in key order, at most `limit`."""
+    """Query text of one keyset page: rows past `after`, in key order, at most `limit`.
+
+    `engine` is the name in the JDBC URL; it decides the bound's clause and how names are quoted.
+    """
+    if quote is None:
+        quote = "`" if engine in ("mysql", "mariadb") else '"'
     names = [f"{quote}{k.replace(quote, quote * 2)}{quote}" for k in keys]
     text = f"SELECT * FROM ({source}) t"
     if after is not None:
@@ -51,7 +61,12 @@ def tail_query(
             same = [f"{n} = {literal(v)}" for n, v in zip(names[:i], after[:i])]
             cases.append("(" + " AND ".join([*same, f"{name} > {literal(after[i])}"]) + ")")
         text += " WHERE " + " OR ".join(cases)
-    return text + f" ORDER BY {', '.join(names)} FETCH FIRST {int(limit)} ROWS ONLY"
+    text += f" ORDER BY {', '.join(names)}"
+    if engine in LIMIT_ENGINES:
+        return f"{text} LIMIT {int(limit)}"
+    if engine == "sqlserver":  # its clause needs an offset
+        return f"{text} OFFSET 0 ROWS FETCH NEXT {int(limit)} ROWS ONLY"
+    return f"{text} FETCH FIRST {int(limit)} ROWS ONLY"
 
 
 def read_query(

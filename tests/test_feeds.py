@@ -309,6 +309,11 @@ def test_tail_query_text():
         "(\"ts\" = TIMESTAMP '2024-01-01 00:00:00.000000' AND \"id\" > 'a''b') "
         "ORDER BY \"ts\", \"id\" FETCH FIRST 10 ROWS ONLY"
     )
+    for engine in ("mysql", "mariadb"):
+        text = database.tail_query("SELECT * FROM e", ["a`b"], (1,), 5, engine=engine)
+        assert text == "SELECT * FROM (SELECT * FROM e) t WHERE (`a``b` > 1) ORDER BY `a``b` LIMIT 5"
+    assert database.tail_query("e", ["k"], None, 5, engine="sqlserver").endswith("OFFSET 0 ROWS FETCH NEXT 5 ROWS ONLY")
+    assert database.tail_query("e", ["k"], None, 5, engine="oracle").endswith("FETCH FIRST 5 ROWS ONLY")
 
 
 def test_every_declared_field_of_a_recipe_is_read():
