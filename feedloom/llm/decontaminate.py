@@ -38,6 +38,8 @@ EDITS = 5
 # Bound of what a task gets of the benchmark at once, in characters of the normal form.
 BLOCK_CHARS = 2_000_000
 PIECE_CHARS = 4096
+# Characters whose q-grams are hashed at once.
+STRETCH = 1 << 20
 _BAND = EDITS + 1
 _NOTHING = np.uint32(0x110000)
 # An odd multiplier and its powers, modulo 2**64.
@@ -183,6 +185,20 @@ def _exact_run(item: np.ndarray, text: np.ndarray, low: int, high: int, size: in
     return best
 
 
+def shared_grams(block: Block, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of grams that the block has, and their numbers; hashes are made a stretch at a time."""
+    places, grams = [], []
+    for start in range(0, len(codes) - GRAM + 1, STRETCH):
+        hashes = gram_hashes(codes[start : start + STRETCH + GRAM - 1])
+        at = np.flatnonzero(block.seen[hashes >> np.uint64(block.shift)])
+        gram = np.searchsorted(block.grams, hashes[at])
+        gram[gram == len(block.grams)] = 0
+        real = block.grams[gram] == hashes[at]
+        places.append(at[real] + start)
+        grams.append(gram[real])
+    return np.concatenate(places), np.concatenate(grams)
+
+
 def scan(block: Block, texts: list[str | None]) -> list[tuple[int, Any, int, int, int, int, int, int]]:
     """Hits (row, item, doc_start, doc_end, item_start, item_end, edits, shared) of the texts.
 
@@ -190,15 +206,12 @@ def scan(block: Block, texts: list[str | None]) -> list[tuple[int, Any, int, int
     """
     codes, edges, kept = normal_form([t or "" for t in texts])
     hits = _short_hits(block, codes, edges, kept) if block.short else []
-    hashes = gram_hashes(codes)
-    if not len(block.grams) or not len(hashes):
+    if not len(block.grams) or len(codes) < GRAM:
         return hits
-    at = np.flatnonzero(block.seen[hashes >> np.uint64(block.shift)])
-    gram = np.searchsorted(block.grams, hashes[at])
-    gram[gram == len(block.grams)] = 0
+    at, gram = shared_grams(block, codes)
     doc = np.searchsorted(edges, at, side="right") - 1
-    real = (block.grams[gram] == hashes[at]) & (at + GRAM <= edges[doc + 1])
-    at, gram, doc = at[real], gram[real], doc[real]
+    inside = at + GRAM <= edges[doc + 1]
+    at, gram, doc = at[inside], gram[inside], doc[inside]
     many = block.first[gram + 1] - block.first[gram]
     each = np.repeat(np.arange(len(at)), many)
     posting = np.arange(len(each)) - np.repeat(np.cumsum(many) - many, many) + block.first[gram][each]

@@ -48,6 +48,9 @@ SAMPLE_WORDS = 400
 STEPS = 300
 BATCH = 64
 CUT = 0.7
+# Bytes that are hashed, and words that run through the filters, at once.
+STRETCH = 1 << 20
+WORDS = 1 << 17
 GRID = 1000
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -79,16 +82,23 @@ def word_rows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """
     joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     begin, end = word_bounds(joined)
-    sums = np.zeros(len(joined) + 1, np.uint64)
-    terms = (_LOWER[joined].astype(np.uint64) + np.uint64(1)) * _powers(_STEP, len(joined))
-    np.cumsum(terms, out=sums[1:])
-    inverse = _powers(pow(_STEP, -1, 1 << 64), len(joined))[begin]
     rows = np.empty((len(begin), HASHES), np.int32)
-    for i, most in enumerate(PREFIXES):
-        until = np.minimum(end, begin + most) if most else end
-        hashed = (sums[until] - sums[begin]) * inverse
-        hashed ^= hashed >> np.uint64(32)
-        rows[:, i] = ((hashed * _MIX[i]) >> np.uint64(64 - 15)).astype(np.int32) + i * ROWS
+    at = 0
+    while at < len(begin):  # words that begin within a stretch, and at least one
+        upto = max(int(np.searchsorted(begin, begin[at] + STRETCH)), at + 1)
+        low = int(begin[at])
+        part = joined[low : end[upto - 1]]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        terms = (_LOWER[part].astype(np.uint64) + np.uint64(1)) * _powers(_STEP, len(part))
+        np.cumsum(terms, out=sums[1:])
+        first, last = begin[at:upto] - low, end[at:upto] - low
+        inverse = _powers(pow(_STEP, -1, 1 << 64), len(part))[first]
+        for i, most in enumerate(PREFIXES):
+            until = np.minimum(last, first + most) if most else last
+            hashed = (sums[until] - sums[first]) * inverse
+            hashed ^= hashed >> np.uint64(32)
+            rows[at:upto, i] = ((hashed * _MIX[i]) >> np.uint64(64 - 15)).astype(np.int32) + i * ROWS
+        at = upto
     lengths = np.array([len(t) + 1 for t in texts])
     return rows, np.searchsorted(begin, np.append(0, np.cumsum(lengths)))
 
@@ -139,8 +149,14 @@ def largest(found: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 def raw_scores(net: Classifier, rows: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Probability of each text, and the number of the language its words are likeliest in."""
-    found = responses(net, embedded(net, rows), edges)
-    pooled = np.concatenate([largest(f, edges) for f in found], axis=1)
+    pooled = np.zeros((len(edges) - 1, len(SPANS) * FILTERS), np.float32)
+    for at in range(0, len(rows), WORDS):  # with the words that the last places look ahead to
+        upto = min(at + WORDS, len(rows))
+        ahead = min(upto + max(SPANS) - 1, len(rows))
+        found = responses(net, embedded(net, rows[at:ahead]), np.clip(edges - at, 0, ahead - at))
+        here = np.clip(edges - at, 0, upto - at)
+        part = np.concatenate([largest(f[: upto - at], here) for f in found], axis=1)
+        np.maximum(pooled, part, out=pooled)
     logit = np.clip(pooled.astype(float) @ net.weight.astype(float) + float(net.bias[0]), -30, 30)
     sums = np.zeros((len(edges) - 1, len(net.languages)))
     some = np.flatnonzero(np.diff(edges))

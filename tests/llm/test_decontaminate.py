@@ -78,6 +78,16 @@ def test_documents_whole_tables(spark):
         assert leaks(items[i], docs[d][max(0, r.doc_start - 20) : r.doc_end + 20])
 
 
+def test_stretches_change_nothing(monkeypatch):
+    rng = random.Random(12)
+    item = "".join(rng.choices("abcde fgh", k=300))
+    texts = ["".join(rng.choices("abcde fgh", k=500)) + item[40:200] + "x" * 90, item, "short"]
+    block = D.make_block([(1, item)])
+    whole = D.scan(block, texts)
+    monkeypatch.setattr(D, "STRETCH", 37)
+    assert D.scan(block, texts) == whole and {h[0] for h in whole} == {0, 1}
+
+
 def test_places_are_those_of_the_text(spark):
     item = "The quick brown fox jumps over the lazy dog while 42 small cats are sleeping in the old barn"
     text = "Éé—ß: «" + item.upper().replace(" ", " -- ") + "» and more"

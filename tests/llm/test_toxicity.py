@@ -20,6 +20,20 @@ def test_words_hash_alike_wherever_they_stand():
     assert len({r[2] for r in rows.tolist()}) == 1  # the same first four bytes
 
 
+def test_stretches_change_nothing(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [b" ".join(rng.choice([b"aa", b"bb", b"cc", b"dddddddd", b"e" * 90], n)) for n in (0, 1, 400, 3, 50)]
+    rows, edges = X.word_rows(texts)
+    net = X.train_classifier([rows[a:b] for a, b in zip(edges, edges[1:])], [0, 1, 0, 1, 1], ["x", "y", None, "x", "y"], steps=3)
+    whole = X.raw_scores(net, rows, edges)
+    monkeypatch.setattr(X, "STRETCH", 40)
+    monkeypatch.setattr(X, "WORDS", 7)
+    again, same = X.word_rows(texts)
+    assert (again == rows).all() and (same == edges).all()
+    cut = X.raw_scores(net, again, same)
+    assert np.allclose(whole[0], cut[0], atol=1e-6) and (whole[1] == cut[1]).all()
+
+
 def test_gradients_against_differences():
     rng = np.random.default_rng(1)
     rows = [X.word_rows([b" ".join(rng.choice([b"aa", b"bb", b"cc", b"dddddddd"], 6))])[0] for _ in range(4)]
