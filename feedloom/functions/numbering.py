@@ -29,6 +29,23 @@ def span_bucket(position: str | Column, span: int) -> Column:
     return F.floor(column / F.lit(span)).cast("bigint")
 
 
+def even_bucket(df: DataFrame, position: str, rows: int = 100_000) -> Column:
+    """Bucket growing with a whole-number position, of about `rows` rows where it is evenly spread.
+
+    For positions that are sparse (times, ids with gaps), where a span of fixed width would give
+    nearly every row a bucket of its own and the totals of all buckets would meet in one task. Costs
+    one aggregate over the position; the number of buckets is that of the rows by `rows`, whatever the
+    gaps. NULL positions have a NULL bucket.
+    """
+    at = F.col(position).cast("decimal(20,0)")
+    found = df.agg(F.min(at).alias("low"), F.max(at).alias("high"), F.count(position).alias("n")).first()
+    if not found["n"]:
+        return F.lit(0).cast("bigint")
+    buckets = max(1, -(-found["n"] // rows))
+    width = max(1, -(-(int(found["high"]) - int(found["low"]) + 1) // buckets))
+    return F.floor((at - F.lit(int(found["low"])).cast("decimal(20,0)")) / F.lit(width)).cast("bigint")
+
+
 def _marked(df: DataFrame, group: Sequence[str], bucket: Column) -> DataFrame:
     """Add `_part`, group and bucket as one value.
 

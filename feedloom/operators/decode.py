@@ -19,7 +19,6 @@ from feedloom.functions.json import (
     array_items,
     at_pointer,
     bind,
-    is_json,
     json_value,
     let,
     object_text,
@@ -44,26 +43,20 @@ def _texts(value: Column) -> Column:
 def element_texts(body: Column) -> Column:
     """JSON text of each element of a top-level array; NULL when the array is incomplete.
 
-    An array of objects is cut as text. In any other array a text could be taken for the
-    object it looks like, so elements are rendered from variants; an array holding an object
-    with repeated keys cannot be a variant, and its elements keep their own text.
+    An array of objects is cut as text, with one parse. In any other array a text could be taken
+    for the object it looks like, so elements are rendered from variants.
     """
-    plain = ~body.rlike(OBJECT_IN_TEXT)
+    cut = F.from_json(F.concat(F.lit("["), body, F.lit(",[]]")), "array<array<string>>", _STRICT)
     objects = let(
-        F.from_json(F.concat(F.lit("["), body, F.lit(",[]]")), "array<array<string>>", _STRICT),
+        F.when(~body.rlike(OBJECT_IN_TEXT), cut),
         lambda parts: F.when(
-            plain
-            & (F.size(parts) == 2)
+            (F.size(parts) == 2)
             & (F.size(F.get(parts, F.lit(1))) == 0)
             & F.forall(F.get(parts, F.lit(0)), lambda e: e.startswith("{")),
             F.get(parts, F.lit(0)),
         ),
     )
-    typed = _texts(json_value(body))
-    raw = F.when(
-        F.ltrim(body).startswith("[") & is_json(body), F.from_json(body, "array<string>", _STRICT)
-    )
-    return F.coalesce(objects, typed, raw)
+    return let(objects, lambda found: F.coalesce(found, _texts(json_value(body))))
 
 
 def decode_ndjson(df: DataFrame, body: str, max_row_bytes: int | None = None) -> DataFrame:

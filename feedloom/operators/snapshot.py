@@ -69,6 +69,7 @@ def frame_snapshot(
     row_key: str | None = None,
     max_bytes: int = DEFAULT_MAX_BYTES,
     bucket: Column | None = None,
+    total: int | None = None,
 ) -> DataFrame:
     """Begin, numbered rows and end of one snapshot per store, or per `item`.
 
@@ -77,7 +78,8 @@ def frame_snapshot(
     which take a number but carry no record and pass no filter. `order` is a unique key;
     `bucket` (growing with it) makes the numbers follow the order. An empty store still
     gives begin and end; an item without rows gives nothing. `run` names the attempt and
-    must be fixed by the caller, as must `at` and `completed_at`.
+    must be fixed by the caller, as must `at` and `completed_at`. `total`, where the store says
+    beforehand how many rows it holds, is announced at the begin.
     """
     group = [item] if item else []
     size = F.octet_length(payload).cast("bigint")
@@ -142,7 +144,7 @@ def frame_snapshot(
         "timestamp",
         "store",
         F.when(last, F.col("_n")).otherwise(F.lit(0)).cast("bigint").alias("seq"),
-        F.lit(None).cast("bigint").alias("total"),
+        F.when(~last, F.lit(total)).cast("bigint").alias("total"),
         F.lit(None).cast("string").alias("record"),
         F.lit(None).cast("bigint").alias("bytes"),
         F.lit(None).cast("string").alias("row_key"),

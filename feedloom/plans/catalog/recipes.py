@@ -13,6 +13,7 @@ from feedloom.plans.recipes import (
     run_fold,
     run_lookup,
     run_manifest,
+    run_metrics,
     run_objects,
     run_pages,
     run_pull,
@@ -378,3 +379,58 @@ def recipe_steps(spark, sf_dir):
     )
     steps = unit_steps(units, cursors, RECIPES["m365"]["dlp"], "2024-01-05 12:00:00")
     return steps.select(F.col("cursor_key").alias("c_custkey"), "start_text", "end_text")
+
+
+@query(
+    "recipe_metrics",
+    """WITH n AS (SELECT p_partkey, p_brand, p_type, p_size, row_number() OVER (ORDER BY p_partkey) - 1 AS i FROM part)
+       SELECT p_partkey, CAST(i // 500 AS BIGINT) AS batch_no, 'q' || (i % 500) AS id, p_brand AS name, 'By' AS unit, 'Average' AS stat,
+         'Namespace=Shop;type=' || p_type AS attributes, CAST(p_size AS DOUBLE) AS first_value, 2 AS points FROM n""",
+)
+def recipe_metrics(spark, sf_dir):
+    """Listed descriptors to queries, their answers, in two results each, to gauges."""
+    from feedloom.operators import builders
+
+    part = table(spark, sf_dir, "part")
+    descriptor = F.struct(
+        F.lit("Shop").alias("Namespace"),
+        F.col("p_brand").alias("MetricName"),
+        F.lit("Bytes").alias("Unit"),
+        F.array(F.struct(F.lit("type").alias("Name"), F.col("p_type").alias("Value"))).alias("Dimensions"),
+    )
+    body = F.to_json(F.struct(F.array(descriptor).alias("Metrics")))
+    pages = part.select(
+        F.col("p_partkey").alias("seq_key"),
+        F.lit("unit").alias("unit"),
+        F.col("p_partkey").alias("page_id"),
+        F.lit("https://h").alias("url"),
+        F.create_map().cast("map<string,string>").alias("headers"),
+        body.alias("body"),
+    )
+    recipe = RECIPES["aws"]["cloudwatch_metrics"]
+    listed, _ = run_pages(pages, recipe)
+    asked = run_metrics(listed, recipe, ["page_id"], span_bucket("page_id", 1000))
+    size = part.select(F.col("p_partkey").alias("page_id"), F.col("p_size").cast("double").alias("v"))
+    answers = asked.join(size, "page_id").select(
+        "batch_no",
+        F.col("query_id").alias("id"),
+        F.explode(F.array(F.lit(60.0), F.lit(0.0))).alias("t"),
+        "v",
+    )
+    results = answers.select(
+        "batch_no", "id", F.array("t").alias("timestamps"), F.array(F.col("v") + F.col("t")).alias("values")
+    )
+    gauges = builders.gauge_group(results, asked, "metric", "namespace", "dimensions")
+    pair = F.transform("attributes", lambda a: F.concat(a["name"], F.lit("="), a["value"]))
+    keyed = asked.select("batch_no", F.col("query_id").alias("id"), F.col("page_id").alias("p_partkey"))
+    return gauges.join(keyed, ["batch_no", "id"]).select(
+        "p_partkey",
+        "batch_no",
+        "id",
+        "name",
+        "unit",
+        "stat",
+        F.array_join(pair, ";").alias("attributes"),
+        F.col("points")[0]["value"].alias("first_value"),
+        F.size("points").alias("points"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedloom.functions.json import Field, object_text
-from feedloom.functions.numbering import number_rows, running_sum, span_bucket
+from feedloom.functions.numbering import even_bucket, number_rows, running_sum, span_bucket
 from feedloom.operators import snapshot
 from feedloom.plans.catalog.base import query, table
 
@@ -121,6 +121,23 @@ def number_null_keys(spark, sf_dir):
     )
 
 
+@query(
+    "number_sparse",
+    """SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS seq,
+         (SELECT least((count(*) + 999) // 1000, 1000000) FROM lineitem) >= 1 AS bounded FROM lineitem""",
+)
+def number_sparse(spark, sf_dir):
+    """One sequence over ids with gaps of a billion: the buckets are as many as the rows by a thousand."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    sparse = lines.withColumn("at", F.col("l_orderkey").cast("bigint") * 1_000_000_000)
+    bucket = even_bucket(sparse, "at", 1000)
+    numbered = number_rows(sparse, ["at", "l_linenumber"], (), bucket, out="seq")
+    most = sparse.select((F.max(bucket) * 1000 <= F.count("*")).alias("bounded"))
+    return numbered.select(
+        "l_orderkey", "l_linenumber", F.col("seq").cast("bigint").alias("seq"), most.scalar().alias("bounded")
+    )
+
+
 @query(
     "snapshot_per_item",
     """WITH numbered AS (SELECT c_nationkey AS item_key, c_custkey,

@@ -167,7 +167,7 @@ def _landed(rows: DataFrame, dead: DataFrame, spec: FeedSpec) -> Landed:
     counted = rows.withColumn("_size", F.octet_length("payload"))
     if "kind" in rows.columns:
         counted = counted.filter(F.col("kind").isin("row", "oversize"))
-    report = accounting.tick_report(counted, [], "kept", "_size").crossJoin(
-        dead.agg(F.count(F.lit(1)).alias("oversize"))
+    report = accounting.tick_report(counted, [], "kept", "_size").withColumn(
+        "oversize", dead.agg(F.count(F.lit(1))).scalar()
     )
     return Landed(rules.fan_out_rows(rows, spec.defaults, spec.destination_topics), dead, report)

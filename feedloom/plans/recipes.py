@@ -455,6 +455,39 @@ def run_lookup(
     return fanout.lookup(ids, entities, on, order, recipe.lookup_batch, by, bucket)
 
 
+def run_metrics(
+    listed: DataFrame, recipe: Recipe, order: Sequence[str], bucket: Column | None = None
+) -> DataFrame:
+    """Listed descriptors as numbered queries: `batch_no`, `query_id`, `query` and their own parts.
+
+    `builders.metric_points` and `builders.gauge_group` join the answers to them.
+    """
+    parsed = listed.withColumn(
+        "_d",
+        F.from_json(
+            "payload",
+            "Namespace string, MetricName string, Unit string, Dimensions array<struct<Name:string,Value:string>>",
+        ),
+    )
+    named = F.transform(
+        "_d.Dimensions", lambda d: F.struct(d["Name"].alias("name"), d["Value"].alias("value"))
+    )
+    descriptors = parsed.select(
+        *order,
+        F.col("_d.Namespace").alias("namespace"),
+        F.col("_d.MetricName").alias("metric"),
+        F.coalesce("_d.Unit", F.lit(builders.METRIC_UNIT)).alias("unit"),
+        named.alias("dimensions"),
+    )
+    asked = builders.metric_queries(descriptors, order, recipe.lookup_batch, bucket)
+    return asked.withColumn(
+        "query",
+        builders.query_object(
+            *[F.col(c) for c in ("query_id", "namespace", "metric", "dimensions", "period", "stat")]
+        ),
+    )
+
+
 def run_manifest(
     items: DataFrame,
     contents: DataFrame,
@@ -528,6 +561,7 @@ __all__ = [
     "run_fold",
     "run_lookup",
     "run_manifest",
+    "run_metrics",
     "run_objects",
     "run_pages",
     "run_pull",
