@@ -13,15 +13,21 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 # A task hands its texts to Python in pieces of about this many bytes, whatever the batch holds.
 PIECE_BYTES = 1 << 20
-# Rows of an Arrow batch; with the longest texts the batch itself has to fit the Python worker.
+# Rows and bytes of an Arrow batch, so that a batch of the longest texts fits the Python worker.
 BATCH_ROWS = 512
+BATCH_BYTES = 32 << 20
 
 # Fixed: the white space of a word boundary.
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound what a Python worker is handed at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -75,6 +81,7 @@ def map_texts(
                     names=schema.names,
                 )
 
+    bounded_batches(df.sparkSession)
     read = list(dict.fromkeys([*kept, text]))
     return df.select(*read).mapInArrow(run, schema)
 

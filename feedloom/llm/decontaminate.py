@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from feedloom.llm.common import map_texts, pieces, table
+from feedloom.llm.common import bounded_batches, map_texts, pieces, table
 
 GRAM = 10
 WINDOW = 72
@@ -347,6 +347,7 @@ def benchmark_hits(
         [T.StructField(key, docs.schema[key].dataType), T.StructField(item_key, items.schema[item_key].dataType)]
         + [T.StructField(n, T.LongType()) for n in ("doc_start", "doc_end", "item_start", "item_end", "edits", "shared_grams")]
     )
+    bounded_batches(docs.sparkSession)
     out = None
     for rows in benchmark_blocks(items, item_key, item_text):
         found = docs.select(key, text).mapInArrow(_hit_rows(make_block(rows), schema, text), schema)
