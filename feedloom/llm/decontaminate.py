@@ -6,7 +6,8 @@ stand in it with EDITS edits or fewer. Such a passage keeps WINDOW - GRAM + 1 -
 window's q-grams, all on diagonals (place in the document minus place in the item) at most EDITS
 apart; so shared q-grams are counted in overlapping diagonal bands, regions that reach the bound are
 retained, and each is verified by an alignment within its band. An item shorter than WINDOW is one
-window, with the budget in proportion; one shorter than GRAM has to stand there as it is.
+window, with the budget in proportion; where that leaves no q-gram to count on, the item has shorter
+grams with postings of their own. One shorter than GRAM has to stand there as it is.
 
 The benchmark goes to the tasks in blocks of at most BLOCK_CHARS characters, one pass over the
 documents for each block, long items in overlapping pieces. Nothing else is broadcast, and no text
@@ -20,7 +21,7 @@ column of a result's name does no harm.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 import numpy as np
@@ -43,7 +44,7 @@ STRETCH = 1 << 20
 _BAND = EDITS + 1
 _NOTHING = np.uint32(0x110000)
 # An odd multiplier and its powers, modulo 2**64.
-_P1, _P2, _P4 = (np.uint64(pow(0x9E3779B97F4A7C15, n, 1 << 64)) for n in (1, 2, 4))
+_POWER = {n: np.uint64(pow(0x9E3779B97F4A7C15, n, 1 << 64)) for n in (1, 2, 4, 8)}
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
@@ -78,22 +79,31 @@ def normal_form(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, edges, kept
 
 
-def gram_hashes(codes: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the GRAM codes at each place, built by doubling (10 = 8 + 2)."""
-    if len(codes) < GRAM:
+def gram_hashes(codes: np.ndarray, gram: int = GRAM) -> np.ndarray:
+    """A 64-bit hash of the `gram` codes at each place, built by doubling (10 = 2 + 8)."""
+    count = len(codes) - gram + 1
+    if count < 1:
         return np.zeros(0, np.uint64)
-    one = codes.astype(np.uint64)
-    two = one[:-1] * _P1 + one[1:]
-    four = two[:-2] * _P2 + two[2:]
-    eight = four[:-4] * _P4 + four[4:]
-    ten = eight[:-2] * _P2 + two[8:]
-    return ten ^ (ten >> np.uint64(29))
+    part, out, done = codes.astype(np.uint64), np.zeros(count, np.uint64), 0
+    for n, power in _POWER.items():
+        if gram & n:
+            out = out * power + part[done : done + count]
+            done += n
+        if 2 * n <= gram:
+            part = part[:-n] * power + part[n:]
+    return out ^ (out >> np.uint64(29))
+
+
+def gram_of(size: int) -> int:
+    """The longest gram up to GRAM of which a window of `size` keeps one or more under its budget."""
+    return min(GRAM, size // (size * EDITS // WINDOW + 1))
 
 
 @dataclass
 class Block:
     """Pieces of items, and the postings of their q-grams."""
 
+    gram: int
     ids: list[Any]  # item of each piece
     codes: list[np.ndarray]
     offset: np.ndarray  # place of the piece in the item's normal form
@@ -107,10 +117,12 @@ class Block:
     seen: np.ndarray  # by the hash's top bits: whether any gram may have it
     shift: int
     short: list[tuple[Any, str]]
+    rest: list[Block]  # the items that need shorter grams
 
 
 def make_block(items: list[tuple[Any, str | None]]) -> Block:
-    ids, codes, offset, short = [], [], [], []
+    parts: dict[int, list[tuple[Any, np.ndarray, int]]] = {GRAM: []}
+    short = []
     for item, text in items:
         own = normal_form([text or ""])[0]
         if len(own) and own[-1] == 32:
@@ -120,12 +132,16 @@ def make_block(items: list[tuple[Any, str | None]]) -> Block:
                 short.append((item, own.astype("<u4").tobytes().decode("utf-32-le")))
             continue
         for at in range(0, max(len(own) - WINDOW + 1, 1), PIECE_CHARS - WINDOW + 1):
-            ids.append(item)
-            codes.append(own[at : at + PIECE_CHARS])
-            offset.append(at)
+            parts.setdefault(gram_of(min(len(own), WINDOW)), []).append((item, own[at : at + PIECE_CHARS], at))
+    block, *rest = [_postings(gram, found) for gram, found in parts.items()]
+    return replace(block, short=short, rest=rest)
+
+
+def _postings(gram: int, found: list[tuple[Any, np.ndarray, int]]) -> Block:
+    ids, codes, offset = [f[0] for f in found], [f[1] for f in found], [f[2] for f in found]
     size = np.minimum([len(c) for c in codes], WINDOW).astype(np.int64)
     edits = size * EDITS // WINDOW
-    hashes = [gram_hashes(c) for c in codes]
+    hashes = [gram_hashes(c, gram) for c in codes]
     flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
     piece = np.repeat(np.arange(len(codes)), [len(h) for h in hashes])
     place = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else np.zeros(0, np.int64)
@@ -135,8 +151,8 @@ def make_block(items: list[tuple[Any, str | None]]) -> Block:
     seen = np.zeros(1 << bits, bool)
     seen[grams >> np.uint64(64 - bits)] = True
     return Block(
-        ids, codes, np.array(offset, np.int64), size, edits, size - GRAM + 1 - edits * GRAM,
-        grams, np.append(first, len(flat)), piece[order], place[order], seen, 64 - bits, short,
+        gram, ids, codes, np.array(offset, np.int64), size, edits, size - gram + 1 - edits * gram,
+        grams, np.append(first, len(flat)), piece[order], place[order], seen, 64 - bits, [], [],
     )
 
 
@@ -188,8 +204,8 @@ def _exact_run(item: np.ndarray, text: np.ndarray, low: int, high: int, size: in
 def shared_grams(block: Block, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of grams that the block has, and their numbers; hashes are made a stretch at a time."""
     places, grams = [], []
-    for start in range(0, len(codes) - GRAM + 1, STRETCH):
-        hashes = gram_hashes(codes[start : start + STRETCH + GRAM - 1])
+    for start in range(0, len(codes) - block.gram + 1, STRETCH):
+        hashes = gram_hashes(codes[start : start + STRETCH + block.gram - 1], block.gram)
         at = np.flatnonzero(block.seen[hashes >> np.uint64(block.shift)])
         gram = np.searchsorted(block.grams, hashes[at])
         gram[gram == len(block.grams)] = 0
@@ -206,11 +222,27 @@ def scan(block: Block, texts: list[str | None]) -> list[tuple[int, Any, int, int
     """
     codes, edges, kept = normal_form([t or "" for t in texts])
     hits = _short_hits(block, codes, edges, kept) if block.short else []
-    if not len(block.grams) or len(codes) < GRAM:
-        return hits
+    merged: dict[tuple[int, Any], list] = {}
+    for part in (block, *block.rest):
+        for row, own, (a, b, c, d, e, n) in _passages(part, codes, edges):
+            shift = int(part.offset[own])
+            merged.setdefault((row, part.ids[own]), []).append((a, b, c + shift, d + shift, e, n))
+    for (row, item), regions in merged.items():
+        base = edges[row]
+        origin = sum(len(t or "") for t in texts[:row])
+        for a, b, c, d, e, n in _merge(sorted(regions)):
+            start, end = int(kept[base + a]) - origin, int(kept[base + b - 1]) + 1 - origin
+            hits.append((row, item, start, end, c, d, e, n))
+    return hits
+
+
+def _passages(block: Block, codes: np.ndarray, edges: np.ndarray) -> Iterator[tuple[int, int, tuple]]:
+    """Verified passages (row, piece, places in normal forms with edits and shared grams)."""
+    if not len(block.grams) or len(codes) < block.gram:
+        return
     at, gram = shared_grams(block, codes)
     doc = np.searchsorted(edges, at, side="right") - 1
-    inside = at + GRAM <= edges[doc + 1]
+    inside = at + block.gram <= edges[doc + 1]
     at, gram, doc = at[inside], gram[inside], doc[inside]
     many = block.first[gram + 1] - block.first[gram]
     each = np.repeat(np.arange(len(at)), many)
@@ -220,7 +252,7 @@ def scan(block: Block, texts: list[str | None]) -> list[tuple[int, Any, int, int
     good = counts[inverse] >= block.least[piece]
     inverse, piece, place, each = inverse[good], piece[good], place[good], each[good]
     if not len(each):
-        return hits
+        return
     diagonal = at[each] - edges[doc[each]] - place + PIECE_CHARS
     band = diagonal // _BAND
     # each diagonal lies in two bands of twice the step, so some band has a passage's grams together
@@ -230,30 +262,17 @@ def scan(block: Block, texts: list[str | None]) -> list[tuple[int, Any, int, int
     group, j = key >> 13, key & 8191
     diag = np.concatenate([diagonal, diagonal])[order] - PIECE_CHARS
     least = block.least[np.concatenate([piece, piece])[order]]
-    reach = block.size[np.concatenate([piece, piece])[order]] - GRAM
+    reach = block.size[np.concatenate([piece, piece])[order]] - block.gram
     last = np.arange(len(key)) + least - 1
     fits = last < len(key)
     last = np.where(fits, last, 0)
     fits &= (group[last] == group) & (j[last] - j <= reach)
-    found: dict[tuple[int, int], list] = {}
     for lo, hi in _runs(group, np.flatnonzero(fits), last):
         pair_id = int(pair[group[lo] >> 29])
         row, own = pair_id // len(block.ids), pair_id % len(block.ids)
         hit = _verify(block, own, codes[edges[row] : edges[row + 1]], j[lo : hi + 1], diag[lo : hi + 1])
         if hit is not None:
-            found.setdefault((row, own), []).append(hit)
-    merged: dict[tuple[int, Any], list] = {}
-    for (row, own), regions in found.items():
-        shift = int(block.offset[own])
-        for a, b, c, d, e, n in regions:
-            merged.setdefault((row, block.ids[own]), []).append((a, b, c + shift, d + shift, e, n))
-    for (row, item), regions in merged.items():
-        base = edges[row]
-        origin = sum(len(t or "") for t in texts[:row])
-        for a, b, c, d, e, n in _merge(sorted(regions)):
-            start, end = int(kept[base + a]) - origin, int(kept[base + b - 1]) + 1 - origin
-            hits.append((row, item, start, end, c, d, e, n))
-    return hits
+            yield row, own, hit
 
 
 def _runs(group: np.ndarray, starts: np.ndarray, last: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -278,9 +297,9 @@ def _verify(block: Block, own: int, text: np.ndarray, j: np.ndarray, diag: np.nd
     run = _exact_run(item, text, low, high, size)
     if run is not None:
         return run[1], run[1] + run[2], run[0], run[0] + run[2], 0, shared
-    rows = np.arange(max(0, int(j.min()) + GRAM - size), min(len(item) - size, int(j.max())) + 1)
+    rows = np.arange(max(0, int(j.min()) + block.gram - size), min(len(item) - size, int(j.max())) + 1)
     grams = np.unique(j)
-    shares = np.searchsorted(grams, rows + size - GRAM, side="right") - np.searchsorted(grams, rows)
+    shares = np.searchsorted(grams, rows + size - block.gram, side="right") - np.searchsorted(grams, rows)
     rows = rows[shares >= block.least[own]]
     if not len(rows):
         return None

@@ -118,3 +118,32 @@ def test_odd_rows(spark, most, monkeypatch):
     assert hits == {(None, 3), (5, None)}
     assert D.without_benchmark(docs, items.limit(0)).count() == 7
     assert D.benchmark_hits(docs.limit(0), items).count() == 0
+
+
+def test_items_of_every_length_against_the_full_table():
+    """Items of 1 to 73 characters, copied with 0 to one more than the permitted edits, spread or together."""
+    rng = random.Random(3)
+    letters = "etaoinshrdlu "
+    prose = lambda n: form("".join(rng.choices(letters, k=4 * n))).strip()[:n]
+    items, texts = [], []
+    for size in range(1, D.WINDOW + 2):
+        item = prose(size - 1).strip().ljust(size - 1, "z") + "e"
+        items.append((size, item))
+        for n in range(min(size, D.WINDOW) * D.EDITS // D.WINDOW + 2):
+            for places in (sorted(rng.sample(range(size), min(n, size))), [(i * size) // n + size // (2 * n) for i in range(n)]):
+                chars = list(item)
+                for at in reversed(places):
+                    chars[at : at + 1] = rng.choice((["x"], [], [chars[at], "q"]))
+                texts.append(prose(20) + " " + "".join(chars) + " " + prose(20))
+    texts.append("")
+    got = {(h[0], h[1]) for h in D.scan(D.make_block(items), texts)}
+    near = lambda i, x, t: leaks(x, t) if i >= D.GRAM else f" {x} " in f" {form(t)} "
+    want = {(r, i) for r, t in enumerate(texts) for i, x in items if near(i, x, t)}
+    assert got == want
+    assert {i for _, i in want} == set(range(1, D.WINDOW + 2))
+
+
+@pytest.mark.parametrize("item", ["What is the capital of France?", "Who wrote Hamlet?", "Solve for x: 2x+3=7"])
+def test_short_questions_as_they_are(item):
+    hits = D.scan(D.make_block([(1, item)]), ["Quiz: " + item.upper() + " Next.", "nothing of it"])
+    assert [(h[0], h[1], h[6]) for h in hits] == [(0, 1, 0)]
