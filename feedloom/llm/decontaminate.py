@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from feedloom.llm.common import bounded_batches, map_texts, pieces, table
 
 GRAM = 10
-WINDOW = 72
+WINDOW = 64
 EDITS = 5
 # Bound of what a task gets of the benchmark at once, in characters of the normal form.
 BLOCK_CHARS = 2_000_000

@@ -147,3 +147,13 @@ def test_items_of_every_length_against_the_full_table():
 def test_short_questions_as_they_are(item):
     hits = D.scan(D.make_block([(1, item)]), ["Quiz: " + item.upper() + " Next.", "nothing of it"])
     assert [(h[0], h[1], h[6]) for h in hits] == [(0, 1, 0)]
+
+
+def test_a_window_is_64_characters():
+    """A passage of 64 characters of a longer item, as it is and with 5 edits spread over it."""
+    rng = random.Random(6)
+    item = "".join(rng.choices("abcdefgh", k=200))
+    piece = item[70:134]
+    near = "".join("z" if i in (5, 17, 29, 46, 58) else c for i, c in enumerate(piece))
+    texts = [f"z {piece} z", f"z {near} z", f"z {piece[:50]} z"]
+    assert {h[0] for h in D.scan(D.make_block([(1, item)]), texts)} == {0, 1}
