@@ -5,7 +5,7 @@ characters one space. A document is contaminated by an item if some WINDOW chara
 stand in it with EDITS edits or fewer. Such a passage keeps WINDOW - GRAM + 1 - EDITS * GRAM of the
 window's q-grams, all on diagonals (place in the document minus place in the item) at most EDITS
 apart; so shared q-grams are counted in overlapping diagonal bands, regions that reach the bound are
-retained, and each is verified by an alignment within its band. An item shorter than WINDOW is one
+retained, and each is verified by an alignment within its band, after the same count of FINE-grams there. An item shorter than WINDOW is one
 window, with the budget in proportion; where that leaves no q-gram to count on, the item has shorter
 grams with postings of their own. One shorter than GRAM has to stand there as it is.
 
@@ -36,6 +36,8 @@ from feedloom.llm.common import bounded_batches, map_texts, pieces, table
 GRAM = 10
 WINDOW = 64
 EDITS = 5
+# Length of the grams that windows over the bound are counted by once more before their alignment.
+FINE = 4
 # Bound of what a task gets of the benchmark at once, in characters of the normal form.
 BLOCK_CHARS = 2_000_000
 PIECE_CHARS = 4096
@@ -184,6 +186,23 @@ def window_edits(window: np.ndarray, text: np.ndarray, starts: np.ndarray, low:
     return cost.min(axis=1)
 
 
+def _near(item: np.ndarray, text: np.ndarray, rows: np.ndarray, low: int, high: int, size: int, most: int) -> np.ndarray:
+    """Windows that keep enough of their FINE-grams on diagonals low..high; an alignment with `most` edits there does."""
+    if not len(rows):
+        return rows
+    first, end = int(rows[0]), int(rows[-1]) + size
+    body = text[max(first + low, 0) : max(end + high, 0)]
+    ahead = min(max(-first - low, 0), end - first + high - low)
+    codes = np.full(end - first + high - low, _NOTHING, np.uint32)
+    codes[ahead : ahead + len(body)] = body
+    same = np.lib.stride_tricks.sliding_window_view(codes, end - first) == item[first:end]
+    for n in range(1, FINE):
+        same = same[:, :-1] & same[:, 1:]
+    held = np.append(0, np.cumsum(same.any(axis=0)))
+    at = rows - first
+    return rows[held[at + size - FINE + 1] - held[at] >= size - FINE + 1 - most * FINE]
+
+
 def _exact_run(item: np.ndarray, text: np.ndarray, low: int, high: int, size: int) -> tuple[int, int, int] | None:
     """The longest run of `size` or more equal characters on a diagonal: (place in item, in text, length)."""
     best = None
@@ -294,15 +313,16 @@ def _verify(block: Block, own: int, text: np.ndarray, j: np.ndarray, diag: np.nd
     """The region's passage (doc start, end, item start, end, edits, shared), or None."""
     item, size, most = block.codes[own], int(block.size[own]), int(block.edits[own])
     low, high, shared = int(diag.min()), int(diag.max()), len(np.unique(j))
-    run = _exact_run(item, text, low, high, size)
-    if run is not None:
-        return run[1], run[1] + run[2], run[0], run[0] + run[2], 0, shared
     rows = np.arange(max(0, int(j.min()) + block.gram - size), min(len(item) - size, int(j.max())) + 1)
     grams = np.unique(j)
     shares = np.searchsorted(grams, rows + size - block.gram, side="right") - np.searchsorted(grams, rows)
     rows = rows[shares >= block.least[own]]
+    rows = _near(item, text, rows, low - most, high + most, size, most)
     if not len(rows):
         return None
+    run = _exact_run(item, text, low, high, size)
+    if run is not None:
+        return run[1], run[1] + run[2], run[0], run[0] + run[2], 0, shared
     windows = item[rows[:, None] + np.arange(size)]
     edits = window_edits(windows, text, rows, low - most, high + most)
     fine = rows[edits <= most]

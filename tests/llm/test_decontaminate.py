@@ -157,3 +157,22 @@ def test_a_window_is_64_characters():
     near = "".join("z" if i in (5, 17, 29, 46, 58) else c for i, c in enumerate(piece))
     texts = [f"z {piece} z", f"z {near} z", f"z {piece[:50]} z"]
     assert {h[0] for h in D.scan(D.make_block([(1, item)]), texts)} == {0, 1}
+
+
+def test_the_finer_count_loses_nothing(monkeypatch):
+    """The windows that it drops before the alignment are those that the alignment would drop."""
+    rng = random.Random(15)
+    item = "".join(rng.choices("abcde fgh", k=400))
+    texts = []
+    for n in range(60):
+        at = rng.randrange(0, 300)
+        chars = list(item[at : at + rng.randint(20, 100)])
+        for place in sorted(rng.sample(range(len(chars)), n % 9), reverse=True):
+            chars[place : place + 1] = rng.choice((["x"], [], [chars[place], "q"]))
+        texts.append("z" * rng.randint(0, 40) + "".join(chars) + "z" * rng.randint(0, 40))
+    block, aligned, plain = D.make_block([(1, item), (2, item[:40])]), [], D.window_edits
+    monkeypatch.setattr(D, "window_edits", lambda w, *rest: aligned.append(len(w)) or plain(w, *rest))
+    fewer, few = D.scan(block, texts), sum(aligned)
+    aligned.clear()
+    monkeypatch.setattr(D, "_near", lambda item, text, rows, *rest: rows)
+    assert D.scan(block, texts) == fewer and 0 < few < sum(aligned)
