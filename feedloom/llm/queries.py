@@ -12,7 +12,7 @@ from feedloom.llm.language import language_of_documents
 from feedloom.llm.quality import quality_of_documents
 from feedloom.llm.secrets import secrets_of_documents
 from feedloom.llm.simhash import simhash_of_documents
-from feedloom.llm.tokens import token_totals_of_documents
+from feedloom.llm.tokens import whole_token_totals
 from feedloom.llm.toxicity import toxicity_of_documents
 from feedloom.session import prepare
 
@@ -31,7 +31,7 @@ QUERIES: dict[str, Query] = {
         "op3_secret_scan": secrets_of_documents,
         "op4_simhash": simhash_of_documents,
         "op5_url_filter": urls.urls_of_pages,
-        "op6_token_counts": token_totals_of_documents,
+        "op6_token_counts": whole_token_totals,
         "op7_quality": quality_of_documents,
         "op8_language_id": language_of_documents,
         "op9_decontamination": benchmark_in_documents,

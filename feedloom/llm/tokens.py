@@ -139,3 +139,35 @@ def token_totals_of_documents(spark: SparkSession, sf_dir: str, folder: str = TO
         changes, version = batches[number - 1]
         rollup.commit(number, changes, Vocabulary(version, folder))
     return rollup.totals()
+
+
+VERSIONS = ("byte_bpe_50k", "byte_bpe_multi_50k")
+
+
+def changes_back_to_documents(docs: DataFrame) -> list[DataFrame]:
+    """Batches that end at the whole table: all rows; then some revised to their own text twice and some
+    deleted; then the first revised to their text as it is and the others inserted again."""
+    rows = docs.select("doc_id", "source", "lang", "text")
+    part = F.coalesce(F.col("doc_id"), F.lit(-1)) % 20
+    doubled = F.when(part == 3, F.concat("text", F.lit("\n"), "text"))
+    some = rows.where(part.isin(3, 7))
+    return [
+        rows.withColumn("action", F.lit(INSERT)),
+        some.withColumn("text", doubled).withColumn("action", F.when(part == 3, F.lit(REVISE)).otherwise(F.lit(DELETE))),
+        some.withColumn("action", F.when(part == 3, F.lit(REVISE)).otherwise(F.lit(INSERT))),
+    ]
+
+
+def whole_token_totals(spark: SparkSession, sf_dir: str, folder: str = TOKENIZERS) -> DataFrame:
+    """Totals of all documents under each tokenizer version, after batches the second of which is
+    committed twice. A revision takes back what any version had counted, so each has a rollup of its own."""
+    ensure_checkpoint_dir(spark)
+    root = f"{spark.sparkContext.getCheckpointDir()}/tokens-{uuid.uuid4().hex}"
+    batches = changes_back_to_documents(table(spark, sf_dir, "documents"))
+    out = None
+    for version in VERSIONS:
+        rollup, vocabulary = TokenRollup(spark, f"{root}/{version}"), Vocabulary(version, folder)
+        for number in (1, 2, 2, 3):
+            rollup.commit(number, batches[number - 1], vocabulary)
+        out = rollup.totals() if out is None else out.union(rollup.totals())
+    return out

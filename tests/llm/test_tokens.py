@@ -73,3 +73,28 @@ def test_a_batch_without_its_mark_does_not_count(spark, first, tmp_path):
     assert shown(rollup.totals()) == {("a", "en", first.version): (1, 1)}
     rollup.commit(2, rows, first)
     assert shown(rollup.totals()) == {("a", "en", first.version): (2, 2)}
+
+
+def test_registered_totals_are_those_of_all_documents(spark):
+    from feedloom.llm.queries import QUERIES
+
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    want = {}
+    for version in ("byte_bpe_50k", "byte_bpe_multi_50k"):
+        vocabulary = K.Vocabulary(version)
+        for r in rows:
+            docs, tokens = want.get((r.source, r.lang, version), (0, 0))
+            want[r.source, r.lang, version] = (docs + 1, tokens + vocabulary.count(r.text or ""))
+    assert shown(QUERIES["op6_token_counts"](spark, SF)) == want
+
+
+def test_batches_pass_through_other_totals(spark, first, tmp_path):
+    """Before the last batch deleted ids are gone and revised ones count their text twice."""
+    docs = spark.createDataFrame([(3, "a", "en", "one two"), (7, "a", "en", "three"), (None, "a", "en", "four")], "doc_id bigint, source string, lang string, text string")
+    rollup, count = K.TokenRollup(spark, str(tmp_path / "rollup")), first.count
+    seen = []
+    for n, batch in enumerate(K.changes_back_to_documents(docs), 1):
+        rollup.commit(n, batch, first)
+        seen.append(shown(rollup.totals())["a", "en", first.version])
+    whole = (3, count("one two") + count("three") + count("four"))
+    assert seen == [whole, (2, count("one two\none two") + count("four")), whole]
