@@ -203,21 +203,19 @@ def _near(item: np.ndarray, text: np.ndarray, rows: np.ndarray, low: int, high:
     return rows[held[at + size - FINE + 1] - held[at] >= size - FINE + 1 - most * FINE]
 
 
-def _exact_run(item: np.ndarray, text: np.ndarray, low: int, high: int, size: int) -> tuple[int, int, int] | None:
-    """The longest run of `size` or more equal characters on a diagonal: (place in item, in text, length)."""
-    best = None
+def _exact_runs(item: np.ndarray, text: np.ndarray, low: int, high: int, size: int) -> list[tuple[int, int, int]]:
+    """All runs of `size` or more equal characters on diagonals low..high: (place in item, in text, length)."""
+    found = []
     for d in range(low, high + 1):
         a, b = max(0, -d), min(len(item), len(text) - d)
         if b - a < size:
             continue
-        bad = np.flatnonzero(item[a:b] != text[a + d : b + d])
-        edges = np.concatenate([[-1], bad, [b - a]])
+        edges = np.concatenate([[-1], np.flatnonzero(item[a:b] != text[a + d : b + d]), [b - a]])
         runs = np.diff(edges) - 1
-        k = int(runs.argmax())
-        if runs[k] >= size and (best is None or runs[k] > best[2]):
+        for k in np.flatnonzero(runs >= size).tolist():
             start = a + int(edges[k]) + 1
-            best = (start, start + d, int(runs[k]))
-    return best
+            found.append((start, start + d, int(runs[k])))
+    return found
 
 
 def shared_grams(block: Block, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -289,8 +287,7 @@ def _passages(block: Block, codes: np.ndarray, edges: np.ndarray) -> Iterator[tu
     for lo, hi in _runs(group, np.flatnonzero(fits), last):
         pair_id = int(pair[group[lo] >> 29])
         row, own = pair_id // len(block.ids), pair_id % len(block.ids)
-        hit = _verify(block, own, codes[edges[row] : edges[row + 1]], j[lo : hi + 1], diag[lo : hi + 1])
-        if hit is not None:
+        for hit in _verify(block, own, codes[edges[row] : edges[row + 1]], j[lo : hi + 1], diag[lo : hi + 1]):
             yield row, own, hit
 
 
@@ -309,27 +306,34 @@ def _runs(group: np.ndarray, starts: np.ndarray, last: np.ndarray) -> Iterator[t
         yield lo, hi
 
 
-def _verify(block: Block, own: int, text: np.ndarray, j: np.ndarray, diag: np.ndarray):
-    """The region's passage (doc start, end, item start, end, edits, shared), or None."""
+def _verify(block: Block, own: int, text: np.ndarray, j: np.ndarray, diag: np.ndarray) -> list[tuple]:
+    """The region's passages (doc start, end, item start, end, edits, shared): exact runs and aligned windows."""
     item, size, most = block.codes[own], int(block.size[own]), int(block.edits[own])
-    low, high, shared = int(diag.min()), int(diag.max()), len(np.unique(j))
+    low, high = int(diag.min()), int(diag.max())
     rows = np.arange(max(0, int(j.min()) + block.gram - size), min(len(item) - size, int(j.max())) + 1)
     grams = np.unique(j)
+    shared = len(grams)
     shares = np.searchsorted(grams, rows + size - block.gram, side="right") - np.searchsorted(grams, rows)
     rows = rows[shares >= block.least[own]]
     rows = _near(item, text, rows, low - most, high + most, size, most)
     if not len(rows):
-        return None
-    run = _exact_run(item, text, low, high, size)
-    if run is not None:
-        return run[1], run[1] + run[2], run[0], run[0] + run[2], 0, shared
+        return []
+    out = []
+    for start, place, length in _exact_runs(item, text, low, high, size):
+        out.append((place, place + length, start, start + length, 0, shared))
+        rows = rows[(rows < start) | (rows + size > start + length)]
+    if not len(rows):
+        return out
     windows = item[rows[:, None] + np.arange(size)]
     edits = window_edits(windows, text, rows, low - most, high + most)
-    fine = rows[edits <= most]
-    if not len(fine):
-        return None
-    begin, end = int(fine[0]), int(fine[-1]) + size
-    return max(0, begin + low), min(len(text), end + high), begin, end, int(edits.min()), shared
+    fine, edits = rows[edits <= most], edits[edits <= most]
+    # windows that overlap or touch are one passage
+    cuts = np.flatnonzero(np.diff(fine) > size) + 1
+    for part, cost in zip(np.split(fine, cuts), np.split(edits, cuts), strict=True):
+        if len(part):
+            begin, end = int(part[0]), int(part[-1]) + size
+            out.append((max(0, begin + low), min(len(text), end + high), begin, end, int(cost.min()), shared))
+    return out
 
 
 def _merge(regions: list) -> Iterator[list]:
@@ -347,17 +351,18 @@ def _merge(regions: list) -> Iterator[list]:
 
 
 def _short_hits(block: Block, codes: np.ndarray, edges: np.ndarray, kept: np.ndarray) -> list:
-    """Whole-word places of items too short for a q-gram: the first in each document."""
+    """All whole-word places of items too short for a q-gram."""
     hits = []
     for row in range(len(edges) - 1):
         text = " " + codes[edges[row] : edges[row + 1]].astype("<u4").tobytes().decode("utf-32-le") + " "
         for item, form in block.short:
             place = text.find(f" {form} ")
-            if place >= 0:
+            while place >= 0:
                 first = int(kept[edges[row]])
                 start = int(kept[edges[row] + place])
                 end = int(kept[edges[row] + place + len(form) - 1]) + 1
                 hits.append((row, item, start - first, end - first, 0, len(form), 0, 0))
+                place = text.find(f" {form} ", place + 1)
     return hits
 
 

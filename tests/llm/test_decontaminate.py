@@ -176,3 +176,16 @@ def test_the_finer_count_loses_nothing(monkeypatch):
     aligned.clear()
     monkeypatch.setattr(D, "_near", lambda item, text, rows, *rest: rows)
     assert D.scan(block, texts) == fewer and 0 < few < sum(aligned)
+
+
+def test_whole_passages_and_all_places():
+    """A letter changed in the middle, two far parts of an item, and a short item that stands twice."""
+    rng = random.Random(21)
+    item = "".join(rng.choices("abcdefgh", k=300))
+    changed = item[:150] + "z" + item[151:]
+    apart = item[:80] + "z" * 140 + item[220:]
+    hits = D.scan(D.make_block([(1, item), (2, "Xyzzy")]), [changed, apart, "xyzzy, Xyzzy and xyzzy"])
+    assert [h[2:6] for h in hits if h[0] == 0] == [(0, 300, 0, 300)]
+    ends = [h[2:6] for h in hits if h[0] == 1]
+    assert len(ends) == 2 and ends[0][0] == 0 and ends[0][3] >= 80 and ends[1][2] <= 220 and ends[1][3] == 300
+    assert [h[2:4] for h in hits if h[0] == 2] == [(0, 5), (7, 12), (17, 22)]
