@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.llm.decontaminate import benchmark_in_documents
-from feedloom.llm import licenses, mixing, urls
+from feedloom.llm import licenses, merkle, middles, mixing, topk, urls
 from feedloom.llm.language import language_of_documents
 from feedloom.llm.quality import quality_of_documents
 from feedloom.llm.secrets import secrets_of_documents
@@ -36,6 +36,9 @@ QUERIES: dict[str, Query] = {
         "op8_language_id": language_of_documents,
         "op9_decontamination": benchmark_in_documents,
         "op10_toxicity": toxicity_of_documents,
+        "op11_merkle_manifest": merkle.manifest_of_documents,
+        "op12_top_k": topk.top_k_of_embeddings,
+        "op13_fill_in_middle": middles.middles_of_documents,
     }.items()
 }
 
@@ -43,4 +46,7 @@ ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.oracle(),
     "op2_mixing": mixing.oracle(),
     "op5_url_filter": urls.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
+    "op12_top_k": topk.ORACLE,
+    "op13_fill_in_middle": middles.ORACLE,
 }
