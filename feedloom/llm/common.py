@@ -90,13 +90,15 @@ def bounded_sample(df: DataFrame, keys: Sequence[str], most: int, seed: int) ->
     """At most `most` rows, the same on every run: those with the smallest hash of the keys.
 
     Only for fitting models. All rows are counted and hashed; a hash bound leaves some more than `most`
-    of them before the top-k, so that tasks do not send `most` rows each.
+    of them before the top-k, so that tasks do not send `most` rows each. A bound that leaves fewer, as
+    one on few distinct keys may, is not used.
     """
     hashed = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
     rows = df.count()
     if rows > 2 * most + 1000:
         part = (1.2 * most + 1000) / rows
-        df = df.where(hashed <= F.lit(-(1 << 63) + int(part * (1 << 64))))
+        near = df.where(hashed <= F.lit(-(1 << 63) + int(part * (1 << 64))))
+        df = near if near.count() >= most else df
     return df.orderBy(hashed, *keys).limit(most)
 
 

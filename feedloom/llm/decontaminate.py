@@ -13,6 +13,13 @@ The benchmark goes to the tasks in blocks of at most BLOCK_CHARS characters, one
 documents for each block, long items in overlapping pieces. Nothing else is broadcast, and no text
 is shuffled.
 
+Repetitive texts are no exception: pairs of a gram's places in a document and in an item are made for so
+many documents at once as have PAIRS of them; of a document that has more by itself and a piece of an item
+that shares more with it, the grams are counted along the diagonals instead, a band at a time.
+
+A passage's ends are those of its alignment. Passages of one item that overlap in the document and in the
+item are one. Very long texts are searched whole, their grams hashed a stretch at a time.
+
 Nulls: a null or empty text has no hits; a null or empty item gives none. Repeated documents and
 items give repeated hits. Empty tables give no hits. Columns are carried by position, so an extra
 column of a result's name does no harm.
@@ -43,6 +50,8 @@ BLOCK_CHARS = 2_000_000
 PIECE_CHARS = 4096
 # Characters whose q-grams are hashed at once.
 STRETCH = 1 << 20
+# Pairs of places, in a document and in the items, that are looked at together.
+PAIRS = 1 << 19
 _BAND = EDITS + 1
 _NOTHING = np.uint32(0x110000)
 # An odd multiplier and its powers, modulo 2**64.
@@ -159,7 +168,12 @@ def _postings(gram: int, found: list[tuple[Any, np.ndarray, int]]) -> Block:
 
 
 def window_edits(window: np.ndarray, text: np.ndarray, starts: np.ndarray, low: int, high: int) -> np.ndarray:
-    """Fewest edits of each window (rows) in `text`, on diagonals low..high of its start in the item.
+    """Fewest edits of each window (rows) in `text`, on diagonals low..high of its start in the item."""
+    return _costs(window, text, starts, low, high).min(axis=1)
+
+
+def _costs(window: np.ndarray, text: np.ndarray, starts: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Fewest edits of each window by the diagonal, low..high, on which the passage ends.
 
     After r steps, place d holds the cost of the window's first r characters against the text up to
     start + r + d. Any diagonal may begin and end the passage.
@@ -183,7 +197,20 @@ def window_edits(window: np.ndarray, text: np.ndarray, starts: np.ndarray, low:
         cost += step
         if int(cost.min()) > EDITS:
             break
-    return cost.min(axis=1)
+    return cost
+
+
+def _first_place(item: np.ndarray, text: np.ndarray, row: int, size: int, low: int, high: int) -> int:
+    """Where in `text` the best alignment of a window begins: the end of that of both read backwards."""
+    back = np.array([len(text) - row - size])
+    cost = _costs(item[row : row + size][::-1][None], text[::-1], back, -high, -low)[0]
+    return row + high - int(cost.argmin())
+
+
+def _last_place(item: np.ndarray, text: np.ndarray, row: int, size: int, low: int, high: int) -> int:
+    """Where in `text` the best alignment of a window ends."""
+    cost = _costs(item[row : row + size][None], text, np.array([row]), low, high)[0]
+    return row + size + low + int(cost.argmin())
 
 
 def _near(item: np.ndarray, text: np.ndarray, rows: np.ndarray, low: int, high: int, size: int, most: int) -> np.ndarray:
@@ -261,23 +288,98 @@ def _passages(block: Block, codes: np.ndarray, edges: np.ndarray) -> Iterator[tu
     doc = np.searchsorted(edges, at, side="right") - 1
     inside = at + block.gram <= edges[doc + 1]
     at, gram, doc = at[inside], gram[inside], doc[inside]
+    if not len(at):
+        return
+    many = block.first[gram + 1] - block.first[gram]
+    begins = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+    ends = np.append(begins[1:], len(doc))
+    weight = np.add.reduceat(many, begins)
+    lo = 0
+    while lo < len(begins):
+        hi = max(lo + 1, int(np.searchsorted(np.cumsum(weight[lo:]), PAIRS, side="right")) + lo)
+        own = slice(int(begins[lo]), int(ends[hi - 1]))
+        if weight[lo] > PAIRS:
+            yield from _by_piece(block, codes, edges, at[own], gram[own], int(doc[own.start]))
+        else:
+            yield from _together(block, codes, edges, at[own], gram[own], doc[own])
+        lo = hi
+
+
+def _together(block: Block, codes: np.ndarray, edges: np.ndarray, at: np.ndarray, gram: np.ndarray, doc: np.ndarray):
+    """Passages of some documents, with all their pairs at once."""
     many = block.first[gram + 1] - block.first[gram]
     each = np.repeat(np.arange(len(at)), many)
     posting = np.arange(len(each)) - np.repeat(np.cumsum(many) - many, many) + block.first[gram][each]
     piece, place = block.piece[posting], block.place[posting]
     pair, inverse, counts = np.unique(doc[each] * len(block.ids) + piece, return_inverse=True, return_counts=True)
     good = counts[inverse] >= block.least[piece]
-    inverse, piece, place, each = inverse[good], piece[good], place[good], each[good]
-    if not len(each):
-        return
-    diagonal = at[each] - edges[doc[each]] - place + PIECE_CHARS
-    band = diagonal // _BAND
+    inverse, place, each = inverse[good], place[good], each[good]
+    if len(each):
+        yield from _regions(block, codes, edges, pair, inverse, place, at[each] - edges[doc[each]] - place)
+
+
+def _by_piece(block: Block, codes: np.ndarray, edges: np.ndarray, at: np.ndarray, gram: np.ndarray, row: int):
+    """Passages of one document, a piece of the items at a time."""
+    grams, times = np.unique(gram, return_counts=True)
+    many = block.first[grams + 1] - block.first[grams]
+    each = np.repeat(np.arange(len(grams)), many)
+    posting = np.arange(len(each)) - np.repeat(np.cumsum(many) - many, many) + block.first[grams][each]
+    order = np.argsort(block.piece[posting], kind="stable")
+    each, posting = each[order], posting[order]
+    borders = np.searchsorted(block.piece[posting], np.arange(len(block.ids) + 1))
+    shared = np.bincount(block.piece[posting], weights=times[each], minlength=len(block.ids))
+    text = codes[edges[row] : edges[row + 1]]
+    for own in np.flatnonzero(shared >= np.maximum(block.least, 1)).tolist():
+        if shared[own] > PAIRS:
+            for j, diag in _bands(block, own, text):
+                for hit in _verify(block, own, text, j, diag, dense=True):
+                    yield row, own, hit
+            continue
+        mine = slice(int(borders[own]), int(borders[own + 1]))
+        held, first, count = np.unique(each[mine], return_index=True, return_counts=True)
+        places = block.place[posting[mine]]
+        found = np.searchsorted(grams[held], gram)
+        found[found == len(held)] = 0
+        real = grams[held][found] == gram
+        found, start = found[real], at[real] - edges[row]
+        n = count[found]
+        pair = np.repeat(np.arange(len(found)), n)
+        place = places[np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n) + first[found][pair]]
+        only, zero = np.array([row * len(block.ids) + own]), np.zeros(len(pair), np.int64)
+        yield from _regions(block, codes, edges, only, zero, place, start[pair] - place)
+
+
+def _bands(block: Block, own: int, text: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places, diagonals) that the q-grams shared by a piece and a text have, for each band that reaches the bound."""
+    item, gram = block.codes[own], block.gram
+    reach, least = int(block.size[own]) - gram, int(block.least[own])
+    wide = 2 * _BAND
+    margin = np.full(len(item) + wide, _NOTHING, np.uint32)
+    seen = np.lib.stride_tricks.sliding_window_view(np.concatenate([margin, text, margin]), len(item))
+    for low in range(-len(item), len(text), _BAND):
+        same = seen[low + len(margin) : low + len(margin) + wide] == item
+        held = 1
+        while held < gram:
+            step = min(held, gram - held)
+            same = same[:, : same.shape[1] - step] & same[:, step:]
+            held += step
+        j = np.flatnonzero(same.any(axis=0))
+        if len(j) >= least and (j[least - 1 :] - j[: len(j) - least + 1] <= reach).any():
+            yield j, np.flatnonzero(same.any(axis=1)) + low
+
+
+def _regions(
+    block: Block, codes: np.ndarray, edges: np.ndarray, pair: np.ndarray, inverse: np.ndarray, place: np.ndarray, diagonal: np.ndarray
+) -> Iterator[tuple[int, int, tuple]]:
+    """Verified passages of pairs of a document and a piece, from the shared grams' places and diagonals."""
+    piece = pair[inverse] % len(block.ids)
+    band = (diagonal + PIECE_CHARS) // _BAND
     # each diagonal lies in two bands of twice the step, so some band has a passage's grams together
     key = (np.concatenate([inverse, inverse]) << 42) | (np.concatenate([band, band - 1]) + 1 << 13) | np.concatenate([place, place])
     order = np.argsort(key, kind="stable")
     key = key[order]
     group, j = key >> 13, key & 8191
-    diag = np.concatenate([diagonal, diagonal])[order] - PIECE_CHARS
+    diag = np.concatenate([diagonal, diagonal])[order]
     least = block.least[np.concatenate([piece, piece])[order]]
     reach = block.size[np.concatenate([piece, piece])[order]] - block.gram
     last = np.arange(len(key)) + least - 1
@@ -306,8 +408,13 @@ def _runs(group: np.ndarray, starts: np.ndarray, last: np.ndarray) -> Iterator[t
         yield lo, hi
 
 
-def _verify(block: Block, own: int, text: np.ndarray, j: np.ndarray, diag: np.ndarray) -> list[tuple]:
-    """The region's passages (doc start, end, item start, end, edits, shared): exact runs and aligned windows."""
+def _verify(
+    block: Block, own: int, text: np.ndarray, j: np.ndarray, diag: np.ndarray, dense: bool = False
+) -> list[tuple]:
+    """The region's passages (doc start, end, item start, end, edits, shared): exact runs and aligned windows.
+
+    Of a dense region most windows lie in exact runs, so that those left are few before they are counted again.
+    """
     item, size, most = block.codes[own], int(block.size[own]), int(block.edits[own])
     low, high = int(diag.min()), int(diag.max())
     rows = np.arange(max(0, int(j.min()) + block.gram - size), min(len(item) - size, int(j.max())) + 1)
@@ -315,13 +422,16 @@ def _verify(block: Block, own: int, text: np.ndarray, j: np.ndarray, diag: np.nd
     shared = len(grams)
     shares = np.searchsorted(grams, rows + size - block.gram, side="right") - np.searchsorted(grams, rows)
     rows = rows[shares >= block.least[own]]
-    rows = _near(item, text, rows, low - most, high + most, size, most)
+    if not dense:
+        rows = _near(item, text, rows, low - most, high + most, size, most)
     if not len(rows):
         return []
     out = []
     for start, place, length in _exact_runs(item, text, low, high, size):
         out.append((place, place + length, start, start + length, 0, shared))
         rows = rows[(rows < start) | (rows + size > start + length)]
+    if dense:
+        rows = _near(item, text, rows, low - most, high + most, size, most)
     if not len(rows):
         return out
     windows = item[rows[:, None] + np.arange(size)]
@@ -331,23 +441,32 @@ def _verify(block: Block, own: int, text: np.ndarray, j: np.ndarray, diag: np.nd
     cuts = np.flatnonzero(np.diff(fine) > size) + 1
     for part, cost in zip(np.split(fine, cuts), np.split(edits, cuts), strict=True):
         if len(part):
-            begin, end = int(part[0]), int(part[-1]) + size
-            out.append((max(0, begin + low), min(len(text), end + high), begin, end, int(cost.min()), shared))
+            begin, last = int(part[0]), int(part[-1])
+            start = _first_place(item, text, begin, size, low - most, high + most)
+            end = _last_place(item, text, last, size, low - most, high + most)
+            out.append((max(0, start), min(len(text), end), begin, last + size, int(cost.min()), shared))
     return out
 
 
-def _merge(regions: list) -> Iterator[list]:
-    """Overlapping regions of one document and item as one, with the fewest edits of them."""
-    held: list | None = None
+def _merge(regions: list) -> Iterator[tuple]:
+    """Regions of one document and item, sorted; those that overlap in both are one, with the fewest edits of them.
+
+    Ends overlap by the edits that windows may have, so an overlap is at least half a window or half of a region.
+    """
+    held: list[tuple] = []
     for r in regions:
-        if held is not None and r[0] <= held[1]:
-            held = [held[0], max(held[1], r[1]), min(held[2], r[2]), max(held[3], r[3]), min(held[4], r[4]), max(held[5], r[5])]
-        else:
-            if held is not None:
-                yield held
-            held = list(r)
-    if held is not None:
-        yield held
+        yield from (h for h in held if h[1] < r[0])
+        held, rest = [], [h for h in held if h[1] >= r[0]]
+        while rest:
+            h = rest.pop()
+            least = min(WINDOW, h[1] - h[0], r[1] - r[0], h[3] - h[2], r[3] - r[2]) // 2
+            if min(min(h[1], r[1]) - max(h[0], r[0]), min(h[3], r[3]) - max(h[2], r[2])) >= least:
+                r = (min(h[0], r[0]), max(h[1], r[1]), min(h[2], r[2]), max(h[3], r[3]), min(h[4], r[4]), max(h[5], r[5]))
+                rest, held = rest + held, []
+            else:
+                held.append(h)
+        held.append(r)
+    yield from held
 
 
 def _short_hits(block: Block, codes: np.ndarray, edges: np.ndarray, kept: np.ndarray) -> list:

@@ -1,12 +1,16 @@
 """Benchmark passages against a plain edit-distance search, on whole small tables and planted rows."""
 
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
 
 from feedloom.llm import decontaminate as D
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SF = "/root/testdata/sf0.001"
 
 
@@ -189,3 +193,74 @@ def test_whole_passages_and_all_places():
     ends = [h[2:6] for h in hits if h[0] == 1]
     assert len(ends) == 2 and ends[0][0] == 0 and ends[0][3] >= 80 and ends[1][2] <= 220 and ends[1][3] == 300
     assert [h[2:4] for h in hits if h[0] == 2] == [(0, 5), (7, 12), (17, 22)]
+
+
+def plain_hits(item, text):
+    """(row starts of windows within the budget) by the full table."""
+    size = min(len(item), D.WINDOW)
+    return [s for s in range(len(item) - size + 1) if best_edits(item[s : s + size], text) <= size * D.EDITS // D.WINDOW]
+
+
+@pytest.mark.parametrize("unit", ["0 ", "ha ho "])
+def test_repetitive_texts_against_the_full_table(monkeypatch, unit):
+    """The same passages whether pairs are made at once, by piece or along the diagonals."""
+    item = (unit * 200)[:300].strip()
+    mixed = "some words of another kind " + item[:90] + " and more that differs from it"
+    texts = [(unit * 300)[:500], "clean " * 30, "x " + (unit * 30)[:63] + "y", "x" + (unit * 30)[:64], mixed]
+    items = [(1, item), (2, mixed[:80] + item[:100])]
+    found = []
+    for pairs in (1 << 22, 3000, 1):
+        monkeypatch.setattr(D, "PAIRS", pairs)
+        found.append(sorted(h[:7] for h in D.scan(D.make_block(items), texts)))
+    # where a word repeats, alignments of the same cost may end some characters apart
+    for other in found[1:]:
+        assert len(other) == len(found[0])
+        assert all(a[:2] == b[:2] and np.abs(np.subtract(a[2:], b[2:])).max() <= D.EDITS for a, b in zip(found[0], other, strict=True))
+    want = {(r, i) for r, t in enumerate(texts) for i, x in items if plain_hits(form(x), form(t))}
+    assert {h[:2] for h in found[0]} == want and len(want) > 3
+    # all of the item stands in the first text, and all of the text is one passage
+    assert (0, 1, 0, len(form(texts[0]).rstrip()), 0, len(item), 0) in found[0] or found[0][0][4:6] == (0, len(item))
+
+
+@pytest.mark.parametrize("words", ["ha", "ha ho"])
+def test_long_texts_of_one_word_in_bounded_memory(words):
+    """An item of 2,000 words in a document of 20,000 is one passage, found in some hundred megabytes."""
+    code = f"""
+import resource
+from feedloom.llm import decontaminate as D
+words = {words.split()!r}
+item, text = " ".join((words * 2000)[:2000]), " ".join((words * 20_000)[:20_000])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+hits = D.scan(D.make_block([(1, item)]), [text])
+assert [h[:7] for h in hits] == [(0, 1, 0, len(text), 0, len(item), 0)], hits
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, check=False)
+    assert out.returncode == 0, out.stderr[-500:]
+    assert int(out.stdout) < 500
+
+
+def test_ends_are_those_of_the_alignment():
+    rng = random.Random(33)
+    item = "".join(rng.choices("abcdefgh", k=130))
+    chars = list(item[20:100])
+    chars[5], chars[40] = "z", "z"
+    del chars[60]
+    text = "y" * 50 + "".join(chars) + "y" * 50
+    ((_, _, start, end, a, b, edits, _),) = D.scan(D.make_block([(1, item)]), [text])
+    assert abs(start - 50) <= D.EDITS and abs(end - 129) <= D.EDITS and edits <= 3
+    assert abs(a - 20) <= D.EDITS and abs(b - 100) <= D.EDITS
+    # two places of the item, one after the other in the text: two rows
+    swapped = D.scan(D.make_block([(1, item)]), [item[65:] + item[:65]])
+    assert [h[4] < 20 for h in sorted(h[:7] for h in swapped)] == [False, True]
+    again = D.scan(D.make_block([(1, item)]), [item[:70] + item[:70]])
+    assert len(again) == 2 and all(h[4] == 0 and 70 <= h[5] <= 80 for h in again)
+
+
+def test_the_sample_bound_keeps_few_distinct_keys(spark):
+    from feedloom.llm.common import bounded_sample
+    from pyspark.sql import functions as F
+
+    for keys in (1, 2, 5):
+        rows = spark.range(50_000).select((F.col("id") % keys).alias("k"))
+        assert bounded_sample(rows, ["k"], 2000, 8).count() == 2000
