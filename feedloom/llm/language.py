@@ -5,6 +5,9 @@ and a document's probabilities are the mean over all its positions. It is writte
 trained by backpropagation through time on the driver, on windows of a bounded sample of labelled
 rows; the trained weights (some 30 KB) go to the tasks, which read whole texts.
 
+A very long text is read whole, in windows that run through the network a block at a time. Of labels that
+tie, at a position or in a document, the first in order wins the document; all of them win the position.
+
 Nulls: a null text, an empty one and one without a letter give `und` with score 0. Rows with a null
 label or text are never learnt from. Repeated rows give repeated results. An empty table, or one
 without a labelled row, gives `und` everywhere. A column of the input that has the name of a result
@@ -196,6 +199,81 @@ def label_positions(net: Network, text: bytes) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros((0, len(net.labels)), np.float32)
 
 
+class _Reader:
+    """The forward pass over blocks of windows: weights scaled once, buffers used again.
+
+    The gates are 1 / (1 + exp(-x)) and the candidate is 2 / (1 + exp(-2x)) - 1, so the tables hold -x and -2x,
+    biases included. A window's bytes are gathered as rows, one for each byte.
+    """
+
+    def __init__(self, net: Network, steps: int, width: int) -> None:
+        hidden = net.inner.shape[2]
+        flip = lambda x: np.ascontiguousarray(x.transpose(0, 2, 1))
+        self.gates = flip(-(net.table + net.bias)[:, : 2 * hidden])
+        self.candidate = flip(-2 * net.table[:, 2 * hidden :])
+        self.inner_gates = flip(-net.inner[:, : 2 * hidden])
+        self.inner_candidate = flip(-2 * net.inner[:, 2 * hidden :])
+        self.bias = flip(-2 * net.bias[:, 2 * hidden :])
+        self.head = net.head.reshape(len(net.labels), 2, hidden)
+        self.head_bias = net.head_bias
+        make = lambda *shape: np.empty(shape, np.float32)
+        self.buffers = [make(2, width, n * hidden) for n in (2, 2, 1, 1, 1)]
+        self.states = make(2, steps, width, hidden)
+
+    def states_of(self, windows: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """States (2, T, B, H) of windows (T, B); those of a short window count up to its end only."""
+        steps, width = windows.shape
+        hidden = self.states.shape[3]
+        gate, told, new, more, h = [x[:, :width] for x in self.buffers]
+        out = self.states[:, :, :width]
+        h[:] = 0
+        short = bool((length < steps).any())
+        z, r = gate[:, :, :hidden], gate[:, :, hidden:]
+        for t in range(steps):
+            back = steps - 1 - t
+            for d, at in ((0, t), (1, back)):
+                np.take(self.gates[d], windows[at], axis=0, out=gate[d], mode="clip")
+                np.take(self.candidate[d], windows[at], axis=0, out=new[d], mode="clip")
+            gate += np.matmul(h, self.inner_gates, out=told)
+            np.exp(gate, out=gate)
+            gate += 1
+            np.reciprocal(gate, out=gate)
+            np.matmul(h, self.inner_candidate, out=more)
+            more += self.bias
+            more *= r
+            new += more
+            np.exp(new, out=new)
+            new += 1
+            np.divide(2, new, out=new)
+            new -= 1
+            h -= new
+            h *= z
+            h += new
+            if short:  # the second direction begins at the window's end
+                h[1] *= (back < length)[:, None]
+            out[0, t], out[1, back] = h[0], h[1]
+        return out
+
+    def labelled(self, windows: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sums of the probabilities, positions won) of each window (B, L)."""
+        steps, width = windows.shape
+        with np.errstate(over="ignore"):
+            states = self.states_of(windows, length)
+        flat = [np.ascontiguousarray(s).reshape(steps * width, -1).T for s in states]
+        logits = self.head[:, 0] @ flat[0]
+        logits += self.head[:, 1] @ flat[1]
+        logits += self.head_bias
+        logits -= logits.max(axis=0)
+        best = logits == 0
+        np.exp(logits, out=logits)
+        logits /= logits.sum(axis=0)
+        chance, best = (x.reshape(-1, steps, width) for x in (logits, best))
+        if (length < steps).any():
+            live = np.arange(steps)[:, None] < length
+            chance, best = chance * live, best & live
+        return chance.sum(axis=1).T, best.sum(axis=1).T
+
+
 def pooled(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Mean probabilities of each text over all its positions, and positions labelled with each label."""
     sizes = np.array([len(t) for t in texts], np.int64)
@@ -213,17 +291,12 @@ def pooled(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(length != WINDOW, kind="stable")
     total = np.zeros((len(texts), len(net.labels)))
     won = np.zeros((len(texts), len(net.labels)), np.int64)
+    reader = _Reader(net, WINDOW, min(BLOCK, max(len(order), 1)))
     for at in range(0, len(order), BLOCK):
         rows = order[at : at + BLOCK]
-        live = length[rows]
-        chance = _position_probabilities(net, _states(net, windows[rows].T.copy(), live, None))
-        if (live < WINDOW).any():
-            chance *= (np.arange(WINDOW)[:, None] < live)[:, None, :]
-        best = chance == chance.max(axis=1, keepdims=True)
-        if (live < WINDOW).any():
-            best &= (np.arange(WINDOW)[:, None] < live)[:, None, :]
-        np.add.at(total, owner[rows], chance.sum(axis=0).T)
-        np.add.at(won, owner[rows], best.sum(axis=0).T)
+        chance, best = reader.labelled(np.ascontiguousarray(windows[rows].T), length[rows])
+        np.add.at(total, owner[rows], chance)
+        np.add.at(won, owner[rows], best)
     return total / np.maximum(sizes, 1)[:, None], won
 
 
@@ -238,7 +311,7 @@ def fit_network(
     text: str = "text",
     key: str = "doc_id",
 ) -> Network | None:
-    """Learn from at most `sample_docs` rows of `docs` with a label, WINDOWS_PER_DOC windows of each.
+    """Learn from at most `sample_docs` ids of `docs` with a label, WINDOWS_PER_DOC windows of each.
 
     Tasks cut the windows, evenly spread over the whole text, so the driver gets no long text.
     None if no row has a label and a letter.
@@ -254,7 +327,7 @@ def fit_network(
         return {"windows": out}
 
     known = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
-    ids = bounded_sample(known.select(key), [key], sample_docs, 8)
+    ids = bounded_sample(known.select(key).distinct(), [key], sample_docs, 8)
     chosen = known.select(key, label, text).join(
         F.broadcast(ids.distinct()), key, "left_semi"
     )

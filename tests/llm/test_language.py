@@ -1,5 +1,7 @@
 """Language identification: gradients against differences, held-out accuracy, whole texts, odd rows."""
 
+import math
+
 import numpy as np
 
 from feedloom.llm import language as L
@@ -82,3 +84,59 @@ def test_odd_rows(spark):
     assert L.fit_network(labelled.where("lang IS NULL")) is None
     one = L.fit_network(labelled.where("doc_id = 5"))
     assert one.labels == ["aa"]
+
+
+def plain_probabilities(net, text):
+    """Probabilities of the labels at each byte, a byte and a number at a time."""
+    hidden = net.inner.shape[2]
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    out = []
+    for start in range(0, len(text), L.WINDOW):
+        window = text[start : start + L.WINDOW]
+        states = [[None] * len(window) for _ in range(2)]
+        for d, places in enumerate((range(len(window)), range(len(window) - 1, -1, -1))):
+            h = [0.0] * hidden
+            for t in places:
+                told = [float(x) for x in net.table[d][:, window[t]]]
+                inner = [sum(float(w) * x for w, x in zip(row, h, strict=True)) for row in net.inner[d]]
+                inner = [x + float(b) for x, b in zip(inner, net.bias[d][:, 0], strict=True)]
+                z = [sigmoid(told[i] + inner[i]) for i in range(hidden)]
+                r = [sigmoid(told[hidden + i] + inner[hidden + i]) for i in range(hidden)]
+                n = [math.tanh(told[2 * hidden + i] + r[i] * inner[2 * hidden + i]) for i in range(hidden)]
+                h = [n[i] + z[i] * (h[i] - n[i]) for i in range(hidden)]
+                states[d][t] = h
+        for t in range(len(window)):
+            both = states[0][t] + states[1][t]
+            logits = [sum(float(w) * x for w, x in zip(row, both, strict=True)) + float(b) for row, b in zip(net.head, net.head_bias[:, 0], strict=True)]
+            top = [math.exp(x - max(logits)) for x in logits]
+            out.append([x / sum(top) for x in top])
+    return np.array(out)
+
+
+def test_the_forward_pass_equals_a_plain_byte_loop(monkeypatch):
+    rng = np.random.default_rng(4)
+    net = L.fresh_network(["a", "b", "c"], 5, 2)
+    net.bias += rng.normal(size=net.bias.shape).astype(np.float32)
+    net.head *= 20
+    texts = [b"", b"x", bytes(rng.integers(0, 256, 64, dtype=np.uint8)), "Ein Satz, über drei Fenster: ".encode() * 6]
+    want = [plain_probabilities(net, t) for t in texts]
+    for block in (1, 3, 1024):
+        monkeypatch.setattr(L, "BLOCK", block)
+        chance, won = L.pooled(net, texts)
+        for i, w in enumerate(want):
+            assert np.allclose(chance[i], w.mean(axis=0) if len(w) else 0, atol=2e-6)
+            assert won[i].tolist() == np.bincount(w.argmax(axis=1) if len(w) else [], minlength=3).tolist()
+
+
+def test_many_rows_of_few_ids_still_give_a_network(spark):
+    """More rows than the sample takes, under two ids: the network learns and no document is undetermined."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(6000).select(
+        (F.col("id") % 2).alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, F.lit("the cat sat on the mat")).otherwise(F.lit("der hund lief zum fluss")).alias("text"),
+        F.when(F.col("id") % 2 == 0, F.lit("en")).otherwise(F.lit("de")).alias("lang"),
+    )
+    net = L.fit_network(rows)
+    got = {(r.doc_id, r.lang_pred) for r in L.identify(rows, net, keep=["doc_id"]).select("doc_id", "lang_pred").distinct().collect()}
+    assert got == {(0, "en"), (1, "de")}
