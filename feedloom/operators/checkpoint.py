@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedloom.functions.keys import join_same
 from feedloom.functions.numbering import number_rows, previous, running_sum, span_bucket
 
 # Acknowledgement batch size and the checkpoint version that can be read.
@@ -176,7 +177,7 @@ def file_generations(
     out = out.withColumn("generation", F.col("_resets") + F.col("_reset"))
     current = linked.groupBy(*by).agg(F.sum("_reset").alias("_current"))
     return (
-        out.join(current, list(by))
+        join_same(out, current, by)
         .withColumn("stale", F.col("generation") < F.col("_current"))
         .drop("_before", "_reset", "_resets", "_current")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedloom.functions.keys import join_same
 from feedloom.functions.numbering import number_rows, previous, span_bucket
 
 # Batch bounds and the size of a dead-lettered oversize copy.
@@ -191,7 +192,7 @@ def assign_batches(
         return out[[f.name for f in piece_schema.fields]]
 
     entries = (
-        maps.join(block_entries, [*by, "_block"])
+        join_same(maps, block_entries, [*by, "_block"])
         .groupBy(*by, "_block")
         .applyInPandas(descend, piece_schema)
     )
@@ -223,7 +224,7 @@ def assign_batches(
         .cogroup(entries.groupBy(*by, "_piece"))
         .applyInPandas(number, number_schema)
     )
-    return numbered.join(batches, [*by, "_n"]).drop("_n")
+    return join_same(numbered, batches, [*by, "_n"]).drop("_n")
 
 
 def batch_table(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions.json import array_items, as_column, at_pointer, put_fields, scalar_text
+from feedloom.functions.keys import join_same
 from feedloom.functions.numbering import number_rows
 from feedloom.operators.windows import window_steps
 
@@ -96,8 +97,8 @@ def cap_items(
         ranked.filter(F.col("_rank") > max_items)
         .groupBy(*by)
         .agg(F.array_sort(F.collect_list(F.struct("_rank", order[-1]))).alias("_next"))
-        .join(totals, list(by))
     )
+    beyond = join_same(beyond, totals, by)
     first = F.transform("_next", lambda e: e[order[-1]].cast("string"))
     left_out = F.col("_total") - (F.lit(0) if mode == "fail" else F.lit(max_items))
     report = beyond.select(
@@ -108,7 +109,7 @@ def cap_items(
     )
     kept = ranked.filter(F.col("_rank") <= max_items).drop("_rank")
     if mode == "fail":
-        kept = kept.join(beyond.select(*by), list(by), "left_anti")
+        kept = join_same(kept, beyond.select(*by), by, "left_anti")
     return kept, report
 
 

@@ -1,7 +1,7 @@
 """Captured response pages: put sequences together, cut them by their pager and ceiling.
 
 A sequence is one chain of requests (`seq_key`); `page_id` is a whole number that grows in
-the order the pages were captured. Pagers only decide, page by page, whether the sequence
+the order the pages were captured. Where it does not, `follow_links` finds the order. Pagers only decide, page by page, whether the sequence
 ends there, so page bodies are never gathered per sequence.
 """
 
@@ -22,6 +22,7 @@ from feedloom.functions.json import (
     pointer_text,
     scalar_text,
 )
+from feedloom.functions.keys import join_same
 from feedloom.functions.numbering import number_rows, previous, running_sum, span_bucket
 from feedloom.session import cut_lineage
 
@@ -59,18 +60,50 @@ def token_text(value: Column) -> Column:
     return F.nullif(let(value, text), F.lit(""))
 
 
+_DOT = r"(?:\.|%2[eE])"
+
+
+def _without_dots(path: Column) -> Column:
+    """A path without `.` and `..` segments, as the URL standard removes them."""
+    segments = F.split(path, "/")
+    last = F.element_at(segments, -1)
+
+    def walk(done: Column, part: Column) -> Column:
+        return (
+            F.when(part.rlike(f"^{_DOT}$"), done)
+            .when(part.rlike(f"^{_DOT}{_DOT}$"), F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+            .otherwise(F.concat(done, F.array(part)))
+        )
+
+    kept = F.aggregate(F.slice(segments, 2, F.size(segments)), F.slice(segments, 1, 1), walk)
+    ended = F.when(last.rlike(f"^{_DOT}{{1,2}}$"), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(path.rlike(f"/{_DOT}{{1,2}}(?:/|$)"), F.array_join(ended, "/")).otherwise(path)
+
+
 def join_url(base: Column, target: Column) -> Column:
-    """Resolve a link against the URL it was found on."""
-    origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    """Resolve a link against the URL it was found on; dot segments are removed."""
+    whole = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*"
+    origin = F.regexp_extract(base, f"({whole})", 1)
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
-    path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    path = F.regexp_extract(base, f"{whole}([^?#]*)", 1)
+    path = F.when(path == "", F.lit("/")).otherwise(path)
+    query = F.regexp_extract(base, f"{whole}[^?#]*([?][^#]*)", 1)
     folder = F.regexp_replace(path, r"[^/]*$", "")
-    return (
+    joined = (
         F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
         .when(target.startswith("//"), F.concat(scheme, target))
         .when(target.startswith("/"), F.concat(origin, target))
         .when(target.startswith("?"), F.concat(origin, path, target))
-        .otherwise(F.concat(origin, F.when(folder == "", F.lit("/")).otherwise(folder), target))
+        .when((target == "") | target.startswith("#"), F.concat(origin, path, query, target))
+        .otherwise(F.concat(origin, folder, target))
+    )
+    return let(
+        joined,
+        lambda url: F.concat(
+            F.regexp_extract(url, f"({whole})", 1),
+            _without_dots(F.regexp_extract(url, f"{whole}([^?#]*)", 1)),
+            F.regexp_extract(url, f"{whole}[^?#]*([?#].*)$", 1),
+        ),
     )
 
 
@@ -231,11 +264,141 @@ def assemble_pages(
         ).alias("_until"),
     )
     kept = (
-        judged.join(bounds, list(seq))
+        join_same(judged, bounds, seq)
         .filter(F.col("page_no") <= F.col("_until"))
         .select(*seq, "page_id", "page_no", "status")
     )
-    return pages.join(kept, [*seq, "page_id"])
+    return join_same(pages, kept, [*seq, "page_id"])
+
+
+def _links(pages: DataFrame, seq: Sequence[str], pager: Pager, asked: Column | None) -> DataFrame:
+    """(_seq, page_id, _first, _asked, _to): the link each page was asked with and the one it gives, NULL at an end.
+
+    Page numbers and offsets are links as well: a page gives the number that follows its own.
+    """
+    if asked is None:
+        if pager.kind not in ("link_header", "request_path"):
+            raise ValueError("this pager needs the column that a page was asked with")
+        asked = F.col("url")
+    signals = _signals(pages.withColumn("_asked", asked.cast("string")), [*seq, "_asked"], pager)
+    link, following, done = F.col("_asked"), F.col("_next"), F.col("_next").isNull()
+    first = link.isNull()
+    if pager.kind in ("page_number", "offset"):
+        number = F.coalesce(link.try_cast("bigint"), F.lit(pager.start).cast("bigint"))
+        first = number == pager.start
+        step = F.lit(1) if pager.kind == "page_number" else F.lit(pager.page_size)
+        if pager.kind == "offset" and pager.rows_at is not None:
+            step = F.col("_rows")
+        after = number + step.cast("bigint")
+        reached = F.coalesce(after >= F.lit(pager.start) + F.col("_total"), F.lit(True))
+        tests = [reached] if pager.total_at is not None else []
+        if pager.kind == "page_number" and not tests or pager.kind == "offset" and pager.rows_at is not None:
+            tests.append(F.coalesce(F.col("_rows"), F.lit(0)) == 0)
+        if pager.kind == "offset" and pager.rows_at is not None and pager.page_size is not None:
+            tests.append(F.col("_rows") < pager.page_size)
+        link, following = number.cast("string"), after.cast("string")
+        done = reduce(lambda a, b: a | b, tests, F.lit(False))
+    elif pager.kind == "none":
+        done = F.lit(True)
+    return signals.select(
+        F.struct(*[F.col(f"`{c}`") for c in seq]).alias("_seq"),
+        "page_id",
+        first.alias("_first"),
+        link.alias("_asked"),
+        F.when(~(done | F.col("_stop")), following).alias("_to"),
+    )
+
+
+def _reached(heads: DataFrame, edges: DataFrame) -> DataFrame:
+    """(_seq, page_id, page_no) of all pages on the way from each sequence's head.
+
+    Pointers double: after k rounds a page points 2**k pages on, and the pages fewer than 2**k after the
+    head are numbered; each round numbers the pages that the numbered ones point to. So rounds grow with
+    the logarithm of the longest sequence. A page that is met again keeps its first number, and the rounds
+    end when one numbers nothing new, which a cycle cannot prevent.
+    """
+    marks = heads.select("_seq", "page_id", F.lit(0).cast("bigint").alias("page_no"))
+    jump, reach, before = edges.select("_seq", "page_id", F.col("_on").alias("_goal")), 1, -1
+    marks = cut_lineage(marks)
+    known = marks.count()
+    while known > before:
+        further = marks.join(jump, ["_seq", "page_id"]).select(
+            "_seq", F.col("_goal").alias("page_id"), (F.col("page_no") + reach).alias("page_no")
+        )
+        marks = cut_lineage(marks.union(further).groupBy("_seq", "page_id").agg(F.min("page_no").alias("page_no")))
+        on = jump.select("_seq", F.col("page_id").alias("_goal"), F.col("_goal").alias("_further"))
+        jump = cut_lineage(
+            jump.join(on, ["_seq", "_goal"]).select("_seq", "page_id", F.col("_further").alias("_goal"))
+        )
+        before, known, reach = known, marks.count(), 2 * reach
+    return marks
+
+
+def follow_links(
+    pages: DataFrame,
+    seq: Sequence[str],
+    pager: Pager,
+    max_pages: int,
+    strict: bool = True,
+    asked: Column | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(pages with `page_no` and `status`, problems): sequences put together by their links.
+
+    For captures whose `page_id` does not follow the requests; it only has to be unique in its sequence.
+    `asked` is the token, page number or offset that a page was asked with, NULL for a sequence's first
+    request; where the pager gives URLs it is the page's own `url`. A sequence begins at the page asked
+    with nothing, else at one that no page names, else at any; of several at the one with the smallest
+    `page_id`. The statuses are those of `assemble_pages`; a sequence that comes back to one of its pages
+    is a `loop` as well, and one whose next page was not captured is `open`.
+
+    Problems are (`kind`, `page_id`, `link`): `fork`, a page asked with the same link as another one, which
+    has the smaller `page_id` and goes on; `stray`, a page that the sequence does not reach; `missing` and
+    `loop`, the last page and where it leads. Only the signals of pages are walked, as in `assemble_pages`.
+    """
+    links = cut_lineage(_links(pages, seq, pager, asked))
+    key = F.struct("_seq", "_asked")
+    one = links.groupBy(key.alias("_link")).agg(F.min(F.struct("page_id", "_first", "_to")).alias("_page"))
+    nodes = cut_lineage(one.select("_link._seq", "_link._asked", "_page.*"))
+    goals = nodes.select(F.struct("_seq", F.col("_asked").alias("_to")).alias("_link"), F.col("page_id").alias("_on"))
+    edges = nodes.where(F.col("_to").isNotNull()).select("_seq", "page_id", F.struct("_seq", "_to").alias("_link"))
+    edges = cut_lineage(edges.join(goals, "_link").select("_seq", "page_id", "_on"))
+
+    named = edges.where("page_id <> _on").select("_seq", F.col("_on").alias("page_id")).distinct()
+    starts = nodes.join(named.withColumn("_named", F.lit(True)), ["_seq", "page_id"], "left")
+    rank = F.struct(~F.col("_first"), F.coalesce("_named", F.lit(False)), "page_id")
+    heads = starts.groupBy("_seq").agg(F.min(rank).alias("_head")).select("_seq", "_head.page_id")
+    marks = _reached(heads, edges)
+
+    walked = nodes.join(marks, ["_seq", "page_id"], "left")
+    walked = cut_lineage(walked.join(edges, ["_seq", "page_id"], "left"))
+    last = walked.where(F.col("page_no").isNotNull()).groupBy("_seq").agg(
+        F.max(F.struct("page_no", "page_id", "_to", "_on")).alias("_last")
+    )
+    how = (
+        F.when(F.col("_last._to").isNull(), F.lit("complete"))
+        .when(F.col("_last._on").isNull(), F.lit("open"))
+        .otherwise(F.lit("loop"))
+    )
+    over = F.col("_last.page_no") >= max_pages
+    bounds = last.select(
+        "_seq",
+        F.when(over, F.lit("ceiling" if strict else "cut")).otherwise(how).alias("status"),
+        F.least(F.col("_last.page_no"), F.lit(max_pages - 1)).alias("_until"),
+    )
+    on_way = walked.where(F.col("page_no").isNotNull()).join(bounds, "_seq").where("page_no <= _until")
+    kept = on_way.select("_seq.*", "page_id", "page_no", "status")
+
+    ends = last.withColumn("kind", how).where("kind <> 'complete'").select(
+        "_seq",
+        F.when(F.col("kind") == "open", F.lit("missing")).otherwise(F.lit("loop")).alias("kind"),
+        "_last.page_id",
+        F.col("_last._to").alias("link"),
+    )
+    stray = walked.where(F.col("page_no").isNull()).select("_seq", F.lit("stray").alias("kind"), "page_id", F.col("_asked").alias("link"))
+    twins = links.withColumn("_link", key).join(one.select("_link", F.col("_page.page_id").alias("_node")), "_link")
+    forks = twins.where("page_id <> _node").select("_seq", F.lit("fork").alias("kind"), "page_id", F.col("_asked").alias("link"))
+    problems = ends.union(stray).union(forks).select("_seq.*", "kind", "page_id", "link")
+    return join_same(pages, kept, [*seq, "page_id"]), problems
 
 
 def sequence_status(assembled: DataFrame, seq: Sequence[str]) -> DataFrame:
@@ -263,4 +426,4 @@ def fail_pages(
         ),
     )
     bad = failed.select(*seq).distinct()
-    return pages.join(bad, list(seq), "left_anti"), failed.drop("_fails")
+    return join_same(pages, bad, seq, "left_anti"), failed.drop("_fails")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.json import as_column
+from feedloom.functions.keys import join_same
 from feedloom.functions.numbering import shuffle_partitions
 
 SECOND = 1_000_000  # microseconds
@@ -231,10 +232,10 @@ def halve_until(
         _micros(F.col("window_start").cast("timestamp")).alias("_ws"),
         _micros(F.col("window_end").cast("timestamp")).alias("_we"),
     )
-    at = _micros(F.col(ts).cast("timestamp"))
+    at = _counted_at(_micros(F.col(ts).cast("timestamp")), bounds)
+    counted = events.groupBy(*by, at.alias("_at")).agg(F.count(F.lit(1)).alias("_rows"))
     seconds = (
-        events.select(*by, at.alias("_at"))
-        .join(bounds, list(by))
+        join_same(counted, bounds, by)
         .filter((F.col("_at") >= F.col("_ws")) & (F.col("_at") < F.col("_we")))
         .groupBy(
             *by,
@@ -242,7 +243,7 @@ def halve_until(
             "_we",
             F.floor((F.col("_at") - F.col("_ws")) / F.lit(SECOND)).cast("bigint").alias("_sec"),
         )
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum("_rows").alias("_n"))
     )
     # Few bytes but much work per row, so adaptive execution must not merge these partitions.
     seconds = seconds.repartition(shuffle_partitions(events), *by, "_sec")
@@ -286,7 +287,9 @@ def halve_until(
         children.withColumn("narrowed", F.lit(True))
         .unionByName(roots.withColumn("narrowed", F.lit(False)))
         .select(*by, "_ws", "_we", "narrowed", F.col("s.a").alias("a"), F.col("s.b").alias("b"))
-        .join(nodes.drop("_ws", "_we"), [*by, "a", "b"], "left")
+    )
+    spans = (
+        join_same(spans, nodes.drop("_ws", "_we"), [*by, "a", "b"], "left")
         .withColumn("rows", F.coalesce("rows", F.lit(0)))
     )
     stuck = (F.col("rows") > ceiling) & (F.col("b") - F.col("a") < 2)
@@ -304,6 +307,29 @@ def halve_until(
     )
 
 
+# Fractions of a second at which windows may begin or end before events are counted as they are.
+MAX_FRACTIONS = 64
+
+
+def _counted_at(at: Column, bounds: DataFrame) -> Column:
+    """Times (microseconds) that may be counted together before the windows are known.
+
+    No window begins or ends inside a second but at the fractions its own bounds have; usually these are
+    few, and all events of a key between two of them are one row of the shuffle.
+    """
+    fractions = bounds.select(
+        F.explode(F.array(F.pmod("_ws", F.lit(SECOND)), F.pmod("_we", F.lit(SECOND)))).alias("f")
+    ).distinct()
+    found = sorted({r["f"] for r in fractions.limit(MAX_FRACTIONS + 1).collect()} - {0, None})
+    if len(found) > MAX_FRACTIONS:
+        return at
+    inside = F.pmod(at, F.lit(SECOND))
+    start = F.lit(0).cast("bigint")
+    for border in found:
+        start = F.when(inside >= border, F.lit(border).cast("bigint")).otherwise(start)
+    return at - inside + start
+
+
 def _half_with(span: Column, second: Column) -> Column:
     """The half of a span that a second falls into."""
     mid = span["a"] + F.floor((span["b"] - span["a"]) / 2).cast("bigint")

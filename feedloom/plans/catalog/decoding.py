@@ -6,11 +6,15 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from feedloom.functions.json import Field, with_document
 from feedloom.operators import decode
+from feedloom.operators.framing import rows_of_pieces
 from feedloom.plans.catalog.base import EVENTS_FEED, events_feed, query, table
+from feedloom.sources import members
+from feedloom.sources.files import numbered_lines
 
 
 @query(
@@ -273,3 +277,92 @@ def bounded_lines(spark, sf_dir):
     )
 
 
+
+
+# --- bodies over many tasks: 64 documents make a body, cut in chunks that end inside of rows ----------------
+
+
+_BODY = "'body-' || doc_id // 64"
+_SPLIT = f"""SELECT {_BODY} AS path, row_number() OVER (PARTITION BY doc_id // 64 ORDER BY doc_id) - 1 AS pos,
+       doc_id AS id, md5(text) AS digest FROM documents"""
+
+
+def _body_pieces(spark, sf_dir, rows, sep, first, last):
+    """Pieces of bodies whose rows are texts: `first` and `last` stand around them, chunks end within every fifth."""
+    key = F.col("doc_id")
+    body = Window.partitionBy("path").orderBy("doc_id")
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.lit("body-"), F.floor(key / 64)).alias("path"), rows.alias("row")
+    )
+    begins, ends = F.lag("doc_id").over(body).isNull(), F.lead("doc_id").over(body).isNull()
+    text = F.concat(F.when(begins, F.lit(first)).otherwise(F.lit("")), "row", F.when(ends, F.lit(last)).otherwise(F.lit("")))
+    split = documents.select("path", "doc_id", F.split(text, sep).alias("parts"))
+    pieces = split.select("path", "doc_id", F.size("parts").alias("n"), F.posexplode("parts").alias("i", "value"))
+    late = (F.col("i") * 2 >= F.col("n")).cast("int")
+    placed = pieces.withColumn("chunk", F.floor((key * 2 + late) / 5).cast("long"))
+    return placed.repartition("path", "chunk").sortWithinPartitions("path", "chunk", "doc_id", "i")
+
+
+@query("json_array_split", _SPLIT)
+def json_array_split(spark, sf_dir):
+    """Arrays of documents, cut at commas wherever they stand."""
+    row = F.to_json(F.struct(F.col("doc_id").alias("id"), "text", F.array(F.lit("],[")).alias("also")))
+    rows = rows_of_pieces(_body_pieces(spark, sf_dir, row, ",", "[", "]"), "json")
+    parsed = with_document(rows, "payload")
+    return parsed.select(
+        "path",
+        F.col("pos").cast("bigint").alias("pos"),
+        Field(F.col("_doc"), "id").number().cast("bigint").alias("id"),
+        F.md5(Field(F.col("_doc"), "text").text()).alias("digest"),
+    )
+
+
+@query("csv_split", _SPLIT)
+def csv_split(spark, sf_dir):
+    """The same as CSV with a header, cut at line breaks inside and outside of quotes."""
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    row = F.concat(F.col("doc_id").cast("string"), F.lit(","), quoted)
+    rows = rows_of_pieces(_body_pieces(spark, sf_dir, row, "\n", "id,text\n", ""), "csv")
+    parsed = with_document(rows, "payload")
+    return parsed.select(
+        "path",
+        F.col("pos").cast("bigint").alias("pos"),
+        Field(F.col("_doc"), "id").text().cast("bigint").alias("id"),
+        F.md5(Field(F.col("_doc"), "text").text()).alias("digest"),
+    )
+
+
+@query("gzip_members", _SPLIT)
+def gzip_members(spark, sf_dir):
+    """The same as JSON lines in gzip bodies of two members a line, cut inside of it."""
+
+    def squeeze(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path, doc_id, line in zip(batch["path"], batch["doc_id"], batch["line"], strict=True):
+                data = line.encode() + b"\n"
+                for m, half in enumerate((data[: len(data) // 3], data[len(data) // 3 :])):
+                    deflater = zlib.compressobj(wbits=31)
+                    packed = deflater.compress(half) + deflater.flush()
+                    parts = packed.split(members.MAGIC)[1:]
+                    rows += [(path, doc_id, (doc_id * 2 + m) // 3, m, i, p) for i, p in enumerate(parts)]
+            yield pd.DataFrame(rows, columns=["path", "doc_id", "chunk", "m", "i", "value"])
+
+    documents = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("body-"), F.floor(F.col("doc_id") / 64)).alias("path"),
+        "doc_id",
+        F.to_json(F.struct(F.col("doc_id").alias("id"), "text")).alias("line"),
+    )
+    pieces = documents.mapInPandas(squeeze, "path string, doc_id long, chunk long, m int, i int, value binary")
+    # a range's number is its first byte; only a body's first begins with 0
+    pieces = pieces.withColumn("chunk", F.col("chunk") + 1)
+    pieces = pieces.repartition("path", "chunk").sortWithinPartitions("path", "chunk", "doc_id", "m", "i")
+    lines = members.member_pieces(members.members(pieces), "\n")
+    rows = numbered_lines(lines.withColumnRenamed("value", "payload").withColumnRenamed("i", "_id"))
+    parsed = with_document(rows, "payload")
+    return parsed.select(
+        "path",
+        F.col("pos").cast("bigint").alias("pos"),
+        Field(F.col("_doc"), "id").number().cast("bigint").alias("id"),
+        F.md5(Field(F.col("_doc"), "text").text()).alias("digest"),
+    )

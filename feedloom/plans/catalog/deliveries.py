@@ -25,14 +25,17 @@ _BATCHED = f"""{EVENTS_FEED},
    batched AS (SELECT r.*, k.batch_no, k.s, k.e FROM r JOIN k ON r.unit = k.unit AND r.n >= k.s AND (k.e IS NULL OR r.n < k.e))"""
 
 
-def _batched(spark, sf_dir):
-    feed = events_feed(spark, sf_dir).select(
+def _feed(spark, sf_dir):
+    return events_feed(spark, sf_dir).select(
         F.col("event_type").alias("unit"),
         "event_id",
         F.octet_length("payload").alias("size"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
     )
-    return delivery.assign_batches(feed, ["unit"], "event_id", "size", "ms", span=300, **LIMITS)
+
+
+def _batched(spark, sf_dir):
+    return delivery.assign_batches(_feed(spark, sf_dir), ["unit"], "event_id", "size", "ms", span=300, **LIMITS)
 
 
 @query(
@@ -198,3 +201,15 @@ def usage_by_org(spark, sf_dir):
         F.octet_length("payload").cast("bigint").alias("ingested_bytes"),
     )
     return accounting.usage_by_org(rows)
+
+
+@query(
+    "batches_null_unit",
+    f"""WITH RECURSIVE {_BATCHED}
+       SELECT CASE WHEN unit <> 'view' THEN unit END AS unit, event_id, CAST(batch_no AS BIGINT) AS batch_no FROM batched""",
+)
+def batches_null_unit(spark, sf_dir):
+    """A unit without a name is a unit like any other."""
+    feed = _feed(spark, sf_dir).withColumn("unit", F.when(F.col("unit") != "view", F.col("unit")))
+    out = delivery.assign_batches(feed, ["unit"], "event_id", "size", "ms", span=300, **LIMITS)
+    return out.select("unit", "event_id", "batch_no")

@@ -385,3 +385,22 @@ def quota_latest(spark, sf_dir):
         {"remaining": "x-remaining", "absent": "x-limit"},
         ["page_id"],
     )
+
+
+@query(
+    "cap_null_listing",
+    """WITH o AS (SELECT CASE WHEN o_custkey % 4 > 0 THEN o_custkey END AS listing, o_orderdate, o_orderkey FROM orders),
+       r AS (SELECT *, row_number() OVER (PARTITION BY listing ORDER BY o_orderdate, o_orderkey) AS r, count(*) OVER (PARTITION BY listing) AS n FROM o)
+       SELECT listing, o_orderkey, CAST(NULL AS BIGINT) AS skipped FROM r WHERE n <= 10
+       UNION ALL SELECT DISTINCT listing, CAST(NULL AS BIGINT), n FROM r WHERE n > 10""",
+)
+def cap_null_listing(spark, sf_dir):
+    """Items of a listing without a key fail with it, and are reported."""
+    items = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_custkey") % 4 > 0, F.col("o_custkey")).alias("listing"), "o_orderdate", "o_orderkey"
+    )
+    kept, report = fanout.cap_items(items, ["listing"], ["o_orderdate", "o_orderkey"], 10, "fail")
+    none = F.lit(None).cast("bigint")
+    return kept.select("listing", "o_orderkey", none.alias("skipped")).unionByName(
+        report.select("listing", none.alias("o_orderkey"), "skipped")
+    )

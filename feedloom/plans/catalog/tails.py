@@ -314,3 +314,26 @@ def file_generations(spark, sf_dir):
         .agg(F.max("l_partkey").alias("end_offset"))
     )
     return checkpoint.file_generations(reads, ["file_id"], "arrival", "end_offset", span=20_000)
+
+
+@query(
+    "file_generations_null",
+    """WITH reads AS (SELECT CASE WHEN l_suppkey % 3 > 0 THEN l_suppkey END AS file_id, l_orderkey * 8 + l_linenumber AS arrival, max(l_partkey) AS end_offset
+          FROM lineitem GROUP BY ALL),
+        steps AS (SELECT *, CASE WHEN end_offset <= lag(end_offset) OVER (PARTITION BY file_id ORDER BY arrival) THEN 1 ELSE 0 END AS reset FROM reads),
+        gens AS (SELECT *, sum(reset) OVER (PARTITION BY file_id ORDER BY arrival) AS generation FROM steps)
+       SELECT file_id, arrival, CAST(generation AS BIGINT) AS generation,
+              generation < max(generation) OVER (PARTITION BY file_id) AS stale FROM gens""",
+)
+def file_generations_null(spark, sf_dir):
+    """Reads of a file without a name have generations like any other's."""
+    reads = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(
+            F.when(F.col("l_suppkey") % 3 > 0, F.col("l_suppkey")).alias("file_id"),
+            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("arrival"),
+        )
+        .agg(F.max("l_partkey").alias("end_offset"))
+    )
+    out = checkpoint.file_generations(reads, ["file_id"], "arrival", "end_offset", span=20_000)
+    return out.select("file_id", "arrival", "generation", "stale")

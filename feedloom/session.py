@@ -24,6 +24,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the bytes that a Python worker is handed at once; rows may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's `spark.checkpoint.dir`; a private folder only for a driver without executors.
 

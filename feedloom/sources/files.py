@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.json import as_column
 from feedloom.operators import decode
+from feedloom.operators.framing import NOT_AN_ARRAY, JsonFrame, rows_of_pieces
 from feedloom.operators.listing import past
+from feedloom.session import cut_lineage
+from feedloom.sources import members as gzip
 
-# JSON-lines files above this size are split over tasks; the rows are the same either way.
+# A gzip file that its name tells is held whole up to this size, so that damage is an error of that file; Spark's
+# reader unpacks a larger one as a stream. The rows are the same either way.
 WHOLE_FILE_BYTES = 256 << 20
-# Any other body is one value of a row, which has this bound; a larger one is reported, not read.
-MAX_BODY_BYTES = (1 << 31) - (1 << 20)
+SEPARATORS = {"json": JsonFrame.sep, "csv": "\n"}
 
 
 def read_ndjson(
@@ -99,51 +102,90 @@ def _files(spark: SparkSession, globs: str | Sequence[str], marker: tuple[Any, s
     return out
 
 
-def _failed(df: DataFrame, why: Column) -> DataFrame:
-    return df.select(
-        "path",
-        "position",
-        F.lit(None).cast("int").alias("pos"),
-        F.lit(None).cast("string").alias("payload"),
-        why.alias("error"),
+def _pieces(spark: SparkSession, paths: list[str], sep: str) -> DataFrame:
+    """Text of files between separators, range by range."""
+    return spark.read.text(paths, lineSep=sep).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("chunk"),
+        F.make_valid_utf8("value").alias("value"),
     )
 
 
-def _line_rows(df: DataFrame) -> DataFrame:
-    """Trimmed lines that are not blank; `pos` has counted all."""
-    trimmed = df.withColumn("payload", F.regexp_replace("payload", r"^\s+|\s+$", ""))
-    rows = trimmed.filter(F.col("payload") != "")
-    return rows.select("path", "position", "pos", "payload", F.lit(None).cast("string").alias("error"))
+def _packed_paths(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Files that begin with gzip's magic. Only their first pieces cross to the driver, as a flag for each file.
+
+    A file's first piece, up to a byte that text seldom holds, begins with the file's first byte.
+    """
+    raw = spark.read.option("encoding", "ISO-8859-1").text(paths, lineSep=decode.GZIP_MAGIC.decode("latin-1"))
+    first = raw.where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"), (F.octet_length("value") == 0).alias("bare")
+    )
+    flags = first.groupBy("path").agg(F.min(F.struct("at", "bare")).alias("f"))
+    return {r["path"] for r in flags.where("f.bare").select("path").collect()}
 
 
 def _split_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Lines of large files, split over tasks, numbered in each file as if read whole.
+    """Lines of files, split over tasks, numbered in each file as if read whole.
 
     Lines follow each other within a split, so a line's number is that of its split's first line,
-    from a count by split, plus its place there. Bytes of a gzip file under another name are an error.
+    from a count by split, plus its place there.
     """
-    lines = spark.read.text(paths, lineSep="\n").select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_modification_time").alias("position"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.col("value").alias("payload"),
-        F.monotonically_increasing_id().alias("_id"),
-    )
-    splits = lines.groupBy("path", "_start").agg(
-        F.count(F.lit(1)).alias("_lines"),
-        F.min("_id").alias("_first"),
-        F.min_by("payload", "_id").startswith("\x1f").alias("_packed"),
-    )
-    along = Window.partitionBy("path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    before = splits.withColumn("_before", F.coalesce(F.sum("_lines").over(along), F.lit(0))).withColumn(
-        "_packed", F.max(F.col("_packed") & (F.col("_start") == 0)).over(Window.partitionBy("path"))
-    )
-    placed = lines.join(before, ["path", "_start"]).withColumn(
-        "pos", (F.col("_before") + F.col("_id") - F.col("_first")).cast("int")
+    lines = _pieces(spark, paths, "\n").withColumnRenamed("value", "payload")
+    return numbered_lines(lines.withColumn("_id", F.monotonically_increasing_id()))
+
+
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """`path`, `pos`, `payload`, `error` of lines that `_id` numbers in each chunk; blank ones count, and go."""
+    splits = lines.groupBy("path", "chunk").agg(F.count(F.lit(1)).alias("_lines"), F.min("_id").alias("_first"))
+    along = Window.partitionBy("path").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = splits.withColumn("_before", F.coalesce(F.sum("_lines").over(along), F.lit(0)))
+    placed = lines.join(before, ["path", "chunk"])
+    pos = (F.col("_before") + F.col("_id") - F.col("_first")).cast("int")
+    trimmed = placed.select("path", pos.alias("pos"), F.regexp_replace("payload", r"^\s+|\s+$", "").alias("payload"))
+    return trimmed.filter(F.col("payload") != "").withColumn("error", F.lit(None).cast("string"))
+
+
+def _framed(spark: SparkSession, kind: str, paths: list[str]) -> DataFrame:
+    """`path`, `pos`, `payload`, `error` of plain files of one framing."""
+    if kind == "ndjson":
+        return _split_lines(spark, paths)
+    return rows_of_pieces(_pieces(spark, paths, SEPARATORS[kind]), kind)
+
+
+def _unpacked(spark: SparkSession, kind: str, paths: list[str]) -> DataFrame:
+    """The same of gzip files whose name does not tell, their members unpacked in parallel."""
+    found = gzip.members(gzip.raw_pieces(spark, paths))
+    damaged = gzip.problems(found)
+    sound = found.join(damaged.select("path"), "path", "left_anti")
+    pieces = gzip.member_pieces(sound, SEPARATORS.get(kind, "\n"))
+    if kind == "ndjson":
+        rows = numbered_lines(pieces.withColumnRenamed("value", "payload").withColumnRenamed("i", "_id"))
+    else:
+        rows = rows_of_pieces(pieces, kind)
+    nothing = F.lit(None).cast("string")
+    bad = damaged.select("path", F.lit(None).cast("int").alias("pos"), nothing.alias("payload"), "error")
+    return rows.unionByName(bad)
+
+
+def _held(files: DataFrame) -> DataFrame:
+    """Rows of files whose whole content is a value."""
+    bodies = decode.inflate(files, "content").withColumnRenamed("error", "_broken")
+    bodies = bodies.withColumn("_body", F.make_valid_utf8(F.col("content").cast("string"))).drop("content")
+    good = bodies.filter(F.col("_broken").isNull())
+    lines = good.filter(F.col("_decoder") == "ndjson").select("path", F.posexplode(F.split("_body", "\n")).alias("pos", "payload"))
+    trimmed = lines.withColumn("payload", F.regexp_replace("payload", r"^\s+|\s+$", "")).filter(F.col("payload") != "")
+    nothing = F.lit(None).cast("string")
+    keep = ["path", "pos", "payload", "error"]
+    broken = bodies.filter(F.col("_broken").isNotNull())
+    return reduce(
+        DataFrame.unionByName,
+        [
+            broken.select("path", F.lit(None).cast("int").alias("pos"), nothing.alias("payload"), F.col("_broken").alias("error")),
+            trimmed.withColumn("error", nothing),
+            decode.explode_array(good.filter(F.col("_decoder") == "json"), "_body", strict=False).select(*keep),
+            decode.decode_csv(good.filter(F.col("_decoder") == "csv"), "_body").select(*keep),
+        ],
     )
-    packed = placed.filter(F.col("_packed") & (F.col("pos") == 0))
-    wrong = _failed(packed, F.lit("gzip content under a name that does not end in .gz"))
-    return _line_rows(placed.filter(~F.col("_packed"))).unionByName(wrong)
 
 
 def read_dump(
@@ -154,33 +196,30 @@ def read_dump(
 ) -> DataFrame:
     """Rows of every listed file: `path`, `position`, `pos`, `payload`, `error`.
 
-    Gzip is found by its magic, whatever the name. A file that cannot be read gives a row with
-    `error`; pass the result to `sound_prefix` to stop before the first of them. JSON-lines files
-    above `whole_file_bytes` are split over tasks and give the same rows, except that gzip needs its
-    name there (else an `error`); of other files those over MAX_BODY_BYTES give an `error`. Sizes
-    come from the listing, and no content is loaded to be thrown away.
+    Files of any size are split over tasks, and so are gzip files whose name does not end in `.gz`, at
+    their members. Spark's readers unpack files of that name themselves and show no members: such a file is one task's
+    work, held whole up to `whole_file_bytes` and read as a stream above them, where damage fails the
+    job instead of giving a row. A file that cannot be read gives a row with `error`; pass the result to `sound_prefix` to
+    stop before the first of them. Sizes come from the listing, and no content is loaded to be thrown away.
     """
     # `decoder_of` raises for a name it does not know
     files = _files(spark, globs, marker).withColumn("_decoder", decode.decoder_of(F.col("path")))
-    lined = F.col("_decoder") == "ndjson"
-    large = [
-        r["path"]
-        for r in files.filter((F.col("size") > whole_file_bytes) & lined).select("path").distinct().collect()
-    ]
-    bound = max(whole_file_bytes, MAX_BODY_BYTES)
-    whole = files.filter(F.col("size") <= bound).filter(~lined | (F.col("size") <= whole_file_bytes))
-    bodies = decode.inflate(whole, "content").withColumnRenamed("error", "_broken")
-    bodies = bodies.withColumn("_body", F.make_valid_utf8(F.col("content").cast("string"))).drop("content")
-    good = bodies.filter(F.col("_broken").isNull())
-    lines = good.filter(lined).select("path", "position", F.posexplode(F.split("_body", "\n")).alias("pos", "payload"))
-    keep = ["path", "position", "pos", "payload", "error"]
-    parts = [
-        _failed(bodies.filter(F.col("_broken").isNotNull()), F.col("_broken")),
-        _failed(files.filter((F.col("size") > bound) & ~lined), F.lit(f"file of more than {bound} bytes")),
-        _line_rows(lines),
-        decode.explode_array(good.filter(F.col("_decoder") == "json"), "_body", strict=False).select(*keep),
-        decode.decode_csv(good.filter(F.col("_decoder") == "csv"), "_body").select(*keep),
-    ]
-    if large:
-        parts.append(_split_lines(spark, large))
-    return reduce(DataFrame.unionByName, parts)
+    listed = cut_lineage(files.select("path", "position", "size", "_decoder").distinct())
+    named = F.col("path").endswith(".gz")
+    ranged = listed.filter((~named & (F.col("size") > 0)) | (F.col("size") > whole_file_bytes))
+    by_kind: dict[tuple[str, bool], list[str]] = {}
+    for r in ranged.select("path", "_decoder", named.alias("named")).collect():
+        by_kind.setdefault((r["_decoder"], r["named"]), []).append(r["path"])
+    parts = [_held(files.filter(named & (F.col("size") <= whole_file_bytes)))]
+    for (kind, is_named), paths in sorted(by_kind.items()):
+        packed = set() if is_named else _packed_paths(spark, paths)
+        plain = [p for p in paths if p not in packed]
+        parts += [_framed(spark, kind, plain)] if plain else []
+        parts += [_unpacked(spark, kind, sorted(packed))] if packed else []
+    empty = listed.filter((F.col("size") == 0) & ~named & (F.col("_decoder") == "json"))
+    nothing = F.lit(None).cast("string")
+    parts.append(empty.select("path", F.lit(None).cast("int").alias("pos"), nothing.alias("payload"), F.lit(NOT_AN_ARRAY).alias("error")))
+    rows = reduce(DataFrame.unionByName, parts)
+    # one row a file, most often few enough to be broadcast; adaptive execution sees
+    out = rows.join(listed.select("path", "position"), "path")
+    return out.select("path", "position", "pos", "payload", "error")
