@@ -11,7 +11,8 @@ Thresholds differ by language. The language is the model's own guess from the wo
 the same hashes); no column but the text is an input. Labelled rows give
 counts of raw scores by language and label, from which each language's threshold is taken; the raw
 score is then stretched so that every language's threshold comes to CUT. The fit takes its sample from
-four fifths of the labelled ids; the thresholds come from every labelled row of the others.
+four fifths of the labelled ids; the thresholds come from every labelled row that the sample left, each
+label weighed to what it has of all labelled rows. A guess that ties goes to the first language in order.
 
 Nulls: a null or empty text has no words and is scored like any other, from the bias alone. Null labels
 and labels of unknown ids do not count; an id labelled both ways is toxic. Without labels of both kinds
@@ -229,21 +230,21 @@ def _gradients(net: Classifier, rows: np.ndarray, edges: np.ndarray, truth: np.n
     d_weight = flat.T @ error + 1e-4 * net.weight
     d_table = np.zeros_like(net.table)
     d_filters, d_shift = [np.zeros_like(k) for k in net.filters], [np.zeros_like(s) for s in net.shift]
+    some = np.flatnonzero(np.diff(edges))
+    ends = edges[1:][some][:, None]
     for n, (span, f) in enumerate(zip(SPANS, found, strict=True)):
         w = net.weight[n * FILTERS : (n + 1) * FILTERS]
-        for text, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)):
-            if lo == hi:
-                continue
-            at = lo + f[lo:hi].argmax(axis=0)
-            g = np.where(pooled[n][text] > 0, error[text] * w, 0)
-            d_shift[n] += g
-            for j in range(span):
-                live = np.where(at + j < hi, g, 0)
-                place = np.minimum(at + j, hi - 1)
-                d_filters[n][j] += words[place].T * live
-                back = (net.filters[n][j] * live).T
-                for i in range(HASHES):
-                    np.add.at(d_table, rows[place, i], back)
+        at = np.array([edges[t] + f[edges[t] : edges[t + 1]].argmax(axis=0) for t in some]).reshape(len(some), -1)
+        g = np.where(pooled[n][some] > 0, error[some][:, None] * w, 0).astype(np.float32)
+        d_shift[n] += g.sum(axis=0)
+        for j in range(span):
+            live = np.where(at + j < ends, g, 0)
+            place = np.minimum(at + j, ends - 1)
+            d_filters[n][j] += np.einsum("tfw,tf->wf", words[place], live)
+            back = (live[:, :, None] * net.filters[n][j].T).reshape(-1, words.shape[1])
+            hit = rows[place.reshape(-1)]
+            for i in range(HASHES):
+                np.add.at(d_table, hit[:, i], back)
     return [d_table, *d_filters, *d_shift, d_weight.astype(np.float32), np.array([error.sum()], np.float32)]
 
 
@@ -264,19 +265,23 @@ def label_rows(labels: DataFrame, label: str = "toxic", key: str = "doc_id") ->
     return known.groupBy(F.col(key).alias("labelled")).agg(F.max((F.col(label) > 0).cast("int")).alias("toxic"))
 
 
+def sampled_labels(known: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """At most `sample_docs` rows (labelled, toxic) of each label."""
+    sides = [bounded_sample(known.where(F.col("toxic") == y), ["labelled"], sample_docs, 10) for y in (0, 1)]
+    return cut_lineage(sides[0].union(sides[1]))
+
+
 def fit_classifier(
-    docs: DataFrame, known: DataFrame, sample_docs: int = SAMPLE_DOCS, key: str = "doc_id", text: str = "text", lang: str = "lang"
+    docs: DataFrame, ids: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang"
 ) -> Classifier | None:
-    """Learn from at most `sample_docs` documents of each label; None if a label has none.
+    """Learn from the documents of the sampled labels; None if a label has none.
 
-    `known` has labelled and toxic. Tasks cut long texts down, so the driver gets a bounded size.
+    Tasks cut long texts down, so the driver gets a bounded size.
     """
 
     def words(texts: list[str | None]) -> dict[str, Any]:
         return {"words": [spread_words(t) for t in texts]}
 
-    sides = [bounded_sample(known.where(F.col("toxic") == y), ["labelled"], sample_docs, 10) for y in (0, 1)]
-    ids = sides[0].union(sides[1])
     speech = F.col(lang) if lang in docs.columns else F.lit(None).cast("string")
     chosen = docs.join(F.broadcast(ids), docs[key] == ids["labelled"]).select(
         "labelled", "toxic", speech.alias("speech"), F.col(text).alias("text")
@@ -302,7 +307,7 @@ def with_raw_scores(docs: DataFrame, net: Classifier, keep: list[str], text: str
     return map_texts(docs, compute, "raw double, speech string", keep, text)
 
 
-def best_threshold(rows: list[tuple[int, int, int]]) -> float | None:
+def best_threshold(rows: list[tuple[int, float, float]]) -> float | None:
     """The middle of the widest gap among the cuts with the best F1; rows of (bin, toxic, others)."""
     positives = sum(r[1] for r in rows)
     if not positives or not sum(r[2] for r in rows):
@@ -319,18 +324,24 @@ def best_threshold(rows: list[tuple[int, int, int]]) -> float | None:
     return min(max((at - gap / 2) / GRID, 1 / GRID), 1 - 1 / GRID)
 
 
-def language_thresholds(scored: DataFrame, known: DataFrame, key: str = "doc_id") -> tuple[dict[str, float], float]:
-    """A threshold for each language with labels of both kinds, and one over all, from all rows of `known`."""
+def language_thresholds(
+    scored: DataFrame, known: DataFrame, key: str = "doc_id", weights: tuple[float, float] = (1.0, 1.0)
+) -> tuple[dict[str, float], float]:
+    """A threshold for each language with labels of both kinds, and one over all, from all rows of `known`.
+
+    `weights` are those of a row with label 0 and with label 1.
+    """
     judged = scored.join(known, scored[key] == known["labelled"])
     counts = judged.groupBy("speech", F.round(F.col("raw") * GRID).cast("int").alias("bin")).agg(
         F.sum("toxic").alias("hit"), F.sum(1 - F.col("toxic")).alias("other")
     )
     by: dict[str, list] = {}
-    whole: dict[int, list[int]] = {}
+    whole: dict[int, list[float]] = {}
     for r in counts.collect():  # GRID + 1 rows for each language at most
-        by.setdefault(r["speech"], []).append((r["bin"], r["hit"], r["other"]))
+        hit, other = r["hit"] * weights[1], r["other"] * weights[0]
+        by.setdefault(r["speech"], []).append((r["bin"], hit, other))
         both = whole.setdefault(r["bin"], [0, 0])
-        both[0], both[1] = both[0] + r["hit"], both[1] + r["other"]
+        both[0], both[1] = both[0] + hit, both[1] + other
     cuts = {s: t for s, rows in by.items() if (t := best_threshold(rows)) is not None}
     return cuts, best_threshold([(b, *n) for b, n in whole.items()]) or 0.5
 
@@ -342,6 +353,13 @@ def stretched(raw: Column, cut: Column) -> Column:
     return F.round(F.when(raw < cut, F.least(low, F.lit(CUT - 1e-6))).otherwise(high), 6)
 
 
+def _shares(known: DataFrame, unseen: DataFrame) -> tuple[float, float]:
+    """What a row of each label in `unseen` stands for of all known rows."""
+    every, left = [{r["toxic"]: r["count"] for r in df.groupBy("toxic").count().collect()} for df in (known, unseen)]
+    zero, one = (every.get(y, 0) / max(left.get(y, 0), 1) for y in (0, 1))
+    return zero, one
+
+
 def score_toxicity(
     docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, key: str = "doc_id", text: str = "text", keep: list[str] | None = None
 ) -> DataFrame:
@@ -349,12 +367,14 @@ def score_toxicity(
     kept = [key, *(keep or [])]
     known = cut_lineage(label_rows(labels, key=key).where(F.lit(True) if learn_from is None else learn_from))
     fifth = F.pmod(F.xxhash64(F.lit(10), F.col("labelled")), F.lit(5)) == 0
-    net = fit_classifier(docs, known.where(~fifth), key=key, text=text)
+    taught = sampled_labels(known.where(~fifth))
+    net = fit_classifier(docs, taught, key=key, text=text)
     if net is None:
         blank = {"score": F.lit(0.0), "predicted": F.lit(0), "raw": F.lit(0.0), "speech": F.lit(None).cast("string")}
         return docs.select(*kept, *[v.alias(n) for n, v in blank.items()])
     scored = cut_lineage(with_raw_scores(docs, net, kept, text))
-    cuts, other = language_thresholds(scored, known.where(fifth), key)
+    unseen = known.join(taught.select("labelled"), "labelled", "left_anti")
+    cuts, other = language_thresholds(scored, unseen, key, _shares(known, unseen))
     cut = F.lit(other)
     for speech, value in cuts.items():
         cut = F.when(F.col("speech") == speech, F.lit(value)).otherwise(cut)

@@ -1,5 +1,8 @@
 """Toxicity: hashes and gradients against plain code, held-out accuracy, and odd rows."""
 
+import math
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -99,3 +102,52 @@ def test_odd_rows(spark):
     assert {(r.score, r.predicted) for r in one_kind} == {(0.0, 0)}
     assert X.score_toxicity(docs.limit(0), labels).count() == 0
     assert X.score_toxicity(docs, labels.limit(0)).count() == len(rows)
+
+
+def plain_score(net, text):
+    """Probability and language of a text, a word, a filter and a number at a time."""
+    words = [w.encode() for w in re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", text)]
+    rows = []
+    for w in words:
+        low = bytes(c + 32 if 65 <= c <= 90 else c for c in w)
+        own = []
+        for i, most in enumerate(X.PREFIXES):
+            h = sum((c + 1) * pow(X._STEP, k, 1 << 64) for k, c in enumerate(low[:most] if most else low)) % (1 << 64)
+            h ^= h >> 32
+            own.append(((h * int(X._MIX[i])) % (1 << 64) >> 49) + i * X.ROWS)
+        rows.append(own)
+    vectors = [[sum(float(net.table[r, d]) for r in own) for d in range(net.table.shape[1])] for own in rows]
+    logit = float(net.bias[0])
+    for n, (span, kernel, shift) in enumerate(zip(X.SPANS, net.filters, net.shift)):
+        for f in range(X.FILTERS):
+            best = 0.0
+            for at in range(len(vectors)):
+                told = float(shift[f])
+                for j, v in enumerate(vectors[at : at + span]):
+                    told += sum(x * float(kernel[j, d, f]) for d, x in enumerate(v))
+                best = max(best, told)
+            logit += best * float(net.weight[n * X.FILTERS + f])
+    spoken = [sum(float(net.speech[own[0], s]) for own in rows) for s in range(len(net.languages))]
+    return 1 / (1 + math.exp(-logit)), spoken.index(max(spoken))
+
+
+def test_scores_equal_a_plain_word_loop():
+    texts = ["", "One two THREE", "ugly ugly word", "Größe — naïve x1", "word", "a-b_c " * 9]
+    rows, edges = X.word_rows([t.encode() for t in texts])
+    taught = [rows[a:b] for a, b in zip(edges[1:], edges[2:])]
+    net = X.train_classifier(taught, [0, 1, 0, 0, 1], ["x", "y", "x", "y", None], steps=4)
+    net.shift[0] += 0.3
+    got, speech = X.raw_scores(net, rows, edges)
+    for t, p, s in zip(texts, got, speech):
+        want, spoken = plain_score(net, t)
+        assert abs(p - want) < 1e-5 and s == spoken
+
+
+def test_thresholds_come_from_every_row_that_the_fit_left(spark):
+    """Of more labels than the sample takes, all others count, weighed to what each label has."""
+    known = spark.range(6000).select(F.col("id").alias("labelled"), (F.col("id") % 20 == 0).cast("int").alias("toxic"))
+    taught = X.sampled_labels(known, 100)
+    left = known.join(taught, "labelled", "left_anti")
+    assert left.count() == 5800
+    zero, one = X._shares(known, left)
+    assert abs(zero - 5700 / 5600) < 1e-9 and abs(one - 300 / 200) < 1e-9
