@@ -1,8 +1,11 @@
 """Growing files as a stream: every finished line once, in byte ranges.
 
 Spark's own text stream reads a file once and never looks back, so following files that
-grow needs a source of its own. Offsets are `{file id: {path, end}}`; an end always lies
-behind a line break. The files must be on a folder that the driver and all executors see.
+grow needs a source of its own. Offsets are `{file id: {path, end, marks}}`; an end always lies
+behind a line break, and the marks are checksums of blocks before it. A file goes on at an end
+only where the marks still hold: a file truncated and grown again past its old end is read from
+its start, a renamed one goes on, and so does one that other files with the same first line join
+or leave. The files must be on a folder that the driver and all executors see.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import BinaryIO
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
@@ -26,6 +30,8 @@ SCHEMA = (
     "payload string, refused_bytes long"
 )
 BLOCK = 1 << 20
+# Bytes of a block whose checksum is kept with an offset.
+MARK_BYTES = 4096
 
 
 def fingerprint(path: str, skip: int = 0) -> str | None:
@@ -53,6 +59,33 @@ def last_break(path: str, size: int) -> int:
     return 0
 
 
+def block_marks(path: str, end: int) -> list[list[int]]:
+    """[place, checksum] of blocks that end at `end`, at half of it, at a quarter and so on.
+
+    Few blocks however long the file; together they tell whether it still begins as it did.
+    """
+    marks, at = [], end
+    with open(path, "rb") as file:
+        while at > 0:
+            marks.append([at, _block_sum(file, at)])
+            at //= 2
+    return marks
+
+
+def _block_sum(file: BinaryIO, at: int) -> int:
+    begin = max(0, at - MARK_BYTES)
+    file.seek(begin)
+    return zlib.crc32(file.read(at - begin))
+
+
+def goes_on(path: str, entry: dict) -> bool:
+    """Whether a file still begins with what was read up to an offset's end."""
+    with open(path, "rb") as file:
+        if file.seek(0, os.SEEK_END) < entry["end"]:
+            return False
+        return all(_block_sum(file, at) == known for at, known in entry.get("marks", []))
+
+
 @dataclass
 class ByteRange(InputPartition):
     path: str
@@ -61,6 +94,10 @@ class ByteRange(InputPartition):
     end: int
 
 
+# Between a checksum and the inode of one of several files that have it.
+TWIN = "/"
+
+
 class LineTailReader(DataSourceStreamReader):
     def __init__(self, options: dict[str, str]):
         # Spark hands option names over in lower case.
@@ -92,9 +129,10 @@ class LineTailReader(DataSourceStreamReader):
             nodes.setdefault(key, set()).add(node)
         ends = {}
         for path, key, node, size in found:
-            # files that begin alike are told apart by inode: one may be read twice, none is lost
-            key = key if len(nodes[key]) == 1 else f"{key}-{node}"
-            ends.setdefault(key, {"path": path, "end": last_break(path, size)})
+            # files that begin alike are told apart by inode
+            key = key if len(nodes[key]) == 1 else f"{key}{TWIN}{node}"
+            end = last_break(path, size)
+            ends.setdefault(key, {"path": path, "end": end, "marks": block_marks(path, end)})
         return ends
 
     def initialOffset(self) -> dict:
@@ -104,12 +142,15 @@ class LineTailReader(DataSourceStreamReader):
         return {"files": self._ends()}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        before = start.get("files", {})
+        # a file that twins have joined or left has another key, and the same first line
+        before: dict[str, list[dict]] = {}
+        for key, file in start.get("files", {}).items():
+            before.setdefault(key.split(TWIN)[0], []).append(file)
         ranges: list[InputPartition] = []
         for key, file in sorted(end.get("files", {}).items()):
-            at = before.get(key, {}).get("end", 0)
-            if file["end"] < at:
-                at = 0  # truncated in place: a new generation starts over
+            known = before.get(key.split(TWIN)[0], [])
+            # truncated, or another file: a new generation starts over
+            at = max([e["end"] for e in known if e["end"] <= file["end"] and goes_on(file["path"], e)], default=0)
             while at < file["end"]:
                 to = min(at + self.split, file["end"])
                 ranges.append(ByteRange(file["path"], key, at, to))

@@ -267,3 +267,72 @@ def test_line_offsets_and_acknowledgements_are_committed(spark, tmp_path):
     assert [(x["file_id"], x["end_offset"]) for x in saved["i.c.u"]["lines"]] == [("b", 30), ("a", 7)]
     assert saved["i.c.u"]["kind"] == "line" and saved["i.c.q"]["kind"] == "ack"
     assert sorted(told) == [("q", "m2", 0), ("u", "m1", 0)]
+
+
+def followed(folder, *steps, **options):
+    """Payloads of each step: a step writes, then the reader plans from the offset it had before."""
+    reader = tail.LineTailReader({"path": f"{folder}/*.log*", **options})
+    at, out = {"files": {}}, []
+    for step in steps:
+        step()
+        end = json.loads(json.dumps(reader.latestOffset()))
+        out.append(sorted(row[4] for part in reader.partitions(at, end) for row in reader.read(part)))
+        at = end
+    return out
+
+
+def write(path, data, mode="ab"):
+    def step():
+        with open(path, mode) as file:
+            file.write(data)
+
+    return step
+
+
+@pytest.mark.parametrize("identity", ["checksum", "inode"])
+def test_tail_reads_a_file_that_regrew_past_its_old_end(tmp_path, identity):
+    log = tmp_path / "a.log"
+    got = followed(
+        tmp_path,
+        write(log, b"head\none\ntwo\n"),
+        write(log, b"head\nnew one\nnew two\nnew three\n", "wb"),
+        write(log, b"four\n"),
+        identity=identity,
+    )
+    assert got == [["head", "one", "two"], ["head", "new one", "new three", "new two"], ["four"]]
+
+
+def test_tail_sees_a_change_in_a_long_file_that_keeps_its_length(tmp_path):
+    log, lines = tmp_path / "a.log", [b"line %06d\n" % i for i in range(20_000)]
+    changed = lines[:1] + [b"LINE %06d\n" % i for i in range(1, 20_000)]
+    got = followed(tmp_path, write(log, b"".join(lines)), write(log, b"more\n"), write(log, b"".join(changed) + b"more\nlast\n", "wb"))
+    assert [len(g) for g in got] == [20_000, 1, 20_002]
+
+
+def test_tail_goes_on_when_twins_come_and_go(tmp_path):
+    log, twin = tmp_path / "a.log", tmp_path / "b.log"
+    got = followed(
+        tmp_path,
+        write(log, b"head\na1\n"),
+        write(twin, b"head\nb1\n"),
+        write(log, b"a2\n"),
+        lambda: (os.remove(twin), write(log, b"a3\n")()),
+    )
+    assert got == [["a1", "head"], ["b1", "head"], ["a2"], ["a3"]]
+
+
+def test_tail_rotation_under_one_header(tmp_path):
+    log = tmp_path / "a.log"
+
+    def rotate():
+        write(log, b"a2\n")()
+        os.rename(log, tmp_path / "a.log.1")
+        write(tmp_path / "a.log.1", b"a3\n")()
+        write(log, b"head\nb1\n")()
+
+    def copy_and_truncate():
+        (tmp_path / "a.log.2").write_bytes(log.read_bytes() + b"b2\n")
+        write(log, b"head\nc1\nc2 that is longer\n", "wb")()
+
+    got = followed(tmp_path, write(log, b"head\na1\n"), rotate, copy_and_truncate)
+    assert got == [["a1", "head"], ["a2", "a3", "b1", "head"], ["b2", "c1", "c2 that is longer", "head"]]
