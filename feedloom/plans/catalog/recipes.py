@@ -11,6 +11,7 @@ from feedloom.plans.recipes import (
     RECIPES,
     run_dump,
     run_fold,
+    run_keys,
     run_lookup,
     run_manifest,
     run_metrics,
@@ -434,3 +435,141 @@ def recipe_metrics(spark, sf_dir):
         F.col("points")[0]["value"].alias("first_value"),
         F.size("points").alias("points"),
     )
+
+
+# --- profiles with a cursor: every page has one record, and its sequence ends at a multiple of seven --------
+
+
+def _ids(rows):
+    parsed = with_document(rows, "payload")
+    return parsed.select("seq_key", "page_id", Field(F.col("_doc"), "id").number().cast("bigint").alias("id"))
+
+
+def _record():
+    return F.array(F.struct((F.col("o_orderkey") * 3).alias("id")))
+
+
+def _next_token(last=None):
+    key = F.col("o_orderkey")
+    return F.when(key % 7 != 0, F.concat(F.lit("t"), key)).otherwise(F.lit(last).cast("string"))
+
+
+_CURSOR_IDS = f"WITH {_KEPT} SELECT o_custkey AS seq_key, o_orderkey AS page_id, o_orderkey * 3 AS id FROM kept"
+_SOUND_IDS = """WITH bad AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey % 13 = 0),
+   e AS (SELECT o_custkey, min(o_orderkey) FILTER (WHERE o_orderkey % 7 = 0) AS stop FROM orders GROUP BY o_custkey)
+   SELECT o_custkey AS seq_key, o_orderkey AS page_id, o_orderkey * 3 AS id FROM orders o JOIN e USING (o_custkey)
+   WHERE o_custkey NOT IN (SELECT * FROM bad) AND o_orderkey <= coalesce(stop, o_orderkey)"""
+
+
+@query("recipe_workspace", f"{_CURSOR_IDS} WHERE o_orderkey % 4 <> 0")
+def recipe_workspace(spark, sf_dir):
+    """An application's activities; a page without the list of items is an empty one."""
+    items = F.when(F.col("o_orderkey") % 4 != 0, _record())
+    body = F.to_json(F.struct(items.alias("items"), _next_token().alias("nextPageToken")))
+    return _ids(run_pages(_page(spark, sf_dir, body), RECIPES["google_workspace"]["drive"])[0])
+
+
+@query("recipe_github", _CURSOR_IDS)
+def recipe_github(spark, sf_dir):
+    """Arrays linked by headers."""
+    key = F.col("o_orderkey")
+    more = F.concat(F.lit("<https://h/api?after="), key, F.lit('>; rel="next", <https://h/api>; rel="first"'))
+    link = F.when(key % 7 != 0, more).otherwise(F.lit('<https://h/api>; rel="first"'))
+    pages = _page(spark, sf_dir, F.to_json(_record()), F.create_map(F.lit("link"), link))
+    return _ids(run_pages(pages, RECIPES["github"]["audit_log"])[0])
+
+
+@query("recipe_bitwarden", _CURSOR_IDS)
+def recipe_bitwarden(spark, sf_dir):
+    body = F.to_json(F.struct(F.lit("list").alias("object"), _record().alias("data"), _next_token().alias("continuationToken")))
+    return _ids(run_pages(_page(spark, sf_dir, body), RECIPES["bitwarden"]["events"])[0])
+
+
+@query("recipe_datadog", _CURSOR_IDS)
+def recipe_datadog(spark, sf_dir):
+    """The token lies two objects deep; the last page has neither."""
+    page = F.struct(F.struct(_next_token().alias("after")).alias("page"))
+    meta = F.when(F.col("o_orderkey") % 7 != 0, page)
+    body = F.to_json(F.struct(_record().alias("data"), meta.alias("meta")))
+    return _ids(run_pages(_page(spark, sf_dir, body), RECIPES["datadog"]["audit_events"])[0])
+
+
+@query("recipe_duo", _SOUND_IDS)
+def recipe_duo(spark, sf_dir):
+    """The next offset is a list of two; a page that is not OK fails its sequence."""
+    key = F.col("o_orderkey")
+    offset = F.when(key % 7 != 0, F.array(key.cast("string"), F.concat(F.lit("id-"), key)))
+    response = F.struct(_record().alias("authlogs"), F.struct(offset.alias("next_offset")).alias("metadata"))
+    stat = F.when(key % 13 == 0, F.lit("FAIL")).otherwise(F.lit("OK"))
+    body = F.to_json(F.struct(stat.alias("stat"), F.lit("busy").alias("message"), response.alias("response")))
+    return _ids(run_pages(_page(spark, sf_dir, body), RECIPES["duo"]["authentication_logs"])[0])
+
+
+@query("recipe_slack", _SOUND_IDS)
+def recipe_slack(spark, sf_dir):
+    """An empty cursor ends a sequence; a page that is not ok fails it."""
+    key = F.col("o_orderkey")
+    cursor = F.struct(_next_token("").alias("next_cursor"))
+    body = F.to_json(F.struct((key % 13 != 0).alias("ok"), F.lit("ratelimited").alias("error"), _record().alias("entries"), cursor.alias("response_metadata")))
+    return _ids(run_pages(_page(spark, sf_dir, body), RECIPES["slack"]["audit_logs"])[0])
+
+
+@query(
+    "recipe_entity_set",
+    f"""WITH {_KEPT},
+       w AS (SELECT c_custkey, TIMESTAMP '2024-01-01' + to_hours(CAST(c_custkey % 50 AS INTEGER)) AS a FROM customer)
+       SELECT o_custkey AS seq_key, o_orderkey AS page_id, o_orderkey * 3 AS id,
+         strftime(a - INTERVAL 300 SECOND, '%Y-%m-%dT%H:%M:%S') AS start_text,
+         strftime(least(TIMESTAMP '2024-01-05 11:55:00', a + INTERVAL 30 HOUR), '%Y-%m-%dT%H:%M:%S') AS end_text
+       FROM kept JOIN w ON c_custkey = o_custkey""",
+)
+def recipe_entity_set(spark, sf_dir):
+    """Entities of each unit's window, which is settled and overlaps the one before, linked by URLs in the body."""
+    recipe = RECIPES["s4hana"]["entity_set"]
+    customer = table(spark, sf_dir, "customer")
+    units = customer.select(F.col("c_custkey").alias("cursor_key"), F.lit(30).alias("default_hours"), F.lit(60).alias("interval_secs"))
+    hours = F.expr("make_interval(0, 0, 0, 0, cast(c_custkey % 50 as int), 0, 0)")
+    cursors = customer.select(F.col("c_custkey").alias("cursor_key"), (F.lit("2024-01-01").cast("timestamp") + hours).alias("last_fetch_end"))
+    steps = unit_steps(units, cursors, recipe, "2024-01-05 12:00:00")
+    key = F.col("o_orderkey")
+    following = F.when(key % 7 != 0, F.concat(F.lit("Set?$skiptoken="), key))
+    body = F.to_json(F.struct(F.struct(_record().alias("results"), following.alias("__next")).alias("d")))
+    rows = _ids(run_pages(_page(spark, sf_dir, body), recipe)[0])
+    return rows.join(steps.select(F.col("cursor_key").alias("seq_key"), "start_text", "end_text"), "seq_key")
+
+
+def _keyed_answers(spark, sf_dir):
+    """An answer for most parts: some unknown to the registry, some refused, some never given."""
+    key = F.col("p_partkey")
+    part = table(spark, sf_dir, "part")
+    status = F.when(key % 11 == 0, F.lit(404)).when(key % 13 == 0, F.lit(500)).otherwise(F.lit(200))
+    body = F.when(status == 200, F.concat(F.lit('\n{"info":{"size":'), "p_size", F.lit("}}\n"))).otherwise(F.lit("oops"))
+    name = F.concat(F.lit("p"), key)
+    answers = part.where(key % 17 != 0).select(name.alias("key"), status.alias("status"), body.alias("body"))
+    return part.select(F.explode(F.array(name, name)).alias("key")), answers
+
+
+_KEYED = """SELECT 'p' || p_partkey AS key, CASE WHEN p_partkey % 17 <> 0 AND p_partkey % 13 <> 0 THEN 'p' || p_partkey END AS named,
+   CASE WHEN p_partkey % 17 <> 0 AND p_partkey % 13 <> 0 THEN p_size END AS size,
+   CASE WHEN p_partkey % 17 = 0 THEN 'missing' WHEN p_partkey % 13 = 0 THEN 'failed' END AS problem
+   FROM part WHERE p_partkey % 17 = 0 OR p_partkey % 11 <> 0"""
+
+
+def _keyed_rows(spark, sf_dir, profile, named):
+    rows, problems = run_keys(*_keyed_answers(spark, sf_dir), RECIPES[profile]["metadata"])
+    parsed = with_document(rows, "payload")
+    doc, none = F.col("_doc"), F.lit(None)
+    return parsed.select(
+        "key", Field(doc, named).text().alias("named"), Field(doc, "info.size").number().cast("int").alias("size"), none.cast("string").alias("problem")
+    ).unionByName(problems.select("key", none.cast("string").alias("named"), none.cast("int").alias("size"), "problem"))
+
+
+@query("recipe_pypi", _KEYED)
+def recipe_pypi(spark, sf_dir):
+    """A document for each listed key, with the key in it; an unknown key is no problem."""
+    return _keyed_rows(spark, sf_dir, "pypi", "_package")
+
+
+@query("recipe_crates", _KEYED)
+def recipe_crates(spark, sf_dir):
+    return _keyed_rows(spark, sf_dir, "crates_io", "_crate")

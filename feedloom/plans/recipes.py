@@ -2,8 +2,8 @@
 
 A recipe only names operators and the places they look at. `unit_steps` plans what a unit asks
 for; `run_pages` puts its captured pages through the operators; `run_lookup`, `run_manifest`,
-`run_objects` and `run_fold` cover the units that fetch in two steps, `run_dump` those that read a
-whole store and `run_pull` queues.
+`run_objects` and `run_fold` cover the units that fetch in two steps, `run_keys` those that ask for
+listed keys, `run_dump` those that read a whole store and `run_pull` queues.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ class Recipe:
     max_items: int | None = None
     contents: str | None = None  # decoder of a manifest's contents
     gzip: bool = False  # whether contents may be gzip, found by its magic
+    key_field: str | None = None  # field that a keyed unit's records get their key in
+    ignore_status: tuple[int, ...] = ()  # statuses of a keyed unit's answers that only mean that there is none
     windowed: bool = True  # reads a window; a unit that does not has current state only
     shape: str = "incremental"  # or dump
     row_key: str | None = None
@@ -94,6 +96,10 @@ def _dump(row_key: str) -> Recipe:
     return Recipe(decoder="ndjson", shape="dump", windowed=False, row_key=row_key)
 
 
+def _keyed(key_field: str) -> Recipe:
+    return Recipe(decoder="document", windowed=False, key_field=key_field, ignore_status=(404,))
+
+
 def _objects(contents: str, gzip: bool = False, wrap: bool = True) -> Recipe:
     return Recipe(
         contents=contents,
@@ -125,12 +131,48 @@ _LOG_FEEDS = (
     "cloud_logging",
 )
 _APPLICATIONS = (
-    "access_evaluation access_transparency admin admin_data_action assignments calendar chat chrome"
-    " chrome_sync classroom cloud_search contacts context_aware_access data_migration data_studio"
-    " directory_sync drive gcp gemini_in_workspace_apps gmail gplus graduation groups"
-    " groups_enterprise jamboard keep ldap login meet meet_hardware mobile profile rules saml"
-    " takeout tasks token user_accounts vault voice workspace_studio"
-).split()
+    "access_evaluation",
+    "access_transparency",
+    "admin",
+    "admin_data_action",
+    "assignments",
+    "calendar",
+    "chat",
+    "chrome",
+    "chrome_sync",
+    "classroom",
+    "cloud_search",
+    "contacts",
+    "context_aware_access",
+    "data_migration",
+    "data_studio",
+    "directory_sync",
+    "drive",
+    "gcp",
+    "gemini_in_workspace_apps",
+    "gmail",
+    "gplus",
+    "graduation",
+    "groups",
+    "groups_enterprise",
+    "jamboard",
+    "keep",
+    "ldap",
+    "login",
+    "meet",
+    "meet_hardware",
+    "mobile",
+    "profile",
+    "rules",
+    "saml",
+    "takeout",
+    "tasks",
+    "token",
+    "user_accounts",
+    "vault",
+    "voice",
+    "workspace_studio",
+)
 _INVENTORY = {
     "assets": "/id",
     "sites": "/id",
@@ -283,8 +325,8 @@ RECIPES: dict[str, dict[str, Recipe]] = {
         "text": _objects("lines", wrap=False),
         "text_gz": _objects("lines", gzip=True, wrap=False),
     },
-    "pypi": {"metadata": Recipe(decoder="document", windowed=False)},
-    "crates_io": {"metadata": Recipe(decoder="document", windowed=False)},
+    "pypi": {"metadata": _keyed("_package")},
+    "crates_io": {"metadata": _keyed("_crate")},
     "go_modules": {
         "metadata": Recipe(decoder="lines", contents="document", max_items=100, windowed=False)
     },
@@ -440,6 +482,26 @@ def run_fold(
     return builders.version_fold(joined, key, position, "payload", F.lit(0)), report
 
 
+def run_keys(
+    keys: DataFrame, answers: DataFrame, recipe: Recipe, on: str = "key", status: str = "status"
+) -> tuple[DataFrame, DataFrame]:
+    """(records with their key under the recipe's field, problems) of a unit that asks once for each key.
+
+    `answers` has `on`, `status` and `body`. An ignored status gives no record; any other that is no success
+    is a problem (`failed`), and so is a key without an answer (`missing`). A key that is listed twice is asked once.
+    """
+    asked = keys.select(on).where(F.col(on).isNotNull()).distinct()
+    found = asked.join(answers.select(on, status, "body"), on, "left")
+    good = F.col(status).between(200, 299)
+    ignored = F.col(status).isin(*recipe.ignore_status) if recipe.ignore_status else F.lit(False)
+    rows = _build(_decode(found.where(good), recipe.decoder, recipe.rows_at, recipe.when_absent), recipe, None)
+    if recipe.key_field is not None:
+        rows = put_fields(rows, "payload", {recipe.key_field: F.col(on).cast("string")})
+    bad = found.where(F.col(status).isNull() | ~(good | ignored))
+    why = F.when(F.col(status).isNull(), F.lit("missing")).otherwise(F.lit("failed"))
+    return rows.select(on, "payload"), bad.select(on, why.alias("problem"), F.col(status).alias("status"))
+
+
 def run_lookup(
     listed: DataFrame,
     recipe: Recipe,
@@ -559,6 +621,7 @@ __all__ = [
     "Recipe",
     "run_dump",
     "run_fold",
+    "run_keys",
     "run_lookup",
     "run_manifest",
     "run_metrics",
