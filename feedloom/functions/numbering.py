@@ -46,6 +46,32 @@ def even_bucket(df: DataFrame, position: str, rows: int = 100_000) -> Column:
     return F.floor((at - F.lit(int(found["low"])).cast("decimal(20,0)")) / F.lit(width)).cast("bigint")
 
 
+def depth_bucket(df: DataFrame, position: str, rows: int = 100_000, most: int = 512) -> Column:
+    """Bucket growing with a whole-number position, of about `rows` rows wherever the positions cluster.
+
+    The borders are quantiles of the position over all rows, from a sketch of bounded size; there are
+    at most `most` buckets, and their borders are constants, so a task that runs again sees the same ones.
+    NULL positions are in the first bucket.
+    """
+    found = df.agg(F.count(position).alias("n")).first()["n"]
+    buckets = min(most, max(1, -(-found // rows)))
+    if buckets == 1:
+        return F.lit(0).cast("bigint")
+    at = F.col(position).cast("bigint")
+    shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    borders = df.agg(F.percentile_approx(at, shares, 20 * buckets).alias("b")).first()["b"]
+    return _above(at, sorted(set(borders)), 0)
+
+
+def _above(at: Column, borders: Sequence[int], first: int) -> Column:
+    """How many borders a position is over, halving the borders."""
+    if not borders:
+        return F.lit(first).cast("bigint")
+    half = len(borders) // 2
+    upper = _above(at, borders[half + 1 :], first + half + 1)
+    return F.when(at > F.lit(borders[half]), upper).otherwise(_above(at, borders[:half], first))
+
+
 def _marked(df: DataFrame, group: Sequence[str], bucket: Column) -> DataFrame:
     """Add `_part`, group and bucket as one value.
 

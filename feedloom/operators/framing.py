@@ -16,7 +16,7 @@ import csv
 import io
 import json
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import Any
 
 import numpy as np
@@ -373,13 +373,18 @@ def _merged_csv(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _rows(_CUT, out)
 
 
-def _attached(pieces: DataFrame, entries: DataFrame, chunks: int) -> DataFrame:
-    """Pieces with their chunk's entry, still chunk by chunk and in order."""
+def _attached(pieces: DataFrame, entries: DataFrame, chunks: int, order: Sequence[str]) -> DataFrame:
+    """Pieces with their chunk's entry, still chunk by chunk and in order.
+
+    A sort below a join may be dropped, as a join keeps no order that it promises; so it is made above.
+    """
     if chunks <= BROADCAST_CHUNKS:
-        return pieces.join(F.broadcast(entries), ["path", "chunk"], "left")
-    placed = pieces.withColumn("_order", F.monotonically_increasing_id())
-    joined = placed.join(entries.hint("merge"), ["path", "chunk"], "left")
-    return joined.sortWithinPartitions("path", "chunk", "_order").drop("_order")
+        joined = pieces.join(F.broadcast(entries), ["path", "chunk"], "left")
+        return joined.sortWithinPartitions("path", "chunk", *order) if order else joined
+    if not order:
+        pieces, order = pieces.withColumn("_order", F.monotonically_increasing_id()), ["_order"]
+    joined = pieces.join(entries.hint("merge"), ["path", "chunk"], "left")
+    return joined.sortWithinPartitions("path", "chunk", *order)
 
 
 def _merged(cut: DataFrame, sep: str) -> DataFrame:
@@ -474,23 +479,28 @@ def _record(fields: Column, names: Column) -> Column:
     return F.pandas_udf(compose, "string")(fields, names)
 
 
-def rows_of_pieces(pieces: DataFrame, kind: str, header: bool = True) -> DataFrame:
+def rows_of_pieces(
+    pieces: DataFrame, kind: str, header: bool = True, order: Sequence[str] = ()
+) -> DataFrame:
     """`path`, `pos`, `payload`, `error` of bodies that come as pieces.
 
     `pieces` has `path`, `chunk` (a whole number that grows along the body) and `value`, the text between two
-    separators; the pieces of a chunk stand in order in one partition, as a text reader with that separator
-    gives them. kind: `json` (a top-level array, pieces between commas; a body that is none gives one row with
+    separators. The pieces of a chunk stand in order in one partition, as a text reader with that separator
+    gives them, or the columns `order` say it and the pieces are shuffled by chunk. kind: `json` (a top-level array, pieces between commas; a body that is none gives one row with
     `error` and no other) or `csv` (pieces between line feeds; a body that stops being CSV gives the rows before that
     place, then one with `error`). The rows do not depend on where the chunks end.
     """
     if kind not in ("json", "csv"):
         raise ValueError("kind is 'json' or 'csv'")
     bounded_batches(pieces.sparkSession)
-    pieces = pieces.select("path", F.col("chunk").cast("long").alias("chunk"), "value")
-    summary = cut_lineage(pieces.mapInArrow(_summarise_json if kind == "json" else _summarise_csv, _SUMMARY))
+    pieces = pieces.select("path", F.col("chunk").cast("long").alias("chunk"), "value", *order)
+    if order:
+        pieces = pieces.repartition("path", "chunk")
+    ordered = pieces.sortWithinPartitions("path", "chunk", *order) if order else pieces
+    summary = cut_lineage(ordered.mapInArrow(_summarise_json if kind == "json" else _summarise_csv, _SUMMARY))
     chunks = summary.count()
     entries = cut_lineage(summary.groupBy("path").applyInPandas(_entries(kind), _ENTRY))
-    cut = _attached(pieces, entries, chunks).mapInArrow(_cut_json if kind == "json" else _cut_csv, _CUT)
+    cut = _attached(pieces, entries, chunks, order).mapInArrow(_cut_json if kind == "json" else _cut_csv, _CUT)
     if kind == "json":
         rows = _json_rows(cut)
         stops = _stops(rows)

@@ -299,15 +299,14 @@ def _body_pieces(spark, sf_dir, rows, sep, first, last):
     split = documents.select("path", "doc_id", F.split(text, sep).alias("parts"))
     pieces = split.select("path", "doc_id", F.size("parts").alias("n"), F.posexplode("parts").alias("i", "value"))
     late = (F.col("i") * 2 >= F.col("n")).cast("int")
-    placed = pieces.withColumn("chunk", F.floor((key * 2 + late) / 5).cast("long"))
-    return placed.repartition("path", "chunk").sortWithinPartitions("path", "chunk", "doc_id", "i")
+    return pieces.withColumn("chunk", F.floor((key * 2 + late) / 5).cast("long"))
 
 
 @query("json_array_split", _SPLIT)
 def json_array_split(spark, sf_dir):
     """Arrays of documents, cut at commas wherever they stand."""
     row = F.to_json(F.struct(F.col("doc_id").alias("id"), "text", F.array(F.lit("],[")).alias("also")))
-    rows = rows_of_pieces(_body_pieces(spark, sf_dir, row, ",", "[", "]"), "json")
+    rows = rows_of_pieces(_body_pieces(spark, sf_dir, row, ",", "[", "]"), "json", order=["doc_id", "i"])
     parsed = with_document(rows, "payload")
     return parsed.select(
         "path",
@@ -322,7 +321,7 @@ def csv_split(spark, sf_dir):
     """The same as CSV with a header, cut at line breaks inside and outside of quotes."""
     quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
     row = F.concat(F.col("doc_id").cast("string"), F.lit(","), quoted)
-    rows = rows_of_pieces(_body_pieces(spark, sf_dir, row, "\n", "id,text\n", ""), "csv")
+    rows = rows_of_pieces(_body_pieces(spark, sf_dir, row, "\n", "id,text\n", ""), "csv", order=["doc_id", "i"])
     parsed = with_document(rows, "payload")
     return parsed.select(
         "path",

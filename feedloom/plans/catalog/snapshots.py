@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedloom.functions.json import Field, object_text
-from feedloom.functions.numbering import even_bucket, number_rows, running_sum, span_bucket
+from feedloom.functions.numbering import depth_bucket, even_bucket, number_rows, running_sum, span_bucket
 from feedloom.operators import snapshot
 from feedloom.plans.catalog.base import query, table
 
@@ -303,3 +303,21 @@ def routed_dumps(spark, sf_dir):
         "topic", F.when(F.coalesce(moved, F.lit(False)), F.lit("vip")).otherwise(F.lit("crm"))
     )
     return snapshot.routed_dumps(placed)
+
+
+@query(
+    "number_clustered",
+    """WITH p AS (SELECT event_type, event_id, CASE WHEN event_id % 2 = 0 THEN 1700000000000000 + event_id
+         ELSE event_id * 3600000000 END AS place FROM events)
+       SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY place, event_id) - 1 AS seq, true AS even FROM p""",
+)
+def number_clustered(spark, sf_dir):
+    """One sequence a type over times of which half lie within a second: no bucket has twice its share."""
+    key = F.col("event_id")
+    at = F.when(key % 2 == 0, F.lit(1_700_000_000_000_000) + key).otherwise(key * 3_600_000_000)
+    events = table(spark, sf_dir, "events").select("event_type", "event_id", at.alias("at"))
+    bucket = depth_bucket(events, "at", 100)
+    numbered = number_rows(events, ["at", "event_id"], ["event_type"], bucket, out="seq")
+    sizes = events.groupBy(bucket.alias("b")).count()
+    even = sizes.select((F.max("count") < 2 * F.avg("count")).alias("even"))
+    return numbered.select("event_type", "event_id", F.col("seq").cast("bigint").alias("seq"), even.scalar().alias("even"))

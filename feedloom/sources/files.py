@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.json import as_column
 from feedloom.operators import decode
-from feedloom.operators.framing import NOT_AN_ARRAY, JsonFrame, rows_of_pieces
+from feedloom.operators.framing import JsonFrame, rows_of_pieces
 from feedloom.operators.listing import past
 from feedloom.session import cut_lineage
 from feedloom.sources import members as gzip
@@ -161,7 +161,7 @@ def _unpacked(spark: SparkSession, kind: str, paths: list[str]) -> DataFrame:
     if kind == "ndjson":
         rows = numbered_lines(pieces.withColumnRenamed("value", "payload").withColumnRenamed("i", "_id"))
     else:
-        rows = rows_of_pieces(pieces, kind)
+        rows = rows_of_pieces(pieces, kind, order=["i"])
     nothing = F.lit(None).cast("string")
     bad = damaged.select("path", F.lit(None).cast("int").alias("pos"), nothing.alias("payload"), "error")
     return rows.unionByName(bad)
@@ -201,12 +201,13 @@ def read_dump(
     work, held whole up to `whole_file_bytes` and read as a stream above them, where damage fails the
     job instead of giving a row. A file that cannot be read gives a row with `error`; pass the result to `sound_prefix` to
     stop before the first of them. Sizes come from the listing, and no content is loaded to be thrown away.
+    Files of no bytes are passed over, as by all of Spark's readers.
     """
     # `decoder_of` raises for a name it does not know
     files = _files(spark, globs, marker).withColumn("_decoder", decode.decoder_of(F.col("path")))
     listed = cut_lineage(files.select("path", "position", "size", "_decoder").distinct())
     named = F.col("path").endswith(".gz")
-    ranged = listed.filter((~named & (F.col("size") > 0)) | (F.col("size") > whole_file_bytes))
+    ranged = listed.filter(~named | (F.col("size") > whole_file_bytes))
     by_kind: dict[tuple[str, bool], list[str]] = {}
     for r in ranged.select("path", "_decoder", named.alias("named")).collect():
         by_kind.setdefault((r["_decoder"], r["named"]), []).append(r["path"])
@@ -216,9 +217,6 @@ def read_dump(
         plain = [p for p in paths if p not in packed]
         parts += [_framed(spark, kind, plain)] if plain else []
         parts += [_unpacked(spark, kind, sorted(packed))] if packed else []
-    empty = listed.filter((F.col("size") == 0) & ~named & (F.col("_decoder") == "json"))
-    nothing = F.lit(None).cast("string")
-    parts.append(empty.select("path", F.lit(None).cast("int").alias("pos"), nothing.alias("payload"), F.lit(NOT_AN_ARRAY).alias("error")))
     rows = reduce(DataFrame.unionByName, parts)
     # one row a file, most often few enough to be broadcast; adaptive execution sees
     out = rows.join(listed.select("path", "position"), "path")

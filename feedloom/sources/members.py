@@ -160,7 +160,7 @@ def members(pieces: DataFrame) -> DataFrame:
 
 
 def member_pieces(found: DataFrame, sep: str) -> DataFrame:
-    """Unpacked bodies as pieces between separators: `path`, `chunk`, `i`, `value`, chunk by chunk and in order.
+    """Unpacked bodies as pieces between separators: `path`, `chunk`, `i` (their order in it) and `value`.
 
     A piece may cross members; it is put together in the chunk of the member that it begins in.
     """
@@ -199,8 +199,8 @@ def member_pieces(found: DataFrame, sep: str) -> DataFrame:
     )
     # behind a body's last separator there is no piece unless something stands there
     joined = joined.where((F.col("closed") == 1) | (F.octet_length("data") > 0)).drop("closed")
-    out = whole.unionByName(joined).select("path", "chunk", "i", F.make_valid_utf8(F.col("data").cast("string")).alias("value"))
-    return out.repartition("path", "chunk").sortWithinPartitions("path", "chunk", "i")
+    text = F.make_valid_utf8(F.col("data").cast("string"))
+    return whole.unionByName(joined).select("path", "chunk", "i", text.alias("value"))
 
 
 def problems(found: DataFrame) -> DataFrame:

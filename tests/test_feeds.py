@@ -326,3 +326,43 @@ def test_every_declared_field_of_a_recipe_is_read():
     for name in (f.name for f in dataclasses.fields(recipes.Recipe)):
         assert f"recipe.{name}" in source or f"self.{name}" in source, name
     assert sum(len(units) for units in recipes.RECIPES.values()) > 100
+
+
+def test_buckets_of_clustered_positions_are_even(spark):
+    from feedloom.functions.numbering import depth_bucket
+
+    at = F.when(F.col("id") % 2 == 0, F.col("id") + 10**15).otherwise(F.col("id") * 10**9)
+    df = spark.range(40_000).select("id", F.when(F.col("id") % 1000 > 0, at).alias("at"))
+    for rows, most in ((500, 512), (100, 20), (10**6, 512)):
+        bucket = depth_bucket(df, "at", rows, most)
+        sizes = [r["count"] for r in df.groupBy(bucket.alias("b")).count().collect()]
+        assert max(sizes) < 2 * sum(sizes) / len(sizes) and len(sizes) <= min(most, -(-40_000 // rows))
+        out = number_rows(df.where("at IS NOT NULL"), ["at"], [], bucket, out="n").orderBy("at").collect()
+        assert [r["n"] for r in out] == list(range(len(out)))
+
+
+def test_halving_with_windows_that_begin_within_a_second(spark):
+    """Events counted together before the windows are known give what counting them one by one gives."""
+    dice = random.Random(2)
+    rows = [(dice.choice(["a", None, "c"]), datetime(2024, 1, 1) + timedelta(microseconds=dice.randrange(90_000_000))) for _ in range(3000)]
+    events = spark.createDataFrame(rows, "k string, ts timestamp")
+    bounds = [("a", 1_234_567, 80_000_000), (None, 0, 61_500_000), ("c", 999_999, 1_500_001)]
+    at = lambda us: datetime(2024, 1, 1) + timedelta(microseconds=us)
+    frame = spark.createDataFrame([(k, at(a), at(b)) for k, a, b in bounds], "k string, window_start timestamp, window_end timestamp")
+    got = {}
+    for r in windows.halve_until(events, "ts", frame, 100, ["k"]).collect():
+        got.setdefault(r["k"], []).append((r["span_start"], r["span_end"], r["rows"], r["status"]))
+    many = windows.MAX_FRACTIONS
+    windows.MAX_FRACTIONS = 0
+    try:
+        plain = {}
+        for r in windows.halve_until(events, "ts", frame, 100, ["k"]).collect():
+            plain.setdefault(r["k"], []).append((r["span_start"], r["span_end"], r["rows"], r["status"]))
+    finally:
+        windows.MAX_FRACTIONS = many
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in plain.items()}
+    for k, a, b in bounds:
+        spans = sorted(got[k])
+        assert spans[0][0] == at(a) and spans[-1][1] == at(b)
+        for begin, end, n, _ in spans:
+            assert n == sum(x == k and begin <= t < end for x, t in rows)

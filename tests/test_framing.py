@@ -20,12 +20,12 @@ def chunked(spark, bodies, sep, size):
             pieces = pieces[:-1]
         rows += [(path, i // size * 100, i, p) for i, p in enumerate(pieces)]
     frame = spark.createDataFrame(rows, "path string, chunk long, i long, value string")
-    return frame.repartition(3, "path", "chunk").sortWithinPartitions("path", "chunk", "i")
+    return frame.repartition(5)
 
 
 def found(spark, bodies, kind, size, **more):
     sep = "," if kind == "json" else "\n"
-    rows = framing.rows_of_pieces(chunked(spark, bodies, sep, size), kind, **more).collect()
+    rows = framing.rows_of_pieces(chunked(spark, bodies, sep, size), kind, order=["i"], **more).collect()
     out = {}
     for r in sorted(rows, key=lambda r: (r.path, r.pos is None, r.pos)):
         out.setdefault(r.path, []).append((r.pos, r.payload and json.loads(r.payload), r.error and True))
