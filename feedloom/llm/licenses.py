@@ -10,7 +10,8 @@ DataFrame functions only. The template table is small (its grams are counted bef
 broadcast); the texts are read once and never shuffled, only votes are.
 
 Nulls: a null or blank text has no words and no place. A row without an id keeps its own result, and
-repeated rows give repeated results: rows are told apart by their place in the input. An empty table
+repeated rows give repeated results: rows are told apart by their place in the input. A very long text is
+read whole in its row. An empty table
 gives no rows. Only the id and text columns are read, so further columns cannot clash.
 """
 

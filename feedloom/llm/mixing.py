@@ -12,7 +12,7 @@ order, so no task holds a whole source. The order is md5 of the id, so that reru
 
 Nulls: a null text has size 0; a null source is a source of its own, last; a null id has its place by
 the empty text. Documents of size 0 take 0 words. Rows alike in id, source and text share what falls to
-them, a whole number of words each. Empty tables give no rows; if no document has words, targets are 0. A column of the input that has the
+them, a whole number of words each. Very long texts are only counted, whole. Empty tables give no rows; if no document has words, targets are 0. A column of the input that has the
 name of a result column is replaced.
 """
 

@@ -9,7 +9,7 @@ rejected bad and kept good rows among those that keep LEAST_KEPT of the good one
 Nulls: a null text has no words, so every count is 0 and the base rule fails. Labels that are null, or
 of an id that no document has, do not count; an id labelled both ways counts as good. Without labels
 of both kinds, or with none that any cut parts, only the base rule decides. A row without an id is
-scored like any other. Repeated rows give repeated results. An empty table gives no rows. Only the
+scored like any other. A very long text is counted whole; of cuts that tie the one that keeps most counts. Repeated rows give repeated results. An empty table gives no rows. Only the
 named columns are read, so further columns cannot clash.
 """
 

@@ -7,6 +7,9 @@ postings of an alternative are intersected, the alternatives united, and the exp
 candidate rows alone. A rule without a mandatory trigram scans every row. An index covers one batch of
 bounded size, so it stays in the memory of the task that made it and no text is shuffled.
 
+A very long text is a batch of its own, indexed and searched whole. Spans that begin alike stand in the
+order of their kinds.
+
 Nulls: a null text counts as empty and has no span. Repeated rows give repeated results; an empty
 table gives no rows. A column of the input that has the name of a result column is replaced.
 """

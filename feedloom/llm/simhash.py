@@ -10,7 +10,8 @@ tree, one set of searches) is a unit of its own. A unit gives a spanning forest
 all pairs.
 
 Nulls: a null or blank text has the fingerprint zero, linked like any other. A row without an id has
-its fingerprint; its group's id is the smallest id present, null if there is none. Repeated rows
+its fingerprint; its group's id is the smallest id present, null if there is none. A bit that half of the
+hashes have is not set. Very long texts are hashed whole, batch by batch. Repeated rows
 give repeated results. An empty table gives no rows.
 """
 

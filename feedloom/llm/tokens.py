@@ -9,7 +9,7 @@ failure half way, gives the same folders and the same totals. Totals are sums ov
 
 Nulls: a null or empty text has 0 tokens and counts as a document; a null source or language is a
 group of its own; a change with a null id can only insert, as it names no earlier document; a null or
-unknown action is an insertion. Rows repeated in a batch all count; an id deleted and revised in one
+unknown action is an insertion. A very long text is encoded whole in its row. There are no ties. Rows repeated in a batch all count; an id deleted and revised in one
 batch is taken back once. Empty batches commit nothing and change nothing. Changes hold the named
 columns only, so further columns cannot clash.
 """

@@ -12,7 +12,7 @@ shuffles, which adaptive execution splits, or the list is broadcast if it proves
 Nulls: a capture without a URL, without a host in it, or without a fetch time matches nothing. Entries
 with a null pattern, kind or time are left out. Of entries of a pattern at the same time a removal
 counts last; an addition within an open interval changes nothing. An interval begins with its addition
-and ends before its removal. Repeated captures give repeated results; empty tables give no rows or no
+and ends before its removal. A very long URL has as many keys as its path has folders. Repeated captures give repeated results; empty tables give no rows or no
 matches. Results hold the named columns only, so further columns cannot clash.
 """
 

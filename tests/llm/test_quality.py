@@ -101,3 +101,15 @@ def test_odd_rows(spark):
     bare = Q.judge_quality(docs, labels.limit(0)).collect()
     assert all(r.kept != r.base_failed for r in bare)
     assert Q.judge_quality(docs.limit(0), labels).count() == 0
+
+
+def test_very_long_texts_are_counted_whole(spark):
+    """A word that repeats, and a line that repeats, at the far end of 400,000 words."""
+    words = [f"w{i}" for i in range(400_000)]
+    text = " ".join(words) + "\nsame line\nsame line\n" + " ".join(words[:6]) + " ##"
+    docs = spark.createDataFrame([(1, text, 1, "x"), (2, "short one", 1, "x")], SCHEMA)
+    labels = spark.createDataFrame([], "doc_id bigint, quality int")
+    row = {r.doc_id: r for r in Q.judge_quality(docs, labels).collect()}[1]
+    assert row.n_words == 400_000 + 4 + 6 + 1 and row.n_dup_lines == 1 and row.n_symbols == 2
+    # the first six words stand twice: two windows of five, six words at either end
+    assert row.n_repeat_words == 12 and not row.base_failed and row.kept

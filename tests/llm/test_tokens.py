@@ -98,3 +98,13 @@ def test_batches_pass_through_other_totals(spark, first, tmp_path):
         seen.append(shown(rollup.totals())["a", "en", first.version])
     whole = (3, count("one two") + count("three") + count("four"))
     assert seen == [whole, (2, count("one two\none two") + count("four")), whole]
+
+
+def test_empty_tables_and_columns_of_clashing_names(spark, first, tmp_path):
+    schema = "doc_id bigint, source string, lang string, text string, tokens string, version string, batch int, sign int"
+    none, some = spark.createDataFrame([], schema), spark.createDataFrame([(1, "a", "en", "one two", "x", "y", 7, 8)], schema)
+    for name, docs, want in (("none", none, {}), ("some", some, {("a", "en", first.version): (1, first.count("one two"))})):
+        rollup = K.TokenRollup(spark, str(tmp_path / name))
+        for n, batch in enumerate(K.changes_back_to_documents(docs), 1):
+            rollup.commit(n, batch, first)
+        assert {k: v for k, v in shown(rollup.totals()).items() if v[0]} == want

@@ -80,3 +80,15 @@ def test_intervals(spark):
 def test_no_python_in_the_plan(spark):
     plan = U.urls_of_pages(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_very_long_urls(spark):
+    """Thousands of folders, labels and letters: the entry of the deepest folder and of the last label count."""
+    deep = "http://long.org" + "/f" * 1500
+    wide = "http://" + "a." * 300 + "wide.org/" + "x" * 100_000
+    log = [("prefix", "long.org" + "/f" * 1200, True, at(1)), ("domain", "wide.org", True, at(1)), ("prefix", "long.org/g", True, at(1))]
+    entries = spark.createDataFrame(log, "kind string, pattern string, added boolean, at timestamp")
+    rows = [(1, deep, at(2)), (2, wide, at(2)), (3, deep, at(0)), (4, "http://long.org/" + "f" * 100_000, at(2))]
+    captures = spark.createDataFrame(rows, "page_id bigint, url string, fetched_at timestamp")
+    got = {r.page_id: r.n_active for r in U.filter_urls(captures, entries).collect()}
+    assert got == {1: 1, 2: 1, 3: 0, 4: 0}
