@@ -86,6 +86,46 @@ def goes_on(path: str, entry: dict) -> bool:
         return all(_block_sum(file, at) == known for at, known in entry.get("marks", []))
 
 
+def range_lines(path: str, file_id: str, start: int, end: int, max_line: int, wrap: bool) -> Iterator[tuple]:
+    """Rows of SCHEMA for the lines that begin in a byte range."""
+    if end <= start:
+        return
+    with open(path, "rb") as file:
+        # A line belongs to the range it begins in.
+        at = start
+        if at > 0:
+            file.seek(at - 1)
+            if file.read(1) != b"\n":
+                at += _pass_line(file)
+        file.seek(at)
+        while at < end:
+            line = file.readline(max_line + 1)
+            if not line:
+                return
+            size, refused = len(line), None
+            if not line.endswith(b"\n") and size > max_line:
+                size += _pass_line(file)
+                refused = size
+            begin, at = at, at + size
+            text = line.decode("utf-8", errors="replace").strip()
+            if refused is None and not text:
+                continue
+            payload = None
+            if refused is None:
+                payload = json.dumps({"line": text}, ensure_ascii=False) if wrap else text
+            yield (path, file_id, begin, at, payload, refused)
+
+
+def _pass_line(file: BinaryIO) -> int:
+    """Skip to behind the next line break; returns the bytes passed."""
+    passed = 0
+    while True:
+        piece = file.readline(BLOCK)
+        passed += len(piece)
+        if not piece or piece.endswith(b"\n"):
+            return passed
+
+
 @dataclass
 class ByteRange(InputPartition):
     path: str
@@ -159,42 +199,8 @@ class LineTailReader(DataSourceStreamReader):
         return ranges or [ByteRange("", "", 0, 0)]
 
     def read(self, partition: ByteRange) -> Iterator[tuple]:
-        if partition.end <= partition.start:
-            return
-        with open(partition.path, "rb") as file:
-            # A line belongs to the range it begins in.
-            at = partition.start
-            if at > 0:
-                file.seek(at - 1)
-                if file.read(1) != b"\n":
-                    at += self._pass_line(file)
-            file.seek(at)
-            while at < partition.end:
-                line = file.readline(self.max_line + 1)
-                if not line:
-                    return
-                size, refused = len(line), None
-                if not line.endswith(b"\n") and size > self.max_line:
-                    size += self._pass_line(file)
-                    refused = size
-                begin, at = at, at + size
-                text = line.decode("utf-8", errors="replace").strip()
-                if refused is None and not text:
-                    continue
-                payload = None
-                if refused is None:
-                    payload = json.dumps({"line": text}, ensure_ascii=False) if self.wrap else text
-                yield (partition.path, partition.file_id, begin, at, payload, refused)
-
-    @staticmethod
-    def _pass_line(file) -> int:
-        """Skip to behind the next line break; returns the bytes passed."""
-        passed = 0
-        while True:
-            piece = file.readline(BLOCK)
-            passed += len(piece)
-            if not piece or piece.endswith(b"\n"):
-                return passed
+        where = (partition.path, partition.file_id, partition.start, partition.end)
+        return range_lines(*where, self.max_line, self.wrap)
 
     def commit(self, end: dict) -> None:
         pass
