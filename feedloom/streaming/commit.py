@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators import checkpoint
+from feedloom.sources import topics
 
 
 class InconsistentMarks(RuntimeError):
@@ -87,3 +88,42 @@ def run_batch(
             df.unpersist()
 
     return run
+
+
+def publish_batch(
+    land: Callable[[DataFrame], DataFrame],
+    path: str,
+    instance: str,
+    connection: str,
+    clock: Callable[[], str],
+    topic: str = "topic",
+    sink_columns: Sequence[str] | None = None,
+    acknowledge: Callable[[DataFrame], None] | None = None,
+    form: str = "topic_sink",
+) -> Callable[[DataFrame, int], None]:
+    """A `foreachBatch` function like `run_batch` whose topics and checkpoint appear by one rename.
+
+    A batch number is published once: its replay leaves what is there, so every row is in the folder exactly
+    once as long as the source gives a replayed batch the same rows. `topics.read_published` reads the
+    checkpoints. Only then does `acknowledge` get the ids.
+    """
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        try:
+            marks = checkpoint_rows(df, instance, connection, clock()).persist()
+            bad = [r["cursor_key"] for r in marks.filter("inconsistent").limit(10).collect()]
+            if bad:
+                raise InconsistentMarks(f"two kinds of marks: {bad}")
+            out = land(df)
+            if sink_columns is not None:
+                out = out.select(*sink_columns)
+            topics.publish(out, marks, path, batch_id, topic, form)
+            marks.unpersist()
+            if acknowledge is not None:
+                ids = df.select("unit", F.col("mark.ack_id").alias("ack_id"))
+                acknowledge(checkpoint.ack_batches(ids, ["unit"]))
+        finally:
+            df.unpersist()
+
+    return run
