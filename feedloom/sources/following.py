@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.numbering import index_in_order, running_sum, span_bucket
 from feedloom.session import bounded_batches, cut_lineage
+from feedloom.sources.planned import PlannedBatches
 from feedloom.sources.tail import BLOCK, SCHEMA, _block_sum, fingerprint, goes_on, range_lines
 
 # Plans for which the end of a vanished file is kept, in case its content turns up elsewhere.
@@ -95,7 +96,7 @@ def _known(value: object) -> bool:
     return value is not None and not pd.isna(value)
 
 
-class LineFollower:
+class LineFollower(PlannedBatches):
     """Batches of lines from files under `globs`; plans and commits are kept in `state`.
 
     `max_bytes` bounds what a batch reads; it must exceed `max_line`. A longer line than `max_line` is
@@ -123,51 +124,12 @@ class LineFollower:
             raise ValueError("read_from is 'beginning' or 'end'")
         if max_bytes <= max_line:
             raise ValueError("max_bytes must exceed max_line")
-        self.spark, self.state = spark, state.rstrip("/")
+        super().__init__(spark, state)
         self.globs = [globs] if isinstance(globs, str) else list(globs)
         self.exclude, self.read_from, self.header = list(exclude), read_from, header
         self.max_line, self.max_bytes, self.split, self.wrap = max_line, max_bytes, split, wrap
-        jvm = spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._files = self._path(self.state).getFileSystem(spark._jsc.hadoopConfiguration())
         bounded_batches(spark)
 
-    def _numbers(self, prefix: str) -> list[int]:
-        root = self._path(self.state)
-        if not self._files.exists(root):
-            return []
-        names = [status.getPath().getName() for status in self._files.listStatus(root)]
-        return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
-
-    def committed(self) -> int:
-        """Number of the last batch that was committed; -1 if none was."""
-        return max(self._numbers("commit-"), default=-1)
-
-    def next(self) -> tuple[int, DataFrame] | None:
-        """(number, lines) of the next batch, or of the one that was planned and not committed; None if idle."""
-        number = self.committed() + 1
-        if number not in self._numbers("plan-") and not self._plan(number):
-            return None
-        return number, self._lines(number)
-
-    def commit(self, number: int) -> None:
-        """Name a batch done. Its plan is the state of the next; older plans and commits are removed."""
-        self._files.create(self._path(f"{self.state}/commit-{number}"), True).close()
-        for prefix in ("plan-", "commit-"):
-            for old in self._numbers(prefix):
-                if old < number - 1:
-                    self._files.delete(self._path(f"{self.state}/{prefix}{old}"), True)
-
-    def drain(self, sink: Callable[[DataFrame, int], None]) -> int:
-        """Hand batches to `sink` until there is nothing to read; each is committed after it. Returns how many."""
-        done = 0
-        while (batch := self.next()) is not None:
-            number, lines = batch
-            sink(lines, number)
-            self.commit(number)
-            done += 1
-        return done
-
     def _listed(self) -> DataFrame:
         found = None
         for names in self.globs:
@@ -199,9 +161,8 @@ class LineFollower:
         return files.groupBy("node").agg(F.min_by(F.struct("path", "key", "size"), "path").alias("f")).select("node", "f.*")
 
     def _plan(self, number: int) -> bool:
-        """Write the plan of a batch; False, and no plan, if no file has a line to read."""
         if number:
-            known = self.spark.read.schema(PLAN).parquet(f"{self.state}/plan-{number - 1}")
+            known = self.spark.read.schema(PLAN).parquet(self._folder(number - 1))
         else:
             known = self.spark.createDataFrame([], PLAN)
         started = self._started(known)
@@ -242,15 +203,13 @@ class LineFollower:
         plan = dealt.mapInPandas(_per_file(settle), PLAN)
         gone = known.join(started.select("node"), "node", "left_anti").filter(F.col("seen") > number - KEEP_PLANS)
         idle = gone.withColumn("start", F.col("end")).select(*plan.columns)
-        aside, target = f"{self.state}/_planning-{number}", f"{self.state}/plan-{number}"
-        plan.unionByName(idle).write.mode("overwrite").parquet(aside)
-        written = self.spark.read.schema(PLAN).parquet(aside)
-        passed_over = number == 0 and self.read_from == "end"
-        if written.filter(F.col("end") > F.col("start")).isEmpty() and not (passed_over and not written.isEmpty()):
-            return False
-        if not self._files.rename(self._path(aside), self._path(target)):
-            raise RuntimeError(f"another reader has planned batch {number}")
-        return True
+
+        def wanted(written: DataFrame) -> bool:
+            if from_end and not written.isEmpty():  # what is passed over is remembered
+                return True
+            return not written.filter(F.col("end") > F.col("start")).isEmpty()
+
+        return self._publish(plan.unionByName(idle), number, wanted)
 
     def _started(self, known: DataFrame) -> DataFrame:
         """Files as they are now, with the offset that each goes on from."""
@@ -305,8 +264,8 @@ class LineFollower:
         going = same.select("path", "node", "key", "size", F.col("end").alias("start"), "marks", "level", "level_sum", "served")
         return cut_lineage(going.unionByName(fresh))
 
-    def _lines(self, number: int) -> DataFrame:
-        plan = self.spark.read.schema(PLAN).parquet(f"{self.state}/plan-{number}").filter(F.col("end") > F.col("start"))
+    def _rows(self, number: int) -> DataFrame:
+        plan = self.spark.read.schema(PLAN).parquet(self._folder(number)).filter(F.col("end") > F.col("start"))
         split, max_line, wrap = self.split, self.max_line, self.wrap
         begins = F.explode(F.sequence(F.col("start"), F.col("end") - 1, F.lit(split)))
         ranges = plan.select("path", "file_id", begins.alias("_from"), "end").select(
