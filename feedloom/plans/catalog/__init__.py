@@ -6,6 +6,7 @@ from feedloom.plans.catalog import (  # noqa: F401
     deliveries,
     listings,
     pages,
+    published,
     recipes,
     rows,
     snapshots,
