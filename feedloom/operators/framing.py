@@ -6,8 +6,8 @@ only has two ways to begin: inside a quoted text or not. So each chunk tells wha
 the states at all chunk borders follow from these few numbers by a walk along the chunks of a body, and every
 chunk then cuts its rows by itself. A row that crosses a border is put together from its parts.
 
-Three passes read the pieces: one for the states, one that counts rows and finds the first error, one that
-gives the rows. Between them only one small row for each chunk is kept.
+Two passes read the pieces: one for the states, one that cuts the rows and writes them to the checkpoint folder,
+where their errors are looked for before they are given. Of the states only one small row for each chunk is kept.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions.json import bind
+from feedloom.functions.numbering import shuffle_partitions
 from feedloom.operators.decode import element_texts
 from feedloom.session import bounded_batches, cut_lineage
 
@@ -77,21 +78,6 @@ class JsonFrame:
         depths = [np.append(0, np.cumsum(np.where(inside == s, step, 0)))[upto] for s in (0, 1)]
         return np.searchsorted(quotes, ends) % 2, depths[0], depths[1]
 
-    def __init__(self) -> None:
-        self.parity, self.depth = 0, 0
-
-    def enter(self, state: int, depth: int) -> None:
-        self.parity, self.depth = state, depth
-
-    def walk(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(in a text, depth) at the end of each piece, from the state that this frame is in."""
-        flips, outside, inside = self.states(values)
-        depth = self.depth + (inside if self.parity else outside)
-        text = (flips + self.parity) % 2
-        if len(text):
-            self.parity, self.depth = int(text[-1]), int(depth[-1])
-        return text, depth
-
 
 def csv_exit(text: str, quoted: bool) -> int:
     """State behind a piece of CSV that begins at a record's start or inside a quoted field."""
@@ -125,6 +111,18 @@ def csv_rows(text: str) -> Iterator[list[str]]:
     yield from (fields for fields in csv.reader(io.StringIO(text, newline=""), strict=True) if fields)
 
 
+# Rows, and bytes of them, that a task hands back at once.
+GATHER_ROWS, GATHER_BYTES = 4096, 4 << 20
+
+
+def runs_of(batch: pa.RecordBatch) -> list[tuple[tuple, int, int]]:
+    """((path, chunk), begin, end) of the rows of each chunk in a batch whose rows stand chunk by chunk."""
+    paths, chunks = batch.column("path"), np.asarray(batch.column("chunk"))
+    codes = np.asarray(paths.dictionary_encode().indices)
+    cuts = (np.flatnonzero((np.diff(codes) != 0) | (np.diff(chunks) != 0)) + 1).tolist()
+    return [((paths[a].as_py(), int(chunks[a])), a, b) for a, b in zip([0, *cuts], [*cuts, len(chunks)], strict=True)]
+
+
 def chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, Iterator[pa.RecordBatch]]]:
     """((path, chunk), its batches) for rows that stand chunk by chunk."""
 
@@ -132,11 +130,8 @@ def chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, It
         for batch in batches:
             if not batch.num_rows:
                 continue
-            paths, chunks = batch.column("path"), np.asarray(batch.column("chunk"))
-            codes = np.asarray(paths.dictionary_encode().indices)
-            cuts = np.flatnonzero((np.diff(codes) != 0) | (np.diff(chunks) != 0)) + 1
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(chunks)], strict=True):
-                yield (paths[a].as_py(), int(chunks[a])), batch.slice(a, b - a)
+            for key, a, b in runs_of(batch):
+                yield key, batch.slice(a, b - a)
 
     source = runs()
     held = next(source, None)
@@ -160,21 +155,62 @@ def _rows(schema: str, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
+def _gathered(schema: str, rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of bounded size; many chunks are short, and a batch for each would cost more than its rows."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) if isinstance(v, str) else sum(map(len, v)) if isinstance(v, list) else 8 for v in row)
+        if len(held) >= GATHER_ROWS or size >= GATHER_BYTES:
+            yield _rows(schema, held)
+            held, size = [], 0
+    if held:
+        yield _rows(schema, held)
+
+
+# Depth of a chunk that has no piece ending outside of a text; no body is as deep.
+_NO_LOW = 1 << 60
+
+
+def _json_summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """What each chunk does to either state, from one walk over a whole batch; a chunk over two batches is composed."""
+
+    def row(key: tuple, ways: list[tuple[int, int, int]]) -> tuple:
+        lows = [None if low >= _NO_LOW // 2 else low for _, _, low in ways]
+        return (*key, *[w[0] for w in ways], *[w[1] for w in ways], *lows, None, None)
+
+    key, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        runs = runs_of(batch)
+        begin, end = np.array([a for _, a, _ in runs]), np.array([b for _, _, b in runs])
+        flips, *depths = (np.append(0, x) for x in JsonFrame.states(batch.column("value")))
+        before, of = flips[begin], np.repeat(np.arange(len(runs)), end - begin)
+        ways = []
+        for s in (0, 1):
+            text = flips[1:] ^ before[of] ^ s
+            inside = (before ^ s) == 1
+            moved = np.where(inside[of], depths[1][1:], depths[0][1:])
+            moved = moved - np.where(inside, depths[1][begin], depths[0][begin])[of]
+            low = np.minimum.reduceat(np.where(text == 0, moved, _NO_LOW), begin)
+            ways.append(list(zip(text[end - 1].tolist(), moved[end - 1].tolist(), low.tolist(), strict=True)))
+        for (own, _, _), *mine in zip(runs, *ways, strict=True):
+            if own == key:
+                held = [(mine[x][0], d + mine[x][1], min(low, d + mine[x][2])) for x, d, low in held]
+                continue
+            if key is not None:
+                yield row(key, held)
+            key, held = own, mine
+    if key is not None:
+        yield row(key, held)
+
+
 def _summarise_json(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for (path, chunk), own in chunk_batches(batches):
-        frames = JsonFrame(), JsonFrame()
-        frames[1].enter(1, 0)
-        low: list[int | None] = [None, None]
-        for batch in own:
-            for s, frame in enumerate(frames):
-                text, depth = frame.walk(batch.column("value"))
-                free = depth[text == 0]
-                if len(free):
-                    low[s] = int(free.min()) if low[s] is None else min(low[s], int(free.min()))
-        yield _rows(_SUMMARY, [(path, chunk, *[f.parity for f in frames], *[f.depth for f in frames], *low, None, None)])
+    yield from _gathered(_SUMMARY, _json_summaries(batches))
 
 
-def _summarise_csv(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _csv_summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for (path, chunk), own in chunk_batches(batches):
         state, ends = [OUT, QUOTED], [False, False]
         for batch in own:
@@ -182,39 +218,65 @@ def _summarise_csv(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 if '"' in text:
                     state = [s if s == BROKEN else csv_exit(text, s == QUOTED) for s in state]
                 ends = [e or s == OUT for e, s in zip(ends, state, strict=True)]
-        yield _rows(_SUMMARY, [(path, chunk, *state, 0, 0, None, None, *ends)])
+        yield (path, chunk, *state, 0, 0, None, None, *ends)
+
+
+def _summarise_csv(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _gathered(_SUMMARY, _csv_summaries(batches))
 
 
 def _entries(kind: str) -> Any:
-    """Walk along the chunks of a body: the state that each begins in, and the chunk its first row began in."""
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        state, depth, owner, out = OUT, 0, None, []
-        rows = pdf.sort_values("chunk").to_dict("records")
-        for i, r in enumerate(rows):
-            fresh = owner is None
-            begun = r["chunk"] if fresh else owner
-            out.append((r["path"], r["chunk"], state, depth, fresh, begun, i == len(rows) - 1))
-            if state == BROKEN:
-                continue
-            way = str(state)
-            if kind == "json":
-                low = r["low" + way]
-                top = None if pd.isna(low) else depth + int(low)
-                depth += int(r["delta" + way])
-                state = int(r["exit" + way])
-                if top is not None and top < 1:
-                    state = BROKEN
-                ends, whole = top == 1, state == OUT and depth == 1
-            else:
-                ends, state = bool(r["ends" + way]), int(r["exit" + way])
-                whole = state == OUT
-            owner = None if whole else r["chunk"] if ends else begun
-        return pd.DataFrame(out, columns=[f.split()[0] for f in _ENTRY.split(", ")])
+    """Walk along the chunks of bodies: the state that each begins in, and the chunk its first row began in.
+
+    The rows of a body stand together, in order. One walk goes over all bodies of a partition, so a body costs
+    no more than its chunks.
+    """
+
+    def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        last: tuple | None = None
+        state, depth, owner = OUT, 0, None
+        for batch in batches:
+            for r in batch.to_pylist():
+                if last is not None:
+                    yield (*last, r["path"] != last[0])
+                if last is None or r["path"] != last[0]:
+                    state, depth, owner = OUT, 0, None
+                fresh = owner is None
+                begun = r["chunk"] if fresh else owner
+                last = (r["path"], r["chunk"], state, depth, fresh, begun)
+                if state == BROKEN:
+                    continue
+                way = str(state)
+                if kind == "json":
+                    low = r["low" + way]
+                    top = None if low is None else depth + low
+                    depth += r["delta" + way]
+                    state = r["exit" + way]
+                    if top is not None and top < 1:
+                        state = BROKEN
+                    ends, whole = top == 1, state == OUT and depth == 1
+                else:
+                    ends, state = r["ends" + way], r["exit" + way]
+                    whole = state == OUT
+                owner = None if whole else r["chunk"] if ends else begun
+        if last is not None:
+            yield (*last, True)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _gathered(_ENTRY, walked(batches))
 
     return walk
 
 
+# Chunks of one partition of the walk, about; adaptive execution would merge all into a task, as they are short.
+WALK_CHUNKS = 20_000
+
+
+def _walked(summary: DataFrame, kind: str, chunks: int) -> DataFrame:
+    parts = max(shuffle_partitions(summary), -(-chunks // WALK_CHUNKS))
+    return summary.repartition(parts, "path").sortWithinPartitions("path", "chunk").mapInArrow(_entries(kind), _ENTRY)
+
+
 class _Cutter:
     """Rows of one chunk: whole ones numbered from 0, and the parts of those that cross its borders."""
 
@@ -238,13 +300,13 @@ class _Cutter:
         owner = self.entry["owner"] if self.open else self.chunk
         self.out.append((self.path, owner, self.chunk, n, False, text, None, None))
 
-    def batch(self) -> pa.RecordBatch:
-        made, self.out = _rows(_CUT, self.out), []
+    def taken(self) -> list[tuple]:
+        made, self.out = self.out, []
         return made
 
 
-def _entry_of(batch: pa.RecordBatch) -> dict[str, Any]:
-    entry = {c: batch.column(c)[0].as_py() for c in ("state", "depth", "fresh", "owner", "last")}
+def _entry_of(batch: pa.RecordBatch, at: int = 0) -> dict[str, Any]:
+    entry = {c: batch.column(c)[at].as_py() for c in ("state", "depth", "fresh", "owner", "last")}
     if entry["state"] is None:
         raise ValueError("the chunks of a body changed between two reads")
     return entry
@@ -253,70 +315,96 @@ def _entry_of(batch: pa.RecordBatch) -> dict[str, Any]:
 NOT_AN_ARRAY = "not a complete JSON array"
 
 
-def _cut_json(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for key, own in chunk_batches(batches):
-        cutter: _Cutter | None = None
-        frame, over, first = JsonFrame(), False, False
-
-        def run(text: str, ending: bool) -> None:
-            """A row's text is complete, or the chunk ends in it."""
-            nonlocal first
-            if first:  # the body's first row begins behind the bracket
-                first = False
-                if not text.lstrip().startswith("["):
-                    return cutter.fail(NOT_AN_ARRAY)
-                text = text.lstrip()[1:]
-            if ending and over:  # the last one ends before the bracket
-                text = text.rstrip()
-                if not text.endswith("]"):
-                    return cutter.fail(NOT_AN_ARRAY)
-                text = text[:-1]
-                if not text.strip() and not cutter.n and not cutter.open and cutter.entry["depth"] == 0:
-                    return None
-            if cutter.open or (ending and not over):
-                cutter.part(text)
-                cutter.open = cutter.open and ending
+class _JsonCutter(_Cutter):
+    """Rows of one chunk of a JSON array, from its pieces and what they leave the state and the depth at."""
+
+    def __init__(self, key: tuple, entry: dict[str, Any]) -> None:
+        super().__init__(key, entry)
+        self.parity, self.depth, self.over = entry["state"], entry["depth"], False
+        self.first = self.depth == 0 and entry["fresh"] and self.parity == OUT
+        if not self.first and self.depth < 1:
+            self.done = True
+        if self.done:
+            self.fail(NOT_AN_ARRAY)
+
+    def run(self, text: str, ending: bool) -> None:
+        """A row's text is complete, or the chunk ends in it."""
+        if self.first:  # the body's first row begins behind the bracket
+            self.first = False
+            if not text.lstrip().startswith("["):
+                return self.fail(NOT_AN_ARRAY)
+            text = text.lstrip()[1:]
+        if ending and self.over:  # the last one ends before the bracket
+            text = text.rstrip()
+            if not text.endswith("]"):
+                return self.fail(NOT_AN_ARRAY)
+            text = text[:-1]
+            if not text.strip() and not self.n and not self.open and self.entry["depth"] == 0:
                 return None
-            return cutter.give(text)
+        if self.open or (ending and not self.over):
+            self.part(text)
+            self.open = self.open and ending
+            return None
+        return self.give(text)
+
+    def feed(self, values: list[str], flips: np.ndarray, depths: Sequence[np.ndarray]) -> None:
+        """Pieces with quotes (odd or even) and brackets since the first of them, as `JsonFrame.states` gives them."""
+        if self.done:
+            return
+        depth = self.depth + depths[self.parity]
+        text = flips ^ self.parity
+        self.parity, self.depth = int(text[-1]), int(depth[-1])
+        if self.over:  # something follows the array
+            return self.fail(NOT_AN_ARRAY)
+        closed = np.flatnonzero((text == 0) & (depth < 1))
+        if len(closed) and int(closed[0]) < len(values) - 1:
+            return self.fail(NOT_AN_ARRAY)
+        self.over = bool(len(closed))
+        at = 0
+        for end in np.flatnonzero((text == 0) & (depth == 1)).tolist():
+            self.run(",".join([*self.held, *values[at : end + 1]]), False)
+            self.held, at = [], end + 1
+            if self.done:
+                break
+        self.held += values[at:]
+        return None
+
+    def end(self) -> None:
+        if self.done:
+            return
+        if self.entry["last"] != (self.over and bool(self.held)):
+            self.fail(NOT_AN_ARRAY)
+        elif self.held:
+            self.run(",".join(self.held), True)
+
+
+def _json_cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    key, cutter = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column("value").to_pylist()
+        flips, *depths = (np.append(0, x) for x in JsonFrame.states(batch.column("value")))
+        for own, a, b in runs_of(batch):
+            if own != key:
+                if cutter is not None:
+                    cutter.end()
+                    yield from cutter.taken()
+                key, cutter = own, _JsonCutter(own, _entry_of(batch, a))
+            moved = [d[a + 1 : b + 1] - d[a] for d in depths]
+            # brackets are told apart by the quotes since the batch began
+            cutter.feed(values[a:b], flips[a + 1 : b + 1] ^ flips[a], moved[::-1] if flips[a] else moved)
+            yield from cutter.taken()
+    if cutter is not None:
+        cutter.end()
+        yield from cutter.taken()
 
-        for batch in own:
-            if cutter is None:
-                cutter = _Cutter(key, _entry_of(batch))
-                frame.enter(cutter.entry["state"], cutter.entry["depth"])
-                first = cutter.entry["depth"] == 0 and cutter.entry["fresh"] and cutter.entry["state"] == OUT
-                if not first and cutter.entry["depth"] < 1:
-                    cutter.done = True
-                if cutter.done:
-                    cutter.fail(NOT_AN_ARRAY)
-            if cutter.done:
-                continue
-            values = batch.column("value").to_pylist()
-            text, depth = frame.walk(batch.column("value"))
-            if over:  # something follows the array
-                cutter.fail(NOT_AN_ARRAY)
-                continue
-            closed = np.flatnonzero((text == 0) & (depth < 1))
-            if len(closed) and int(closed[0]) < len(values) - 1:
-                cutter.fail(NOT_AN_ARRAY)
-                continue
-            over = bool(len(closed))
-            at = 0
-            for end in np.flatnonzero((text == 0) & (depth == 1)).tolist():
-                run(",".join([*cutter.held, *values[at : end + 1]]), False)
-                cutter.held, at = [], end + 1
-                if cutter.done:
-                    break
-            cutter.held += values[at:]
-            yield cutter.batch()
-        if not cutter.done:
-            if cutter.entry["last"] != (over and bool(cutter.held)):
-                cutter.fail(NOT_AN_ARRAY)
-            elif cutter.held:
-                run(",".join(cutter.held), True)
-        yield cutter.batch()
 
+def _cut_json(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _gathered(_CUT, _json_cuts(batches))
 
-def _cut_csv(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _csv_cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for key, own in chunk_batches(batches):
         cutter: _Cutter | None = None
         state = OUT
@@ -346,31 +434,37 @@ def _cut_csv(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     run("\n".join(cutter.held))
                     cutter.held = []
                     cutter.done = cutter.done or state == BROKEN
+                    yield from cutter.taken()
                 if cutter.done:
                     break
-            yield cutter.batch()
         if cutter.held and not cutter.done:
             text = "\n".join(cutter.held)
             if cutter.entry["last"]:
                 run(text)
             else:
                 cutter.part(text)
-        yield cutter.batch()
+        yield from cutter.taken()
+
+
+def _cut_csv(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _gathered(_CUT, _csv_cuts(batches))
 
 
 def _merged_csv(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Records of texts that were put together from their parts."""
-    for batch in batches:
-        out: list[tuple] = []
-        for r in batch.to_pylist():
-            n = r["n"]
-            try:
-                for fields in csv_rows(r["text"]):
-                    out.append((r["path"], r["chunk"], r["chunk"], n, True, None, fields, None))
-                    n += 1
-            except csv.Error as problem:
-                out.append((r["path"], r["chunk"], r["chunk"], n, True, None, None, str(problem)))
-        yield _rows(_CUT, out)
+
+    def cuts() -> Iterator[tuple]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                n = r["n"]
+                try:
+                    for fields in csv_rows(r["text"]):
+                        yield (r["path"], r["chunk"], r["chunk"], n, True, None, fields, None)
+                        n += 1
+                except csv.Error as problem:
+                    yield (r["path"], r["chunk"], r["chunk"], n, True, None, None, str(problem))
+
+    yield from _gathered(_CUT, cuts())
 
 
 def _attached(pieces: DataFrame, entries: DataFrame, chunks: int, order: Sequence[str]) -> DataFrame:
@@ -497,12 +591,16 @@ def rows_of_pieces(
     if order:
         pieces = pieces.repartition("path", "chunk")
     ordered = pieces.sortWithinPartitions("path", "chunk", *order) if order else pieces
+    if order:  # made and shuffled once; a reader's ranges are read again instead
+        ordered = pieces = cut_lineage(ordered)
     summary = cut_lineage(ordered.mapInArrow(_summarise_json if kind == "json" else _summarise_csv, _SUMMARY))
     chunks = summary.count()
-    entries = cut_lineage(summary.groupBy("path").applyInPandas(_entries(kind), _ENTRY))
+    entries = cut_lineage(_walked(summary, kind, chunks))
     cut = _attached(pieces, entries, chunks, order).mapInArrow(_cut_json if kind == "json" else _cut_csv, _CUT)
+    # every row is cut and parsed once; the errors and the rows are read from what was written
+    cut = cut_lineage(cut)
     if kind == "json":
-        rows = _json_rows(cut)
+        rows = cut_lineage(_json_rows(cut))
         stops = _stops(rows)
         out = _json_out(rows, stops, chunks)
     else:
