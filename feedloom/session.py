@@ -26,7 +26,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def bounded_batches(spark: SparkSession) -> None:
     """Bound the bytes that a Python worker is handed at once; rows may be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

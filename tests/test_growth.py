@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from feedloom.operators import framing
+from feedloom.session import bounded_batches
 
 
 def _chunks(n, value="[1],[2]"):
@@ -35,3 +36,13 @@ def test_many_bodies_are_walked_in_many_tasks(spark):
     walked = framing._walked(summary, "json", 500)
     assert walked.rdd.getNumPartitions() >= 8
     assert walked.where("fresh AND last").count() == 500
+
+
+def test_csv_cuts_share_batches_and_python_is_handed_few_bytes(spark):
+    batch = _chunks(3000, "1,x")
+    entry = {"state": [0] * 3000, "depth": [0] * 3000, "fresh": [True] * 3000, "owner": list(range(3000)), "last": [False] * 3000}
+    batch = pa.RecordBatch.from_pydict({**batch.to_pydict(), **entry})
+    made = list(framing._cut_csv(iter([batch])))
+    assert len(made) == 1 and made[0].num_rows == 3000
+    bounded_batches(spark)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
