@@ -7,9 +7,10 @@ import io
 import json
 import sys
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,11 +25,14 @@ from feedloom.functions.json import (
     object_text,
     variant_type,
 )
+from feedloom.session import bounded_batches
 
 # A text value that begins like an object.
 OBJECT_IN_TEXT = r'"(?:\s|\\[nrtbf]|\\u00[012][0-9a-fA-F])*(?:\{|\\u007[bB])'
 
 GZIP_MAGIC = b"\x1f\x8b"
+# Unpacked bytes that a task hands back at once; a longer body is a batch of its own.
+INFLATED_BYTES = 4 << 20
 
 
 def _trimmed(text: Column) -> Column:
@@ -256,22 +260,36 @@ def gunzip(data: bytes) -> bytes:
     return b"".join(out)
 
 
-def inflate(df: DataFrame, content: str) -> DataFrame:
-    """Inflate a binary column by its magic, whatever the name says; adds `error`."""
-    schema = T.StructType(
-        [f for f in df.schema.fields] + [T.StructField("error", T.StringType())]
-    )
+def _inflated(content: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's function that inflates a column and adds `error`, in batches of bounded bytes."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies, errors = [], []
-            for data in batch[content]:
+            at = batch.schema.get_field_index(content)
+            begin, bodies, errors, size = 0, [], [], 0
+            for i, data in enumerate(batch.column(at)):
                 try:
-                    bodies.append(None if data is None else gunzip(bytes(data)))
+                    bodies.append(gunzip(data.as_py()) if data.is_valid else None)
                     errors.append(None)
                 except (EOFError, zlib.error) as problem:
                     bodies.append(None)
                     errors.append(str(problem))
-            yield batch.assign(**{content: bodies, "error": errors})
+                size += len(bodies[-1] or b"")
+                # a body may be far longer than what it was packed in
+                if size >= INFLATED_BYTES or i + 1 == batch.num_rows:
+                    columns = batch.slice(begin, i + 1 - begin).columns
+                    columns[at] = pa.array(bodies, pa.binary())
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(errors, pa.string())], names=[*batch.schema.names, "error"])
+                    begin, bodies, errors, size = i + 1, [], [], 0
+
+    return run
+
+
+def inflate(df: DataFrame, content: str) -> DataFrame:
+    """Inflate a binary column by its magic, whatever the name says; adds `error`."""
+    schema = T.StructType(
+        [f for f in df.schema.fields] + [T.StructField("error", T.StringType())]
+    )
 
-    return df.mapInPandas(run, schema)
+    bounded_batches(df.sparkSession)
+    return df.mapInArrow(_inflated(content), schema)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from feedloom.operators import framing
+from feedloom.operators import decode, framing
 from feedloom.session import bounded_batches
 
 
@@ -46,3 +47,16 @@ def test_csv_cuts_share_batches_and_python_is_handed_few_bytes(spark):
     assert len(made) == 1 and made[0].num_rows == 3000
     bounded_batches(spark)
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+
+
+def test_unpacked_bodies_are_handed_back_in_bounded_batches(spark):
+    packed = zlib.compress(bytes(1 << 20), wbits=31)
+    files = spark.range(0, 64, 1, 1).select("id", F.lit(packed).alias("content"))
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    out = decode.inflate(files, "content")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+    assert out.where(F.length("content") == 1 << 20).where("error IS NULL").count() == 64
+    # the step itself, outside of Spark
+    step = decode._inflated("content")
+    sizes = [b.num_rows for b in step(iter([pa.RecordBatch.from_pydict({"id": list(range(64)), "content": [packed] * 64})]))]
+    assert sum(sizes) == 64 and max(sizes) <= 4
