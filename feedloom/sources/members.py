@@ -11,7 +11,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -91,8 +90,30 @@ class _Unpacker:
             yield self.row(1, "open" if self.sure else "maybe", b"".join(self.raw))
 
 
-def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [f.split()[0] for f in _FOUND.split(", ")]
+# Rows, and bytes of them, that a task hands back at once; a longer row is a batch of its own.
+GATHER_ROWS, GATHER_BYTES = 4096, 4 << 20
+
+
+def _gathered(schema: str, types: Sequence[pa.DataType], rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of bounded size: members may be short, and a batch for each costs more than its bytes."""
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def made(held: list[tuple]) -> pa.RecordBatch:
+        columns = zip(zip(*held, strict=True), types, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names=names)
+
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) for v in row if isinstance(v, bytes))
+        if len(held) >= GATHER_ROWS or size >= GATHER_BYTES:
+            yield made(held)
+            held, size = [], 0
+    if held:
+        yield made(held)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for (path, chunk), own in chunk_batches(batches):
         unpacker, first = _Unpacker(path, chunk), True
         for batch in own:
@@ -102,37 +123,48 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 piece = value.as_py() if head else MAGIC + value.as_py()
                 if head and not piece:
                     continue
-                for row in unpacker.feed(piece):
-                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _TYPES, strict=True)], names=names)
-        for row in unpacker.end():
-            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _TYPES, strict=True)], names=names)
-
-
-def _crossing(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Members that cross chunks, from their parts in order."""
-    parts = pdf.sort_values(["chunk", "part"]).to_dict("records")
-    out, start, inflater, got = [], None, None, []
-
-    def give(content: bytes | None, error: str | None) -> None:
-        out.append((start["path"], start["chunk"], start["n"], content, error))
-
-    for p in parts:
-        if inflater is None:
-            start, inflater, got = p, zlib.decompressobj(wbits=31), []
-        try:
-            got.append(inflater.decompress(p["data"]))
-        except zlib.error as problem:
-            give(None, str(problem))
-            inflater = None
-            continue
-        if inflater.eof:
-            give(b"".join(got), None)
-            if inflater.unused_data.strip(b"\0"):
-                give(None, "bytes between members")
-            inflater = None
+                yield from unpacker.feed(piece)
+        yield from unpacker.end()
+
+
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _gathered(_FOUND, _TYPES, _unpacked(batches))
+
+
+def _joined_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Members that cross chunks, from their parts in order; the parts of one owner stand together."""
+    owner, start, inflater, got = None, None, None, []
+
+    def give(content: bytes | None, error: str | None) -> tuple:
+        return (start["path"], start["chunk"], start["n"], content, error)
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            p = {c: batch.column(c)[i].as_py() for c in ("path", "owner", "chunk", "n", "data")}
+            if (p["path"], p["owner"]) != owner:
+                if inflater is not None:
+                    yield give(None, "truncated gzip member")
+                owner, inflater = (p["path"], p["owner"]), None
+            if inflater is None:
+                start, inflater, got = p, zlib.decompressobj(wbits=31), []
+            try:
+                got.append(inflater.decompress(p["data"]))
+            except zlib.error as problem:
+                yield give(None, str(problem))
+                inflater = None
+                continue
+            if inflater.eof:
+                yield give(b"".join(got), None)
+                if inflater.unused_data.strip(b"\0"):
+                    yield give(None, "bytes between members")
+                inflater = None
     if inflater is not None:
-        give(None, "truncated gzip member")
-    return pd.DataFrame(out, columns=[f.split()[0] for f in _MEMBER.split(", ")])
+        yield give(None, "truncated gzip member")
+
+
+def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    types = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.string()]
+    yield from _gathered(_MEMBER, types, _joined_parts(batches))
 
 
 def members(pieces: DataFrame) -> DataFrame:
@@ -150,8 +182,9 @@ def members(pieces: DataFrame) -> DataFrame:
     whole = found.where(F.col("kind").isin("member", "bad")).select("path", "chunk", "n", F.col("data").alias("content"), "error")
     crossing = (
         parts.join(owners.select("path", "chunk", "part", "owner"), ["path", "chunk", "part"])
-        .groupBy("path", "owner")
-        .applyInPandas(lambda pdf: _crossing(pdf), _MEMBER)
+        .repartition("path", "owner")
+        .sortWithinPartitions("path", "owner", "chunk", "part")
+        .mapInArrow(_crossing, _MEMBER)
     )
     every = cut_lineage(whole.unionByName(crossing).withColumn("_id", F.monotonically_increasing_id()))
     order = Window.partitionBy("path").orderBy("chunk", "n", "_id")
@@ -166,29 +199,26 @@ def member_pieces(found: DataFrame, sep: str) -> DataFrame:
     """
     mark = sep.encode()
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for path, member, content in zip(*[batch.column(c) for c in ("path", "member", "content")], strict=True):
-                data = content.as_py().split(mark)
+                name, number, data = path.as_py(), member.as_py(), content.as_py().split(mark)
                 last = len(data) - 1
                 kinds = ["mid"] if not last else ["head", *["whole"] * (last - 1), "tail"]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([path.as_py()] * len(data), pa.string()),
-                        pa.array([member.as_py()] * len(data), pa.int64()),
-                        pa.array(range(len(data)), pa.int64()),
-                        pa.array(kinds, pa.string()),
-                        pa.array(data, pa.binary()),
-                    ],
-                    names=["path", "member", "i", "kind", "data"],
-                )
+                yield from ((name, number, i, kind, part) for i, (kind, part) in enumerate(zip(kinds, data, strict=True)))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+        yield from _gathered(schema, types, rows(batches))
 
     schema = "path string, member long, i long, kind string, data binary"
-    sound = found.select("path", F.col("member").cast("long").alias("member"), "content", F.instr(F.col("content").cast("string"), sep).alias("has"))
-    pieces = sound.select("path", "member", "content").mapInArrow(cut, schema)
+    sound = found.select("path", F.col("member").cast("long").alias("member"), "content")
+    # members are joined to their numbers and cut once; all that follows reads what was written
+    pieces = cut_lineage(sound.mapInArrow(cut, schema))
     before = Window.partitionBy("path").orderBy("member").rowsBetween(Window.unboundedPreceding, -1)
-    owner = F.coalesce(F.last(F.when(F.col("has") > 0, F.col("member")), ignorenulls=True).over(before), F.lit(-1))
-    owners = sound.select("path", "member", "has").withColumn("owner", owner).drop("has")
+    begun = pieces.where("i = 0").select("path", "member", (F.col("kind") == "head").alias("has"))
+    owner = F.coalesce(F.last(F.when(F.col("has"), F.col("member")), ignorenulls=True).over(before), F.lit(-1))
+    owners = begun.withColumn("owner", owner).drop("has")
     whole = pieces.where("kind = 'whole'").select("path", F.col("member").alias("chunk"), "i", "data")
     parts = pieces.where("kind <> 'whole'").join(owners, ["path", "member"])
     parts = parts.withColumn("owner", F.when(F.col("kind") == "tail", F.col("member")).otherwise(F.col("owner")))

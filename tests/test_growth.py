@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from feedloom.operators import decode, framing
 from feedloom.session import bounded_batches
+from feedloom.sources import members
 
 
 def _chunks(n, value="[1],[2]"):
@@ -60,3 +61,10 @@ def test_unpacked_bodies_are_handed_back_in_bounded_batches(spark):
     step = decode._inflated("content")
     sizes = [b.num_rows for b in step(iter([pa.RecordBatch.from_pydict({"id": list(range(64)), "content": [packed] * 64})]))]
     assert sum(sizes) == 64 and max(sizes) <= 4
+
+
+def test_short_members_share_batches():
+    packed = zlib.compress(b"x\n", wbits=31).split(members.MAGIC)[1]
+    batch = pa.RecordBatch.from_pydict({"path": ["a"] * 2000, "chunk": [1] * 2000, "value": [packed] * 2000})
+    made = list(members._found(iter([batch])))
+    assert len(made) == 1 and made[0].column("kind").to_pylist() == ["member"] * 2000
