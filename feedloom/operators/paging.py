@@ -7,12 +7,15 @@ ends there, so page bodies are never gathered per sequence.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom.functions.json import (
     array_items,
@@ -24,9 +27,11 @@ from feedloom.functions.json import (
 )
 from feedloom.functions.keys import join_same
 from feedloom.functions.numbering import number_rows, previous, running_sum, span_bucket
-from feedloom.session import cut_lineage
+from feedloom.session import bounded_batches, cut_lineage
 
 PAGE_SPAN = 10_000
+# Pages up to which a sequence's links are followed inside of one task, and about as many are held there at once.
+LOCAL_PAGES = 50_000
 
 
 def header(headers: Column, name: str) -> Column:
@@ -334,6 +339,99 @@ def _reached(heads: DataFrame, edges: DataFrame) -> DataFrame:
     return marks
 
 
+def _solved_block(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Links of whole sequences with the page that has a link first, its number and the page that it leads to."""
+    table = pa.Table.from_batches(batches).combine_chunks()
+    n = table.num_rows
+    pages = np.asarray(table["page_id"].combine_chunks())
+    seq = np.cumsum(np.asarray(table["_n"]) == 1) - 1
+    both = pa.concat_arrays([table[c].combine_chunks() for c in ("_asked", "_to")]).dictionary_encode()
+    codes = np.asarray(both.indices.fill_null(-1)).astype(np.int64) + 1
+    links, goals = (seq * (len(both.dictionary) + 1) + half for half in (codes[:n], codes[n:]))
+    begins = np.append(True, links[1:] != links[:-1])
+    nodes = np.flatnonzero(begins)
+    on = np.full(n, -1)
+    leading = nodes[codes[n:][nodes] > 0]
+    order = nodes[np.argsort(links[nodes])]
+    at = np.minimum(np.searchsorted(links[order], goals[leading]), len(order) - 1)
+    hit = links[order][at] == goals[leading]
+    on[leading[hit]] = order[at[hit]]
+    named = np.zeros(n, bool)
+    named[on[nodes][(on[nodes] >= 0) & (on[nodes] != nodes)]] = True
+    first = np.asarray(table["_first"].combine_chunks().cast(pa.int8())) == 1
+    ranked = nodes[np.lexsort((pages[nodes], named[nodes], ~first[nodes], seq[nodes]))]
+    here = ranked[np.append(True, np.diff(seq[ranked]) != 0)]
+    number, passed = np.full(n, -1), 0
+    while len(here):  # a step of all sequences at once; a page that is met again has its number
+        here = here[number[here] < 0]
+        number[here] = passed
+        here, passed = on[here], passed + 1
+        here = here[here >= 0]
+    own = nodes[np.cumsum(begins) - 1]
+    kind = table.schema.field("page_id").type
+    out = table.drop_columns(["_n"])
+    out = out.append_column("_node", pa.array(pages[own], kind))
+    out = out.append_column("page_no", pa.array(number, pa.int64(), mask=number < 0))
+    return out.append_column("_on", pa.array(pages[on], kind, mask=on < 0)).combine_chunks().to_batches()[0]
+
+
+def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of whole sequences; `_n` counts the links of each from 1."""
+    held, rows = [], 0
+    for batch in batches:
+        starts = np.flatnonzero(np.asarray(batch.column("_n")) == 1)
+        if rows + batch.num_rows >= LOCAL_PAGES and len(starts):
+            at = int(starts[-1])
+            if rows + at:
+                yield _solved_block([*held, batch.slice(0, at)])
+            held, rows = [], 0
+            batch = batch.slice(at)
+        held.append(batch)
+        rows += batch.num_rows
+    if rows:
+        yield _solved_block(held)
+
+
+def _walked_inside(links: DataFrame) -> DataFrame:
+    """(links, `_node`, `page_no`, `_on`) of sequences that a task can hold: one shuffle, no rounds."""
+    bounded_batches(links.sparkSession)
+    number = F.row_number().over(Window.partitionBy("_seq").orderBy("_asked", "page_id"))
+    kind = links.schema["page_id"].dataType
+    schema = T.StructType([*links.schema.fields, T.StructField("_node", kind), T.StructField("page_no", T.LongType()), T.StructField("_on", kind)])
+    return cut_lineage(links.withColumn("_n", number).mapInArrow(_solved, schema))
+
+
+def _walked_in_rounds(links: DataFrame) -> DataFrame:
+    """The same of sequences of any length, by rounds over all of their pages."""
+    key = F.struct("_seq", "_asked")
+    one = links.groupBy(key.alias("_link")).agg(F.min(F.struct("page_id", "_first", "_to")).alias("_page"))
+    nodes = cut_lineage(one.select("_link._seq", "_link._asked", "_page.*"))
+    goals = nodes.select(F.struct("_seq", F.col("_asked").alias("_to")).alias("_link"), F.col("page_id").alias("_on"))
+    edges = nodes.where(F.col("_to").isNotNull()).select("_seq", "page_id", F.struct("_seq", "_to").alias("_link"))
+    edges = cut_lineage(edges.join(goals, "_link").select("_seq", "page_id", "_on"))
+
+    named = edges.where("page_id <> _on").select("_seq", F.col("_on").alias("page_id")).distinct()
+    starts = nodes.join(named.withColumn("_named", F.lit(True)), ["_seq", "page_id"], "left")
+    rank = F.struct(~F.col("_first"), F.coalesce("_named", F.lit(False)), "page_id")
+    heads = starts.groupBy("_seq").agg(F.min(rank).alias("_head")).select("_seq", "_head.page_id")
+    marks = _reached(heads, edges)
+    told = marks.join(edges, ["_seq", "page_id"], "full")
+    twins = links.withColumn("_link", key).join(one.select("_link", F.col("_page.page_id").alias("_node")), "_link").drop("_link")
+    return cut_lineage(twins.join(told, ["_seq", "page_id"], "left").select(*links.columns, "_node", "page_no", "_on"))
+
+
+def _walked(links: DataFrame) -> DataFrame:
+    """Links with `_node`, the page that has a link first, its `page_no` if its sequence reaches it, and `_on`, the next."""
+    if not isinstance(links.schema["page_id"].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        return _walked_in_rounds(links)
+    long = links.groupBy("_seq").agg(F.count(F.lit(1)).alias("_pages")).where(F.col("_pages") > LOCAL_PAGES)
+    long = cut_lineage(long.select("_seq"))
+    if long.isEmpty():
+        return _walked_inside(links)
+    short = _walked_inside(links.join(long, "_seq", "left_anti"))
+    return short.unionByName(_walked_in_rounds(links.join(long, "_seq", "left_semi")))
+
+
 def follow_links(
     pages: DataFrame,
     seq: Sequence[str],
@@ -353,24 +451,12 @@ def follow_links(
 
     Problems are (`kind`, `page_id`, `link`): `fork`, a page asked with the same link as another one, which
     has the smaller `page_id` and goes on; `stray`, a page that the sequence does not reach; `missing` and
-    `loop`, the last page and where it leads. Only the signals of pages are walked, as in `assemble_pages`.
+    `loop`, the last page and where it leads. Only the signals of pages are walked, as in `assemble_pages`:
+    sequences of up to `LOCAL_PAGES` pages many at once in a task, longer ones by rounds over all tasks.
     """
     links = cut_lineage(_links(pages, seq, pager, asked))
-    key = F.struct("_seq", "_asked")
-    one = links.groupBy(key.alias("_link")).agg(F.min(F.struct("page_id", "_first", "_to")).alias("_page"))
-    nodes = cut_lineage(one.select("_link._seq", "_link._asked", "_page.*"))
-    goals = nodes.select(F.struct("_seq", F.col("_asked").alias("_to")).alias("_link"), F.col("page_id").alias("_on"))
-    edges = nodes.where(F.col("_to").isNotNull()).select("_seq", "page_id", F.struct("_seq", "_to").alias("_link"))
-    edges = cut_lineage(edges.join(goals, "_link").select("_seq", "page_id", "_on"))
-
-    named = edges.where("page_id <> _on").select("_seq", F.col("_on").alias("page_id")).distinct()
-    starts = nodes.join(named.withColumn("_named", F.lit(True)), ["_seq", "page_id"], "left")
-    rank = F.struct(~F.col("_first"), F.coalesce("_named", F.lit(False)), "page_id")
-    heads = starts.groupBy("_seq").agg(F.min(rank).alias("_head")).select("_seq", "_head.page_id")
-    marks = _reached(heads, edges)
-
-    walked = nodes.join(marks, ["_seq", "page_id"], "left")
-    walked = cut_lineage(walked.join(edges, ["_seq", "page_id"], "left"))
+    every = _walked(links)
+    walked = every.where("page_id = _node")
     last = walked.where(F.col("page_no").isNotNull()).groupBy("_seq").agg(
         F.max(F.struct("page_no", "page_id", "_to", "_on")).alias("_last")
     )
@@ -395,8 +481,7 @@ def follow_links(
         F.col("_last._to").alias("link"),
     )
     stray = walked.where(F.col("page_no").isNull()).select("_seq", F.lit("stray").alias("kind"), "page_id", F.col("_asked").alias("link"))
-    twins = links.withColumn("_link", key).join(one.select("_link", F.col("_page.page_id").alias("_node")), "_link")
-    forks = twins.where("page_id <> _node").select("_seq", F.lit("fork").alias("kind"), "page_id", F.col("_asked").alias("link"))
+    forks = every.where("page_id <> _node").select("_seq", F.lit("fork").alias("kind"), "page_id", F.col("_asked").alias("link"))
     problems = ends.union(stray).union(forks).select("_seq.*", "kind", "page_id", "link")
     return join_same(pages, kept, [*seq, "page_id"]), problems
 

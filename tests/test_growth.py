@@ -7,7 +7,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from feedloom.operators import decode, framing
+from feedloom.operators import decode, framing, paging
 from feedloom.session import bounded_batches
 from feedloom.sources import members
 
@@ -68,3 +68,24 @@ def test_short_members_share_batches():
     batch = pa.RecordBatch.from_pydict({"path": ["a"] * 2000, "chunk": [1] * 2000, "value": [packed] * 2000})
     made = list(members._found(iter([batch])))
     assert len(made) == 1 and made[0].column("kind").to_pylist() == ["member"] * 2000
+
+
+def _captures(spark):
+    rows = [(None, 1, None, "a"), (None, 2, "a", "b"), (None, 3, "a", "z"), (None, 4, "b", ""), (1, 1, None, "c"), (1, 2, "c", "d"), (1, 3, "d", "c")]
+    rows += [(2, 5, "q", "r"), (2, 6, "r", "gone"), (2, 7, "elsewhere", "q2"), (3, 1, "m", "m"), (3, 2, None, "m")]
+    rows += [(4, i * 7919 % 997, f"t{i}" if i else None, f"t{i + 1}" if i < 996 else "") for i in range(997)]
+    pages = spark.createDataFrame(rows, "seq_key int, page_id long, asked string, next string")
+    return pages.select("seq_key", "page_id", "asked", F.to_json(F.struct("next")).alias("body"))
+
+
+def test_links_of_short_sequences_are_followed_without_rounds(spark, monkeypatch):
+    pages, pager = _captures(spark), paging.Pager("cursor", at="/next")
+
+    def followed(most):
+        monkeypatch.setattr(paging, "LOCAL_PAGES", most)
+        return [sorted(map(str, d.drop("body").collect())) for d in paging.follow_links(pages, ["seq_key"], pager, 1000, asked=F.col("asked"))]
+
+    rounds, mixed = followed(0), followed(100)
+    monkeypatch.setattr(paging, "_reached", None)
+    assert followed(50_000) == rounds == mixed
+    assert len(rounds[0]) == 997 + 3 + 3 + 2 + 2 and len(rounds[1]) == 5
