@@ -187,17 +187,37 @@ def _signals(pages: DataFrame, seq: Sequence[str], pager: Pager) -> DataFrame:
 
 
 def _judge(signals: DataFrame, seq: Sequence[str], pager: Pager) -> DataFrame:
-    """Add `page_no`, `_ends` and `_loop` to the signals of each page."""
+    """Add `page_no`, `_ends` and `_loop` to the signals of each page.
+
+    Only sequences of more than `PAGE_SPAN` pages are cut into buckets. Where the pages of many short ones lie far
+    apart, nearly every page would be a bucket of its own, and the totals of buckets as many as the pages.
+    """
+    long = signals.groupBy(*seq).agg(F.count(F.lit(1)).alias("_pages")).where(F.col("_pages") > PAGE_SPAN)
+    long = cut_lineage(long.select(*seq))
+    if long.isEmpty():
+        return _judged(signals, seq, pager, None)
+    short = _judged(join_same(signals, long, seq, "left_anti"), seq, pager, None)
     in_seq = span_bucket("page_id", PAGE_SPAN)
-    out = signals
+    return short.unionByName(_judged(join_same(signals, long, seq, "left_semi"), seq, pager, in_seq))
+
+
+def _judged(signals: DataFrame, seq: Sequence[str], pager: Pager, in_seq: Column | None) -> DataFrame:
+    """`_judge` of sequences in buckets, or of short ones by a window over each."""
+    out, along = signals, Window.partitionBy(*seq).orderBy("page_id")
     if pager.kind in ("cursor", "request_path"):
         # a page asked with a token that points to itself again; older tokens may come back
-        out = previous(out, "_next", "page_id", seq, in_seq, "_asked")
+        if in_seq is None:
+            out = out.withColumn("_asked", F.lag("_next").over(along))
+        else:
+            out = previous(out, "_next", "page_id", seq, in_seq, "_asked")
         out = out.withColumn("_loop", F.coalesce(F.col("_next") == F.col("_asked"), F.lit(False)))
         out = out.drop("_asked")
     else:
         out = out.withColumn("_loop", F.lit(False))
-    out = number_rows(out, ["page_id"], seq, in_seq, out="page_no")
+    if in_seq is None:
+        out = out.withColumn("page_no", (F.row_number().over(along) - 1).cast("bigint"))
+    else:
+        out = number_rows(out, ["page_id"], seq, in_seq, out="page_no")
     if pager.kind == "none":
         done = F.lit(True)
     elif pager.kind in ("link_header", "cursor", "request_path"):
@@ -210,9 +230,12 @@ def _judge(signals: DataFrame, seq: Sequence[str], pager: Pager) -> DataFrame:
             done = F.coalesce(F.col("_rows"), F.lit(0)) == 0
     else:
         step = F.col("_rows") if pager.rows_at is not None else F.lit(pager.page_size)
-        out = running_sum(
-            out.withColumn("_step", step.cast("bigint")), "_step", ["page_id"], seq, in_seq, "_before"
-        )
+        out = out.withColumn("_step", step.cast("bigint"))
+        if in_seq is None:
+            before = F.sum("_step").over(along.rowsBetween(Window.unboundedPreceding, -1))
+            out = out.withColumn("_before", F.coalesce(before, F.lit(0)))
+        else:
+            out = running_sum(out, "_step", ["page_id"], seq, in_seq, "_before")
         tests = []
         if pager.rows_at is not None:
             tests.append(F.col("_rows") == 0)

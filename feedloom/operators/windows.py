@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from feedloom.functions.json import as_column
 from feedloom.functions.keys import join_same
 from feedloom.functions.numbering import shuffle_partitions
+from feedloom.session import cut_lineage
 
 SECOND = 1_000_000  # microseconds
 
@@ -269,6 +270,8 @@ def halve_until(
         .groupBy(*by, "_ws", "_we", F.col("s.a").alias("a"), F.col("s.b").alias("b"))
         .agg(F.sum("_n").alias("rows"))
     )
+    # every second gives a row a level; the spans and their rows are read from what was counted once
+    nodes = cut_lineage(nodes)
     over = nodes.filter(F.col("rows") > ceiling)
     mid = F.col("a") + F.floor((F.col("b") - F.col("a")) / 2).cast("bigint")
     children = over.filter(F.col("b") - F.col("a") >= 2).select(
