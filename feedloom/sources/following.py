@@ -17,6 +17,7 @@ import os
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,8 @@ PLAN = (
 )
 PROBE = "path string, node string, key string, size long"
 # Rows that Arrow hands over at once; a row of lines holds at most `max_line` bytes.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+BATCH_ROWS = 4096
 
 
 def break_before(path: str, low: int, high: int) -> int:
@@ -272,19 +274,31 @@ class LineFollower(PlannedBatches):
             "path", "file_id", "_from", F.least(F.col("_from") + split, F.col("end")).alias("_to")
         )
         size = plan.agg(F.sum(F.col("end") - F.col("start")).alias("n")).first()["n"] or 0
-        columns = [field.split()[0] for field in SCHEMA.split(", ")]
-
-        def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            rows, held = [], 0
-            for batch in batches:
-                for path, file_id, begin, end in batch[["path", "file_id", "_from", "_to"]].itertuples(index=False):
-                    for row in range_lines(path, file_id, int(begin), int(end), max_line, wrap):
-                        rows.append(row)
-                        held += row[3] - row[2]
-                        if held >= BATCH_BYTES:
-                            yield pd.DataFrame(rows, columns=columns).astype({"refused_bytes": "Int64"})
-                            rows, held = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=columns).astype({"refused_bytes": "Int64"})
+        return ranges.repartition(max(1, -(-size // split))).mapInArrow(_reader(max_line, wrap), SCHEMA)
+
+
+def _reader(max_line: int, wrap: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's function that reads the lines of byte ranges, in batches of bounded rows and bytes."""
+    names = [field.split()[0] for field in SCHEMA.split(", ")]
+    kinds = {"string": pa.string(), "long": pa.int64()}
+    types = [kinds[field.split()[1]] for field in SCHEMA.split(", ")]
 
-        return ranges.repartition(max(1, -(-size // split))).mapInPandas(read, SCHEMA)
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(zip(*rows, strict=True), types, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names=names)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+        for batch in batches:
+            for r in batch.select(["path", "file_id", "_from", "_to"]).to_pylist():
+                for row in range_lines(r["path"], r["file_id"], r["_from"], r["_to"], max_line, wrap):
+                    rows.append(row)
+                    held += row[3] - row[2]
+                    # a short line costs far more as a row than its bytes
+                    if held >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
+                        yield made(rows)
+                        rows, held = [], 0
+        if rows:
+            yield made(rows)
+
+    return read
