@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import csv
-import io
 import json
-import sys
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -191,17 +190,50 @@ def bound_lines(df: DataFrame, c: str, max_bytes: int) -> tuple[DataFrame, DataF
 # --- CSV and gzip: the two framings Spark has no expression for --------------------------
 
 
+_CSV_STOP = re.compile("[,\r\n]")
+
+
+def csv_fields(text: str) -> Iterator[list[str]]:
+    """Fields of the records of a CSV text, blank lines left out, as `csv.reader` gives them in strict mode.
+
+    A quoted field is found by its end and not character by character, as fields may be long.
+    """
+    at, size = 0, len(text)
+    while at < size:
+        if text[at] in "\r\n":
+            at += 1
+            continue
+        fields: list[str] = []
+        while True:
+            if text.startswith('"', at):
+                begin = end = at + 1
+                while (end := text.find('"', end)) >= 0 and text.startswith('"', end + 1):
+                    end += 2
+                if end < 0:
+                    raise csv.Error("unexpected end of data")
+                fields.append(text[begin:end].replace('""', '"'))
+                at = end + 1
+                if at < size and text[at] not in ",\r\n":
+                    raise csv.Error("',' expected after '\"'")
+            else:
+                stop = _CSV_STOP.search(text, at)
+                end = stop.start() if stop else size
+                fields.append(text[at:end])
+                at = end
+            if at >= size or text[at] != ",":
+                break
+            at += 1
+        yield fields
+
+
 def csv_records(text: str, header: bool = True) -> Iterator[str]:
     """JSON records of a CSV text; every value a string.
 
     A field beyond the header, or without one, is `col_<i>`, counted from 0; a short row keeps
     what it has. A field may be as long as its text.
     """
-    csv.field_size_limit(sys.maxsize)
     names: list[str] | None = None
-    for fields in csv.reader(io.StringIO(text, newline=""), strict=True):
-        if not fields:
-            continue
+    for fields in csv_fields(text):
         if header and names is None:
             names = fields
             continue
@@ -217,6 +249,7 @@ def decode_csv(df: DataFrame, body: str, header: bool = True) -> DataFrame:
 
     A body that stops being CSV gives the rows before that place, then one row with `error`.
     """
+    bounded_batches(df.sparkSession)
 
     @F.pandas_udf("struct<rows:array<string>,error:string>")
     def parse(bodies: pd.Series) -> pd.DataFrame:

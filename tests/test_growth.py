@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import random
 import zlib
 
 import pyarrow as pa
@@ -116,3 +119,21 @@ def test_short_lines_are_handed_over_in_bounded_batches(tmp_path):
     made = list(following._reader(1 << 10, False)(iter([ranges])))
     assert max(b.num_rows for b in made) <= 4096
     assert [t for b in made for t in b.column("payload").to_pylist()] == [f"line {i}" for i in range(20_000)]
+
+
+def test_csv_fields_are_those_of_the_strict_reader(spark):
+    def read(rows):
+        out = []
+        try:
+            out.extend(f for f in rows if f)
+        except csv.Error as problem:
+            return out, str(problem)
+        return out, None
+
+    pick = random.Random(7)
+    for _ in range(20_000):
+        text = "".join(pick.choice('a",\r\n" ') for _ in range(pick.randint(0, 12)))
+        assert read(decode.csv_fields(text)) == read(csv.reader(io.StringIO(text, newline=""), strict=True)), text
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    decode.decode_csv(spark.createDataFrame([("a\n1",)], "body string"), "body")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
