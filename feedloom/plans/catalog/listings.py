@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedloom.functions.json import Field, object_text, with_document
-from feedloom.functions.numbering import span_bucket
+from feedloom.functions.numbering import shuffle_partitions, span_bucket
 from feedloom.operators import accounting, decode, fanout, listing, paging
 from feedloom.plans.catalog.base import events_feed, query, table
 from feedloom.plans.catalog.pages import SEQ, _pages
 from feedloom.plans.catalog.spans import _halved
 
+# Rows that a task groups where nearly each is a group.
+GROUPED_ROWS = 500_000
+
 
 @query(
     "fan_out_keys",
@@ -99,17 +102,18 @@ def manifest_join(spark, sf_dir):
     )
     parsed = with_document(rows, "payload")
     doc = F.col("_doc")
-    return (
-        parsed.groupBy(
-            "l_orderkey",
-            "l_linenumber",
-            Field(doc, "item").text().alias("item_priority"),
-            F.col("mark.item_key").alias("item_key"),
-            F.col("mark.item_position").alias("item_position"),
-            Field(doc, "line").number().cast("int").alias("line"),
-        )
-        .agg(F.count(F.lit(1)).alias("rows"))
+    lines = parsed.select(
+        "l_orderkey",
+        "l_linenumber",
+        Field(doc, "item").text().alias("item_priority"),
+        F.col("mark.item_key").alias("item_key"),
+        F.col("mark.item_position").alias("item_position"),
+        Field(doc, "line").number().cast("int").alias("line"),
     )
+    # adaptive execution merges partitions by their packed bytes, and a task keeps a group for nearly every row
+    parts = max(shuffle_partitions(lines), -(-contents.count() // GROUPED_ROWS))
+    dealt = lines.repartition(parts, "l_orderkey", "l_linenumber")
+    return dealt.groupBy(*lines.columns).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _capped(spark, sf_dir, mode):

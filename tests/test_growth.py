@@ -137,3 +137,12 @@ def test_csv_fields_are_those_of_the_strict_reader(spark):
     spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
     decode.decode_csv(spark.createDataFrame([("a\n1",)], "body string"), "body")
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+
+
+def test_lines_of_a_manifest_are_grouped_in_partitions_by_their_count(spark, monkeypatch):
+    from feedloom.plans.catalog import QUERIES, listings
+
+    monkeypatch.setattr(listings, "GROUPED_ROWS", 300)
+    plan = QUERIES["manifest_join"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert "RepartitionByExpression [l_orderkey" in plan and f"], {-(-lines // 300)}" in plan
