@@ -146,3 +146,18 @@ def test_lines_of_a_manifest_are_grouped_in_partitions_by_their_count(spark, mon
     plan = QUERIES["manifest_join"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
     assert "RepartitionByExpression [l_orderkey" in plan and f"], {-(-lines // 300)}" in plan
+
+
+def test_only_long_sequences_are_walked_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(paging, "LOCAL_PAGES", 100)
+    walked, rounds = [], paging._walked_in_rounds
+
+    def counted(links):
+        walked.append(links.count())
+        return rounds(links)
+
+    monkeypatch.setattr(paging, "_walked_in_rounds", counted)
+    kept, _ = paging.follow_links(_captures(spark), ["seq_key"], paging.Pager("cursor", at="/next"), 1000, asked=F.col("asked"))
+    assert walked == [997]
+    ordered = kept.where("seq_key = 4").orderBy("page_no").select("page_id").collect()
+    assert [r.page_id for r in ordered] == [i * 7919 % 997 for i in range(997)]
