@@ -32,6 +32,16 @@ from feedloom.session import bounded_batches, cut_lineage
 PAGE_SPAN = 10_000
 # Pages up to which a sequence's links are followed inside of one task, and about as many are held there at once.
 LOCAL_PAGES = 50_000
+# Sequences up to which their ends are broadcast, a row each.
+FEW_SEQUENCES = 10_000
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    """Rows as many as pages, for a join that must not broadcast them.
+
+    The size of what is read from a checkpoint is guessed from the files behind it, far below that of its rows.
+    """
+    return rows.hint("merge")
 
 
 def header(headers: Column, name: str) -> Column:
@@ -296,7 +306,7 @@ def assemble_pages(
         .filter(F.col("page_no") <= F.col("_until"))
         .select(*seq, "page_id", "page_no", "status")
     )
-    return join_same(pages, kept, [*seq, "page_id"])
+    return join_same(pages, _merged(kept), [*seq, "page_id"])
 
 
 def _links(pages: DataFrame, seq: Sequence[str], pager: Pager, asked: Column | None) -> DataFrame:
@@ -350,20 +360,24 @@ def _reached(heads: DataFrame, edges: DataFrame) -> DataFrame:
     marks = cut_lineage(marks)
     known = marks.count()
     while known > before:
-        further = marks.join(jump, ["_seq", "page_id"]).select(
+        further = marks.join(_merged(jump), ["_seq", "page_id"]).select(
             "_seq", F.col("_goal").alias("page_id"), (F.col("page_no") + reach).alias("page_no")
         )
         marks = cut_lineage(marks.union(further).groupBy("_seq", "page_id").agg(F.min("page_no").alias("page_no")))
         on = jump.select("_seq", F.col("page_id").alias("_goal"), F.col("_goal").alias("_further"))
         jump = cut_lineage(
-            jump.join(on, ["_seq", "_goal"]).select("_seq", "page_id", F.col("_further").alias("_goal"))
+            jump.join(_merged(on), ["_seq", "_goal"]).select("_seq", "page_id", F.col("_further").alias("_goal"))
         )
         before, known, reach = known, marks.count(), 2 * reach
     return marks
 
 
+# What is told of each link; `_last` and `_how` are those of its sequence.
+_WALKED = ("_seq", "page_id", "_asked", "_to", "_node", "page_no", "_last", "_how")
+
+
 def _solved_block(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-    """Links of whole sequences with the page that has a link first, its number and the page that it leads to."""
+    """Links of whole sequences with the page that has a link first, its number, and where and how its sequence ends."""
     table = pa.Table.from_batches(batches).combine_chunks()
     n = table.num_rows
     pages = np.asarray(table["page_id"].combine_chunks())
@@ -384,18 +398,21 @@ def _solved_block(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     first = np.asarray(table["_first"].combine_chunks().cast(pa.int8())) == 1
     ranked = nodes[np.lexsort((pages[nodes], named[nodes], ~first[nodes], seq[nodes]))]
     here = ranked[np.append(True, np.diff(seq[ranked]) != 0)]
-    number, passed = np.full(n, -1), 0
+    number, passed, last = np.full(n, -1), 0, here.copy()
     while len(here):  # a step of all sequences at once; a page that is met again has its number
         here = here[number[here] < 0]
         number[here] = passed
+        last[seq[here]] = here
         here, passed = on[here], passed + 1
         here = here[here >= 0]
     own = nodes[np.cumsum(begins) - 1]
     kind = table.schema.field("page_id").type
-    out = table.drop_columns(["_n"])
+    how = np.where(codes[n:][last] == 0, "complete", np.where(on[last] < 0, "open", "loop"))
+    out = table.drop_columns(["_n", "_first"])
     out = out.append_column("_node", pa.array(pages[own], kind))
     out = out.append_column("page_no", pa.array(number, pa.int64(), mask=number < 0))
-    return out.append_column("_on", pa.array(pages[on], kind, mask=on < 0)).combine_chunks().to_batches()[0]
+    out = out.append_column("_last", pa.array(number[last][seq], pa.int64()))
+    return out.append_column("_how", pa.array(how[seq], pa.string())).combine_chunks().to_batches()[0]
 
 
 def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -416,11 +433,12 @@ def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _walked_inside(links: DataFrame) -> DataFrame:
-    """(links, `_node`, `page_no`, `_on`) of sequences that a task can hold: one shuffle, no rounds."""
+    """`_WALKED` of sequences that a task can hold: one shuffle, no rounds."""
     bounded_batches(links.sparkSession)
     number = F.row_number().over(Window.partitionBy("_seq").orderBy("_asked", "page_id"))
     kind = links.schema["page_id"].dataType
-    schema = T.StructType([*links.schema.fields, T.StructField("_node", kind), T.StructField("page_no", T.LongType()), T.StructField("_on", kind)])
+    told = [T.StructField("_node", kind), *(T.StructField(c, T.LongType()) for c in ("page_no", "_last")), T.StructField("_how", T.StringType())]
+    schema = T.StructType([links.schema[c] for c in _WALKED[:4]] + told)
     return cut_lineage(links.withColumn("_n", number).mapInArrow(_solved, schema))
 
 
@@ -431,20 +449,32 @@ def _walked_in_rounds(links: DataFrame) -> DataFrame:
     nodes = cut_lineage(one.select("_link._seq", "_link._asked", "_page.*"))
     goals = nodes.select(F.struct("_seq", F.col("_asked").alias("_to")).alias("_link"), F.col("page_id").alias("_on"))
     edges = nodes.where(F.col("_to").isNotNull()).select("_seq", "page_id", F.struct("_seq", "_to").alias("_link"))
-    edges = cut_lineage(edges.join(goals, "_link").select("_seq", "page_id", "_on"))
+    edges = cut_lineage(edges.join(_merged(goals), "_link").select("_seq", "page_id", "_on"))
 
     named = edges.where("page_id <> _on").select("_seq", F.col("_on").alias("page_id")).distinct()
-    starts = nodes.join(named.withColumn("_named", F.lit(True)), ["_seq", "page_id"], "left")
+    starts = nodes.join(_merged(named.withColumn("_named", F.lit(True))), ["_seq", "page_id"], "left")
     rank = F.struct(~F.col("_first"), F.coalesce("_named", F.lit(False)), "page_id")
     heads = starts.groupBy("_seq").agg(F.min(rank).alias("_head")).select("_seq", "_head.page_id")
     marks = _reached(heads, edges)
-    told = marks.join(edges, ["_seq", "page_id"], "full")
-    twins = links.withColumn("_link", key).join(one.select("_link", F.col("_page.page_id").alias("_node")), "_link").drop("_link")
-    return cut_lineage(twins.join(told, ["_seq", "page_id"], "left").select(*links.columns, "_node", "page_no", "_on"))
+    last = marks.groupBy("_seq").agg(F.max(F.struct("page_no", "page_id")).alias("_end")).select("_seq", "_end.*")
+    last = last.join(_merged(nodes.select("_seq", "page_id", "_to")), ["_seq", "page_id"]).join(_merged(edges), ["_seq", "page_id"], "left")
+    how = F.when(F.col("_to").isNull(), F.lit("complete")).when(F.col("_on").isNull(), F.lit("open")).otherwise(F.lit("loop"))
+    ends = last.select("_seq", F.col("page_no").alias("_last"), how.alias("_how"))
+    # of few sequences each may be long, and then no task should hold one
+    few = marks.where("page_no = 0").count() <= FEW_SEQUENCES
+    ends = F.broadcast(ends) if few else _merged(ends)
+    firsts = nodes.select(key.alias("_link"), F.col("page_id").alias("_node"))
+    twins = links.withColumn("_link", key).join(_merged(firsts), "_link").drop("_link")
+    told = twins.join(_merged(marks), ["_seq", "page_id"], "left").join(ends, "_seq")
+    return cut_lineage(told.select(*_WALKED))
 
 
 def _walked(links: DataFrame) -> DataFrame:
-    """Links with `_node`, the page that has a link first, its `page_no` if its sequence reaches it, and `_on`, the next."""
+    """Links with `_node`, the page that has a link first, and its `page_no` if its sequence reaches it.
+
+    `_last` is the number of the last page that the sequence reaches, and `_how` tells whether it is complete there,
+    open or a loop.
+    """
     if not isinstance(links.schema["page_id"].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
         return _walked_in_rounds(links)
     long = links.groupBy("_seq").agg(F.count(F.lit(1)).alias("_pages")).where(F.col("_pages") > LOCAL_PAGES)
@@ -480,33 +510,21 @@ def follow_links(
     links = cut_lineage(_links(pages, seq, pager, asked))
     every = _walked(links)
     walked = every.where("page_id = _node")
-    last = walked.where(F.col("page_no").isNotNull()).groupBy("_seq").agg(
-        F.max(F.struct("page_no", "page_id", "_to", "_on")).alias("_last")
-    )
-    how = (
-        F.when(F.col("_last._to").isNull(), F.lit("complete"))
-        .when(F.col("_last._on").isNull(), F.lit("open"))
-        .otherwise(F.lit("loop"))
-    )
-    over = F.col("_last.page_no") >= max_pages
-    bounds = last.select(
-        "_seq",
-        F.when(over, F.lit("ceiling" if strict else "cut")).otherwise(how).alias("status"),
-        F.least(F.col("_last.page_no"), F.lit(max_pages - 1)).alias("_until"),
-    )
-    on_way = walked.where(F.col("page_no").isNotNull()).join(bounds, "_seq").where("page_no <= _until")
-    kept = on_way.select("_seq.*", "page_id", "page_no", "status")
+    over = F.col("_last") >= max_pages
+    status = F.when(over, F.lit("ceiling" if strict else "cut")).otherwise(F.col("_how"))
+    on_way = walked.where(F.col("page_no") <= F.least(F.col("_last"), F.lit(max_pages - 1)))
+    kept = on_way.select("_seq.*", "page_id", "page_no", status.alias("status"))
 
-    ends = last.withColumn("kind", how).where("kind <> 'complete'").select(
+    ends = walked.where("page_no = _last AND _how <> 'complete'").select(
         "_seq",
-        F.when(F.col("kind") == "open", F.lit("missing")).otherwise(F.lit("loop")).alias("kind"),
-        "_last.page_id",
-        F.col("_last._to").alias("link"),
+        F.when(F.col("_how") == "open", F.lit("missing")).otherwise(F.lit("loop")).alias("kind"),
+        "page_id",
+        F.col("_to").alias("link"),
     )
     stray = walked.where(F.col("page_no").isNull()).select("_seq", F.lit("stray").alias("kind"), "page_id", F.col("_asked").alias("link"))
     forks = every.where("page_id <> _node").select("_seq", F.lit("fork").alias("kind"), "page_id", F.col("_asked").alias("link"))
     problems = ends.union(stray).union(forks).select("_seq.*", "kind", "page_id", "link")
-    return join_same(pages, kept, [*seq, "page_id"]), problems
+    return join_same(pages, _merged(kept), [*seq, "page_id"]), problems
 
 
 def sequence_status(assembled: DataFrame, seq: Sequence[str]) -> DataFrame:

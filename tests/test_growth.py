@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import random
+import re
 import zlib
 
 import pyarrow as pa
@@ -161,3 +162,55 @@ def test_only_long_sequences_are_walked_in_rounds(spark, monkeypatch):
     assert walked == [997]
     ordered = kept.where("seq_key = 4").orderBy("page_no").select("page_id").collect()
     assert [r.page_id for r in ordered] == [i * 7919 % 997 for i in range(997)]
+
+
+def test_pages_that_are_kept_are_not_broadcast(spark, tmp_path):
+    def plan(df):
+        return df._jdf.queryExecution().sparkPlan().toString()
+
+    _captures(spark).write.parquet(f"{tmp_path}/pages")
+    pages, pager = spark.read.parquet(f"{tmp_path}/pages"), paging.Pager("cursor", at="/next")
+    kept, problems = paging.follow_links(pages, ["seq_key"], pager, 1000, asked=F.col("asked"))
+    # a few files say nothing of the rows that a checkpoint holds
+    assert "Broadcast" not in plan(kept)
+    # the ends of sequences come with the pages that were walked, so one join is left and no aggregate
+    assert plan(kept).count("SortMergeJoin") == plan(kept).count("Join") == 1 and "Aggregate" not in plan(kept)
+    assert "Join" not in plan(problems) and "Aggregate" not in plan(problems)
+    assembled = plan(paging.assemble_pages(pages, ["seq_key"], pager, 1000))
+    assert re.search(r"\w+Join", assembled).group() == "SortMergeJoin"
+
+
+def test_ends_of_sequences_are_those_of_a_plain_walk(spark, monkeypatch):
+    pick, rows, want, last = random.Random(3), [], set(), set()
+    for s in range(150):
+        n = pick.randint(1, 9)
+        links = [None, *(f"k{i}" for i in range(n))]
+        pages = [(s, p, pick.choice(links), pick.choice([*links, "gone"])) for p in pick.sample(range(99), n)]
+        rows += pages
+        first = {}
+        for _, p, asked, to in sorted(pages, key=lambda r: r[1]):
+            first.setdefault(asked, (p, to))
+        lead = {p: first[to][0] for p, to in first.values() if to is not None and to in first}
+        named = {b for a, b in lead.items() if a != b}
+        at = min(first, key=lambda a: (a is not None, first[a][0] in named, first[a][0]))
+        way = []
+        while first[at][0] not in way:
+            way.append(first[at][0])
+            to = first[at][1]
+            if to is None or to not in first:
+                break
+            at = to
+        how = "complete" if to is None else "open" if to not in first else "loop"
+        short = "cut" if len(way) > 3 else how
+        want |= {(s, p, i, short) for i, p in enumerate(way[:3])}
+        if how != "complete":
+            last.add((s, "missing" if how == "open" else "loop", way[-1], to))
+    captured = spark.createDataFrame(rows, "seq_key int, page_id long, asked string, next string")
+    captured = captured.select("seq_key", "page_id", "asked", F.to_json(F.struct("next")).alias("body"))
+    for most, few in ((50_000, 0), (0, 0), (4, 10_000)):
+        monkeypatch.setattr(paging, "LOCAL_PAGES", most)
+        monkeypatch.setattr(paging, "FEW_SEQUENCES", few)
+        kept, problems = paging.follow_links(captured, ["seq_key"], paging.Pager("cursor", at="/next"), 3, False, F.col("asked"))
+        assert {tuple(r) for r in kept.select("seq_key", "page_id", "page_no", "status").collect()} == want
+        found = problems.where("kind IN ('missing', 'loop')").collect()
+        assert len(found) == len(last) and {tuple(r) for r in found} == last
